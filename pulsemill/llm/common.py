@@ -33,7 +33,7 @@ def words(text: str | None, lower: bool) -> list[bytes]:
 class WordHash(dict):
     """Word -> 64-bit hash, kept for the words seen lately."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -71,8 +71,13 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return mix((sums[n:] - sums[:count]) * q[:count] + np.uint64(n))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from the files, so lost executors cost no recomputation."""
+def cut(df: DataFrame, narrow: bool = False) -> DataFrame:
+    """Write df to the shared checkpoint folder and go on from the files, so lost executors cost no recomputation.
+
+    narrow: its rows are a few numbers (ids, labels, counts), so a sixteenth of the tasks that texts need will do.
+    """
+    if narrow:
+        df = df.coalesce(max(6, shuffle_parts(df.sparkSession) // 16))
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .mixing import mix_sources, mixing_sql
 from .near_dedup import near_duplicates
+from .packing import pack
+from .quality_rules import QUALITY_SQL, quality_rules
+from .secret_scan import secret_digests
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +19,22 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=3, threshold_pct=85)
 
 
-QUERIES = {"op1_minhash_near_dedup": op1_minhash_near_dedup}
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir))
 
-ORACLE: dict[str, str] = {}
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(documents(spark, sf_dir))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
+def op9_pack_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_mix_sources, op5_secret_scan, op7_quality_rules, op9_pack_buckets)}
+
+ORACLE: dict[str, str] = {"op2_mix_sources": mixing_sql(), "op7_quality_rules": QUALITY_SQL}
