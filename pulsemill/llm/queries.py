@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .mixing import mix_sources, mixing_sql
 from .near_dedup import near_duplicates
 from .packing import pack
+from .personal_data import personal_digests
 from .quality_rules import QUALITY_SQL, quality_rules
 from .secret_scan import secret_digests
+from .substring_dedup import remove_repeats
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +25,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_digests(documents(spark, sf_dir))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(documents(spark, sf_dir))
 
@@ -31,10 +37,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op9_pack_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_mix_sources, op5_secret_scan, op7_quality_rules, op9_pack_buckets)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_mix_sources, op4_personal_data, op5_secret_scan, op7_quality_rules, op8_substring_dedup, op9_pack_buckets)}
 
 ORACLE: dict[str, str] = {"op2_mix_sources": mixing_sql(), "op7_quality_rules": QUALITY_SQL}
