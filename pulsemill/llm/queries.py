@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .lm_scoring import score_texts
 from .mixing import mix_sources, mixing_sql
 from .near_dedup import near_duplicates
 from .packing import pack
@@ -45,6 +46,10 @@ def op9_pack_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_mix_sources, op4_personal_data, op5_secret_scan, op7_quality_rules, op8_substring_dedup, op9_pack_buckets)}
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_mix_sources, op4_personal_data, op5_secret_scan, op7_quality_rules, op8_substring_dedup, op9_pack_buckets, op10_lm_scoring)}
 
 ORACLE: dict[str, str] = {"op2_mix_sources": mixing_sql(), "op7_quality_rules": QUALITY_SQL}
