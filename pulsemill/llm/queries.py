@@ -12,6 +12,7 @@ from .personal_data import personal_digests
 from .quality_rules import QUALITY_SQL, quality_rules
 from .secret_scan import secret_digests
 from .substring_dedup import remove_repeats
+from .toxicity import score_toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
+def op3_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_digests(documents(spark, sf_dir))
 
@@ -50,6 +55,6 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_mix_sources, op4_personal_data, op5_secret_scan, op7_quality_rules, op8_substring_dedup, op9_pack_buckets, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_mix_sources, op3_toxicity_knn, op4_personal_data, op5_secret_scan, op7_quality_rules, op8_substring_dedup, op9_pack_buckets, op10_lm_scoring)}
 
 ORACLE: dict[str, str] = {"op2_mix_sources": mixing_sql(), "op7_quality_rules": QUALITY_SQL}
