@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from .common import cut
 from .lm_scoring import score_texts
 from .mixing import mix_sources, mixing_sql
 from .near_dedup import near_duplicates
@@ -13,6 +15,7 @@ from .quality_rules import QUALITY_SQL, quality_rules
 from .secret_scan import secret_digests
 from .substring_dedup import remove_repeats
 from .toxicity import score_toxicity
+from .webp_columns import read_media, to_media
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +42,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(documents(spark, sf_dir))
 
 
+def op6_webp_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_media(cut(to_media(documents(spark, sf_dir))), keep_pixels=False)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -55,6 +62,8 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_mix_sources, op3_toxicity_knn, op4_personal_data, op5_secret_scan, op7_quality_rules, op8_substring_dedup, op9_pack_buckets, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_mix_sources, op3_toxicity_knn, op4_personal_data, op5_secret_scan, op6_webp_columns, op7_quality_rules, op8_substring_dedup, op9_pack_buckets, op10_lm_scoring)}
+
+QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE: dict[str, str] = {"op2_mix_sources": mixing_sql(), "op7_quality_rules": QUALITY_SQL}

@@ -214,3 +214,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold
     shared = docs.sparkSession.sparkContext.broadcast(index)
     schema = "doc_id long, held_out boolean, score double, predicted int, nearest array<long>, cosines array<double>"
     return texts.mapInPandas(functools.partial(_score, index=shared, k=k, threshold=threshold), schema)
+
+
+def _reject(batches, index, k: int, threshold: float):
+    for pdf in batches:
+        if len(pdf):
+            scored = next(_score([pdf[["doc_id", "text"]]], index, k, threshold))
+            yield pdf[(scored["predicted"] == 0).to_numpy()]
+
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, k: int = K, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs whose score is under the threshold, with all their columns; learns from all labels."""
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(fit_index(source, labels, k))
+    return docs.mapInPandas(functools.partial(_reject, index=shared, k=k, threshold=threshold), docs.schema)
