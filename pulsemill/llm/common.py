@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,21 +30,6 @@ def words(text: str | None, lower: bool) -> list[bytes]:
     return (raw.lower() if lower else raw).split()
 
 
-class WordHash(dict):
-    """Word -> 64-bit hash, kept for the words seen lately."""
-
-    LIMIT = 200_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, found: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), dtype=np.uint64, count=len(found))
-
-
 _POWER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _tables: dict[str, np.ndarray] = {}
@@ -60,6 +45,43 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _tables["p"], _tables["q"]
 
 
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[*SPACE.encode()]] = True
+#: Bytes hashed at once.
+PIECE = 1 << 20
+
+
+def _word_hashes(data: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, 64-bit hash) of each word of bytes that end with a space: a polynomial of its bytes, cut out of one running sum."""
+    edge = np.concatenate([[True], space[:-1]])
+    starts = np.nonzero(edge & ~space)[0]
+    stops = np.nonzero(~edge & space)[0]
+    p, q = _powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * p[: len(data)], out=sums[1:])
+    return starts, mix((sums[stops] - sums[starts]) * q[starts])
+
+
+def token_hashes(texts, lower: bool) -> list[np.ndarray]:
+    """The word hashes of each text, by array operations over about PIECE bytes at a time. A null text has none."""
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    if not raw:
+        return []
+    data = b" ".join(raw) + b" "
+    data = np.frombuffer(data.lower() if lower else data, np.uint8)
+    space = _IS_SPACE[data]
+    starts, hashes, lo = [], [], 0
+    while lo < len(data):
+        hi = min(lo + PIECE, len(data))
+        hi += int(space[hi - 1 :].argmax())  # to the end of the word; the data end with a space
+        at, h = _word_hashes(data[lo:hi], space[lo:hi])
+        starts.append(at + lo)
+        hashes.append(h)
+        lo = hi
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    return np.split(np.concatenate(hashes), np.searchsorted(np.concatenate(starts), ends[:-1]))
+
+
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of n consecutive word hashes, each from two prefix sums of a polynomial modulo 2**64."""
     count = len(h) - n + 1
@@ -71,17 +93,31 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return mix((sums[n:] - sums[:count]) * q[:count] + np.uint64(n))
 
 
+def slices(pdf, chars: int):
+    """A batch with a column text, in slices of about so many characters, so arrays over words stay small."""
+    size = pdf["text"].str.len().fillna(0).cumsum().to_numpy() // chars
+    edges = np.concatenate([[0], np.nonzero(np.diff(size))[0] + 1, [len(pdf)]])
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        if hi > lo:
+            yield pdf.iloc[lo:hi]
+
+
 def cut(df: DataFrame, narrow: bool = False) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from the files, so lost executors cost no recomputation.
+    """Write df as a table in the shared checkpoint folder and go on from the files, so lost executors cost no recomputation.
 
-    narrow: its rows are a few numbers (ids, labels, counts), so a sixteenth of the tasks that texts need will do.
+    Read back, a table has the size of its files; checkpoint() would carry the planner's estimate along, which multiplies in
+    loops of joins until the number itself fills the driver. narrow: its rows are a few numbers (ids, labels, counts), so a
+    sixteenth of the tasks that texts need will do.
     """
+    spark = df.sparkSession
+    sc = spark.sparkContext
     if narrow:
-        df = df.coalesce(max(6, shuffle_parts(df.sparkSession) // 16))
-    sc = df.sparkSession.sparkContext
+        df = df.coalesce(max(6, shuffle_parts(spark) // 16))
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    path = f"{sc.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_parts(spark: SparkSession) -> int:

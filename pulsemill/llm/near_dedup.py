@@ -5,10 +5,11 @@ smallest hash of each bin is the sketch, and an empty bin borrows from the bin t
 meets first (optimal densification). Bands of consecutive bins give bucket keys. Within a bucket the candidate edges
 form stars: every member against one centre. Candidates are confirmed on the full shingle sets.
 
-A star can miss a link between two members that are both unlike its centre. So, after the first stars, buckets whose
-members still lie in more than one component get further centres (GROWTH times as many each round) until every member of
-such a bucket has been a centre or the bucket has become one component. Members that already share a component are never
-compared again, which bounds the pairs.
+A star can miss a link between two members that are both unlike its centre. So documents in a bucket whose members still
+lie in more than one component are joined exactly, by prefix filtering: with shingles ordered from rare to frequent, two
+sets of n and m shingles can only reach the threshold t if they share one among the first n - ceil(t n) + 1 and
+m - ceil(t m) + 1. Near copies that differ by edits of their own have rare shingles first and meet nothing; documents
+that already share a component are never paired. This finds the rest of the links without pairing a bucket's members.
 """
 
 from __future__ import annotations
@@ -22,15 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WordHash, broadcast_if_small, cut, gram_hashes, mix, words
+from .common import broadcast_if_small, cut, gram_hashes, mix, token_hashes
 
 BINS = 256
 #: Bits of each bin kept in the small sketch that screens pairs before their texts are read.
 SKETCH_BITS = 2
 SKETCH_WORDS = BINS * SKETCH_BITS // 64
-#: Centres of a bucket: GROWTH times as many in each round. A bucket's centres are dealt to SALTS tasks.
-GROWTH = 8
-SALTS = 16
 
 
 def bands_for(threshold_pct: int) -> tuple[int, int]:
@@ -38,10 +36,9 @@ def bands_for(threshold_pct: int) -> tuple[int, int]:
     return (32, 8) if threshold_pct >= 85 else (42, 6)
 
 
-def shingle_set(text: str | None, n: int, hashes: WordHash) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the n-word shingles; a shorter text is one shingle, a text without words none."""
-    h = hashes.of(words(text, lower=True))
-    return np.unique(gram_hashes(h, min(n, len(h)))) if len(h) else h
+def shingle_sets(texts, n: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's n-word shingles; a shorter text is one shingle, a text without words none."""
+    return [np.unique(gram_hashes(h, min(n, len(h)))) if len(h) else h for h in token_hashes(texts, lower=True)]
 
 
 @functools.cache
@@ -86,11 +83,9 @@ def small_sketch(sketch: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches, shingle: int, bands: int, rows: int):
-    hashes = WordHash()
     for pdf in batches:
         out = []
-        for text in pdf["text"]:
-            s = shingle_set(text, shingle, hashes)
+        for s in shingle_sets(pdf["text"], shingle):
             if not len(s):
                 out.append((0, None, None, None, None))
                 continue
@@ -121,27 +116,51 @@ def _screen_limit(threshold_pct: int) -> int:
 
 
 def _confirm(batches, shingle: int, threshold_pct: int):
-    hashes, last = WordHash(), (None, None)
     for pdf in batches:
+        centres = pdf.drop_duplicates("a")  # a star's pairs come together, so its centre is cut into shingles once
+        of = dict(zip(centres["a"], shingle_sets(centres["text_a"], shingle)))
         keep = []
-        for a, b, text_a, text_b in zip(pdf["a"], pdf["b"], pdf["text_a"], pdf["text_b"]):
-            if last[0] != a:
-                last = (a, shingle_set(text_a, shingle, hashes))
-            x, y = last[1], shingle_set(text_b, shingle, hashes)
+        for a, y in zip(pdf["a"], shingle_sets(pdf["text_b"], shingle)):
+            x = of[a]
             union = len(np.union1d(x, y))
             keep.append(100 * (len(x) + len(y) - union) >= threshold_pct * union)
         yield pdf.loc[keep, ["a", "b"]]
 
 
+def _shingles(batches, shingle: int):
+    for pdf in batches:
+        sets = shingle_sets(pdf["text"], shingle)
+        sizes = np.array([len(s) for s in sets], np.int64)
+        yield pd.DataFrame({"doc_id": np.repeat(pdf["doc_id"].to_numpy(np.int64), sizes), "size": np.repeat(sizes, sizes), "token": np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)})
+
+
+def prefix_pairs(texts: DataFrame, labels: DataFrame, shingle: int, threshold_pct: int) -> DataFrame:
+    """Pairs (a, b) of texts(doc_id, text) under different labels(doc_id, label) that share a shingle in their prefixes and may reach the threshold."""
+    tokens = cut(texts.mapInPandas(functools.partial(_shingles, shingle=shingle), "doc_id long, size long, token long"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")  # a shingle of one document meets nothing
+    held = tokens.join(shared, "token")
+    order = Window.partitionBy("doc_id").orderBy("df", "token")
+    held = held.withColumn("rank", F.row_number().over(order)).withColumn("n_shared", F.count("*").over(Window.partitionBy("doc_id")))
+    place = F.col("rank") + F.col("size") - F.col("n_shared")  # those of one document come first
+    least = F.ceil(F.col("size") * threshold_pct / 100)
+    prefix = held.withColumn("place", place).filter(F.col("place") <= F.col("size") - least + 1).select("token", "doc_id", "size", "place").join(labels, "doc_id")
+    x, y = (prefix.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "size", "place", "label"))) for s in "ab")
+    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    room = 1 + F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))  # shingles they can still share
+    may = (F.col("label_a") != F.col("label_b")) & (F.col("doc_id_a") < F.col("doc_id_b")) & (100 * small >= threshold_pct * large)
+    may = may & ((100 + threshold_pct) * (room + F.least("place_a", "place_b") - 1) >= threshold_pct * (F.col("size_a") + F.col("size_b")))
+    return x.join(y, (x["token"] == y["token"]) & may).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for the nodes of edges(a, b); label is the smallest node reachable. Min-label propagation with shortcuts."""
-    both = cut(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")))
+    both = cut(narrow=True, df=edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
+    labels = cut(narrow=True, df=both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")))
     while True:
         seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         step = labels.join(seen, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         hop = labels.select(F.col("node").alias("label"), F.col("label").alias("jump"))
-        nxt = cut(step.join(hop, "label").select("node", "old", F.least("label", "jump").alias("label")))
+        nxt = cut(narrow=True, df=step.join(hop, "label").select("node", "old", F.least("label", "jump").alias("label")))
         labels = nxt.select("node", "label")
         if nxt.filter("old <> label").isEmpty():
             return labels
@@ -167,14 +186,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80)
     reps = members.filter("doc_id = rep").select("doc_id").distinct()
     live = signed.filter("n_shingles > 0").join(reps, "doc_id").dropDuplicates(["doc_id"])
     sketches = live.select("doc_id", "sketch")
-    spread = live.select(F.explode("bands").alias("bucket"), "doc_id").distinct()
+    spread = live.select(F.explode("bands").alias("bucket"), "doc_id")
     crowded = spread.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.count("*").alias("size")).filter("size > 1")
-    buckets = cut(spread.join(crowded.select("bucket", "centre"), "bucket"))
+    buckets = cut(spread.join(crowded.select("bucket", "centre"), "bucket"), narrow=True)
 
-    ids = cut(buckets.select("doc_id").distinct())
+    ids = cut(buckets.select("doc_id").distinct(), narrow=True)
     n_ids = ids.count()
     texts = cut(docs.join(broadcast_if_small(ids, 40, rows=n_ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    sketches = cut(sketches.join(broadcast_if_small(ids, 40, rows=n_ids), "doc_id", "left_semi"))
+    sketches = cut(sketches.join(broadcast_if_small(ids, 40, rows=n_ids), "doc_id", "left_semi"), narrow=True)
     left, right = (sketches.select(F.col("doc_id").alias(x), *(F.col("sketch")[i].alias(f"{x}{i}") for i in range(SKETCH_WORDS))) for x in "ab")
     similar = _mismatches() <= _screen_limit(threshold_pct)
 
@@ -185,34 +204,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80)
 
     stars = buckets.filter("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
     stars = stars.join(left, "a").join(right, "b").filter(similar).select("a", "b")
-    links = cut(confirmed(stars))
+    links = cut(confirmed(stars), narrow=True)
     labels = components(links)
 
-    # Each member's rank in its bucket; the centre of the first star has rank 1.
-    ranked, low, width = None, 1, 1
-    while True:
-        tagged = (buckets if ranked is None else ranked).join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        tagged = tagged.select("bucket", "doc_id", F.coalesce("label", "doc_id").alias("label"), *([] if ranked is None else ["rank"]))
-        split = tagged.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size"))
-        tagged = tagged.join(split.filter("x < y").filter(F.col("size") > low + 1).select("bucket"), "bucket")
-        if ranked is None:
-            tagged = tagged.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("doc_id")))
-        ranked_now = cut(tagged)
-        if ranked_now.isEmpty():
-            break
-        salts = min(SALTS, width)
-        member = ranked_now.select("bucket", F.col("doc_id").alias("b"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"))
-        member = member.join(right, "b").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        centre = ranked_now.filter((F.col("rank") > low) & (F.col("rank") <= low + width))
-        centre = centre.select("bucket", F.col("doc_id").alias("a"), F.col("label").alias("label_a"), F.col("rank").alias("rank_a")).join(left, "a")
-        centre = centre.withColumn("salt", F.col("rank_a") % salts)
-        same = (F.col("c.bucket") == F.col("m.bucket")) & (F.col("c.salt") == F.col("m.salt"))
-        pairs = centre.alias("c").join(member.alias("m"), same & (F.col("label_a") != F.col("label_b")) & (F.col("rank_a") < F.col("rank_b")) & similar)
-        more = cut(confirmed(pairs.select("a", "b").distinct()))
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
-        ranked, low, width = ranked_now.drop("label"), low + width, width * GROWTH
+    tagged = buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("label", "doc_id").alias("label"))
+    split = tagged.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
+    open_docs = cut(tagged.join(split, "bucket").select("doc_id", "label").distinct(), narrow=True)
+    open_texts = texts.join(broadcast_if_small(open_docs.select("doc_id"), 40), "doc_id", "left_semi")
+    more = cut(confirmed(prefix_pairs(open_texts, open_docs, shingle, threshold_pct)), narrow=True)
+    if not more.isEmpty():
+        labels = components(links.union(more))
 
     found = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     return found.select(

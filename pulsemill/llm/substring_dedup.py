@@ -26,12 +26,16 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, broadcast_if_small, cut, gram_hashes, mix, shuffle_parts, words
+from .common import broadcast_if_small, cut, gram_hashes, mix, shuffle_parts, slices, token_hashes, words
 
 WINDOW = 35
 START = 9
 #: Ranges of the hash space for each shuffle partition.
 RANGES = 4
+#: A part of the documents for so many shuffle partitions.
+DOC_SHARE = 4
+#: Characters of text whose windows are gathered before they are sent.
+CHARS = 4_000_000
 
 _BLOCK = "part int, docs binary, places binary, hashes binary"
 _FOUND = "doc_id long, places binary"
@@ -83,11 +87,9 @@ def _dealt(ids: list, places: list, hashes: list, parts: int) -> pd.DataFrame:
 
 
 def _first_level(batches, short: int, window: int, parts: int):
-    hashes = WordHash()
-    for pdf in batches:
+    for pdf in (part for batch in batches for part in slices(batch, CHARS)):
         ids, places, out = [], [], []
-        for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-            h = hashes.of(words(text, lower=False))
+        for doc_id, h in zip(pdf["doc_id"], token_hashes(pdf["text"], lower=False)):
             at = minimisers(h, short, window)
             if len(at):
                 ids.append(doc_id)
@@ -103,11 +105,9 @@ def _next_level(batches, short: int, length: int, window: int, parts: int):
     extensions. The place is the minimiser's start, doubled, plus 1 for the extension to the left. At `window` itself the
     windows are hashed whose minimiser survived.
     """
-    hashes = WordHash()
-    for pdf in batches:
+    for pdf in (part for batch in batches for part in slices(batch, CHARS)):
         ids, places, out = [], [], []
-        for doc_id, text, kept in zip(pdf["doc_id"], pdf["text"], pdf["places"]):
-            h = hashes.of(words(text, lower=False))
+        for doc_id, h, kept in zip(pdf["doc_id"], token_hashes(pdf["text"], lower=False), pdf["places"]):
             if len(h) < window:  # another row of a repeated doc_id
                 continue
             at = np.frombuffer(kept, np.int32).astype(np.int64)
@@ -140,8 +140,8 @@ def _both(h: np.ndarray, at: np.ndarray, short: int, window: int) -> np.ndarray:
     return np.where(fits, right[own], left[own])
 
 
-def _repeated(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one part: the documents and places whose hash more than one batch sent; of a negative part, all places."""
+def _repeated(pdf: pd.DataFrame, doc_parts: int) -> pd.DataFrame:
+    """Of one part: the documents and places whose hash more than one batch sent; of a negative part, all places. Sent on by the documents' part."""
     doc = np.concatenate([np.frombuffer(b, np.int64) for b in pdf["docs"]])
     place = np.concatenate([np.frombuffer(b, np.int32) for b in pdf["places"]])
     if pdf["part"].iloc[0] >= 0:
@@ -150,19 +150,35 @@ def _repeated(pdf: pd.DataFrame) -> pd.DataFrame:
         first, last = _runs(hashed[order])
         at = order[np.repeat(last - first > 1, last - first)]
         doc, place = doc[at], place[at]
-    order = np.argsort(doc, kind="stable")
+    order = np.lexsort((place, doc))
     doc, place = doc[order], place[order]
-    rows = [(int(doc[a]), place[a:b].tobytes()) for a, b in zip(*_runs(doc))]
+    rows = [(*row[:3], b"") for row in _rows(doc % doc_parts, doc, place, doc.view(np.uint64))]
+    return pd.DataFrame(rows, columns=["part", "docs", "places", "hashes"])
+
+
+def _by_document(pdf: pd.DataFrame, runs: bool) -> pd.DataFrame:
+    """One row for each document; with runs, its places as (first, last) of consecutive ones."""
+    doc = np.concatenate([np.frombuffer(b, np.int64) for b in pdf["docs"]])
+    place = np.concatenate([np.frombuffer(b, np.int32) for b in pdf["places"]])
+    order = np.lexsort((place, doc))
+    doc, place = doc[order], place[order]
+    rows = []
+    for a, b in zip(*_runs(doc)):
+        own = place[a:b]
+        if runs:
+            own = np.unique(own)
+            gaps = np.nonzero(np.diff(own) > 1)[0]
+            own = np.stack([own[np.concatenate([[0], gaps + 1])], own[np.concatenate([gaps, [len(own) - 1]])]], axis=1).astype(np.int32)
+        rows.append((int(doc[a]), own.tobytes()))
     return pd.DataFrame(rows, columns=["doc_id", "places"])
 
 
-def _survivors(blocks: DataFrame) -> tuple[DataFrame, int]:
-    """(doc_id, places) of what repeated, one row for each document, and the rows' number."""
-    found = blocks.groupBy("part").applyInPandas(_repeated, _FOUND)
-    # A document's places are at most its words, so a row stays as small as the document.
-    joined = found.groupBy("doc_id").agg(F.array_join(F.collect_list(F.hex("places")), "").alias("x")).select("doc_id", F.unhex("x").alias("places"))
-    joined = cut(joined)
-    return joined, joined.count()
+def _survivors(blocks: DataFrame, runs: bool = False) -> tuple[DataFrame, int]:
+    """(doc_id, places) of what repeated, one row for each document, and the table's size in bytes."""
+    found = blocks.groupBy("part").applyInPandas(functools.partial(_repeated, doc_parts=max(4, shuffle_parts(blocks.sparkSession) // DOC_SHARE)), _BLOCK)
+    # A part of the documents holds as many places as their words at most.
+    joined = cut(found.groupBy("part").applyInPandas(functools.partial(_by_document, runs=runs), _FOUND))
+    return joined, joined.agg(F.sum(F.octet_length("places") + 24)).first()[0] or 0
 
 
 def _cover(batches, window: int):
@@ -170,40 +186,35 @@ def _cover(batches, window: int):
         rows = []
         for text, at in zip(pdf["text"], pdf["places"]):
             found = words(text, lower=False)
-            n, keep = len(found), found
-            removed = 0
+            n, removed = len(found), 0
             if at is not None:
                 steps = np.zeros(n + 1, np.int64)
-                starts = np.unique(np.frombuffer(at, np.int32))
-                starts = starts[starts + window <= n]
-                steps[starts] += 1
-                np.add.at(steps, starts + window, -1)
+                first, last = np.frombuffer(at, np.int32).reshape(-1, 2).T
+                fits = last + window <= n  # runs of another row of a repeated doc_id may not
+                np.add.at(steps, first[fits], 1)
+                np.add.at(steps, last[fits] + window, -1)
                 covered = np.cumsum(steps)[:n] > 0
                 removed = int(covered.sum())
-                keep = [w for w, gone in zip(found, covered) if not gone]
-            rows.append((n, removed, b" ".join(keep)))
-        done = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
+                found = [w for w, gone in zip(found, covered) if not gone]
+            rows.append((n, removed, hashlib.sha256(b" ".join(found)).hexdigest()))
+        done = pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256"])
         done.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy())
-        done["kept_sha256"] = [hashlib.sha256(k).hexdigest() for k in done["kept"]]
-        yield done.drop(columns="kept")
+        yield done
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, start: int = START) -> tuple[DataFrame, int]:
-    """(doc_id, places: int32 starts of the repeated full windows), and the number of rows. docs(doc_id long, text string)."""
+    """(doc_id, places: (first, last) of the runs of repeated full windows' starts), and the table's bytes. docs(doc_id long, text string)."""
     if window < 2 * start or window > 4 * start:
         raise ValueError("window must be two to four times the first level's length")
     parts = RANGES * shuffle_parts(docs.sparkSession)
     steps = levels(window, start)
     blocks = docs.filter("doc_id is not null").mapInPandas(functools.partial(_first_level, short=steps[0], window=window, parts=parts), _BLOCK)
-    alive, n = _survivors(blocks)
+    alive, size = _survivors(blocks)
     for length in steps[1:]:
-        if not n:
-            break
-        small = broadcast_if_small(alive, 400, rows=n)
-        held = docs.join(small, "doc_id").select("doc_id", "text", "places")
+        held = docs.join(broadcast_if_small(alive, 1, rows=size), "doc_id").select("doc_id", "text", "places")
         blocks = held.mapInPandas(functools.partial(_next_level, short=steps[0], length=length, window=window, parts=parts), _BLOCK)
-        alive, n = _survivors(blocks)
-    return alive, n
+        alive, size = _survivors(blocks, runs=length == window)
+    return alive, size
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -214,6 +225,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     counted nowhere. An empty table gives no rows; other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found, n = repeated_windows(texts, window)
-    joined = texts.join(broadcast_if_small(found, 1500, rows=n), "doc_id", "left").select("doc_id", "text", "places")
+    found, size = repeated_windows(texts, window)
+    joined = texts.join(broadcast_if_small(found, 1, rows=size), "doc_id", "left").select("doc_id", "text", "places")
     return joined.mapInPandas(functools.partial(_cover, window=window), "doc_id long, n_words long, n_removed long, kept_sha256 string")
