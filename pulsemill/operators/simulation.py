@@ -1,0 +1,91 @@
+"""Simulated photons and pulses from instructions. Random numbers are seeded by the instruction and repetition, so reruns and repartitioning change nothing."""
+
+from __future__ import annotations
+
+import functools
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+@dataclass(frozen=True)
+class Detector:
+    n_channels: int = 32
+    photon_yield: float = 0.12
+    drift_velocity: float = 1.7e-4  # cm / ns
+    lifetime: float = 6e5
+    diffusion: float = 2.3e-8  # cm2 / ns
+    extraction: float = 0.96
+    gain_per_electron: float = 20.0
+    singlet: float = 3.1
+    triplet: float = 27.0
+    singlet_fraction: float = 0.1
+    luminescence: float = 1500.0
+    transit_mean: float = 46.0
+    transit_spread: float = 9.0
+    sample: int = 10
+    spe_spread: float = 0.4
+
+
+def s1_times(rng, n: int, d: Detector) -> np.ndarray:
+    """Emission times of the detected photons of n: each decays with the singlet's or the triplet's constant."""
+    seen = rng.binomial(n, d.photon_yield)
+    fast = rng.random(seen) < d.singlet_fraction
+    return rng.exponential(np.where(fast, d.singlet, d.triplet))
+
+
+def s2_times(rng, n: int, z: float, d: Detector) -> np.ndarray:
+    """Emission times of the photons of n electrons drifted over depth z: lifetime and extraction losses, diffusion, luminescence."""
+    drift = z / d.drift_velocity
+    alive = rng.binomial(rng.binomial(n, np.exp(-drift / d.lifetime)), d.extraction)
+    spread = np.sqrt(2 * d.diffusion * drift) / d.drift_velocity
+    arrive = drift + rng.normal(0, spread, alive)
+    photons = rng.poisson(d.gain_per_electron, alive)
+    t = np.repeat(arrive, photons)
+    fast = rng.random(len(t)) < d.singlet_fraction
+    return t + rng.random(len(t)) * d.luminescence + rng.exponential(np.where(fast, d.singlet, d.triplet))
+
+
+def truncated_gain(rng, n: int, spread: float) -> np.ndarray:
+    """Gains of photoelectrons: a normal distribution without its negative part, by rejection."""
+    g = rng.normal(1, spread, n)
+    while (bad := g < 0).any():
+        g[bad] = rng.normal(1, spread, int(bad.sum()))
+    return g
+
+
+def _simulate(batches, detector: Detector):
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples():
+            rng = np.random.default_rng([int(r.event_number), int(r.seed)])
+            for kind, times in (("s1", s1_times(rng, r.s1_photons, detector)), ("s2", s2_times(rng, r.s2_electrons, r.depth, detector))):
+                times = times + r.t + rng.normal(detector.transit_mean, detector.transit_spread, len(times))
+                out.append(pd.DataFrame({"event_number": r.event_number, "kind": kind, "channel": rng.integers(0, detector.n_channels, len(times)), "time": times.astype(np.int64), "gain": truncated_gain(rng, len(times), detector.spe_spread)}))
+        yield pd.concat(out) if out else pd.DataFrame({"event_number": [], "kind": [], "channel": [], "time": [], "gain": []})
+
+
+def simulate(instructions: DataFrame, repetitions: int = 1, seed: int = 0, detector: Detector = Detector()) -> DataFrame:
+    """Photons (event_number, kind, channel, time ns, gain) of instructions(instruction, depth, s1_photons, s2_electrons, t); event number = instruction * repetitions + repetition."""
+    each = instructions.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))))
+    each = each.select((F.col("instruction") * repetitions + F.col("_r")).cast("long").alias("event_number"), F.lit(seed).alias("seed"), F.col("depth").cast("double").alias("depth"), F.col("s1_photons").cast("long").alias("s1_photons"), F.col("s2_electrons").cast("long").alias("s2_electrons"), F.col("t").cast("double").alias("t"))
+    return each.mapInPandas(functools.partial(_simulate, detector=detector), "event_number long, kind string, channel int, time long, gain double")
+
+
+def truth(photons: DataFrame) -> DataFrame:
+    """Count, mean, spread, first and last time of each simulated peak."""
+    return photons.groupBy("event_number", "kind").agg(F.count("*").alias("n"), F.avg("time").alias("t_mean"), F.stddev_pop("time").alias("t_sigma"), F.min("time").alias("t_first"), F.max("time").alias("t_last"))
+
+
+def digitise(photons: DataFrame, detector: Detector = Detector()) -> DataFrame:
+    """Summed gains by event, channel and sample."""
+    return photons.groupBy("event_number", "channel", F.floor(F.col("time") / detector.sample).alias("sample")).agg(F.sum("gain").alias("pe"))
+
+
+def uniform_in_circle(seed: int, radius: float):
+    """(x, y) columns of points spread evenly over a circle."""
+    r, phi = F.sqrt(F.rand(seed)) * radius, F.rand(seed + 1) * 2 * np.pi
+    return r * F.cos(phi), r * F.sin(phi)

@@ -78,9 +78,9 @@ def find_hits(df: DataFrame, keys: Sequence[str], w: str, threshold: float, left
     return hit_properties(bounds, s, keys, saturation).filter("area > 0")
 
 
-def sum_waveform(df: DataFrame, keys: Sequence[str], w: str, factor: Column = F.lit(1.0)) -> DataFrame:
+def sum_waveform(df: DataFrame, keys: Sequence[str], w: str, factor: Column | float = 1.0) -> DataFrame:
     """Sparse sum over waveforms: keys, i, value."""
-    return df.select(*keys, factor.alias("_f"), F.posexplode(w).alias("i", "v")).groupBy(*keys, "i").agg(F.sum(F.col("v") * F.col("_f")).alias("value"))
+    return df.select(*keys, (F.lit(factor) if isinstance(factor, float) else factor).alias("_f"), F.posexplode(w).alias("i", "v")).groupBy(*keys, "i").agg(F.sum(F.col("v") * F.col("_f")).alias("value"))
 
 
 def concatenate_adjacent(pulses: DataFrame, keys: Sequence[str]) -> DataFrame:
