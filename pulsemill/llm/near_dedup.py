@@ -26,9 +26,8 @@ from pyspark.sql.window import Window
 from .common import broadcast_if_small, cut, gram_hashes, mix, token_hashes
 
 BINS = 256
-#: Bits of each bin kept in the small sketch that screens pairs before their texts are read.
-SKETCH_BITS = 2
-SKETCH_WORDS = BINS * SKETCH_BITS // 64
+#: 64-bit words of the parity bitmap that screens pairs before their texts are read.
+BITMAP_WORDS = 16
 
 
 def bands_for(threshold_pct: int) -> tuple[int, int]:
@@ -76,10 +75,14 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def small_sketch(sketch: np.ndarray) -> np.ndarray:
-    """SKETCH_BITS bits of each bin, 32 bins to a 64-bit word."""
-    low = (mix(sketch) & np.uint64(3)).reshape(-1, 32) << np.arange(0, 64, 2, dtype=np.uint64)
-    return np.bitwise_or.reduce(low, axis=1).view(np.int64)
+def parity_bitmap(hashes: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of hashes that fall on each bit.
+
+    Two sets' bitmaps differ in at most as many bits as the sets differ in elements, so too many differing bits prove that
+    a pair misses the threshold; a pair that reaches it is never screened out.
+    """
+    bits = np.bincount(((hashes >> np.uint64(20)) & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64), minlength=64 * BITMAP_WORDS)
+    return np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
 
 
 def _sign(batches, shingle: int, bands: int, rows: int):
@@ -91,28 +94,25 @@ def _sign(batches, shingle: int, bands: int, rows: int):
                 continue
             a, b = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
             sketch = one_permutation(s)
-            out.append((len(s), a, b, band_keys(sketch, bands, rows), small_sketch(sketch)))
-        done = pd.DataFrame(out, columns=["n_shingles", "set_a", "set_b", "bands", "sketch"])
+            out.append((len(s), a, b, band_keys(sketch, bands, rows), parity_bitmap(s)))
+        done = pd.DataFrame(out, columns=["n_shingles", "set_a", "set_b", "bands", "bitmap"])
         done.insert(0, "doc_id", pdf["doc_id"].to_numpy())
         for c in ("set_a", "set_b", "doc_id"):
             done[c] = done[c].astype("Int64")
         yield done
 
 
-def _mismatches():
-    """Bins whose SKETCH_BITS bits differ between columns a0.. and b0.., by bit operations on the 64-bit words."""
-    total = F.lit(0)
-    for i in range(SKETCH_WORDS):
-        d = F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555))
-        total = total + F.bit_count(d)
-    return total
+def _sides(bitmaps: DataFrame):
+    """bitmaps(doc_id, size, bitmap) as (a, size_a, a0..) and (b, size_b, b0..)."""
+    return tuple(bitmaps.select(F.col("doc_id").alias(x), F.col("size").alias(f"size_{x}"), *(F.col("bitmap")[i].alias(f"{x}{i}") for i in range(BITMAP_WORDS))) for x in "ab")
 
 
-def _screen_limit(threshold_pct: int) -> int:
-    """Mismatching bins that a pair at the threshold exceeds by five standard deviations."""
-    p = (1 - threshold_pct / 100) * (1 - 1 / 2**SKETCH_BITS)
-    return int(BINS * p + 5 * (BINS * p * (1 - p)) ** 0.5) + 1
+def _may_reach(threshold_pct: int):
+    """Over columns of both sides: whether sizes and bitmaps allow the threshold, J = (n + m - d) / (n + m + d) for d differing elements."""
+    differing = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0")))
+    for i in range(1, BITMAP_WORDS):
+        differing = differing + F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}")))
+    return (100 + threshold_pct) * differing <= (100 - threshold_pct) * (F.col("size_a") + F.col("size_b"))
 
 
 def _confirm(batches, shingle: int, threshold_pct: int):
@@ -134,7 +134,7 @@ def _shingles(batches, shingle: int):
         yield pd.DataFrame({"doc_id": np.repeat(pdf["doc_id"].to_numpy(np.int64), sizes), "size": np.repeat(sizes, sizes), "token": np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)})
 
 
-def prefix_pairs(texts: DataFrame, labels: DataFrame, shingle: int, threshold_pct: int) -> DataFrame:
+def prefix_pairs(texts: DataFrame, labels: DataFrame, bitmaps: DataFrame, shingle: int, threshold_pct: int) -> DataFrame:
     """Pairs (a, b) of texts(doc_id, text) under different labels(doc_id, label) that share a shingle in their prefixes and may reach the threshold."""
     tokens = cut(texts.mapInPandas(functools.partial(_shingles, shingle=shingle), "doc_id long, size long, token long"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")  # a shingle of one document meets nothing
@@ -143,13 +143,12 @@ def prefix_pairs(texts: DataFrame, labels: DataFrame, shingle: int, threshold_pc
     held = held.withColumn("rank", F.row_number().over(order)).withColumn("n_shared", F.count("*").over(Window.partitionBy("doc_id")))
     place = F.col("rank") + F.col("size") - F.col("n_shared")  # those of one document come first
     least = F.ceil(F.col("size") * threshold_pct / 100)
-    prefix = held.withColumn("place", place).filter(F.col("place") <= F.col("size") - least + 1).select("token", "doc_id", "size", "place").join(labels, "doc_id")
-    x, y = (prefix.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "size", "place", "label"))) for s in "ab")
-    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    room = 1 + F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))  # shingles they can still share
-    may = (F.col("label_a") != F.col("label_b")) & (F.col("doc_id_a") < F.col("doc_id_b")) & (100 * small >= threshold_pct * large)
-    may = may & ((100 + threshold_pct) * (room + F.least("place_a", "place_b") - 1) >= threshold_pct * (F.col("size_a") + F.col("size_b")))
-    return x.join(y, (x["token"] == y["token"]) & may).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
+    prefix = held.filter(place <= F.col("size") - least + 1).select("token", "doc_id").join(labels, "doc_id")
+    left, right = _sides(bitmaps)
+    x = prefix.select("token", F.col("doc_id").alias("a"), F.col("label").alias("label_a")).join(left, "a")
+    y = prefix.select("token", F.col("doc_id").alias("b"), F.col("label").alias("label_b")).join(right, "b")
+    may = (F.col("label_a") != F.col("label_b")) & (F.col("a") < F.col("b")) & _may_reach(threshold_pct)
+    return x.join(y, (x["token"] == y["token"]) & may).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -176,7 +175,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80)
     spark = docs.sparkSession
     bands, rows = bands_for(threshold_pct)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
+    schema = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bitmap array<long>"
     signed = cut(docs.mapInPandas(functools.partial(_sign, shingle=shingle, bands=bands, rows=rows), schema))
 
     # Documents with equal sets form a class; only its smallest id goes on, so exact copies make no pairs at all.
@@ -185,7 +184,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80)
     members = cut(signed.select("doc_id", *key).join(classes, key, "left").select("doc_id", "n_shingles", "rep"))
     reps = members.filter("doc_id = rep").select("doc_id").distinct()
     live = signed.filter("n_shingles > 0").join(reps, "doc_id").dropDuplicates(["doc_id"])
-    sketches = live.select("doc_id", "sketch")
+    bitmaps = live.select("doc_id", F.col("n_shingles").alias("size"), "bitmap")
     spread = live.select(F.explode("bands").alias("bucket"), "doc_id")
     crowded = spread.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.count("*").alias("size")).filter("size > 1")
     buckets = cut(spread.join(crowded.select("bucket", "centre"), "bucket"), narrow=True)
@@ -193,9 +192,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80)
     ids = cut(buckets.select("doc_id").distinct(), narrow=True)
     n_ids = ids.count()
     texts = cut(docs.join(broadcast_if_small(ids, 40, rows=n_ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    sketches = cut(sketches.join(broadcast_if_small(ids, 40, rows=n_ids), "doc_id", "left_semi"), narrow=True)
-    left, right = (sketches.select(F.col("doc_id").alias(x), *(F.col("sketch")[i].alias(f"{x}{i}") for i in range(SKETCH_WORDS))) for x in "ab")
-    similar = _mismatches() <= _screen_limit(threshold_pct)
+    bitmaps = cut(bitmaps.join(broadcast_if_small(ids, 40, rows=n_ids), "doc_id", "left_semi"), narrow=True)
+    left, right = _sides(bitmaps)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         read = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -203,7 +201,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80)
         return read.mapInPandas(functools.partial(_confirm, shingle=shingle, threshold_pct=threshold_pct), "a long, b long")
 
     stars = buckets.filter("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-    stars = stars.join(left, "a").join(right, "b").filter(similar).select("a", "b")
+    stars = stars.join(left, "a").join(right, "b").filter(_may_reach(threshold_pct)).select("a", "b")
     links = cut(confirmed(stars), narrow=True)
     labels = components(links)
 
@@ -211,7 +209,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80)
     split = tagged.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
     open_docs = cut(tagged.join(split, "bucket").select("doc_id", "label").distinct(), narrow=True)
     open_texts = texts.join(broadcast_if_small(open_docs.select("doc_id"), 40), "doc_id", "left_semi")
-    more = cut(confirmed(prefix_pairs(open_texts, open_docs, shingle, threshold_pct)), narrow=True)
+    more = cut(confirmed(prefix_pairs(open_texts, open_docs, bitmaps, shingle, threshold_pct)), narrow=True)
     if not more.isEmpty():
         labels = components(links.union(more))
 

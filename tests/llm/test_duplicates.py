@@ -59,8 +59,9 @@ def test_prefix_pairs_find_links_that_a_star_misses(spark):
         rows.append((i, " ".join(w)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     labels = df.selectExpr("doc_id", "doc_id as label")
-    pairs = {(r["a"], r["b"]) for r in near_dedup.prefix_pairs(df, labels, 3, 85).collect()}
     sets = near_dedup.shingle_sets([t for _, t in rows], 3)
+    bitmaps = spark.createDataFrame([(i, len(x), near_dedup.parity_bitmap(x).tolist()) for i, x in enumerate(sets)], "doc_id long, size long, bitmap array<long>")
+    pairs = {(r["a"], r["b"]) for r in near_dedup.prefix_pairs(df, labels, bitmaps, 3, 85).collect()}
     for a in range(30):
         for b in range(a + 1, 30):
             both = len(np.intersect1d(sets[a], sets[b]))
