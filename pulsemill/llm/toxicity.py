@@ -33,6 +33,8 @@ LEAST_DOCS = 4
 LEAST_CHI2 = 12.0
 K = 15
 BLOCK = 64
+#: Blocks that are read first, for a bound on the others.
+HEAD = 2
 THRESHOLD = 0.3
 #: Votes of no neighbour: strength of the share of toxic examples among those without any term of the vocabulary.
 PRIOR = 0.5
@@ -40,14 +42,13 @@ PRIOR = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def terms_of(text: str | None) -> Counter:
-    """Counts of the words and of their first five and four letters (marked by their length)."""
-    found = Counter(_WORD.findall((text or "").lower()))
-    out = Counter(found)
-    for word, n in found.items():
-        for size in (4, 5):
-            if len(word) > size:
-                out[f"{word[:size]}-"] += n
+def terms_of(text: str | None, among=None) -> dict[str, int]:
+    """Counts of the words and of their first five and four letters (marked by a dash); only those in `among` if it is given."""
+    out: dict[str, int] = {}
+    for word, n in Counter(_WORD.findall((text or "").lower())).items():
+        for term in (word, f"{word[:4]}-" if len(word) > 4 else None, f"{word[:5]}-" if len(word) > 5 else None):
+            if term is not None and (among is None or term in among):
+                out[term] = out.get(term, 0) + n
     return out
 
 
@@ -61,7 +62,7 @@ def _labelled_counts(batches, vocabulary: frozenset):
     for pdf in batches:
         rows = []
         for doc_id, y, text in zip(pdf["doc_id"], pdf["toxic"], pdf["text"]):
-            found = {t: n for t, n in terms_of(text).items() if t in vocabulary}
+            found = terms_of(text, vocabulary)
             rows.append((doc_id, y, list(found), list(found.values())))
         yield pd.DataFrame(rows, columns=["doc_id", "toxic", "terms", "counts"])
 
@@ -86,7 +87,8 @@ class Index:
         place = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
         by = np.lexsort((place, term))
         self.weight, self.place = weight[by], place[by].astype(np.int64)
-        cell = term[by] * max(1, self.blocks) + self.place // BLOCK
+        self.block = self.place // BLOCK
+        cell = term[by] * max(1, self.blocks) + self.block
         self.edges = np.searchsorted(cell, np.arange(len(terms) * max(1, self.blocks) + 1))
         self.maxima = np.zeros(len(terms) * max(1, self.blocks))
         np.maximum.at(self.maxima, cell, self.weight)
@@ -103,26 +105,41 @@ class Index:
         return at, w / np.sqrt((w * w).sum())
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples; equal cosines by place. but: a place to leave out."""
-        bounds = weights @ self.maxima[terms] if self.blocks and len(terms) else np.zeros(0)
+        """Places and cosines of the k nearest examples; equal cosines by place. but: a place to leave out.
+
+        The blocks with the largest bounds give a k-th best cosine first; then all blocks whose bounds reach it are added up
+        in one pass over the terms' postings.
+        """
+        if not self.blocks or not len(terms):
+            return np.zeros(0, np.int64), np.zeros(0)
+        bounds = weights @ self.maxima[terms]
         order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        for lo in range(0, len(order), 4):
-            if len(best) >= k and bounds[order[lo]] < best[k - 1] - 1e-12:
-                break
-            for b in order[lo : lo + 4]:
-                cosines = np.zeros(BLOCK)
-                for t, w in zip(terms, weights):
-                    i, j = self.edges[t * self.blocks + b], self.edges[t * self.blocks + b + 1]
-                    cosines[self.place[i:j] - b * BLOCK] += w * self.weight[i:j]
-                at = np.nonzero(cosines)[0]
-                best_at, best = np.append(best_at, at + b * BLOCK), np.append(best, cosines[at])
-            keep = best_at != but
-            best_at, best = best_at[keep], best[keep]
-            first = np.lexsort((best_at, -best))[:k]
-            best_at, best = best_at[first], best[first]
-        return best_at, best
+        first = order[:HEAD]
+        cosines = np.zeros(self.blocks * BLOCK)
+        for b in first:
+            for t, w in zip(terms, weights):
+                i, j = self.edges[t * self.blocks + b], self.edges[t * self.blocks + b + 1]
+                cosines[self.place[i:j]] += w * self.weight[i:j]
+        if but >= 0:
+            cosines[but] = 0
+        best = np.sort(cosines[(first[:, None] * BLOCK + np.arange(BLOCK)).ravel()])[::-1]
+        least = best[k - 1] if len(best) >= k else 0.0
+        open_blocks = (bounds > 0) & (bounds >= least - 1e-12)
+        open_blocks[first] = False
+        if open_blocks.any():
+            for t, w in zip(terms, weights):
+                i, j = self.edges[t * self.blocks], self.edges[(t + 1) * self.blocks]
+                place = self.place[i:j]
+                mine = open_blocks[self.block[i:j]]
+                cosines[place[mine]] += w * self.weight[i:j][mine]
+            if but >= 0:
+                cosines[but] = 0
+        at = np.nonzero(cosines)[0]
+        if len(at) > k:
+            kth = np.partition(cosines[at], len(at) - k)[len(at) - k]
+            at = at[cosines[at] >= kth]
+        at = at[np.lexsort((at, -cosines[at]))][:k]
+        return at, cosines[at]
 
     def votes(self, at: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic votes; a neighbour's vote falls with its distance, and a constant vote stands for the bare rate."""
@@ -152,7 +169,7 @@ def _score(batches, index, k: int, threshold: float):
     for pdf in batches:
         rows = []
         for text in pdf["text"]:
-            terms, weights = ix.vector(terms_of(text))
+            terms, weights = ix.vector(terms_of(text, ix.number))
             if not len(terms):
                 rows.append((bare, int(bare >= threshold), [], []))
                 continue
