@@ -14,7 +14,9 @@ def shown(df):
     def cell(v):
         if hasattr(v, "__len__") and not isinstance(v, str):
             return str([round(float(x), 6) for x in v])
-        return repr(round(float(v), 9) + 0.0) if isinstance(v, float) else str(v)
+        if isinstance(v, float):
+            return str(int(v)) if v.is_integer() else repr(round(v, 9))
+        return str(v)
 
     return sorted(tuple(cell(v) for v in r) for r in df[sorted(df.columns)].itertuples(index=False))
 
