@@ -4,14 +4,19 @@ Unigram counts are exact. Words counted at least a threshold often (the smallest
 them at most) are broadcast; the others' counts stay distributed, and the documents' rare words are sent to them. So the
 broadcast has a fixed bound, and no frequent word is ever shuffled.
 
-Bigrams of words counted BIGRAM_WORD times or more are counted over the whole corpus. Those found `least` times or more go
-into the filter: a bigram of quantised count q is inserted q times, as (bigram, 1) to (bigram, q), and its count is read
-back by probing with 1, 2, ... until a probe fails. `least` is the smallest count, from 2 on, for which the filter keeps
-BITS_EACH bits for each insertion within MAX_BITS, so the filter's error rate holds at every size of the corpus.
+All bigrams are counted over the whole corpus, and each one found twice or more has its part in the scores. Those of two
+broadcast words found `cutoff` times or more go into the filter: a bigram of quantised count q is inserted q times, as
+(bigram, 1) to (bigram, q), and its count is read back by probing with 1, 2, ... until a probe fails. `cutoff` is the
+smallest count, from 2 on, for which the filter keeps BITS_EACH bits for each insertion within MAX_BITS, so the filter's
+error rate holds at every size of the corpus. The other bigrams, found less often or with a word that is not broadcast, stay
+distributed, and the documents' bigrams that the filter does not know are sent to them. Their counts are quantised as well,
+so where a count is kept does not change a score.
 
     P(w | v) = MIX * ((c(v, w) - D) / c(v) + (1 - M(v) / c(v)) * P(w)) + (1 - MIX) * P(w),    P(w) = (c(w) + 1) / (N + V + 1)
 
-M(v) is the sum of c - D over v's bigrams in the filter. A rare w, or a w after a rare v or at the start, only has P(w).
+M(v) is the sum of c - D over v's bigrams found twice or more; one found once counts as not seen. A w at the start only has
+P(w). With K(v) = MIX * (1 - M(v) / c(v)) + 1 - MIX, a score is a sum over tokens and one over bigrams: log10 P(v) + log10 K(v)
+for each token, and for each known bigram the rest, its bonus.
 """
 
 from __future__ import annotations
@@ -26,13 +31,13 @@ from pyspark.sql import functions as F
 from .common import cut, mix, shuffle_parts, slices, token_hashes
 
 FREQUENT = 1_000_000
-BIGRAM_WORD = 16
 MAX_BITS = 1 << 28
 BITS_EACH = 10
 HASHES = 3
 #: Counts are quantised by powers of this, from 2 on.
 BASE = 1.5
-LEVELS = 40
+#: Levels that a 64-bit count can have.
+LEVELS = 108
 D = 0.75
 MIX = 0.9
 #: Pieces of the filter that are built apart.
@@ -43,6 +48,8 @@ GATHER = 3_000_000
 CHARS = 1_000_000
 
 _END = np.uint64(0x51ED270B2E0DF6A1)
+#: Stands for any second word: the value of (v, _ANY) is log10 K(v).
+_ANY = np.uint64(0xC2B2AE3D27D4EB4F)
 _POWERS = 1 << np.arange(40, dtype=np.int64)
 
 
@@ -55,6 +62,16 @@ def count_of(q: np.ndarray) -> np.ndarray:
     return np.where(q > 0, 2 * BASE ** (q - 0.5), 0.0)
 
 
+def kappa_of(mass: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return MIX * (1 - np.minimum(mass / np.maximum(counts, 1), 1.0)) + 1 - MIX
+
+
+def bonus_of(c: np.ndarray, n_v: np.ndarray, kappa: np.ndarray, log_w: np.ndarray) -> np.ndarray:
+    """log10 P(w | v) - log10 P(w) - log10 K(v) for the count c of a bigram."""
+    plain = 10.0**log_w
+    return np.log10(np.minimum(kappa + MIX * np.maximum(c - D, 0) / np.maximum(n_v, 1) / plain, 1 / plain)) - np.log10(kappa)
+
+
 def bits_of(keys: np.ndarray, level: int, n_bits: int):
     """The HASHES bit positions of (key, level)."""
     h = mix(keys * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level))
@@ -163,9 +180,12 @@ class Frequent:
         return np.where(self.keys[at] == h, at, -1)
 
     def pairs(self, tokens: np.ndarray, index: np.ndarray) -> np.ndarray:
-        """Mask over tokens from the second on: those whose bigram is counted. None starts with the end of a text."""
-        good = (index >= 0) & (self.counts[index] >= BIGRAM_WORD) if len(self.keys) else index >= 0
-        return good[1:] & good[:-1] & (tokens[:-1] != _END)
+        """Mask over tokens from the second on: those whose bigram has two broadcast words. None starts with the end of a text."""
+        return (index[1:] >= 0) & (index[:-1] >= 0) & (tokens[:-1] != _END)
+
+    def others(self, tokens: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """The same for bigrams with another word."""
+        return ((index[1:] < 0) | (index[:-1] < 0)) & (tokens[:-1] != _END)
 
     @staticmethod
     def pair_keys(index: np.ndarray, mask: np.ndarray) -> np.ndarray:
@@ -190,20 +210,65 @@ def _merge_bigrams(pdf: pd.DataFrame) -> pd.DataFrame:
     keys, counts = keys[some], counts[some]
     q = quantised(counts) if len(counts) else counts
     inserts = [int(q[counts >= p].sum()) for p in _POWERS[1:]]
-    return pd.DataFrame({"keys": [keys.tobytes()], "counts": [counts.tobytes()], "inserts": [inserts]})
+    return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "keys": [keys.tobytes()], "counts": [counts.tobytes()], "inserts": [inserts]})
+
+
+def _rare_pairs(batches, frequent):
+    """All bigrams with a word that is not broadcast: hashes, and indices of the broadcast words (-1 for others)."""
+    table = frequent.value
+    for pdf in batches:
+        for some in slices(pdf, CHARS):
+            tokens, _ = _tokens(some["text"])
+            index = table.index(tokens)
+            mask = table.others(tokens, index)
+            yield pd.DataFrame({"v": tokens[:-1][mask].view(np.int64), "w": tokens[1:][mask].view(np.int64), "vi": index[:-1][mask], "wi": index[1:][mask]})
+
 
+def _rare_words(batches, least: int):
+    for pdf in batches:
+        for k, c in zip(pdf["keys"], pdf["counts"]):
+            keys, counts = np.frombuffer(k, np.int64), np.frombuffer(c, np.int64)
+            yield pd.DataFrame({"h": keys[counts < least], "n": counts[counts < least]})
+
+
+def _rare_bonus(batches, model):
+    m = model.value
+    for pdf in batches:
+        v, w, own = pdf["vi"].to_numpy(), pdf["wi"].to_numpy(), len(m.logs) > 0
+        pick = lambda at, held, other: np.where(at >= 0, held[np.maximum(at, 0)], other) if own else np.asarray(other)
+        n_v = pick(v, m.frequent.counts, pdf["n_v"])
+        kappa = pick(v, m.kappa, kappa_of(pdf["m_v"].to_numpy(float), pdf["n_v"].to_numpy()))
+        log_w = pick(w, m.logs, np.log10(pdf["n_w"].to_numpy() + 1.0) - m.norm)
+        yield pd.DataFrame({"v": pdf["v"], "w": pdf["w"], "value": bonus_of(count_of(quantised(pdf["c"].to_numpy())), n_v, kappa, log_w)})
 
-def _bits(batches, least: int, n_bits: int):
-    """Positions to set by segment, and the sums of c - D by first word under segment -1."""
+
+def _rare_asked(batches, model):
+    """The bigrams with a rare word of many documents; a rare first word also asks for its K(v)."""
+    table = model.value.frequent
+    for pdf in batches:
+        row = np.repeat(pdf["row"].to_numpy(np.int64), [len(b) // 16 for b in pdf["pairs"]])
+        both = np.frombuffer(b"".join(pdf["pairs"]), np.uint64).reshape(-1, 2)
+        alone = table.index(both[:, 0]) < 0
+        v, w = np.concatenate([both[:, 0], both[alone, 0]]), np.concatenate([both[:, 1], np.full(alone.sum(), _ANY)])
+        yield pd.DataFrame({"row": np.concatenate([row, row[alone]]), "v": v.view(np.int64), "w": w.view(np.int64)})
+
+
+def _bits(batches, least: int, n_bits: int, n_words: int):
+    """Positions to set by segment, and the sums of c - D by first word under segments below 0, of all bigrams."""
     for pdf in batches:
         for k, c in zip(pdf["keys"], pdf["counts"]):
             keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
+            if not len(keys):
+                continue
+            first, inverse = np.unique(keys >> np.uint64(32), return_inverse=True)
+            sums, width = np.bincount(inverse, weights=counts - D), -(-n_words // SEGMENTS)
+            edges = np.searchsorted(first, np.arange(SEGMENTS + 1) * width)
+            rows = [(-1 - s, (first[a:b] - np.uint64(s * width)).astype(np.uint32).tobytes(), sums[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
             some = counts >= least
             keys, counts = keys[some], counts[some]
             if not len(keys):
+                yield pd.DataFrame(rows, columns=["segment", "at", "mass"])
                 continue
-            first, inverse = np.unique(keys >> np.uint64(32), return_inverse=True)
-            rows = [(-1, first.astype(np.uint32).tobytes(), np.bincount(inverse, weights=counts - D).tobytes())]
             q = quantised(counts)
             positions = [p for level in range(1, int(q.max()) + 1) for p in bits_of(keys[q >= level], level, n_bits)]
             positions = np.unique(np.concatenate(positions)).astype(np.uint32)
@@ -216,10 +281,10 @@ def _bits(batches, least: int, n_bits: int):
 def _set_bits(key, pdf: pd.DataFrame, size: int, n_words: int) -> pd.DataFrame:
     at = [np.frombuffer(b, np.uint32) for b in pdf["at"]]
     if key[0] < 0:
-        mass = np.zeros(n_words)
+        mass = np.zeros(-(-n_words // SEGMENTS))
         for i, m in zip(at, pdf["mass"]):
             mass[i] += np.frombuffer(m, np.float64)
-        return pd.DataFrame({"segment": [-1], "data": [mass.astype(np.float32).tobytes()]})
+        return pd.DataFrame({"segment": [int(key[0])], "data": [mass.tobytes()]})
     bits = np.zeros(size, np.uint8)
     for i in at:
         bits[i] = 1
@@ -229,56 +294,62 @@ def _set_bits(key, pdf: pd.DataFrame, size: int, n_words: int) -> pd.DataFrame:
 class Model:
     """What the scoring tasks get: the frequent words, the filter and M(v), all of bounded size."""
 
-    def __init__(self, frequent: Frequent, filter_bytes: np.ndarray, mass: np.ndarray, tokens: int, vocabulary: int):
-        self.frequent, self.filter, self.mass, self.tokens = frequent, filter_bytes, mass, tokens
+    def __init__(self, frequent: Frequent, filter_bytes: np.ndarray, mass: np.ndarray, tokens: int, vocabulary: int, rest: bool, others: bool):
+        self.frequent, self.filter, self.rest, self.others = frequent, filter_bytes, rest, others
         self.norm = float(np.log10(tokens + vocabulary + 1))
+        self.logs = np.log10(frequent.counts + 1.0) - self.norm
+        self.kappa = kappa_of(mass, frequent.counts)
+
+    def bonus(self, keys: np.ndarray, q: np.ndarray) -> np.ndarray:
+        v, w = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        return bonus_of(count_of(q), self.frequent.counts[v], self.kappa[v], self.logs[w])
 
 
-_LOCAL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare binary"
+_LOCAL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare binary, rest binary, pairs binary"
 
 
 def _score(batches, model):
     m = model.value
     table = m.frequent
     some = len(table.keys) > 0
-    logs = np.log10(table.counts + 1.0) - m.norm
-    kappa = MIX * (1 - np.minimum(m.mass / np.maximum(table.counts, 1), 1.0)) + 1 - MIX
+    log_kappa = np.log10(m.kappa)
     for pdf in batches:
         for part in slices(pdf, CHARS):
             tokens, sizes = _tokens(part["text"])
             first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            by_text = lambda mask, values: [x.tobytes() for x in np.split(values, np.cumsum(np.add.reduceat(mask, first, dtype=np.int64))[:-1])]  # noqa: B023, E731
             index = table.index(tokens)
             known = index >= 0
-            base, factor = np.zeros(len(tokens)), np.zeros(len(tokens))
+            base, factor, rest, pairs = np.zeros(len(tokens)), np.zeros(len(tokens)), b"", b""
             if some:
-                base[known] = logs[index[known]]
-                # log10 P(w | v) - log10 P(w) after a frequent v; a rare w has no bigram, so its part doesn't depend on its count
-                after = np.nonzero(known[:-1] & (tokens[:-1] != _END))[0]
-                ratio = kappa[index[after]]
-                mask = table.pairs(tokens, index)
-                c = count_of(probe(m.filter, table.pair_keys(index, mask)))
-                seen = np.zeros(len(tokens))
-                seen[:-1][mask] = np.maximum(c - D, 0) / table.counts[index[:-1][mask]]
-                plain = np.where(known[after + 1], 10.0 ** base[after + 1], 1.0)
-                factor[after + 1] = np.log10(np.minimum(ratio + MIX * seen[after] / plain, 1 / plain))
+                base[known], factor[known] = m.logs[index[known]], log_kappa[index[known]]
+                at = np.nonzero(table.pairs(tokens, index))[0]
+                keys = (index[at].astype(np.uint64) << np.uint64(32)) | index[at + 1].astype(np.uint64)
+                q = probe(m.filter, keys)
+                hit = q > 0
+                factor[at[hit]] += m.bonus(keys[hit], q[hit])
+                if m.rest:
+                    asked = np.zeros(len(tokens), bool)
+                    asked[at[~hit]] = True
+                    rest = by_text(asked, keys[~hit])
+            if m.others:
+                mask = np.append(table.others(tokens, index), False)
+                pairs = by_text(mask, np.stack([tokens[mask], tokens[1:][mask[:-1]]], axis=1))
             sums = np.add.reduceat(base, first)
-            rare = np.split(tokens[~known], np.cumsum(np.add.reduceat(~known, first, dtype=np.int64))[:-1])
             done = part[["row", "doc_id", "held_out"]].astype({"doc_id": "Int64"}).reset_index(drop=True)
-            yield done.assign(n_tokens=sizes, n_known=np.add.reduceat(known, first, dtype=np.int64), base=sums, score=sums + np.add.reduceat(factor, first), rare=[r.tobytes() for r in rare])
+            yield done.assign(n_tokens=sizes, n_known=np.add.reduceat(known, first, dtype=np.int64), base=sums, score=sums + np.add.reduceat(factor, first), rare=by_text(~known, tokens[~known]), rest=rest, pairs=pairs)
 
 
-def _ask(batches, parts: int):
-    """The rare words of many documents, by the part that has their counts."""
+def _ask(batches, parts: int, name: str):
+    """The rare words or bigrams of many documents, by the part that has their counts."""
     for pdf in batches:
-        keys = [np.frombuffer(b, np.uint64) for b in pdf["rare"]]
+        keys = [np.frombuffer(b, np.uint64) for b in pdf[name]]
         row = np.repeat(pdf["row"].to_numpy(np.int64), [len(k) for k in keys])
         yield _send(np.concatenate(keys), row, parts) if len(row) else pd.DataFrame({"part": [], "keys": [], "counts": []})
 
 
-def _answer(asked: pd.DataFrame, held: pd.DataFrame, parts: int, norm: float) -> pd.DataFrame:
-    """Sums of the asked words' log10 P(w) and numbers of known ones by document, sent on by the documents' part."""
-    if not len(asked):
-        return pd.DataFrame({"part": [], "keys": [], "counts": []})
+def _looked_up(asked: pd.DataFrame, held: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Asked keys with the documents' rows and the counts held, 0 for others."""
     key = np.concatenate([np.frombuffer(b, np.uint64) for b in asked["keys"]])
     row = np.concatenate([np.frombuffer(b, np.int64) for b in asked["counts"]])
     c = np.zeros(len(key), np.int64)
@@ -287,9 +358,30 @@ def _answer(asked: pd.DataFrame, held: pd.DataFrame, parts: int, norm: float) ->
         if len(keys):
             at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             c = np.where(keys[at] == key, counts[at], c)
+    return key, row, c
+
+
+def _answer(asked: pd.DataFrame, held: pd.DataFrame, parts: int, norm: float) -> pd.DataFrame:
+    """Sums of the asked words' log10 P(w) and numbers of known ones by document, sent on by the documents' part."""
+    if not len(asked):
+        return pd.DataFrame({"part": [], "keys": [], "counts": []})
+    _, row, c = _looked_up(asked, held)
+    return _by_row(row, np.log10(c + 1.0) - norm, c > 0, parts)
+
+
+def _answer_rest(asked: pd.DataFrame, held: pd.DataFrame, parts: int, model) -> pd.DataFrame:
+    """The same with the bonuses of the asked bigrams."""
+    if not len(asked):
+        return pd.DataFrame({"part": [], "keys": [], "counts": []})
+    key, row, c = _looked_up(asked, held)
+    seen = c > 0
+    return _by_row(row[seen], model.value.bonus(key[seen], quantised(c[seen])), seen[seen], parts)
+
+
+def _by_row(row: np.ndarray, values: np.ndarray, known: np.ndarray, parts: int) -> pd.DataFrame:
     rows, inverse = np.unique(row, return_inverse=True)
-    sums = np.bincount(inverse, weights=np.log10(c + 1.0) - norm)
-    known = np.bincount(inverse, weights=c > 0).astype(np.int64)
+    sums = np.bincount(inverse, weights=values)
+    known = np.bincount(inverse, weights=known).astype(np.int64)
     part = rows % parts
     out = [(int(p), rows[part == p].tobytes(), np.stack([sums[part == p], known[part == p]]).tobytes()) for p in np.unique(part)]
     return pd.DataFrame(out, columns=["part", "keys", "counts"])
@@ -302,6 +394,24 @@ def _total(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"row": rows, "rare_sum": np.bincount(inverse, weights=both[0]), "rare_known": np.bincount(inverse, weights=both[1]).astype(np.int64)})
 
 
+def _rare_sums(local: DataFrame, counted: DataFrame, found: DataFrame, masses: DataFrame, model, least: int) -> DataFrame:
+    """row, value: the bonuses of a document's bigrams with a rare word, and log10 K(v) of its rare words."""
+    words = counted.mapInPandas(functools.partial(_rare_words, least=least), "h long, n long")
+    firsts = cut(words.withColumnRenamed("h", "v").join(masses.filter("vi < 0").select("v", "m"), "v"))
+
+    # A broadcast word is not looked up, so none is a hot key.
+    def looked_up(df: DataFrame, index: str, held: DataFrame, word: str, new: dict) -> DataFrame:
+        return df.filter(F.col(index) < 0).join(held, word).unionByName(df.filter(F.col(index) >= 0).withColumns(new))
+
+    both = looked_up(found, "vi", firsts.select("v", F.col("n").alias("n_v"), F.col("m").alias("m_v")), "v", {"n_v": F.lit(0).cast("long"), "m_v": F.lit(0.0)})
+    both = looked_up(both, "wi", words.select(F.col("h").alias("w"), F.col("n").alias("n_w")), "w", {"n_w": F.lit(0).cast("long")})
+    values = both.mapInPandas(functools.partial(_rare_bonus, model=model), "v long, w long, value double")
+    log_kappa = F.log10(F.lit(MIX) * (1 - F.least(F.col("m") / F.col("n"), F.lit(1.0))) + (1 - MIX))
+    values = values.unionByName(firsts.select("v", F.lit(int(_ANY.view(np.int64))).alias("w"), log_kappa.alias("value")))
+    asked = local.select("row", "pairs").mapInPandas(functools.partial(_rare_asked, model=model), "row long, v long, w long")
+    return asked.join(values, ["v", "w"]).groupBy("row").agg(F.sum("value").alias("value"))
+
+
 def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every row of docs(doc_id, text, ...).
 
@@ -328,28 +438,46 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     frequent = sc.broadcast(table)
 
     pairs = train.mapInPandas(functools.partial(_bigrams, frequent=frequent, parts=parts), _BLOCK)
-    pairs = cut(pairs.groupBy("part").applyInPandas(_merge_bigrams, "keys binary, counts binary, inserts array<long>"))
+    pairs = cut(pairs.groupBy("part").applyInPandas(_merge_bigrams, f"{_BLOCK}, inserts array<long>"))
     needs = [x or 0 for x in pairs.agg(*(F.sum(F.col("inserts")[i]) for i in range(len(_POWERS) - 1))).first()]
     cutoff, need = next((int(p), n) for p, n in zip(_POWERS[1:], needs) if n * BITS_EACH <= MAX_BITS)
     n_bits = max(1 << 16, 1 << int(max(1, need * BITS_EACH) - 1).bit_length())
-    placed = pairs.mapInPandas(functools.partial(_bits, least=cutoff, n_bits=n_bits), "segment int, at binary, mass binary")
     size, n_words = n_bits // SEGMENTS, len(table.keys)
-    built = placed.groupBy("segment").applyInPandas(lambda key, pdf: _set_bits(key, pdf, size, n_words), "segment int, data binary").collect()  # MAX_BITS at most
+    placed = pairs.mapInPandas(functools.partial(_bits, least=cutoff, n_bits=n_bits, n_words=n_words), "segment int, at binary, mass binary")
+    built = placed.groupBy("segment").applyInPandas(lambda key, pdf: _set_bits(key, pdf, size, n_words), "segment int, data binary").collect()  # MAX_BITS and a number for each of FREQUENT words at most
     data = np.zeros((SEGMENTS, size // 8), np.uint8)
-    mass = np.zeros(n_words, np.float32)
+    mass = np.zeros((SEGMENTS, -(-n_words // SEGMENTS)))
     for r in built:
         if r["segment"] < 0:
-            mass = np.frombuffer(bytes(r["data"]), np.float32)
+            mass[-1 - r["segment"]] = np.frombuffer(bytes(r["data"]), np.float64)
         else:
             data[r["segment"]] = np.frombuffer(bytes(r["data"]), np.uint8)
+    mass = mass.reshape(-1)[:n_words]
     vocabulary = above[0]
-    model = sc.broadcast(Model(table, data.reshape(-1), mass, tokens, vocabulary))
+    others = least > 1  # some words are not broadcast
+    if others:
+        found = cut(train.mapInPandas(functools.partial(_rare_pairs, frequent=frequent), "v long, w long, vi int, wi int").groupBy("v", "w", "vi", "wi").agg(F.count("*").alias("c")).filter("c >= 2"))
+        masses = cut(found.groupBy("v", "vi").agg(F.sum(F.col("c") - F.lit(D)).alias("m")))
+        more = masses.filter("vi >= 0").select("vi", "m").toPandas()  # FREQUENT rows at most
+        mass[more["vi"].to_numpy(np.int64)] += more["m"].to_numpy(np.float64)
+    model = sc.broadcast(Model(table, data.reshape(-1), mass, tokens, vocabulary, cutoff > 2, others))
 
     local = cut(texts.withColumn("row", F.monotonically_increasing_id()).mapInPandas(functools.partial(_score, model=model), _LOCAL))
-    asked = local.select("row", "rare").mapInPandas(functools.partial(_ask, parts=parts), _BLOCK)
+    added = []
+    if cutoff > 2:
+        asked = local.select("row", "rest").mapInPandas(functools.partial(_ask, parts=parts, name="rest"), _BLOCK)
+        answers = asked.groupBy("part").cogroup(pairs.select("part", "keys", "counts").groupBy("part")).applyInPandas(lambda a, b: _answer_rest(a, b, parts, model), _BLOCK)
+        added.append(answers.groupBy("part").applyInPandas(_total, "row long, rare_sum double, rare_known long").select("row", F.col("rare_sum").alias("value")))
+    if others:
+        added.append(_rare_sums(local, counted, found, masses, model, least))
+    asked = local.select("row", "rare").mapInPandas(functools.partial(_ask, parts=parts, name="rare"), _BLOCK)
     norm = float(np.log10(tokens + vocabulary + 1))
     answers = asked.groupBy("part").cogroup(counted.select("part", "keys", "counts").groupBy("part")).applyInPandas(lambda a, b: _answer(a, b, parts, norm), _BLOCK)
     rare = answers.groupBy("part").applyInPandas(_total, "row long, rare_sum double, rare_known long")
-    out = local.drop("rare").join(rare, "row", "left")
+    out = local.drop("rare", "rest", "pairs").join(rare, "row", "left")
+    score = F.col("score")
+    for k, values in enumerate(added):
+        out = out.join(values.withColumnRenamed("value", f"value_{k}"), "row", "left")
+        score = score + F.coalesce(f"value_{k}", F.lit(0.0))
     rare_sum = F.coalesce("rare_sum", F.lit(0.0))
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + rare_sum).alias("base_score"), (F.col("score") + rare_sum).alias("score"))
+    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + rare_sum).alias("base_score"), (score + rare_sum).alias("score"))

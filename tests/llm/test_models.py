@@ -88,6 +88,31 @@ def test_model_is_better_than_its_base_on_structured_text(spark):
     assert len(held) > 20 and (held["score"] > held["base_score"] + 50).mean() > 0.95
 
 
+@pytest.mark.parametrize("frequent, max_bits", [(1_000_000, 1 << 28), (1_000_000, 0), (1_000_000, 2000), (30, 1 << 28), (30, 0), (0, 0)])
+def test_every_bigram_found_twice_counts(docs, corpus, monkeypatch, frequent, max_bits):
+    monkeypatch.setattr(lm_scoring, "FREQUENT", frequent)
+    monkeypatch.setattr(lm_scoring, "MAX_BITS", max_bits)
+    c, tokens = brute_unigrams(corpus)
+    n, v = sum(c.values()), len(c)
+    pairs = collections.Counter(p for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2 for p in itertools.pairwise(w))
+    mass = collections.Counter()
+    for (a, _), k in pairs.items():
+        mass[a] += (k - lm_scoring.D) * (k > 1)
+    mix, p = lm_scoring.MIX, lambda w: (c[w] + 1) / (n + v + 1)
+
+    def after(a, b):
+        k = pairs[a, b]
+        seen = max(float(lm_scoring.count_of(lm_scoring.quantised(np.array([k])))[0]) - lm_scoring.D, 0) if k > 1 else 0
+        kappa = mix * (1 - min(mass[a] / max(c[a], 1), 1)) + 1 - mix
+        return min(mix * seen / max(c[a], 1) + kappa * p(b), 1)
+
+    out = {r["doc_id"]: r["score"] for r in lm_scoring.score_texts(docs).collect()}
+    want = {i: math.log10(p(w[0])) + sum(math.log10(after(a, b)) for a, b in itertools.pairwise(w)) for i, w in tokens.items()}
+    equal = np.array([math.isclose(out[i], want[i], rel_tol=1e-9) for i in want])
+    assert equal.mean() > 0.8 if max_bits else equal.all()  # the filter may take some bigrams for others
+    assert np.allclose([out[i] for i in want], list(want.values()), rtol=0.05)
+
+
 def test_filter_reads_counts_back():
     keys = np.arange(1, 2001, dtype=np.uint64) * np.uint64(977)
     counts = np.random.default_rng(0).integers(2, 5000, 2000)
