@@ -1,13 +1,13 @@
 r"""Personal data by patterns and information-theoretic sanitisation, in DataFrame functions only.
 
 Base spans come from regular expressions inside each row. Every distinct identifier found in enough documents is then a
-protected entity c, and the words t near its mentions are weighed by what they reveal of it over the whole corpus, with
-p() the share of documents:
+protected entity c, and all words t of the documents that mention it are weighed by what they reveal of it over the whole
+corpus, with p() the share of documents:
 
     PMI(c; t) = log2 p(c, t) / (p(c) p(t)),    IC(c) = -log2 p(c)
 
-A word whose PMI reaches DISCLOSURE * IC(c) nearly names the entity; its occurrences near that entity's mentions are
-added as spans of kind "term". sanitise() replaces all spans: identifiers by their kind, terms by a general mark.
+A word whose PMI reaches DISCLOSURE * IC(c) nearly names the entity; its occurrences in every text are added as spans of kind
+"term". sanitise() replaces all spans: identifiers by their kind, terms by a general mark.
 
 Patterns are written so that Java's matcher neither recurses nor reads a run of characters twice: possessive loops, and
 look-behinds that let a match start only where a run starts (or, for e-mail, where the last match ended).
@@ -32,13 +32,11 @@ PATTERNS = {
 MARKS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 TERM = "term"
 
-#: Characters on each side of a mention whose words are weighed.
-NEAR = 96
 #: Documents in which an entity, and an entity with a word, must be found before they are weighed.
 SUPPORT = 3
 DISCLOSURE = 0.9
-#: A word that may reveal an entity: letters only, this long at least.
-TERM_PATTERN = r"\p{L}{4,}"
+#: A word that may reveal an entity.
+TERM_PATTERN = r"[\p{L}\p{M}\p{N}]+"
 
 SPAN = "struct<start: int, kind: int, stop: int, value: string>"
 
@@ -109,66 +107,76 @@ def entity_of(kind: Column, value: Column) -> Column:
     return F.concat(kind.cast("string"), F.lit(":"), F.when(kind >= KINDS.index("card"), _digits(value)).otherwise(F.lower(value)))
 
 
-def _mentions(found: DataFrame) -> DataFrame:
-    """doc_id, entity, term, start, stop: each word within NEAR characters of a mention; words cut by the window's edge are left out."""
-    near = found.select("doc_id", "text", F.explode("base").alias("s")).select(
-        "doc_id",
-        entity_of(F.col("s.kind"), F.col("s.value")).alias("entity"),
-        F.greatest(F.col("s.start") - NEAR, F.lit(0)).alias("lo"),
-        F.col("s.start").alias("start"),
-        F.col("s.stop").alias("stop"),
-        "text",
-    )
-    sides = F.array(
-        F.struct(F.col("lo").alias("at"), F.substr("text", F.col("lo") + 1, F.col("start") - F.col("lo")).alias("part"), (F.col("lo") > 0).alias("cut_first"), F.lit(False).alias("cut_last")),
-        F.struct(F.col("stop").alias("at"), F.substr("text", F.col("stop") + 1, F.lit(NEAR)).alias("part"), F.lit(False).alias("cut_first"), (F.char_length("text") > F.col("stop") + NEAR).alias("cut_last")),
-    )
-    parts = near.select("doc_id", "entity", F.explode(sides).alias("w"))
-    terms = located(F.col("w.part"), TERM_PATTERN)
-    whole = F.filter(terms, lambda t: ~(F.col("w.cut_first") & (t["start"] == 0)) & ~(F.col("w.cut_last") & (t["stop"] == F.char_length(F.col("w.part")))))
-    out = parts.select("doc_id", "entity", F.col("w.at").alias("at"), F.explode(whole).alias("t"))
-    return out.select("doc_id", "entity", F.lower("t.value").alias("term"), (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.stop")).alias("stop"))
-
-
-def disclosing_terms(found: DataFrame, texts: DataFrame, support: int, disclosure: float) -> DataFrame:
-    """doc_id, start, stop of the words that reveal an entity mentioned near them. found: documents with spans; texts: all documents."""
-    mentions = cut(_mentions(found))
+def _words() -> Column:
+    """The distinct words of the column text in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM_PATTERN), F.lit(0)), F.lower))
+
+
+def _places(text: Column, terms: Column) -> Column:
+    """Array of SPAN: the occurrences of some words. As located(), but only what is kept is added to the array."""
+    found = F.struct(F.regexp_extract_all(text, F.lit(TERM_PATTERN), F.lit(0)).alias("m"), F.split(text, TERM_PATTERN, -1).alias("g"))
+
+    def walk(x: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+
+        def step(acc: Column, i: Column) -> Column:
+            value = F.get(x["m"], i)
+            start = acc["at"] + F.char_length(F.get(x["g"], i))
+            stop = start + F.char_length(value)
+            span = F.struct(start.alias("start"), F.lit(len(KINDS)).alias("kind"), stop.alias("stop"), F.lit("").alias("value"))
+            return F.struct(stop.alias("at"), F.when(F.array_contains(terms, F.lower(value)), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+
+        return F.when(F.size(x["m"]) == 0, zero["out"]).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(x["m"]) - 1), zero, step, lambda a: a["out"]))
+
+    return let(found, walk)
+
+
+def disclosing_terms(rows: DataFrame, support: int, disclosure: float) -> DataFrame:
+    """row, term: the words of each text that reveal an entity mentioned in any text. rows: row, text, base, ... of all documents."""
+    mentions = F.array_distinct(F.transform("base", lambda s: entity_of(s["kind"], s["value"])))
+    held = rows.filter(F.size("base") > 0)
+    mentioned = held.select("row", F.explode(mentions).alias("entity"))
     # Documents of each entity. Counted before the join, so a frequent entity is one row.
-    entities = mentions.select("entity", "doc_id").distinct().groupBy("entity").agg(F.count("*").alias("n_c")).filter(F.col("n_c") >= support)
-    pairs = mentions.select("entity", "term", "doc_id").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_ct")).filter(F.col("n_ct") >= support)
-    total = texts.count()
+    entities = cut(mentioned.groupBy("entity").agg(F.count("*").alias("n_c")).filter(F.col("n_c") >= support), narrow=True)
+    entities = broadcast_if_small(entities, 120)
+    # Both sides of a pair are in one row, so no join has an entity's or a word's documents for its key.
+    known = mentioned.join(entities.select("entity"), "entity", "left_semi").groupBy("row").agg(F.collect_list("entity").alias("entities"))
+    words = cut(held.select("row", _words().alias("words")).join(known, "row"))
+    pairs = words.select(F.explode("entities").alias("entity"), "words").select("entity", F.explode("words").alias("term"))
+    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).filter(F.col("n_ct") >= support)
+    total = rows.count()
     n = F.lit(float(total))
-    # PMI >= disclosure * IC holds if n_t <= n_ct * (n / n_c) ** (1 - disclosure). A word near more mentions than that, of
-    # whatever entities, is out before it is counted over the corpus: so the frequent words never are.
-    near = mentions.select("term", "doc_id").distinct().groupBy("term").agg(F.count("*").alias("m_t"))
+    # PMI >= disclosure * IC holds if n_t <= n_ct * (n / n_c) ** (1 - disclosure). A word in more texts with entities than that
+    # is out before it is counted over the corpus: so the frequent words never are.
+    among = words.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("m_t")).filter(F.col("m_t") >= support)
     most = F.col("n_ct") * F.pow(n / F.col("n_c"), F.lit(1 - disclosure)) * 1.0001
-    pairs = cut(pairs.join(entities, "entity").join(near, "term").filter(F.col("m_t") <= most).drop("m_t"), narrow=True)
+    pairs = cut(pairs.join(entities, "entity").join(among, "term").filter(F.col("m_t") <= most).drop("m_t"), narrow=True)
     asked = broadcast_if_small(cut(pairs.select("term").distinct(), narrow=True), 60)
-    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM_PATTERN), F.lit(0)))).alias("term"))
-    spread = cut(words.join(asked, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t")), narrow=True)
+    places = cut(rows.select("row", F.explode(_words()).alias("term")).join(asked, "term", "left_semi").select("row", "term"))
+    spread = places.groupBy("term").agg(F.count("*").alias("n_t"))
     pmi = F.log2(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t")))
     content = -F.log2(F.col("n_c") / n)
-    telling = pairs.join(spread, "term").filter((content > 0) & (pmi >= disclosure * content)).select("entity", "term")
-    return mentions.join(broadcast_if_small(cut(telling, narrow=True), 120), ["entity", "term"], "left_semi").select("doc_id", "start", "stop").distinct()
+    telling = cut(pairs.join(spread, "term").filter((content > 0) & (pmi >= disclosure * content)).select("term").distinct(), narrow=True)
+    return places.join(broadcast_if_small(telling, 60), "term", "left_semi").select("row", "term")
 
 
 def personal_data(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """doc_id, base (array of spans) and spans (the same with the disclosing terms) for every row of docs(doc_id, text, ...).
 
-    A null text counts as empty. Rows that share a doc_id are searched one by one for identifiers, and share the terms
-    found under that id. A null doc_id gets base spans only. Terms inside identifiers are left out. An empty table gives no
-    rows; other columns are ignored.
+    A null text counts as empty. Each row is a document of its own, also if its doc_id is null or repeated. Terms inside
+    identifiers are left out. Entities found in fewer than support documents are not weighed: what reveals only them stays.
+    An empty table gives no rows; other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    spotted = texts.withColumn("base", base_spans(F.col("text")))
-    base = cut(spotted.select("doc_id", "base"))
-    held = cut(spotted.filter((F.size("base") > 0) & F.col("doc_id").isNotNull()))
-    terms = disclosing_terms(held, texts, support, disclosure)
-    term_span = F.struct(F.col("start"), F.lit(len(KINDS)).alias("kind"), F.col("stop"), F.lit("").alias("value"))
-    terms = terms.groupBy("doc_id").agg(F.collect_list(term_span).alias("terms"))  # at most the words near one document's mentions
-    joined = base.join(terms, "doc_id", "left")
-    apart = F.filter(F.coalesce("terms", F.array().cast(f"array<{SPAN}>")), lambda t: ~F.exists("base", lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"])))
-    return joined.select("doc_id", "base", F.array_sort(F.concat("base", apart)).alias("spans"))
+    rows = cut(texts.withColumn("row", F.monotonically_increasing_id()).withColumn("base", base_spans(F.col("text"))))
+    terms = cut(disclosing_terms(rows, support, disclosure))
+    marked = broadcast_if_small(terms.groupBy("row").agg(F.collect_list("term").alias("terms")), 60, rows=terms.count())
+    spans = rows.join(marked, "row").select("row", "base", _places(F.col("text"), F.col("terms")).alias("spans"))
+    apart = F.filter("spans", lambda t: ~F.exists("base", lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"])))
+    spans = cut(spans.select("row", apart.alias("spans")))
+    none = F.array().cast(f"array<{SPAN}>")
+    joined = rows.select("row", "doc_id", "base").join(spans, "row", "left")
+    return joined.select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce("spans", none))).alias("spans"))
 
 
 def _joined(spans: Column) -> Column:

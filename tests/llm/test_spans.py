@@ -61,6 +61,19 @@ def test_a_word_that_names_an_entity_is_added_and_generalised(spark):
     assert "Zebulon" not in clean[0] and "joe@" not in clean[0] and "[EMAIL]" in clean[0] and "common" in clean[0] and clean[100] == rows[4][1]
 
 
+def test_a_telling_word_is_marked_in_every_text(spark):
+    far = " ".join(["common words here"] * 30)
+    rows = [(i, f"Zebulon met Qo and R2x {far} wrote to joe@firm.example in town {i}") for i in range(40)]
+    rows += [(100, f"a note on zebulon alone {far}"), (None, f"Zebulon again {far}")]
+    rows += [(200 + i, f"and met in town to note a wrote {far} {i}") for i in range(400)]
+    out = personal_data.personal_digests(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    got = {r["doc_id"]: r["spans"] for r in out}
+    for i, text in rows:
+        terms = [text[int(a) : int(b)].lower() for k, a, b in (s.split(":") for s in got[i].split(",") if s) if k == "term"]
+        want = ["zebulon", "qo", "r2x"] if i in range(40) else ["zebulon"] if i in (None, 100) else []
+        assert terms == want, (i, terms)
+
+
 def test_trigram_queries():
     q = {r.kind: secret_scan.trigram_query(r.pattern) for r in secret_scan.RULES}
     assert q["access"] == [frozenset({"aki", "kia"})] and q["hex"] is None
