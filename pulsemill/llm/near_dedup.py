@@ -8,22 +8,26 @@ form stars: every member against one centre. Candidates are confirmed on the ful
 A star can miss a link between two members that are both unlike its centre. So documents in a bucket whose members still
 lie in more than one component are joined exactly, by prefix filtering: with shingles ordered from rare to frequent, two
 sets of n and m shingles can only reach the threshold t if they share one among the first n - ceil(t n) + 1 and
-m - ceil(t m) + 1. Near copies that differ by edits of their own have rare shingles first and meet nothing; documents
-that already share a component are never paired. This finds the rest of the links without pairing a bucket's members.
+m - ceil(t m) + 1. Near copies that differ by edits of their own have rare shingles first and meet nothing; shingles found
+in one component only are left out. This finds the rest of the links without pairing a bucket's members.
+
+Texts are compared by two independent 64-bit hashes of their words, whose collisions would have to meet in both.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import broadcast_if_small, cut, gram_hashes, mix, token_hashes
+from .common import arrow_slices, broadcast_if_small, cut, gram_hashes, mix, shuffle_parts, skew_join, slices, token_hashes
 
 BINS = 256
 #: 64-bit words of the parity bitmap that screens pairs before their texts are read.
@@ -35,9 +39,9 @@ def bands_for(threshold_pct: int) -> tuple[int, int]:
     return (32, 8) if threshold_pct >= 85 else (42, 6)
 
 
-def shingle_sets(texts, n: int) -> list[np.ndarray]:
+def shingle_sets(texts, n: int, seed: int = 0) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's n-word shingles; a shorter text is one shingle, a text without words none."""
-    return [np.unique(gram_hashes(h, min(n, len(h)))) if len(h) else h for h in token_hashes(texts, lower=True)]
+    return [np.unique(gram_hashes(h, min(n, len(h)))) if len(h) else h for h in token_hashes(texts, lower=True, seed=seed)]
 
 
 @functools.cache
@@ -85,21 +89,26 @@ def parity_bitmap(hashes: np.ndarray) -> np.ndarray:
     return np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
 
 
+def _digest(hashes: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def _sign(batches, shingle: int, bands: int, rows: int):
-    for pdf in batches:
-        out = []
-        for s in shingle_sets(pdf["text"], shingle):
-            if not len(s):
-                out.append((0, None, None, None, None))
-                continue
-            a, b = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
-            sketch = one_permutation(s)
-            out.append((len(s), a, b, band_keys(sketch, bands, rows), parity_bitmap(s)))
-        done = pd.DataFrame(out, columns=["n_shingles", "set_a", "set_b", "bands", "bitmap"])
-        done.insert(0, "doc_id", pdf["doc_id"].to_numpy())
-        for c in ("set_a", "set_b", "doc_id"):
-            done[c] = done[c].astype("Int64")
-        yield done
+    """Set size, two digests of the set from independent hashes, band keys and bitmap of each text."""
+    for part in arrow_slices(batches):
+        text = part.column("text")
+        sets, others = shingle_sets(text, shingle), shingle_sets(text, shingle, seed=1)
+        yield pa.RecordBatch.from_arrays(
+            [
+                part.column("doc_id"),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()),
+                pa.array([_digest(s) if len(s) else None for s in others], pa.int64()),
+                pa.array([band_keys(one_permutation(s), bands, rows) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                pa.array([parity_bitmap(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+            ],
+            ["doc_id", "n_shingles", "set_a", "set_b", "bands", "bitmap"],
+        )
 
 
 def _sides(bitmaps: DataFrame):
@@ -115,40 +124,60 @@ def _may_reach(threshold_pct: int):
     return (100 + threshold_pct) * differing <= (100 - threshold_pct) * (F.col("size_a") + F.col("size_b"))
 
 
+def _similar(pdf: pd.DataFrame, shingle: int, threshold_pct: int, seed: int) -> np.ndarray:
+    centres = pdf.drop_duplicates("a")  # a star's pairs come together, so its centre is cut into shingles once
+    of = dict(zip(centres["a"], shingle_sets(centres["text_a"], shingle, seed)))
+    keep = []
+    for a, y in zip(pdf["a"], shingle_sets(pdf["text_b"], shingle, seed)):
+        x = of[a]
+        union = len(np.union1d(x, y))
+        keep.append(100 * (len(x) + len(y) - union) >= threshold_pct * union)
+    return np.array(keep, bool)
+
+
 def _confirm(batches, shingle: int, threshold_pct: int):
-    for pdf in batches:
-        centres = pdf.drop_duplicates("a")  # a star's pairs come together, so its centre is cut into shingles once
-        of = dict(zip(centres["a"], shingle_sets(centres["text_a"], shingle)))
-        keep = []
-        for a, y in zip(pdf["a"], shingle_sets(pdf["text_b"], shingle)):
-            x = of[a]
-            union = len(np.union1d(x, y))
-            keep.append(100 * (len(x) + len(y) - union) >= threshold_pct * union)
-        yield pdf.loc[keep, ["a", "b"]]
+    """The pairs whose full sets reach the threshold, by two independent hashes of the shingles."""
+    for batch in batches:
+        for pdf in slices(batch.rename(columns={"text_b": "text"})):
+            pdf = pdf.rename(columns={"text": "text_b"})
+            for seed in (0, 1):
+                pdf = pdf[_similar(pdf, shingle, threshold_pct, seed)] if len(pdf) else pdf
+            yield pdf[["a", "b"]]
 
 
 def _shingles(batches, shingle: int):
-    for pdf in batches:
-        sets = shingle_sets(pdf["text"], shingle)
+    for part in arrow_slices(batches):
+        sets = shingle_sets(part.column("text"), shingle)
         sizes = np.array([len(s) for s in sets], np.int64)
-        yield pd.DataFrame({"doc_id": np.repeat(pdf["doc_id"].to_numpy(np.int64), sizes), "size": np.repeat(sizes, sizes), "token": np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)})
+        doc_id = part.column("doc_id").to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(doc_id, sizes)), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))], ["doc_id", "size", "token"])
 
 
 def prefix_pairs(texts: DataFrame, labels: DataFrame, bitmaps: DataFrame, shingle: int, threshold_pct: int) -> DataFrame:
-    """Pairs (a, b) of texts(doc_id, text) under different labels(doc_id, label) that share a shingle in their prefixes and may reach the threshold."""
-    tokens = cut(texts.mapInPandas(functools.partial(_shingles, shingle=shingle), "doc_id long, size long, token long"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")  # a shingle of one document meets nothing
+    """Pairs (a, b) of texts(doc_id, text) under different labels(doc_id, label) that share a shingle in their prefixes and may reach the threshold.
+
+    Shingles that only documents of one label have meet nothing, so a family of near copies that already is one component
+    drops out before the join. The join's key is the shingle and a class of sizes: sets that may reach the threshold have
+    the same class, or the larger one the next.
+    """
+    tokens = cut(texts.mapInArrow(functools.partial(_shingles, shingle=shingle), "doc_id long, size long, token long").join(labels, "doc_id"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most").select("token", "df")
     held = tokens.join(shared, "token")
     order = Window.partitionBy("doc_id").orderBy("df", "token")
     held = held.withColumn("rank", F.row_number().over(order)).withColumn("n_shared", F.count("*").over(Window.partitionBy("doc_id")))
-    place = F.col("rank") + F.col("size") - F.col("n_shared")  # those of one document come first
+    place = F.col("rank") + F.col("size") - F.col("n_shared")  # those of one label come first
     least = F.ceil(F.col("size") * threshold_pct / 100)
-    prefix = held.filter(place <= F.col("size") - least + 1).select("token", "doc_id").join(labels, "doc_id")
+    prefix = held.filter(place <= F.col("size") - least + 1).select("token", "doc_id", "label")
     left, right = _sides(bitmaps)
+    step = math.log(100 / threshold_pct) * 1.0001  # a little more than the ratio, so rounding can't move a size two classes on
+    size_class = lambda c: F.floor(F.log(c.cast("double")) / step)
     x = prefix.select("token", F.col("doc_id").alias("a"), F.col("label").alias("label_a")).join(left, "a")
-    y = prefix.select("token", F.col("doc_id").alias("b"), F.col("label").alias("label_b")).join(right, "b")
-    may = (F.col("label_a") != F.col("label_b")) & (F.col("a") < F.col("b")) & _may_reach(threshold_pct)
-    return x.join(y, (x["token"] == y["token"]) & may).select("a", "b").distinct()
+    x = x.withColumn("size_class", F.explode(F.array(size_class(F.col("size_a")), size_class(F.col("size_a")) + 1)))
+    y = prefix.select("token", F.col("doc_id").alias("b"), F.col("label").alias("label_b")).join(right, "b").withColumn("size_class", size_class(F.col("size_b")))
+    smaller = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
+    may = (F.col("label_a") != F.col("label_b")) & smaller & _may_reach(threshold_pct)
+    met = x.join(y, (x["token"] == y["token"]) & (x["size_class"] == y["size_class"]) & may)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -176,40 +205,49 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80)
     bands, rows = bands_for(threshold_pct)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bitmap array<long>"
-    signed = cut(docs.mapInPandas(functools.partial(_sign, shingle=shingle, bands=bands, rows=rows), schema))
+    signed = cut(docs.mapInArrow(functools.partial(_sign, shingle=shingle, bands=bands, rows=rows), schema))
 
     # Documents with equal sets form a class; only its smallest id goes on, so exact copies make no pairs at all.
     key = ["n_shingles", "set_a", "set_b"]
-    classes = signed.filter("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    members = cut(signed.select("doc_id", *key).join(classes, key, "left").select("doc_id", "n_shingles", "rep"))
+    classes = cut(signed.filter("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")))
+    members = cut(skew_join(signed.select("doc_id", *key), classes, key, "rows").select("doc_id", "n_shingles", "rep"))
     reps = members.filter("doc_id = rep").select("doc_id").distinct()
     live = signed.filter("n_shingles > 0").join(reps, "doc_id").dropDuplicates(["doc_id"])
     bitmaps = live.select("doc_id", F.col("n_shingles").alias("size"), "bitmap")
     spread = live.select(F.explode("bands").alias("bucket"), "doc_id")
     crowded = spread.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.count("*").alias("size")).filter("size > 1")
-    buckets = cut(spread.join(crowded.select("bucket", "centre"), "bucket"), narrow=True)
+    buckets = cut(spread.join(crowded.select("bucket", "centre"), "bucket"))
 
     ids = cut(buckets.select("doc_id").distinct(), narrow=True)
     n_ids = ids.count()
     texts = cut(docs.join(broadcast_if_small(ids, 40, rows=n_ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    bitmaps = cut(bitmaps.join(broadcast_if_small(ids, 40, rows=n_ids), "doc_id", "left_semi"), narrow=True)
+    bitmaps = cut(bitmaps.join(broadcast_if_small(ids, 40, rows=n_ids), "doc_id", "left_semi"))
     left, right = _sides(bitmaps)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        read = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        read = read.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
-        return read.mapInPandas(functools.partial(_confirm, shingle=shingle, threshold_pct=threshold_pct), "a long, b long")
+        """The linked ones of pairs(a, b). A centre of many pairs is dealt to several tasks, each with a copy of its text."""
+        pairs = cut(pairs)
+        room = pairs.count() // (4 * shuffle_parts(spark)) + 1
+        # At most 4 * partitions centres have more pairs than that, so this broadcast is bounded.
+        busy = F.broadcast(pairs.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > room).select("a", F.ceil(F.col("n") / room).alias("copies")))
+        copies = F.coalesce("copies", F.lit(1).cast("long"))
+        dealt = pairs.join(busy, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), copies).alias("copy"))
+        centres = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).join(busy, "a", "left")
+        centres = centres.select("a", "text_a", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("copy"))
+        read = dealt.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+        read = read.join(centres, ["a", "copy"]).select("a", "b", "text_a", "text_b")
+        return cut(read.mapInPandas(functools.partial(_confirm, shingle=shingle, threshold_pct=threshold_pct), "a long, b long"))
 
     stars = buckets.filter("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
     stars = stars.join(left, "a").join(right, "b").filter(_may_reach(threshold_pct)).select("a", "b")
-    links = cut(confirmed(stars), narrow=True)
+    links = confirmed(stars)
     labels = components(links)
 
     tagged = buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("label", "doc_id").alias("label"))
     split = tagged.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
     open_docs = cut(tagged.join(split, "bucket").select("doc_id", "label").distinct(), narrow=True)
     open_texts = texts.join(broadcast_if_small(open_docs.select("doc_id"), 40), "doc_id", "left_semi")
-    more = cut(confirmed(prefix_pairs(open_texts, open_docs, bitmaps, shingle, threshold_pct)), narrow=True)
+    more = confirmed(prefix_pairs(open_texts, open_docs, bitmaps, shingle, threshold_pct))
     if not more.isEmpty():
         labels = components(links.union(more))
 

@@ -66,7 +66,7 @@ def pack(docs: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS, token_
     but its last are full. Null and empty texts are sequences of length 0 in the shortest bucket. Repeated rows are
     sequences of their own. An empty table gives no rows. Other columns are ignored.
     """
-    seqs = cut(sequences(docs, max_len), narrow=True)
+    seqs = cut(sequences(docs, max_len))
     histogram = {int(r["length"]): int(r["n"]) for r in seqs.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most max_len + 1 rows
     lengths = sorted(histogram)
     bounds = optimal_bounds(np.array(lengths, np.int64), np.array([histogram[x] for x in lengths], np.int64), buckets)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from . import stages
 from .common import cut
 from .lm_scoring import score_texts
 from .mixing import mix_sources, mixing_sql
@@ -64,6 +64,6 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_mix_sources, op3_toxicity_knn, op4_personal_data, op5_secret_scan, op6_webp_columns, op7_quality_rules, op8_substring_dedup, op9_pack_buckets, op10_lm_scoring)}
 
-QUERIES["pipeline"] = corpus_pipeline.run
+QUERIES["pipeline"] = stages.run
 
 ORACLE: dict[str, str] = {"op2_mix_sources": mixing_sql(), "op7_quality_rules": QUALITY_SQL}

@@ -1,7 +1,7 @@
 r"""Secret scan through a trigram inverted index.
 
 Each rule's regular expression is turned into a Boolean query over the trigrams that any match must contain: an OR of
-ANDs. Every batch of documents is a segment with its own inverted index (trigram -> documents), built over the segment's
+ANDs. Every CHARS characters of documents are a segment with its own inverted index (trigram -> documents), built over the segment's
 whole folded texts for the trigrams that the rules ask for. The query's postings are intersected and united, and only the
 candidates are read by the regular expression. A rule without mandatory trigrams reads every document.
 
@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import CHARS, slices
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -34,10 +36,6 @@ class Rule:
     least: int = 0
 
 
-def _either_case(word: str) -> str:
-    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
-
-
 _NAMES = "|".join(["password", "passwd", "secret", "token", "api_?key"])
 _NAMES = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in _NAMES)
 
@@ -58,8 +56,6 @@ RULES = BASE_RULES + MORE_RULES
 
 #: Strings that a part of a pattern may stand for; beyond this many, the part counts as unknown.
 _MOST = 16
-#: Rows of a segment.
-SEGMENT = 2000
 
 
 def _strings(items) -> list[list[str] | None]:
@@ -140,8 +136,7 @@ def _scan(batches, rules: tuple[Rule, ...]):
     compiled = [(r, re.compile(r.pattern), trigram_query(r.pattern)) for r in rules]
     wanted = sorted({t for _, _, q in compiled for ands in q or () for t in ands})
     for pdf in batches:
-        for lo in range(0, len(pdf), SEGMENT):
-            part = pdf.iloc[lo : lo + SEGMENT]
+        for part in slices(pdf, CHARS):  # the index takes some bytes for each byte of text, whatever the number of rows
             texts = ["" if t is None else t for t in part["text"]]
             index = Segment(texts, wanted)
             spans: list[list[tuple]] = [[] for _ in texts]
@@ -182,8 +177,8 @@ def secret_digests(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
 
 
 def _mask(batches, rules: tuple[Rule, ...], mark: str):
-    for pdf in batches:
-        spans = pd.concat(list(_scan([pdf[["doc_id", "text"]]], rules)))["spans"] if len(pdf) else []
+    for pdf in (part for batch in batches for part in slices(batch, CHARS)):
+        spans = pd.concat(list(_scan([pdf[["doc_id", "text"]]], rules)))["spans"]
         texts = []
         for text, found in zip(pdf["text"], spans):
             out, at = [], 0

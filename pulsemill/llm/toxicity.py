@@ -1,7 +1,7 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are the letters-only words of a text and their beginnings of four and five letters. Those that best tell the labels
-apart (chi-square over the labelled examples' documents) make up the vocabulary. The examples' weights are kept in an
+Terms are the letters-only words of a text and their beginnings of four and five letters. The vocabulary is every term that
+tells the labels apart by a chi-square test over the labelled examples' documents, however many these are. The examples' weights are kept in an
 inverted index whose postings are cut into blocks of examples; each block holds its largest weight for each term. For a
 text, the sums of its weights and those maxima bound the cosines inside each block, so blocks are visited by falling bound
 until none can hold a nearer example than the K found: the neighbours are exact.
@@ -23,11 +23,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import CHARS, broadcast_if_small, cut, slices
 
-#: Bound on the labelled rows that the index and the curve are fitted on, and on the vocabulary.
+#: Bound on the labelled rows that the index and the curve are fitted on.
 EXAMPLES = 12_000
-VOCABULARY = 1_500
 #: Labelled documents a term must be in, and the chi-square it must reach.
 LEAST_DOCS = 4
 LEAST_CHI2 = 12.0
@@ -53,13 +52,13 @@ def terms_of(text: str | None, among=None) -> dict[str, int]:
 
 
 def _labelled_terms(batches):
-    for pdf in batches:
+    for pdf in (part for batch in batches for part in slices(batch, CHARS)):
         rows = [(y, t) for y, text in zip(pdf["toxic"], pdf["text"]) for t in terms_of(text)]
         yield pd.DataFrame(rows, columns=["toxic", "term"])
 
 
 def _labelled_counts(batches, vocabulary: frozenset):
-    for pdf in batches:
+    for pdf in (part for batch in batches for part in slices(batch, CHARS)):
         rows = []
         for doc_id, y, text in zip(pdf["doc_id"], pdf["toxic"], pdf["text"]):
             found = terms_of(text, vocabulary)
@@ -166,7 +165,7 @@ class Index:
 def _score(batches, index, k: int, threshold: float):
     ix = index.value
     bare = ix.score(ix.bare_rate)
-    for pdf in batches:
+    for pdf in (part for batch in batches for part in slices(batch, CHARS)):
         rows = []
         for text in pdf["text"]:
             terms, weights = ix.vector(terms_of(text, ix.number))
@@ -192,11 +191,16 @@ def _leave_one_out(batches, index, k: int):
 
 
 def fit_index(docs: DataFrame, labels: DataFrame, k: int = K, examples: int = EXAMPLES) -> Index:
-    """Index over the labelled rows of docs(doc_id, text); labels(doc_id, toxic). Null labels are left out; of repeated labels the largest counts."""
+    """Index over the labelled rows of docs(doc_id, text); labels(doc_id, toxic).
+
+    Null labels are left out; of repeated labels the largest counts, and of the texts of a repeated id the first by order.
+    """
     spark = docs.sparkSession
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)  # the documented bound, so the broadcast is bounded too
-    held = cut(docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "text"))
+    # Of the labelled documents that are there, those with the smallest hashes of their ids: the documented bound.
+    there = docs.select("doc_id").join(broadcast_if_small(marked, 40), "doc_id").dropDuplicates(["doc_id"])
+    chosen = cut(there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples))
+    held = cut(docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min("text").alias("text")))
     totals = {int(r["toxic"]): int(r["n"]) for r in held.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     n = float(max(1, pos + neg))
@@ -204,10 +208,10 @@ def fit_index(docs: DataFrame, labels: DataFrame, k: int = K, examples: int = EX
     a, df = F.col("a"), F.col("df")
     spread = df * (n - df) * float(max(1, pos)) * float(max(1, neg))
     chi2 = n * F.pow(a * neg - (df - a) * pos, F.lit(2.0)) / F.when(spread > 0, spread)
-    top = counts.withColumn("chi2", chi2).filter((df >= LEAST_DOCS) & (F.col("chi2") >= LEAST_CHI2)).orderBy(F.desc("chi2"), "term").limit(VOCABULARY).collect()
+    top = counts.withColumn("chi2", chi2).filter((df >= LEAST_DOCS) & (F.col("chi2") >= LEAST_CHI2)).orderBy(F.desc("chi2"), "term").collect()  # terms of EXAMPLES texts
     terms = [r["term"] for r in top]
     idf = np.array([math.log((n + 1) / (r["df"] + 1)) + 1 for r in top])
-    kept = held.mapInPandas(functools.partial(_labelled_counts, vocabulary=frozenset(terms)), "doc_id long, toxic int, terms array<string>, counts array<int>")
+    kept = cut(held.mapInPandas(functools.partial(_labelled_counts, vocabulary=frozenset(terms)), "doc_id long, toxic int, terms array<string>, counts array<int>"))
     rows = [(int(r["doc_id"]), int(r["toxic"]), r["terms"], r["counts"]) for r in kept.collect()]  # EXAMPLES rows at most
     index = Index(terms, idf, sorted(rows))
     shared = spark.sparkContext.broadcast(index)
@@ -218,7 +222,7 @@ def fit_index(docs: DataFrame, labels: DataFrame, k: int = K, examples: int = EX
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: int = 2, k: int = K, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted, nearest (ids of the neighbours) and cosines for every row of docs(doc_id, text, ...).
+    """doc_id, held_out, score, predicted, nearest (ids of the neighbours; equal cosines by the index's order) and cosines for every row of docs(doc_id, text, ...).
 
     Labels are learnt from rows whose crc32(doc_id as text) mod folds is not held_fold; folds = 0 learns from all. A null or
     empty text, like any without a term of the vocabulary, gets the rate of such examples. Without labels every score is
@@ -234,10 +238,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold
 
 
 def _reject(batches, index, k: int, threshold: float):
-    for pdf in batches:
-        if len(pdf):
-            scored = next(_score([pdf[["doc_id", "text"]]], index, k, threshold))
-            yield pdf[(scored["predicted"] == 0).to_numpy()]
+    for pdf in (part for batch in batches for part in slices(batch, CHARS)):
+        scored = pd.concat(list(_score([pdf[["doc_id", "text"]]], index, k, threshold)))
+        yield pdf[(scored["predicted"] == 0).to_numpy()]
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, k: int = K, threshold: float = THRESHOLD) -> DataFrame:

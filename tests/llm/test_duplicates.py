@@ -2,6 +2,7 @@ import collections
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pulsemill.llm import common, near_dedup, substring_dedup
@@ -112,3 +113,37 @@ def test_overlapping_and_periodic_windows(spark):
     rows = [(1, " ".join(["a", "b"] * 40)), (2, " ".join(f"u{i}" for i in range(35))), (3, "z " + " ".join(f"u{i}" for i in range(36))), (4, " ".join(f"u{i}" for i in range(34)))]
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
     assert got == brute_removed(rows, 35)
+
+
+def thue_morse(steps):
+    text = "a"
+    for _ in range(steps):
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text
+
+
+@pytest.mark.parametrize("steps", [3, 6, 10, 11, 12])
+def test_words_and_runs_that_fool_polynomials_differ(steps):
+    x = thue_morse(steps)
+    y = x.translate(str.maketrans("ab", "ba"))
+    for seed in (0, 1):
+        a, b = common.token_hashes([x, y], lower=False, seed=seed)
+        assert a[0] != b[0]
+        a, b = common.token_hashes([" ".join(x), " ".join(y)], lower=False, seed=seed)
+        assert common.gram_hashes(a, len(x))[0] != common.gram_hashes(b, len(x))[0]
+
+
+def test_arrow_and_plain_texts_hash_alike():
+    texts = ["skipped", "Aa bb\tcc", None, "", " é " + "x" * 70, "ab"]
+    for lower in (True, False):
+        plain = common.token_hashes(texts[1:], lower)
+        arrow = common.token_hashes(pa.array(texts).slice(1), lower)
+        assert all((a == b).all() for a, b in zip(plain, arrow)) and [len(a) for a in arrow] == [3, 0, 0, 2, 1]
+    assert common.token_hashes(["ab"], True)[0] != common.token_hashes(["ab"], True, seed=1)[0]
+
+
+def test_hot_keys_join_like_others(spark):
+    left = spark.createDataFrame([(i, 7 if i % 3 else i) for i in range(300)] + [(1000, None)], "id long, k long")
+    right = left.filter("k is not null").groupBy("k").count()
+    got = common.skew_join(left, right, ["k"], "count").collect()
+    assert len(got) == 301 and all(r["count"] == (200 if r["k"] == 7 else None if r["k"] is None else 1) for r in got)
