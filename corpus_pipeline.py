@@ -1,65 +1,7 @@
-"""The corpus pipeline: toxicity, near-duplicates, secrets, mixing, packing.
-
-Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; run() writes each stage's result as
-Parquet in the shared checkpoint folder and reads it again for the next. All stages but the last return the columns of
-documents.
-"""
+"""The corpus pipeline: STAGES of (name, function), run(spark, sf_dir) and ORACLE_SQL. The stages themselves are in pulsemill.llm.stages."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from pulsemill.llm.common import broadcast_if_small, cut
-from pulsemill.llm.mixing import mix_sources
-from pulsemill.llm.near_dedup import near_duplicates
-from pulsemill.llm.packing import pack
-from pulsemill.llm.secret_scan import mask_secrets
-from pulsemill.llm.toxicity import reject_toxic
-
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is under the threshold; all labels of the table are learnt from."""
-    return reject_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-
-
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five-word shingles, similarity 0.8): the one with the smallest id."""
-    gone = cut(near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct(), narrow=True)
-    return docs.join(broadcast_if_small(gone, 40), "doc_id", "left_anti").select(docs.columns)
-
-
-def mask_all_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with each secret replaced by its kind; n_chars follows the text."""
-    masked = mask_secrets(docs)
-    return masked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
-
-
-def sample_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents sampled so that sources, languages and topics have their target shares of the tokens."""
-    chosen = cut(mix_sources(docs).filter("sampled").select("doc_id").distinct(), narrow=True)
-    return docs.join(broadcast_if_small(chosen, 40), "doc_id", "left_semi").select(docs.columns)
-
-
-def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each packed sequence: document, piece, length, bucket, batch and slot."""
-    return pack(docs)
-
-
-STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_dedup", drop_near_duplicates),
-    ("secrets", mask_all_secrets),
-    ("mixing", sample_mixture),
-    ("packing", pack_batches),
-]
-
-#: Nearest neighbours and dynamic programming aren't expressible in SQL; the stages are tested against brute force.
-ORACLE_SQL = None
-
+from pulsemill.llm.stages import ORACLE_SQL, STAGES, run
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
