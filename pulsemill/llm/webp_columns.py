@@ -1,29 +1,30 @@
 """Lossless WebP columns: an encoder for payloads, and a decoder of the whole lossless format to pixel arrays.
 
 Decoder: prefix codes (simple, normal and by meta image), back-references with the distance map, the colour cache, and the
-inverses of the four transforms (predictor, cross-colour, subtract-green, palette with pixel bundling). Images whose
-channels have codes of one fixed length each, without references or cache, are unpacked by array operations; anything else
-is read symbol by symbol with lookup tables.
-
-Encoder: the payload's bytes are the A, R, G and B samples of 16 pixels wide rows. Per image the first that fits is used:
-a palette of at most 16 colours with bundled pixels; back-references, where rows repeat the rows before them; or a fixed
-code for each channel, as short as the number of its different samples allows. Payloads over ROWS rows are several images
-in a row, as a file says its own length.
+inverses of the four transforms (predictor, cross-colour, subtract-green, palette with pixel bundling).
+
+Encoder: the payload's bytes are the A, R, G and B samples of 16 pixels wide rows. An image of few colours gets a palette
+with bundled pixels; another one the predictor, cross-colour or subtract-green transform with the least estimated entropy, or
+none. Its pixels become back-references, found along chains of equal pixel pairs, colours in the cache, and literals, in
+prefix codes fitted to the image. Payloads over ROWS rows are several images in a row, as a file says its own length.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
-import itertools
 import struct
 import zlib
+from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 WIDTH = 16
 UNIT = 4 * WIDTH
 #: Rows of one image at most; the format allows 16,384.
@@ -48,6 +49,7 @@ DISTANCE_MAP = tuple(
     )
 )
 PREDICTOR, CROSS_COLOUR, SUBTRACT_GREEN, PALETTE = range(4)
+TRANSFORMS = ("predictor", "cross_colour", "subtract_green", "palette")
 CACHE_MULTIPLIER = 0x1E35A7BD
 GREEN_SYMBOLS, LENGTH_SYMBOLS, DISTANCE_SYMBOLS = 256, 24, 40
 
@@ -87,53 +89,90 @@ class BitReader:
 # --- prefix codes ----------------------------------------------------------------------------------------------------
 
 
-def canonical(lengths: list[int]) -> dict[int, tuple[int, int]]:
+def _mirror() -> list[int]:
+    whole = np.arange(1 << 15, dtype=np.uint32)
+    return sum(((whole >> np.uint32(i)) & np.uint32(1)) << np.uint32(14 - i) for i in range(15)).tolist()
+
+
+#: The 15 bits of each number in reverse.
+_MIRROR = _mirror()
+
+
+def canonical(lengths) -> dict[int, tuple[int, int]]:
     """symbol -> (code with its first bit lowest, length)."""
     out, code, last = {}, 0, 0
-    for size, symbol in sorted((n, s) for s, n in enumerate(lengths) if n):
+    for size, symbol in sorted([(n, s) for s, n in enumerate(lengths) if n]):
         code <<= size - last
-        out[symbol] = (int(f"{code:0{size}b}"[::-1], 2), size)
+        out[symbol] = (_MIRROR[code] >> (15 - size), size)
         code, last = code + 1, size
     return out
 
 
-@functools.cache
-def even_codes(size: int) -> np.ndarray:
-    """Codes of 2**size symbols of one length, by rank."""
-    return np.array([int(f"{i:0{size}b}"[::-1], 2) if size else 0 for i in range(1 << size)], np.uint32)
+def code_lengths(counts, most: int) -> list[int]:
+    """Lengths of an optimal prefix code, `most` bits at most (then nearly optimal); a symbol that stands alone has length 1."""
+    counts = np.asarray(counts)
+    used = np.nonzero(counts)[0]
+    lengths = [0] * len(counts)
+    if len(used) < 2:
+        lengths[int(used[0]) if len(used) else 0] = 1
+        return lengths
+    weights = counts[used].astype(np.int64)
+    n = len(used)
+    while True:
+        order = np.argsort(weights, kind="stable")
+        weight = weights[order].tolist()
+        parent = [0] * (2 * n - 1)
+        leaf, inner = 0, n
+        for new in range(n, 2 * n - 1):  # inner nodes come out in rising order, so two queues do
+            total = 0
+            for _ in range(2):
+                if inner >= new or (leaf < n and weight[leaf] <= weight[inner]):
+                    pick, leaf = leaf, leaf + 1
+                else:
+                    pick, inner = inner, inner + 1
+                parent[pick] = new
+                total += weight[pick]
+            weight.append(total)
+        depth = [0] * (2 * n - 1)
+        for node in range(2 * n - 3, -1, -1):
+            depth[node] = depth[parent[node]] + 1
+        if max(depth[:n]) <= most:
+            break
+        weights = weights // 2 + 1  # flatter, until the code is short enough
+    for symbol, size in zip(used[order].tolist(), depth):
+        lengths[symbol] = size
+    return lengths
 
 
 class PrefixCode:
-    """Decoding table of a prefix code; a code of one symbol takes no bits."""
+    """Decoding table of a prefix code: symbol << 4 | length for the next `width` bits. A code of one symbol takes no bits."""
 
     def __init__(self, lengths: list[int]):
-        used = [s for s, n in enumerate(lengths) if n]
-        self.single = used[0] if len(used) == 1 else None
-        self.sizes = {lengths[s] for s in used}
-        self.symbols = used
-        self.width = max(self.sizes)
-        if self.single is not None:
+        codes = canonical(lengths)
+        if len(codes) == 1:
+            self.width, self.table = 0, [next(iter(codes)) << 4]
             return
-        if sum(1 << (self.width - lengths[s]) for s in used) != 1 << self.width:
+        self.width = max(n for _, n in codes.values()) if codes else 0
+        if sum(1 << (self.width - n) for _, n in codes.values()) != 1 << self.width:
             raise ValueError("prefix code is not complete")
-        if len(self.sizes) == 1:  # codes of one length: rank and code are each other's bits reversed
-            self.by_code = np.array(used, np.uint32)[even_codes(self.width)]
-            self.table = [(s, self.width) for s in self.by_code.tolist()]
-            return
-        self.table = [(0, 0)] * (1 << self.width)
-        for symbol, (code, size) in canonical(lengths).items():
-            for rest in range(1 << (self.width - size)):
-                self.table[code | rest << size] = (symbol, size)
+        self.table = [0] * (1 << self.width)
+        for symbol, (code, size) in codes.items():
+            self.table[code :: 1 << size] = [symbol << 4 | size] * (1 << (self.width - size))
 
     def read(self, bits: BitReader) -> int:
-        if self.single is not None:
-            return self.single
-        symbol, size = self.table[bits.peek(self.width)]
-        bits.at += size
-        return symbol
-
-
-def read_code(bits: BitReader, alphabet: int) -> PrefixCode:
+        entry = self.table[bits.peek(self.width)]
+        bits.at += entry & 15
+        return entry >> 4
+
+
+def read_code(bits: BitReader, alphabet: int, last: tuple[PrefixCode, int, int] | None = None) -> PrefixCode:
+    """The next prefix code. last: a code of the same alphabet with its place and bits; if the same bits follow, so does the same code."""
+    if last is not None:
+        code, start, size = last
+        whole = lambda at: (int.from_bytes(bits.data[at >> 3 : (at + size + 7) >> 3], "little") >> (at & 7)) & ((1 << size) - 1)
+        if whole(start) == whole(bits.at):
+            bits.at += size
+            return code
     lengths = [0] * alphabet
     if bits.get(1):  # simple: one or two symbols
         two = bits.get(1)
@@ -146,27 +185,69 @@ def read_code(bits: BitReader, alphabet: int) -> PrefixCode:
         own[symbol] = bits.get(3)
     code = PrefixCode(own)
     left = 2 + bits.get(2 + 2 * bits.get(3)) if bits.get(1) else alphabet
-    at, last = 0, 8
+    table, mask = code.table, (1 << code.width) - 1
+    data, start, held, window = bits.data, bits.at, 0, 0
+    at, last_length = 0, 8
     while at < alphabet and left:
         left -= 1
-        symbol = code.read(bits)
+        if held < 16:  # a symbol with its extra bits takes 14 at most
+            window = int.from_bytes(data[start >> 3 : (start >> 3) + 64], "little") >> (start & 7)
+            held = 512 - (start & 7)
+        entry = table[window & mask]
+        symbol, size = entry >> 4, entry & 15
+        window >>= size
         if symbol < 16:
             lengths[at] = symbol
-            last = symbol or last
+            last_length = symbol or last_length
             at += 1
-            continue
-        extra, base, value = {16: (2, 3, last), 17: (3, 3, 0), 18: (7, 11, 0)}[symbol]
-        n = base + bits.get(extra)
-        lengths[at : at + n] = [value] * n
-        at += n
-    if len(lengths) != alphabet:
+        else:
+            extra, base, value = (2, 3, last_length) if symbol == 16 else (3, 3, 0) if symbol == 17 else (7, 11, 0)
+            n = base + (window & ((1 << extra) - 1))
+            window >>= extra
+            size += extra
+            if value:
+                lengths[at : at + n] = [value] * n
+            at += n
+        start += size
+        held -= size
+    bits.at = start
+    if at > alphabet:
         raise ValueError("code lengths run over the alphabet")
     return PrefixCode(lengths)
 
 
+def read_codes(bits: BitReader, sizes: tuple[int, ...]) -> list[PrefixCode]:
+    """One code for each alphabet."""
+    out: list[PrefixCode] = []
+    last: dict[int, tuple[PrefixCode, int, int]] = {}
+    for alphabet in sizes:
+        start = bits.at
+        out.append(read_code(bits, alphabet, last.get(alphabet)))
+        last[alphabet] = (out[-1], start, bits.at - start)
+    return out
+
+
+def _length_steps(lengths: list[int], used: list[int]) -> list[tuple[int, int, int]]:
+    """(symbol, extra, bits of extra) that spell the lengths: runs of zeros are cut short."""
+    out, at = [], 0
+    for symbol in [*used, len(lengths)]:
+        gap, at = symbol - at, symbol + 1
+        while gap > 10:
+            step = min(gap, 138)
+            out.append((18, step - 11, 7))
+            gap -= step
+        if gap > 2:
+            out.append((17, gap - 3, 3))
+        else:
+            out += [(0, 0, 0)] * gap
+        if symbol < len(lengths):
+            out.append((lengths[symbol], 0, 0))
+    return out
+
+
 def write_code(bits: BitWriter, lengths: list[int]) -> None:
     used = [s for s, n in enumerate(lengths) if n]
-    if len(used) <= 2 and max(used) < 256:
+    if len(used) <= 2 and used[-1] < 256:
         bits.put(1, 1)
         bits.put(len(used) - 1, 1)
         bits.put(1, 1)
@@ -174,48 +255,26 @@ def write_code(bits: BitWriter, lengths: list[int]) -> None:
         if len(used) == 2:
             bits.put(used[1], 8)
         return
-    kinds = sorted(set(lengths) - {0})
-    if len(kinds) == 1:  # one length, zeros, and runs of both
-        own = {kinds[0]: 2, 16: 2, 18: 2, 0: 3, 17: 3}
-    else:
-        own = {k: 4 for k in range(16)}
-    sizes = [own.get(k, 0) for k in range(19)]
+    steps = _length_steps(lengths, used)
+    counts = [0] * 19
+    for kind, _, _ in steps:
+        counts[kind] += 1
+    sizes = code_lengths(counts, 7)
+    told = max(4, max(i for i, symbol in enumerate(CODE_LENGTH_ORDER) if sizes[symbol]) + 1)
     bits.put(0, 1)
-    bits.put(15, 4)
-    for symbol in CODE_LENGTH_ORDER:
+    bits.put(told - 4, 4)
+    for symbol in CODE_LENGTH_ORDER[:told]:
         bits.put(sizes[symbol], 3)
     bits.put(0, 1)
     codes = canonical(sizes)
-    if len(kinds) > 1:
-        for n in lengths:
-            bits.put(*codes[n])
-        return
-    for n, run in ((n, len(list(g))) for n, g in itertools.groupby(lengths)):
-        if n:
-            bits.put(*codes[n])
-            run -= 1
-        while run:
-            kind, least, most, extra = (16, 3, 6, 2) if n else (18, 11, 138, 7) if run > 10 else (17, 3, 10, 3)
-            if run < least:
-                bits.put(*codes[n])
-                run -= 1
-                continue
-            step = min(run, most)
-            bits.put(*codes[kind])
-            bits.put(step - least, extra)
-            run -= step
-
-
-def even_lengths(symbols: list[int], alphabet: int) -> list[int]:
-    """Code lengths over a power of two of symbols, all alike; unused symbols fill up."""
-    size = (len(symbols) - 1).bit_length() if len(symbols) > 1 else 0
-    want, have = 1 << size, set(symbols)
-    filler = (s for s in itertools.chain(range(min(have), alphabet), range(min(have))) if s not in have)  # next to the used ones, for long runs
-    chosen = have | {next(filler) for _ in range(want - len(have))}
-    lengths = [0] * alphabet
-    for s in chosen:
-        lengths[s] = max(size, 1)
-    return lengths
+    if len(codes) == 1:
+        codes = dict.fromkeys(codes, (0, 0))
+    value, at = 0, 0
+    for kind, extra, extra_bits in steps:
+        code, size = codes[kind]
+        value |= (code | extra << size) << at
+        at += size + extra_bits
+    bits.put(value, at)
 
 
 # --- decoder -----------------------------------------------------------------------------------------------------------
@@ -236,68 +295,75 @@ def _distance(code: int, width: int) -> int:
     return max(1, x + y * width)
 
 
-def _entropy_image(bits: BitReader, width: int, height: int, top: bool) -> np.ndarray:
+def _entropy_image(bits: BitReader, width: int, height: int, top: bool, seen: Counter) -> np.ndarray:
     """ARGB pixels of an image without transforms: codes, references and colour cache."""
     cache_bits = bits.get(4) if bits.get(1) else 0
     meta, shift = None, 0
     if top and bits.get(1):
         shift = bits.get(3) + 2
-        meta = _entropy_image(bits, -(-width >> shift), -(-height >> shift), False)
-        meta = (meta >> 8) & 0xFFFF
+        meta = _entropy_image(bits, -(-width >> shift), -(-height >> shift), False, seen)
+        meta = ((meta >> 8) & 0xFFFF).tolist()
     sizes = (GREEN_SYMBOLS + LENGTH_SYMBOLS + (1 << cache_bits if cache_bits else 0), 256, 256, 256, DISTANCE_SYMBOLS)
-    groups = [[read_code(bits, n) for n in sizes] for _ in range(1 + (int(meta.max()) if meta is not None else 0))]
-    total = width * height
-    if len(groups) == 1 and not cache_bits and all(len(c.sizes) == 1 for c in groups[0][:4]) and max(groups[0][0].symbols) < 256:
-        return _even_pixels(bits, groups[0][:4], total)
-    out = np.zeros(total, np.uint32)
-    pixels = out.tolist()
-    cache = [0] * (1 << cache_bits) if cache_bits else None
-    at, across = 0, -(-width >> shift) if meta is not None else 0
-    while at < total:
-        green, red, blue, alpha, far = groups[int(meta[(at // width >> shift) * across + (at % width >> shift)])] if meta is not None else groups[0]
-        symbol = green.read(bits)
-        if symbol < 256:
-            r, b = red.read(bits), blue.read(bits)
-            found = [alpha.read(bits) << 24 | r << 16 | symbol << 8 | b]
-        elif symbol < 256 + LENGTH_SYMBOLS:
-            n = min(_extra(symbol - 256, bits), total - at)
-            back = _distance(_extra(far.read(bits), bits), width)
-            if back > at:
-                raise ValueError("reference before the image")
-            run = pixels[at - back : at - back + min(n, back)]  # a reference may run on over what it has just copied
-            found = (run * (-(-n // len(run))))[:n]
-        else:
-            found = [cache[symbol - 256 - LENGTH_SYMBOLS]]
-        pixels[at : at + len(found)] = found
-        at += len(found)
-        if cache is not None:
-            for p in found:
-                cache[(CACHE_MULTIPLIER * p & 0xFFFFFFFF) >> (32 - cache_bits)] = p
+    groups = [read_codes(bits, sizes) for _ in range(1 + (max(meta) if meta is not None else 0))]
+    total, across = width * height, -(-width >> shift)
+    cache, drop = [0] * (1 << cache_bits), 32 - cache_bits
+    pixels: list[int] = []
+    cached = 0  # pixels that the cache has taken in; it is brought up to date only when it is read
+    data, at, n, hits, copies = bits.data, bits.at, 0, 0, 0
+    window, left = 0, 0  # bits that are read ahead
+    green, red, blue, alpha, far = groups[0]
+    g_table, g_mask = green.table, (1 << green.width) - 1
+    r_table, r_mask, b_table, b_mask, a_table, a_mask = red.table, (1 << red.width) - 1, blue.table, (1 << blue.width) - 1, alpha.table, (1 << alpha.width) - 1
+    while n < total:
+        if meta is not None:
+            green, red, blue, alpha, far = groups[meta[(n // width >> shift) * across + (n % width >> shift)]]
+            g_table, g_mask = green.table, (1 << green.width) - 1
+            r_table, r_mask, b_table, b_mask, a_table, a_mask = red.table, (1 << red.width) - 1, blue.table, (1 << blue.width) - 1, alpha.table, (1 << alpha.width) - 1
+        if left < 60:  # the four codes take no more
+            window = int.from_bytes(data[at >> 3 : (at >> 3) + 32], "little") >> (at & 7)
+            left = 256 - (at & 7)
+        entry = g_table[window & g_mask]
+        size = entry & 15
+        window >>= size
+        if entry < 4096:
+            r = r_table[window & r_mask]
+            window >>= r & 15
+            b = b_table[window & b_mask]
+            window >>= b & 15
+            a = a_table[window & a_mask]
+            window >>= a & 15
+            size += (r & 15) + (b & 15) + (a & 15)
+            at += size
+            left -= size
+            pixels.append((a >> 4) << 24 | (r >> 4) << 16 | (entry >> 4) << 8 | b >> 4)
+            n += 1
+            continue
+        left -= size
+        symbol, at = entry >> 4, at + size
+        if symbol >= 256 + LENGTH_SYMBOLS:
+            for p in pixels[cached:n]:
+                cache[(CACHE_MULTIPLIER * p & 0xFFFFFFFF) >> drop] = p
+            cached = n
+            pixels.append(cache[symbol - 256 - LENGTH_SYMBOLS])
+            n += 1
+            hits += 1
+            continue
+        bits.at = at
+        left = 0
+        length = min(_extra(symbol - 256, bits), total - n)
+        back = _distance(_extra(far.read(bits), bits), width)
+        at = bits.at
+        if back > n:
+            raise ValueError("reference before the image")
+        run = pixels[n - back : n - back + min(length, back)]  # a reference may run on over what it has just copied
+        pixels += (run * (-(-length // len(run))))[:length]
+        n += length
+        copies += 1
+    bits.at = at
+    seen.update(literals=total, cache_hits=hits, references=copies, long_codes=sum(c.width > 0 for g in groups for c in g), meta_images=int(meta is not None))
     return np.array(pixels, np.uint32)
 
 
-def _even_pixels(bits: BitReader, codes: list[PrefixCode], total: int) -> np.ndarray:
-    """Pixels whose four codes each have one length: each pixel takes the same bits, so all are cut out at once."""
-    widths = [0 if c.single is not None else c.width for c in codes]
-    step = sum(widths)
-    start = bits.at
-    bits.at += step * total
-    if step:
-        raw = np.frombuffer(bits.data, np.uint8, count=-(-bits.at // 8) - (start >> 3), offset=start >> 3)
-        each = np.unpackbits(raw, bitorder="little")[start & 7 :][: step * total].reshape(total, step)
-        whole = np.zeros((total, 32), np.uint8)
-        whole[:, :step] = each
-        words = np.packbits(whole, axis=1, bitorder="little").view(np.uint32).reshape(-1)
-    else:
-        words = np.zeros(total, np.uint32)
-    out, at = np.zeros(total, np.uint32), 0
-    for code, width, shift in zip(codes, widths, (8, 16, 0, 24)):
-        table = np.array([code.single], np.uint32) if code.single is not None else code.by_code
-        out |= table[(words >> np.uint32(at)) & np.uint32((1 << width) - 1)] << np.uint32(shift)
-        at += width
-    return out
-
-
 def _channels(argb: np.ndarray) -> np.ndarray:
     """int64 array of A, R, G, B in the last axis."""
     return np.stack([(argb >> np.uint32(s)) & np.uint32(255) for s in (24, 16, 8, 0)], axis=-1).astype(np.int64)
@@ -415,37 +481,39 @@ def undo_palette(argb: np.ndarray, width: int, table: np.ndarray) -> np.ndarray:
     return whole[index]
 
 
-def decode_image(data: bytes) -> tuple[np.ndarray, int, int]:
-    """Pixels (height, width, 4: A, R, G, B as uint8) of the first image in data, its bytes, and the file's length."""
-    if data[:4] != b"RIFF" or data[8:16] != b"WEBPVP8L":
+def decode_image(data: bytes, start: int = 0, seen: Counter | None = None) -> tuple[np.ndarray, int, int]:
+    """Pixels (height, width, 4: A, R, G, B as uint8) of the image at `start`, its bytes, and the file's length. seen counts what was decoded."""
+    seen = Counter() if seen is None else seen
+    if data[start : start + 4] != b"RIFF" or data[start + 8 : start + 16] != b"WEBPVP8L":
         raise ValueError("not a lossless WebP file")
-    length = 8 + struct.unpack("<I", data[4:8])[0]
-    size = struct.unpack("<I", data[16:20])[0]
-    bits = BitReader(data[20 : 20 + size])
+    length = 8 + struct.unpack_from("<I", data, start + 4)[0]
+    size = struct.unpack_from("<I", data, start + 16)[0]
+    bits = BitReader(data[start + 20 : start + 20 + size])
     if bits.get(8) != 0x2F:
         raise ValueError("no lossless signature")
     width, height = bits.get(14) + 1, bits.get(14) + 1
     bits.get(1)
     if bits.get(3):
         raise ValueError("unknown version")
-    undo, seen, stored = [], set(), width
+    undo, used, stored = [], set(), width
     while bits.get(1):
         kind = bits.get(2)
-        if kind in seen:
+        if kind in used:
             raise ValueError("a transform is used twice")
-        seen.add(kind)
+        used.add(kind)
         if kind in (PREDICTOR, CROSS_COLOUR):
             shift = bits.get(3) + 2
-            image = _entropy_image(bits, -(-stored >> shift), -(-height >> shift), False)
+            image = _entropy_image(bits, -(-stored >> shift), -(-height >> shift), False, seen)
             undo.append((undo_predictor if kind == PREDICTOR else cross_colour, (stored, image, shift)))
         elif kind == SUBTRACT_GREEN:
             undo.append((add_green, ()))
         else:
             n = bits.get(8) + 1
-            table = _argb(np.cumsum(_channels(_entropy_image(bits, n, 1, False)), axis=0))
+            table = _argb(np.cumsum(_channels(_entropy_image(bits, n, 1, False, seen)), axis=0))
             undo.append((undo_palette, (stored, table)))
             stored = -(-stored >> _bundle(n))
-    argb = _entropy_image(bits, stored, height, True)
+    argb = _entropy_image(bits, stored, height, True, seen)
+    seen.update(TRANSFORMS[kind] for kind in used)
     for function, args in reversed(undo):
         argb = function(argb, *args)
     return _channels(argb).astype(np.uint8).reshape(height, width, 4), size, length
@@ -463,111 +531,224 @@ def _file(width: int, height: int, bits: np.ndarray) -> bytes:
     return b"RIFF" + struct.pack("<I", 12 + len(body) + len(pad)) + b"WEBPVP8L" + struct.pack("<I", len(body)) + body + pad
 
 
-def _image_head(bits: BitWriter, top: bool) -> None:
-    bits.put(0, 1)  # no colour cache
-    if top:
-        bits.put(0, 1)  # no meta image
+#: Bits of the longest code that the encoder writes; the format allows 15, and shorter tables are read faster.
+LONGEST_CODE = 11
+#: Candidates that are tried along a chain, and pixels that one reference copies at most.
+CHAIN, MOST_COPIED = 8, 4096
+#: Modes that the encoder tries; their inverses are array operations.
+MODES = (1, 2, 3, 4)
+#: Rows of a block with a mode or a colour correlation of its own.
+BLOCK_BITS = 4
+
+
+def _entropy(argb: np.ndarray) -> float:
+    """Bits that the four channels take with a prefix code each, about."""
+    bits = 0.0
+    for shift in (24, 16, 8, 0):
+        n = np.bincount((argb >> np.uint32(shift)).astype(np.uint8), minlength=256)
+        n = n[n > 0]
+        bits += float(n @ np.log2(len(argb) / n)) + 6 * len(n)  # about six bits tell a symbol's length
+    return bits
+
+
+@functools.cache
+def _distance_codes(width: int) -> dict[int, int]:
+    return {max(1, x + y * width): code for code, (x, y) in reversed(list(enumerate(DISTANCE_MAP, 1)))}
+
+
+def _references(pixels: np.ndarray) -> list[tuple[int, int, int]]:
+    """Greedy (start, length, distance) of copies of two pixels or more, the longest of CHAIN candidates along chains of equal pixel pairs."""
+    n = len(pixels)
+    if n < 3:
+        return []
+    pair = (pixels[:-1].astype(np.uint64) << np.uint64(32)) | pixels[1:]
+    order = np.argsort(pair, kind="stable")
+    same = pair[order[1:]] == pair[order[:-1]]
+    if not same.any():
+        return []
+    before = np.full(n, -1)
+    before[order[1:][same]] = order[:-1][same]
+    starts, before, values = np.nonzero(before >= 0)[0].tolist(), before.tolist(), pixels.tolist()
+    out, k = [], 0
+    while k < len(starts):
+        at = starts[k]
+        best, distance, source = 0, 0, before[at]
+        most = min(n - at, MOST_COPIED)
+        for _ in range(CHAIN):
+            if source < 0:
+                break
+            size = 2
+            while size < most and values[source + size] == values[at + size]:
+                size += 1
+            if size > best:
+                best, distance = size, at - source
+            if size == most:
+                break
+            source = before[source]
+        out.append((at, best, distance))
+        k = bisect_left(starts, at + best, k + 1)
+    return out
+
 
+def _prefixes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, extra bits and their numbers for lengths or distances."""
+    v = values - 1
+    n = np.maximum(np.floor(np.log2(np.maximum(v, 1))).astype(np.int64) - 1, 0)
+    big = v >= 4
+    return np.where(big, 2 * n + 2 + ((v >> n) & 1), v), np.where(big, v & ((1 << n) - 1), 0), np.where(big, n, 0)
+
+
+def _cache_hits(argb: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cache slot of each pixel, and whether the slot holds the pixel when it comes."""
+    slot = (argb * np.uint32(CACHE_MULTIPLIER)) >> np.uint32(32 - bits)
+    order = np.argsort(slot, kind="stable")
+    hit = np.zeros(len(argb), bool)
+    hit[order[1:]] = (slot[order[1:]] == slot[order[:-1]]) & (argb[order[1:]] == argb[order[:-1]])
+    return slot.astype(np.int64), hit
+
+
+def _code_table(counts: np.ndarray) -> tuple[np.ndarray, BitWriter]:
+    """(codes and their lengths by symbol, the code as it is written); a code of one symbol takes no bits."""
+    lengths = code_lengths(counts, LONGEST_CODE)
+    written = BitWriter()
+    write_code(written, lengths)
+    codes = canonical(lengths)
+    table = np.zeros((2, len(counts)), np.uint64)
+    if len(codes) > 1:
+        table[:, list(codes)] = np.array(list(codes.values()), np.uint64).T
+    return table, written
+
+
+def _entropy_bits(argb: np.ndarray, width: int, top: bool) -> np.ndarray:
+    """The bits of an image without transforms. Red, blue and alpha share one code: payloads of text fill them alike."""
+    n = len(argb)
+    literal = np.ones(n, bool)
+    copies = np.array(_references(argb), np.int64).reshape(-1, 3)
+    for start, length, _ in copies.tolist():
+        literal[start : start + length] = False
+    cache_bits = min(10, max(1, n.bit_length() - 4))
+    slot, hit = _cache_hits(argb, cache_bits)
+    hit &= literal
+    if np.count_nonzero(hit) < 8:  # too few for what the longer alphabet costs
+        cache_bits, hit = 0, np.zeros(n, bool)
+    literal &= ~hit
+    at, hit_at = np.nonzero(literal)[0], np.nonzero(hit)[0]
+    samples = argb[at].view(np.uint8).reshape(-1, 4)  # blue, green, red, alpha
+    near = _distance_codes(width)
+    length, length_extra, length_bits = _prefixes(copies[:, 1])
+    far, far_extra, far_bits = _prefixes(np.array([near.get(d, d + 120) for d in copies[:, 2].tolist()], np.int64))
+    alphabet = GREEN_SYMBOLS + LENGTH_SYMBOLS + (1 << cache_bits if cache_bits else 0)
+    first = np.concatenate([samples[:, 1], GREEN_SYMBOLS + length, GREEN_SYMBOLS + LENGTH_SYMBOLS + slot[hit_at]]).astype(np.int64)
+    green, green_written = _code_table(np.bincount(first, minlength=alphabet))
+    other, other_written = _code_table(np.bincount(samples[:, [0, 2, 3]].ravel(), minlength=256))
+    distance, distance_written = _code_table(np.bincount(far, minlength=DISTANCE_SYMBOLS))
 
-def _even_bits(argb: np.ndarray, top: bool) -> np.ndarray:
-    """An entropy image of fixed-length codes."""
     head = BitWriter()
-    _image_head(head, top)
-    words, at = np.zeros(len(argb), np.uint32), 0
-    for shift, alphabet in ((8, GREEN_SYMBOLS + LENGTH_SYMBOLS), (16, 256), (0, 256), (24, 256)):
-        samples = (argb >> np.uint32(shift)) & np.uint32(255)
-        used = np.nonzero(np.bincount(samples, minlength=256))[0].tolist()
-        lengths = even_lengths(used, 256) + [0] * (alphabet - 256)
-        write_code(head, lengths)
-        if len(used) > 1:
-            codes = np.zeros(256, np.uint32)
-            chosen = np.nonzero(lengths)[0]
-            size = len(chosen).bit_length() - 1
-            codes[chosen] = even_codes(size)
-            words |= codes[samples] << np.uint32(at)
-            at += size
-    write_code(head, [1] + [0] * (DISTANCE_SYMBOLS - 1))
-    each = np.unpackbits(words.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :at]
-    return np.concatenate([head.data(), each.reshape(-1)])
-
-
-def _repeats(rows: np.ndarray) -> list[tuple[int, int]]:
-    """Greedy (first row, how many) runs of rows that equal the rows just before them."""
-    same = (rows[1:] == rows[:-1]).all(axis=1)
-    edges = np.diff(np.concatenate([[0], same.astype(np.int8), [0]]))
-    return [(int(a) + 1, int(b - a)) for a, b in zip(np.nonzero(edges == 1)[0], np.nonzero(edges == -1)[0])]
-
-
-def _prefix(value: int) -> tuple[int, int, int]:
-    """Symbol, extra bits and their number for a length or distance."""
-    if value <= 4:
-        return value - 1, 0, 0
-    v = value - 1
-    n = v.bit_length() - 2
-    return 2 * n + 2 + ((v >> n) & 1), v & ((1 << n) - 1), n
-
-
-def _referenced_bits(argb: np.ndarray) -> np.ndarray:
-    """An entropy image whose repeated rows are references to the row above (distance code 1)."""
-    ops: list[tuple[int, int]] = []  # (first pixel, pixels copied); 0: a literal
-    at = 0
-    for first, n in _repeats(argb.reshape(-1, WIDTH)):
-        ops += [(i, 0) for i in range(at, first * WIDTH)]
-        start, left = first * WIDTH, n * WIDTH
-        while left:
-            step = min(left, 4096)
-            ops.append((start, step))
-            start, left = start + step, left - step
-        at = start
-    ops += [(i, 0) for i in range(at, len(argb))]
-    pixels = argb.tolist()
-    green = sorted({256 + _prefix(n)[0] if n else pixels[i] >> 8 & 255 for i, n in ops})
-    bits = BitWriter()
-    _image_head(bits, True)
-    tables = []
-    for symbols, alphabet in ((green, GREEN_SYMBOLS + LENGTH_SYMBOLS), *((sorted({pixels[i] >> s & 255 for i, n in ops if not n}), 256) for s in (16, 0, 24)), ([0], DISTANCE_SYMBOLS)):
-        lengths = even_lengths(symbols, alphabet)
-        write_code(bits, lengths)
-        tables.append(canonical(lengths) if len([x for x in lengths if x]) > 1 else None)
-    parts = [bits.data()]
-    bits = BitWriter()
-    for i, n in ops:
-        if n:
-            symbol, extra, size = _prefix(n)
-            bits.put(*(tables[0][256 + symbol] if tables[0] else (0, 0)))
-            bits.put(extra, size)
-        else:
-            for table, shift in zip(tables, (8, 16, 0, 24)):
-                bits.put(*(table[pixels[i] >> shift & 255] if table else (0, 0)))
-        if bits.n > 4096:
-            parts.append(bits.data())
-            bits = BitWriter()
-    return np.concatenate([*parts, bits.data()])
-
-
-def encode_image(argb: np.ndarray) -> bytes:
-    """A file of pixels in rows of WIDTH."""
-    height = len(argb) // WIDTH
-    rows = argb.reshape(height, WIDTH)
-    plain = BitWriter()
-    plain.put(0, 1)  # no (further) transform
-    colours = np.unique(argb[: 4 * WIDTH])
-    colours = np.unique(argb) if len(colours) <= 16 else colours
-    if len(colours) <= 16:
-        k = _bundle(len(colours))
-        size = 8 >> k
-        index = np.searchsorted(colours, argb).astype(np.uint32).reshape(height, WIDTH >> k, 1 << k)
-        bundled = (index << (np.arange(1 << k, dtype=np.uint32) * np.uint32(size))).sum(axis=-1).astype(np.uint32).reshape(-1)
-        head = BitWriter()
+    head.put(int(cache_bits > 0), 1)
+    if cache_bits:
+        head.put(cache_bits, 4)
+    if top:
+        head.put(0, 1)  # no meta image
+    for written in (green_written, other_written, other_written, other_written, distance_written):
+        head.put(written.value, written.n)
+
+    place = np.concatenate([at, copies[:, 0], hit_at])
+    words, size = green[0][first], green[1][first]
+    m, k = len(at), len(copies)
+    for channel in (2, 0, 3):
+        words[:m] |= other[0][samples[:, channel]] << size[:m]
+        size[:m] += other[1][samples[:, channel]]
+    for value, bits in ((length_extra, length_bits), (distance[0][far], distance[1][far]), (far_extra, far_bits)):
+        words[m : m + k] |= value.astype(np.uint64) << size[m : m + k]
+        size[m : m + k] += bits.astype(np.uint64)
+    order = np.argsort(place)
+    each = np.unpackbits(words[order].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.concatenate([head.data(), each[np.arange(64, dtype=np.uint8) < size[order].astype(np.uint8)[:, None]]])
+
+
+def _neighbours(pixels: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Left, top, top left and top right pixels; zeros where there are none (those places aren't predicted by mode)."""
+    flat = pixels.reshape(-1, 4)
+    width = pixels.shape[1]
+    moved = lambda k: np.concatenate([np.zeros((k, 4), np.int64), flat])[: len(flat)].reshape(pixels.shape)
+    return moved(1), moved(width), moved(width + 1), moved(width - 1)
+
+
+def do_predictor(argb: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(residuals, image of modes): for each block the one of MODES with the smallest residuals."""
+    p = _channels(argb).reshape(-1, width, 4)
+    around = _neighbours(p)
+    rest = np.stack([_signed(p - PREDICTORS[mode](*around)) for mode in MODES])
+    rows = np.arange(0, len(p), 1 << BLOCK_BITS)
+    columns = np.arange(0, width, 1 << BLOCK_BITS)
+    sums = np.add.reduceat(np.add.reduceat(np.abs(rest).sum(axis=-1), rows, axis=1), columns, axis=2)
+    best = sums.argmin(axis=0)
+    y, x = np.indices(p.shape[:2]) >> BLOCK_BITS
+    out = np.take_along_axis(rest, best[y, x][None, :, :, None], axis=0)[0]
+    out[0] = p[0] - around[0][0]
+    out[1:, 0] = p[1:, 0] - p[:-1, 0]
+    out[0, 0] = p[0, 0] - [255, 0, 0, 0]
+    return _argb(out).reshape(-1), (np.array(MODES, np.uint32)[best.reshape(-1)] << np.uint32(8)) | np.uint32(0xFF000000)
+
+
+def do_cross_colour(argb: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pixels, image of colour codes): red and blue less the share of green that least squares give for the image."""
+    p = _signed(_channels(argb)).astype(np.float64)
+    green = p[:, 2] - p[:, 2].mean()
+    power = max(float(green @ green), 1.0)
+    share = lambda c: int(np.clip(round(32 * float(green @ (p[:, c] - p[:, c].mean())) / power), -127, 127)) & 255
+    blocks = -(-width >> BLOCK_BITS) * -(-(len(argb) // width) >> BLOCK_BITS)
+    codes = np.full(blocks, 0xFF000000 | share(3) << 8 | share(1), np.uint32)
+    return cross_colour(argb, width, codes, BLOCK_BITS, sign=-1), codes
+
+
+def _take_green(argb: np.ndarray) -> np.ndarray:
+    p = _channels(argb)
+    p[..., 1] -= p[..., 2]
+    p[..., 3] -= p[..., 2]
+    return _argb(p)
+
+
+def _related(argb: np.ndarray) -> bool:
+    """Whether neighbours or channels are alike enough for a transform to be worth trying."""
+    samples = argb.view(np.uint8)
+    near = max(float((samples[4:] == samples[:-4]).mean()), float((samples[UNIT:] == samples[:-UNIT]).mean()) if len(samples) > UNIT else 0.0)
+    p = argb.view(np.uint8).reshape(-1, 4)
+    return near > 0.3 or float((p[:, 1] == p[:, 2]).mean()) > 0.3 or float((p[:, 1] == p[:, 0]).mean()) > 0.3
+
+
+def encode_image(argb: np.ndarray, width: int = WIDTH) -> bytes:
+    """A file of pixels in rows of `width`."""
+    height = len(argb) // width
+    head, done = BitWriter(), BitWriter()
+    done.put(0, 1)  # no (further) transform
+
+    def transform(kind: int) -> None:
         head.put(1, 1)
-        head.put(PALETTE, 2)
+        head.put(kind, 2)
+
+    colours = np.unique(argb)
+    if len(colours) <= 256 and 4 * len(colours) <= len(argb):
+        k = _bundle(len(colours))
+        index = np.zeros((height, -(-width >> k) << k), np.uint32)
+        index[:, :width] = np.searchsorted(colours, argb).reshape(height, width)
+        bundled = (index.reshape(height, -1, 1 << k) << (np.arange(1 << k, dtype=np.uint32) * np.uint32(8 >> k))).sum(axis=-1).astype(np.uint32).reshape(-1)
+        transform(PALETTE)
         head.put(len(colours) - 1, 8)
         steps = _argb(np.diff(_channels(colours), axis=0, prepend=np.zeros((1, 4), np.int64)))
-        return _file(WIDTH, height, np.concatenate([head.data(), _even_bits(steps, False), plain.data(), _even_bits(bundled << np.uint32(8) | np.uint32(0xFF000000), True)]))
-    repeated = int((rows[1:] == rows[:-1]).all(axis=1).sum())
-    if 2 * repeated > height:
-        return _file(WIDTH, height, np.concatenate([plain.data(), _referenced_bits(argb)]))
-    return _file(WIDTH, height, np.concatenate([plain.data(), _even_bits(argb, True)]))
+        return _file(width, height, np.concatenate([head.data(), _entropy_bits(steps, len(steps), False), done.data(), _entropy_bits(bundled << np.uint32(8) | np.uint32(0xFF000000), -(-width >> k), True)]))
+    parts, pixels = [], argb
+    if _related(argb):
+        rest, modes = do_predictor(argb, width)
+        shifted, codes = do_cross_colour(argb, width)
+        options = [(_entropy(argb), None, argb, None), (_entropy(rest) + _entropy(modes), PREDICTOR, rest, modes), (_entropy(shifted) + _entropy(codes), CROSS_COLOUR, shifted, codes), (_entropy(green := _take_green(argb)), SUBTRACT_GREEN, green, None)]
+        _, kind, pixels, image = min(options, key=lambda o: o[0])
+        if kind is not None:
+            transform(kind)
+            if image is not None:
+                head.put(BLOCK_BITS - 2, 3)
+                parts = [_entropy_bits(image, -(-width >> BLOCK_BITS), False)]
+    return _file(width, height, np.concatenate([head.data(), *parts, done.data(), _entropy_bits(pixels, width, True)]))
 
 
 def store(raw: bytes) -> bytes:
@@ -577,11 +758,11 @@ def store(raw: bytes) -> bytes:
     return b"".join(encode_image(argb[i : i + ROWS * WIDTH]) for i in range(0, len(argb), ROWS * WIDTH))
 
 
-def load(media: bytes) -> np.ndarray:
+def load(media: bytes, seen: Counter | None = None) -> np.ndarray:
     """Pixels (rows, WIDTH, 4) of all files in media."""
     parts, at = [], 0
     while at < len(media):
-        pixels, _, length = decode_image(media[at:] if at else media)
+        pixels, _, length = decode_image(media, at, seen)
         parts.append(pixels)
         at += length
     return np.concatenate(parts)
@@ -598,27 +779,39 @@ def features(pixels: np.ndarray) -> str:
 # --- operators ---------------------------------------------------------------------------------------------------------
 
 
+#: Characters of text, or bytes of media, that are coded before the results are sent on.
+SLICE = 2_000_000
+
+
 def _encode(batches):
-    for pdf in batches:
+    for pdf in (part for batch in batches for part in slices(batch, SLICE)):
         raw = [("" if t is None else t).encode("utf-8", "surrogatepass") for t in pdf["text"]]
-        yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "n_bytes": [len(r) for r in raw], "media": [store(r) for r in raw]})
+        yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64").to_numpy(), "n_bytes": [len(r) for r in raw], "media": [store(r) for r in raw]})
 
 
 def to_media(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes and media for every row of docs(doc_id, text, ...). A null text is empty: one unit of bytes 0."""
+    """doc_id, n_bytes and media for every row of docs(doc_id, text, ...). A null text is empty: one unit of bytes 0.
+
+    Repeated rows are stored one by one; an empty table gives no rows; other columns are ignored.
+    """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return source.mapInPandas(_encode, "doc_id long, n_bytes long, media binary")
 
 
 def _decode(batches, keep_pixels: bool):
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", *(["pixels"] if keep_pixels else [])]
     for pdf in batches:
-        rows = []
-        for media in pdf["media"]:
+        rows, held = [], 0
+        for doc_id, n_bytes, media in zip(pdf["doc_id"].astype("Int64"), pdf["n_bytes"], pdf["media"]):
             pixels = load(media)
             payload = pixels.tobytes()
-            rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), features(pixels), *([payload] if keep_pixels else [])))
-        names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", *(["pixels"] if keep_pixels else [])]
-        yield pd.concat([pdf[["doc_id", "n_bytes"]].astype({"doc_id": "Int64"}).reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
+            rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), features(pixels), *([payload] if keep_pixels else [])))
+            held += len(payload)
+            if held > SLICE:
+                yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+                rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
 
 _DIGESTS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"

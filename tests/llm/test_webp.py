@@ -1,6 +1,9 @@
+import collections
 import hashlib
+import os
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -25,24 +28,10 @@ def entropy(argb, top=True, cache_bits=0):
     greens = sorted({(op >> 8 & 255) if ok else op for op, ok in zip(ops, is_pixel)})
     size = 280 + (1 << cache_bits if cache_bits else 0)
 
-    def skewed(symbols, alphabet):
-        lengths = [0] * alphabet
-        n = len(symbols)
-        if n > 100:
-            return w.even_lengths(symbols, alphabet)
-        if n == 1:
-            lengths[symbols[0]] = 1
-        else:  # one short code, the others alike and filled up
-            rest = [s for s in symbols[1:]]
-            depth = max(1, (len(rest) - 1).bit_length())
-            fill = [s for s in range(alphabet) if s not in symbols][: (1 << depth) - len(rest)]
-            lengths[symbols[0]] = 1
-            for s in rest + fill:
-                lengths[s] = depth + 1
-        return lengths
-
     for symbols, alphabet in ((greens, size), *((sorted({p >> s & 255 for p, ok in zip(argb.tolist(), is_pixel) if ok}), 256) for s in (16, 0, 24)), ([0], 40)):
-        lengths = skewed(symbols, alphabet)
+        counts = np.zeros(alphabet, int)
+        counts[symbols] = np.arange(len(symbols)) ** 2 + 1  # so that the codes' lengths differ
+        lengths = w.code_lengths(counts, 15)
         w.write_code(bits, lengths)
         tables.append(w.canonical(lengths) if sum(map(bool, lengths)) > 1 else None)
     for op, ok in zip(ops, is_pixel):
@@ -122,6 +111,46 @@ def test_references_copy_overlapping_runs():
     assert (w._argb(w.decode_image(data)[0].astype(np.int64)).reshape(-1) == argb).all()
 
 
+def test_code_lengths_are_optimal_and_bounded():
+    rng = np.random.default_rng(0)
+    for n in (2, 3, 7, 60, 256):
+        counts = rng.integers(0, 1000, n) ** 2 + 1
+        lengths = w.code_lengths(counts, 60)
+        assert sum(2.0**-k for k in lengths) == 1
+        heap = sorted(counts.tolist())
+        cost = 0
+        while len(heap) > 1:
+            two = heap[0] + heap[1]
+            cost += two
+            heap = sorted(heap[2:] + [two])
+        assert int(np.dot(counts, lengths)) == cost
+    steep = w.code_lengths([1 << min(i, 40) for i in range(30)], 11)
+    assert max(steep) <= 11 and sum(2.0**-k for k in steep) == 1
+
+
+def test_transforms_are_used_where_they_help():
+    seen = collections.Counter()
+    rng = np.random.default_rng(0)
+    noise = rng.integers(0, 3, 16_000)
+    level = bytes((np.repeat(rng.integers(0, 200, 250), 64) + noise).astype(np.uint8))  # rows of nearly one value
+    shared = rng.integers(0, 100, 4000)
+    tied = np.stack([rng.integers(0, 3, 4000), shared, shared, shared], axis=1).astype(np.uint8).tobytes()  # red, green and blue alike
+    for raw in (level, tied, b"abcdabce" * 100, bytes(range(256)) * 40):
+        assert w.load(w.store(raw), seen).tobytes()[: len(raw)] == raw
+    assert seen["predictor"] and seen["cross_colour"] + seen["subtract_green"] and seen["palette"] and seen["references"]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the driver's tables")
+def test_documents_run_through_the_decoder():
+    seen, stored, raw_bytes = collections.Counter(), 0, 0
+    for (text,) in duckdb.sql("select text from '/root/testdata/sf0.001/documents.parquet'").fetchall():
+        raw = (text or "").encode()
+        media = w.store(raw)
+        assert w.load(media, seen).tobytes()[: len(raw)] == raw
+        stored, raw_bytes = stored + len(media), raw_bytes + len(raw)
+    assert all(seen[k] for k in ("long_codes", "references", "cache_hits", "palette")) and stored < 0.6 * raw_bytes
+
+
 def test_rejects_other_files():
     good = w.store(b"some text to be stored here")
     for bad in (b"RIFF....WEBPVP8 ", b"x" + good[1:], good[:20] + b"\0" + good[21:]):
