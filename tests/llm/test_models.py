@@ -10,7 +10,7 @@ from pulsemill.llm import lm_scoring, mixing, packing, quality_rules, toxicity
 
 
 def test_margins_meet_their_targets(docs):
-    out = mixing.mix_sources(docs, sweeps=30).toPandas()
+    out = mixing.mix_sources(docs, sweeps=12).toPandas()
     assert out["probability"].max() == 1 and (out["probability"] > 0).all()
     out["mass"] = out["probability"] * out["n_tokens"]
     for dim in mixing.DIMS:
@@ -23,7 +23,7 @@ def test_given_targets_are_met(spark, docs):
     t = lambda rows, dim: spark.createDataFrame(rows, f"{dim} string, target double")
     own = mixing.mix_sources(docs).toPandas()
     targets = {"source": t([(s, 0.25) for s in own["source"].unique()], "source"), "lang": t([("a", 0.7), ("b", 0.3)], "lang"), "topic": t([(x, 1.0 / own["topic"].nunique()) for x in own["topic"].unique()], "topic")}
-    out = mixing.mix_sources(docs, targets, sweeps=200).toPandas()
+    out = mixing.mix_sources(docs, targets, sweeps=25).toPandas()
     out["mass"] = out["probability"] * out["n_tokens"]
     assert abs((out.groupby("lang")["mass"].sum() / out["mass"].sum())["a"] - 0.7) < 1e-3
 
@@ -158,11 +158,32 @@ def test_toxic_words_are_learnt(docs, labels, corpus):
     assert len(kept & {i for i, t in toxic.items() if not t}) > 0.95 * sum(not t for t in toxic.values())
 
 
+def judged_table(spark, rows):
+    return spark.createDataFrame([(h, f, False, False, False) for h, f in rows], "host string, short boolean, repeats boolean, symbols boolean, dup_lines boolean")
+
+
 def test_host_rates_are_shrunk(spark):
-    rows = [("a", i < 5) for i in range(10)] + [("b", False)] * 50 + [("c", True)]
-    judged = spark.createDataFrame(rows, "host string, failed boolean")
-    got = {r["host"]: r["host_rate"] for r in quality_rules.host_verdicts(judged).collect()}
-    assert 0.45 < got["a"] < 0.55 and 0 < got["b"] < 0.1 and 0.5 < got["c"] < 1
+    rows = [("a", i < 50) for i in range(100)] + [("b", i < 5) for i in range(100)] + [("c", True)] + [(f"h{j}", i < 10) for j in range(20) for i in range(100)]
+    got = {r["host"]: r for r in quality_rules.host_verdicts(judged_table(spark, rows)).collect()}
+    m = sum(f for _, f in rows) / len(rows)
+    assert m < got["a"]["host_rate"] < 0.5
+    assert got["a"]["worst_rule"] == "short" and not any(r["host_rejected"] for r in got.values())
+
+
+def test_many_small_hosts_shrink_by_what_sampling_leaves(spark):
+    rng = np.random.default_rng(5)
+    same = [(f"h{j}", bool(rng.random() < 0.3)) for j in range(4000) for _ in range(1 + j % 3)]
+    rates = [r["host_rate"] for r in quality_rules.host_verdicts(judged_table(spark, same)).collect() if r["worst_rule"] == "short"]
+    assert len(rates) > 500 and np.std(rates) < 0.05  # hosts of one to three documents that differ by chance alone are all near the corpus rate
+    p = {j: rng.beta(0.6, 1.4) for j in range(4000)}
+    unlike = [(f"h{j}", bool(rng.random() < p[j])) for j in p for _ in range(1 + j % 3)]
+    m = np.mean([f for _, f in unlike])
+    by_host = collections.defaultdict(list)
+    for h, f in unlike:
+        by_host[h].append(f)
+    for r in quality_rules.host_verdicts(judged_table(spark, unlike)).collect():
+        k, n = sum(by_host[r["host"]]), len(by_host[r["host"]])
+        assert r["worst_rule"] != "short" or abs(r["host_rate"] - (k + 2 * m) / (n + 2)) < 0.05  # strength 0.6 + 1.4
 
 
 def test_a_bad_host_loses_its_good_documents(spark):
