@@ -41,29 +41,44 @@ def default_targets(cells: DataFrame, dim: str, temperature: float) -> DataFrame
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
-    """cells(source, lang, topic, base) with the column weight, whose shares meet the targets of each dimension."""
+    """cells(source, lang, topic, base) with the columns weight, whose shares meet the targets of each dimension, and residual.
+
+    residual is the largest difference between a share and its target that the sweeps leave. Each sweep is one plan over the
+    cells and one small table, of a factor for each value of each dimension.
+    """
     cells = cut(cells, narrow=True)
-    kept = {dim: cut(t, narrow=True) for dim, t in targets.items()}
-    factors: dict[str, DataFrame] = {}
+    kept = {dim: broadcast_if_small(cut(t, narrow=True), 100) for dim, t in targets.items()}
+    factors = {dim: None for dim in DIMS}
 
-    def weighed(without: str | None = None) -> DataFrame:
+    def weighed(now: dict, without: str | None = None) -> DataFrame:
         """cells with the product of the other dimensions' factors as weight."""
         out = cells.withColumn("weight", F.col("base"))
-        for dim, table in factors.items():
-            if dim != without:
-                out = out.join(table, dim).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
+        for dim in DIMS:
+            if dim != without and now[dim] is not None:
+                out = out.join(now[dim], dim).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
         return out
 
     for _ in range(sweeps):
+        now = dict(factors)
         for dim in DIMS:
-            mass = weighed(without=dim).groupBy(dim).agg(F.sum("weight").alias("mass"))
-            step = cut(mass.join(broadcast_if_small(kept[dim], 100), dim).select(dim, (F.col("target") / F.col("mass")).alias("factor")), narrow=True)
-            factors[dim] = broadcast_if_small(step, 100)
-    return weighed()
+            mass = weighed(now, without=dim).groupBy(dim).agg(F.sum("weight").alias("mass"))
+            now[dim] = mass.join(kept[dim], dim).select(dim, (F.col("target") / F.col("mass")).alias("factor"))
+        rows = [now[dim].select(F.lit(dim).alias("dim"), F.col(dim).alias("value"), "factor") for dim in DIMS]
+        done = cut(rows[0].union(rows[1]).union(rows[2]), narrow=True)
+        n = done.count()
+        factors = {dim: broadcast_if_small(done.filter(F.col("dim") == dim).select(F.col("value").alias(dim), "factor"), 100, rows=n) for dim in DIMS}
+    out = weighed(factors)
+    total = out.agg(F.sum("weight").alias("total"))
+    misses = []
+    for dim in DIMS:
+        share = out.groupBy(dim).agg(F.sum("weight").alias("mass")).join(kept[dim], dim).join(F.broadcast(total))
+        misses.append(share.select(F.abs(F.col("mass") / F.col("total") - F.col("target")).alias("miss")))
+    # One row, as the total is.
+    return out.join(F.broadcast(misses[0].union(misses[1]).union(misses[2]).agg(F.max("miss").alias("residual"))))
 
 
 def mix_sources(docs: DataFrame, targets: dict[str, DataFrame] | None = None, temperature: float = TEMPERATURE, sweeps: int = SWEEPS, topics=TOPICS) -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens, probability (9 digits) and sampled for every row of docs(doc_id, text, lang, source).
+    """doc_id, source, lang, topic, n_tokens, probability (9 digits), sampled and residual (6 digits: how far the shares of all cells are from their targets at most) for every row of docs(doc_id, text, lang, source).
 
     A null source or language is the value '(none)'. A null or empty text has no tokens: it belongs to no cell, so its
     probability is 0 and it is not sampled. Rows that share a doc_id share their random number. Targets are tables
@@ -76,12 +91,13 @@ def mix_sources(docs: DataFrame, targets: dict[str, DataFrame] | None = None, te
     cells = cut(narrow=True, df=counted.filter("n_tokens > 0").groupBy(*DIMS).agg(F.sum("n_tokens").cast("double").alias("base")))
     targets = targets or {dim: default_targets(cells, dim, temperature) for dim in DIMS}
     raked = cut(rake(cells, targets, sweeps).withColumn("factor", F.col("weight") / F.col("base")), narrow=True)
-    top = raked.agg(F.max("factor").alias("top"))
-    odds = raked.join(F.broadcast(top)).select(*(F.col(d).alias(f"cell_{d}") for d in DIMS), F.round(F.col("factor") / F.col("top"), 9).alias("p"))
+    top = raked.agg(F.max("factor").alias("top"), F.max("residual").alias("residual"))
+    odds = raked.join(F.broadcast(top.select("top"))).select(*(F.col(d).alias(f"cell_{d}") for d in DIMS), F.round(F.col("factor") / F.col("top"), 9).alias("p"))
     same = [F.col(d) == F.col(f"cell_{d}") for d in DIMS]
     found = counted.join(broadcast_if_small(cut(odds, narrow=True), 200), same[0] & same[1] & same[2], "left")
     p = F.when(F.col("n_tokens") > 0, F.coalesce("p", F.lit(0.0))).otherwise(F.lit(0.0))
-    return found.select("doc_id", *DIMS, "n_tokens", p.alias("probability"), F.coalesce(uniform(F.col("doc_id")) < p, F.lit(False)).alias("sampled"))
+    found = found.join(F.broadcast(top.select(F.round("residual", 6).alias("residual"))))  # one row
+    return found.select("doc_id", *DIMS, "n_tokens", p.alias("probability"), F.coalesce(uniform(F.col("doc_id")) < p, F.lit(False)).alias("sampled"), "residual")
 
 
 def mixing_sql(temperature: float = TEMPERATURE, sweeps: int = SWEEPS) -> str:
@@ -102,8 +118,11 @@ def mixing_sql(temperature: float = TEMPERATURE, sweeps: int = SWEEPS) -> str:
             steps.append(f"s{n} as materialized (select w0.{d}, any_value(target) / sum({weight}) as factor from w0 {joins} join t_{d} on w0.{d} = t_{d}.{d} group by w0.{d})")
             now[d], n = f"s{n}", n + 1
     joins = " ".join(f"join {now[x]} on w0.{x} = {now[x]}.{x}" for x in DIMS)
-    steps.append(f"f as (select w0.source, w0.lang, w0.topic, {' * '.join(f'{now[x]}.factor' for x in DIMS)} as factor from w0 {joins})")
+    product = " * ".join(f"{now[x]}.factor" for x in DIMS)
+    steps.append(f"f as (select w0.source, w0.lang, w0.topic, {product} as factor, base * {product} as weight from w0 {joins})")
+    misses = " union all ".join(f"select max(abs(mass / (select sum(weight) from f) - target)) as miss from (select {d}, sum(weight) as mass from f group by {d}) x join t_{d} on x.{d} = t_{d}.{d}" for d in DIMS)
+    steps.append(f"r as (select round(max(miss), 6) as residual from ({misses}))")
     steps.append("o as (select source, lang, topic, round(factor / (select max(factor) from f), 9) as p from f)")
     u = "cast(('0x' || substr(md5(cast(c.doc_id as varchar)), 1, 8)) as bigint) / 4294967296.0"
     p = "case when n_tokens > 0 then coalesce(p, 0.0) else 0.0 end"
-    return f"with {', '.join(steps)} select c.doc_id, c.source, c.lang, c.topic, n_tokens, {p} as probability, {u} < {p} as sampled from c left join o on c.source = o.source and c.lang = o.lang and c.topic = o.topic"
+    return f"with {', '.join(steps)} select c.doc_id, c.source, c.lang, c.topic, n_tokens, {p} as probability, {u} < {p} as sampled, (select residual from r) as residual from c left join o on c.source = o.source and c.lang = o.lang and c.topic = o.topic"
