@@ -166,6 +166,11 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def text_parts(texts: DataFrame, bytes_each: int, least: int) -> int:
+    """Parts of about bytes_each bytes of the column text, counted; `least` at least."""
+    return max(least, (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // bytes_each)
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit_mb: int = 48, rows: int | None = None) -> DataFrame:
     """df with a broadcast hint if its counted rows fit the limit; otherwise unchanged, for a shuffled join."""
     n = df.count() if rows is None else rows

@@ -11,8 +11,9 @@ window in fourteen is counted.
 
 Counting: each batch of documents sends each of its distinct hashes once, with one place, to the task that owns the
 hash's range. Places of a hash that a batch holds twice or more are known to repeat and go straight to their documents, so
-a window that a third of all documents share reaches its owner once for each batch. Words are compared by 64-bit hashes
-of the words and of their sequence.
+a window that a third of all documents share reaches its owner once for each batch. Short windows are compared by 64-bit
+hashes of the words and of their sequence, which may only let too much go on; full windows by two such hashes with
+independent seeds, 128 bits in all.
 """
 
 from __future__ import annotations
@@ -26,14 +27,14 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, cut, gram_hashes, mix, shuffle_parts, slices, token_hashes, words
+from .common import broadcast_if_small, cut, gram_hashes, mix, shuffle_parts, slices, text_parts, token_hashes, words
 
 WINDOW = 35
 START = 9
-#: Ranges of the hash space for each shuffle partition.
-RANGES = 4
-#: A part of the documents for so many shuffle partitions.
-DOC_SHARE = 4
+#: Bytes of text for which there is a range of the hash space, and for which there is a part of the documents: so no group grows with the table.
+RANGE_BYTES, DOC_BYTES = 8 << 20, 32 << 20
+#: Ranges of the hash space for each shuffle partition at least, and shuffle partitions for a part of the documents at most.
+RANGES, DOC_SHARE = 4, 4
 #: Characters of text whose windows are gathered before they are sent.
 CHARS = 4_000_000
 
@@ -59,11 +60,18 @@ def minimisers(h: np.ndarray, short: int, window: int) -> np.ndarray:
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of the runs of equal values in a sorted array."""
-    edges = np.concatenate([[True], keys[1:] != keys[:-1], [True]]).nonzero()[0] if len(keys) else np.zeros(1, int)
+    """Edges of the runs of equal values (or rows) in a sorted array."""
+    if not len(keys):
+        return np.zeros(0, int), np.zeros(0, int)
+    new = keys[1:] != keys[:-1]
+    edges = np.concatenate([[True], new if new.ndim == 1 else new.any(axis=1), [True]]).nonzero()[0]
     return edges[:-1], edges[1:]
 
 
+def _sorted_by(hashed: np.ndarray) -> np.ndarray:
+    return np.lexsort(hashed.T[::-1])
+
+
 def _rows(part: np.ndarray, doc: np.ndarray, place: np.ndarray, hashed: np.ndarray) -> list[tuple]:
     order = np.argsort(part, kind="stable")
     part, doc, place, hashed = part[order], doc[order], place[order], hashed[order]
@@ -71,14 +79,14 @@ def _rows(part: np.ndarray, doc: np.ndarray, place: np.ndarray, hashed: np.ndarr
 
 
 def _dealt(ids: list, places: list, hashes: list, parts: int) -> pd.DataFrame:
-    """A batch's rows: its distinct hashes by range, and under negative parts the places that repeat within the batch."""
+    """A batch's rows: its distinct hashes (rows of one or two columns) by range, and under negative parts the places that repeat within the batch."""
     rows = []
     if ids:
         doc, place, hashed = np.repeat(np.array(ids, np.int64), [len(p) for p in places]), np.concatenate(places).astype(np.int32), np.concatenate(hashes)
-        order = np.argsort(hashed, kind="stable")
+        order = _sorted_by(hashed)
         doc, place, hashed = doc[order], place[order], hashed[order]
         first, last = _runs(hashed)
-        part = ((hashed[first] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        part = ((hashed[first, 0] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         rows = _rows(part, doc[first], place[first], hashed[first])
         twice = np.repeat(last - first > 1, last - first)
         own = doc[twice]
@@ -94,7 +102,7 @@ def _first_level(batches, short: int, window: int, parts: int):
             if len(at):
                 ids.append(doc_id)
                 places.append(at)
-                out.append(gram_hashes(h, short)[at])
+                out.append(gram_hashes(h, short)[at, None])
         yield _dealt(ids, places, out, parts)
 
 
@@ -107,7 +115,8 @@ def _next_level(batches, short: int, length: int, window: int, parts: int):
     """
     for pdf in (part for batch in batches for part in slices(batch, CHARS)):
         ids, places, out = [], [], []
-        for doc_id, h, kept in zip(pdf["doc_id"], token_hashes(pdf["text"], lower=False), pdf["places"]):
+        others = token_hashes(pdf["text"], lower=False, seed=1) if length == window else [None] * len(pdf)
+        for doc_id, h, other, kept in zip(pdf["doc_id"], token_hashes(pdf["text"], lower=False), others, pdf["places"]):
             if len(h) < window:  # another row of a repeated doc_id
                 continue
             at = np.frombuffer(kept, np.int32).astype(np.int64)
@@ -115,10 +124,10 @@ def _next_level(batches, short: int, length: int, window: int, parts: int):
                 grams = gram_hashes(h, length)
                 right, left = at[at < len(grams)], at[(at >= length - short) & (at - (length - short) < len(grams))]
                 place = np.concatenate([2 * right, 2 * left + 1])
-                hashed = np.concatenate([grams[right], mix(grams[left - (length - short)])])
+                hashed = np.concatenate([grams[right], mix(grams[left - (length - short)])])[:, None]
             else:
                 place = np.nonzero(_both(h, at, short, window))[0]
-                hashed = gram_hashes(h, window)[place]
+                hashed = np.stack([gram_hashes(h, window)[place], gram_hashes(other, window)[place]], axis=1)
             if len(place):
                 ids.append(doc_id)
                 places.append(place)
@@ -140,13 +149,13 @@ def _both(h: np.ndarray, at: np.ndarray, short: int, window: int) -> np.ndarray:
     return np.where(fits, right[own], left[own])
 
 
-def _repeated(pdf: pd.DataFrame, doc_parts: int) -> pd.DataFrame:
+def _repeated(pdf: pd.DataFrame, doc_parts: int, columns: int) -> pd.DataFrame:
     """Of one part: the documents and places whose hash more than one batch sent; of a negative part, all places. Sent on by the documents' part."""
     doc = np.concatenate([np.frombuffer(b, np.int64) for b in pdf["docs"]])
     place = np.concatenate([np.frombuffer(b, np.int32) for b in pdf["places"]])
     if pdf["part"].iloc[0] >= 0:
-        hashed = np.concatenate([np.frombuffer(b, np.uint64) for b in pdf["hashes"]])
-        order = np.argsort(hashed, kind="stable")
+        hashed = np.concatenate([np.frombuffer(b, np.uint64) for b in pdf["hashes"]]).reshape(-1, columns)
+        order = _sorted_by(hashed)
         first, last = _runs(hashed[order])
         at = order[np.repeat(last - first > 1, last - first)]
         doc, place = doc[at], place[at]
@@ -173,16 +182,23 @@ def _by_document(pdf: pd.DataFrame, runs: bool) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["doc_id", "places"])
 
 
-def _survivors(blocks: DataFrame, runs: bool = False) -> tuple[DataFrame, int]:
-    """(doc_id, places) of what repeated, one row for each document, and the table's size in bytes."""
-    found = blocks.groupBy("part").applyInPandas(functools.partial(_repeated, doc_parts=max(4, shuffle_parts(blocks.sparkSession) // DOC_SHARE)), _BLOCK)
+def _survivors(blocks: DataFrame, doc_parts: int, last: bool) -> tuple[DataFrame, int]:
+    """(doc_id, places) of what repeated, one row for each document, and the table's size in bytes. At the last level hashes have two columns and places are runs."""
+
+    def repeated(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _repeated(pdf, doc_parts, 2 if last else 1)
+
+    def by_document(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _by_document(pdf, last)
+
+    found = blocks.groupBy("part").applyInPandas(repeated, _BLOCK)
     # A part of the documents holds as many places as their words at most.
-    joined = cut(found.groupBy("part").applyInPandas(functools.partial(_by_document, runs=runs), _FOUND))
+    joined = cut(found.groupBy("part").applyInPandas(by_document, _FOUND))
     return joined, joined.agg(F.sum(F.octet_length("places") + 24)).first()[0] or 0
 
 
 def _cover(batches, window: int):
-    for pdf in batches:
+    for pdf in (part for batch in batches for part in slices(batch)):
         rows = []
         for text, at in zip(pdf["text"], pdf["places"]):
             found = words(text, lower=False)
@@ -206,14 +222,16 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, start: int = START)
     """(doc_id, places: (first, last) of the runs of repeated full windows' starts), and the table's bytes. docs(doc_id long, text string)."""
     if window < 2 * start or window > 4 * start:
         raise ValueError("window must be two to four times the first level's length")
-    parts = RANGES * shuffle_parts(docs.sparkSession)
+    partitions = shuffle_parts(docs.sparkSession)
+    parts = text_parts(docs, RANGE_BYTES, RANGES * partitions)
+    doc_parts = max(4, partitions // DOC_SHARE, parts * RANGE_BYTES // DOC_BYTES if parts > RANGES * partitions else 0)
     steps = levels(window, start)
     blocks = docs.filter("doc_id is not null").mapInPandas(functools.partial(_first_level, short=steps[0], window=window, parts=parts), _BLOCK)
-    alive, size = _survivors(blocks)
+    alive, size = _survivors(blocks, doc_parts, False)
     for length in steps[1:]:
         held = docs.join(broadcast_if_small(alive, 1, rows=size), "doc_id").select("doc_id", "text", "places")
         blocks = held.mapInPandas(functools.partial(_next_level, short=steps[0], length=length, window=window, parts=parts), _BLOCK)
-        alive, size = _survivors(blocks, runs=length == window)
+        alive, size = _survivors(blocks, doc_parts, length == window)
     return alive, size
 
 
