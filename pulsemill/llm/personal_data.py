@@ -41,23 +41,40 @@ TERM_PATTERN = r"[\p{L}\p{M}\p{N}]+"
 SPAN = "struct<start: int, kind: int, stop: int, value: string>"
 
 
+#: Matches whose positions are summed up together; the sums of the blocks are summed in turn, so that long texts take no quadratic time.
+STEP = 64
+
+
 def located(text: Column, pattern: str) -> Column:
     """array<struct<start, stop, value>>: the matches with their positions in code points (stop exclusive).
 
-    Positions are running sums of the lengths of the matches and of the gaps that split() leaves between them.
+    Positions are running sums of the lengths of the matches and of the gaps that split() leaves between them, first inside
+    blocks of STEP matches, then over the blocks.
     """
     found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("g"))
+    span = "struct<start: int, stop: int, value: string>"
 
     def walk(x: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start: int, stop: int, value: string>>").alias("out"))
+        n = F.size(x["m"])
 
-        def step(acc: Column, i: Column) -> Column:
-            value = F.get(x["m"], i)
-            start = acc["at"] + F.char_length(F.get(x["g"], i))
-            stop = start + F.char_length(value)
-            return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), stop.alias("stop"), value.alias("value")))).alias("out"))
+        def block(b: Column) -> Column:
+            zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("out"))
 
-        return F.when(F.size(x["m"]) == 0, zero["out"]).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(x["m"]) - 1), zero, step, lambda a: a["out"]))
+            def step(acc: Column, i: Column) -> Column:
+                value = F.get(x["m"], i)
+                start = acc["at"] + F.char_length(F.get(x["g"], i))
+                stop = start + F.char_length(value)
+                return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), stop.alias("stop"), value.alias("value")))).alias("out"))
+
+            return F.aggregate(F.sequence(b * STEP, F.least(n, (b + 1) * STEP) - 1), zero, step)
+
+        def moved(blocks: Column) -> Column:
+            firsts = F.aggregate(blocks, F.array(F.lit(0)), lambda acc, b: F.concat(acc, F.array(F.element_at(acc, -1) + b["at"])))
+            by = lambda b, first: F.transform(b["out"], lambda s: F.struct((s["start"] + first).alias("start"), (s["stop"] + first).alias("stop"), s["value"].alias("value")))
+            return let(firsts, lambda f: F.flatten(F.transform(blocks, lambda b, i: by(b, F.get(f, i)))))
+
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / STEP).cast("int")), block)
+        return F.when(n == 0, F.array().cast(f"array<{span}>")).otherwise(let(blocks, moved))
 
     return let(found, walk)
 

@@ -1,5 +1,7 @@
 import collections
 import hashlib
+import math
+import random
 import re
 
 import pytest
@@ -74,6 +76,55 @@ def test_a_telling_word_is_marked_in_every_text(spark):
         assert terms == want, (i, terms)
 
 
+@pytest.mark.parametrize("n", [200, 600])
+def test_terms_equal_brute_force(spark, n):
+    rng = random.Random(n)
+    common = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(n):
+        w = rng.choices(common, k=rng.randint(1, 40))
+        who = rng.randrange(n // 10)
+        if rng.random() < 0.4:
+            w += [f"person{who}" if rng.random() < 0.8 else "somebody", f"mail u{who}@x{who % 7}.example"]
+        if rng.random() < 0.05:
+            w.append(f"Person{rng.randrange(n // 10)}")
+        rng.shuffle(w)
+        rows.append((i, " ".join(w)))
+    got = {r["doc_id"]: r["spans"] for r in personal_data.personal_digests(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    word = re.compile(r"\w+")
+    entities, terms = {}, {}
+    for i, text in rows:
+        entities[i] = {m.group().lower() for m in re.finditer(PERSONAL[0][1], text)}
+        terms[i] = {m.lower() for m in word.findall(text)}
+    n_c, n_t = collections.Counter(c for x in entities.values() for c in x), collections.Counter(t for x in terms.values() for t in x)
+    both = collections.Counter((c, t) for i in entities for c in entities[i] for t in terms[i])
+    telling = set()
+    for (c, t), k in both.items():
+        if k >= personal_data.SUPPORT and n_c[c] >= personal_data.SUPPORT and n_c[c] < n:
+            if math.log2(k * n / (n_c[c] * n_t[t])) >= -personal_data.DISCLOSURE * math.log2(n_c[c] / n):
+                telling.add(t)
+    assert telling and not any(t.startswith("w") for t in telling)
+    for i, text in rows:
+        inside = [m.span() for m in re.finditer(PERSONAL[0][1], text)]
+        want = sorted(m.span() for m in word.finditer(text) if m.group().lower() in telling and not any(a < m.end() and m.start() < b for a, b in inside))
+        assert sorted(tuple(map(int, s.split(":")[1:])) for s in got[i].split(",") if s.startswith("term")) == want
+
+
+def test_positions_in_texts_with_many_matches(spark):
+    text = " ".join(f"é{i} a{i}@b.c" for i in range(1000))
+    got = personal_data.personal_digests(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert got["n_email"] == 1000 and got["spans"] == base(text, PERSONAL)
+
+
+def test_added_secret_kinds_equal_their_patterns(spark):
+    rng = random.Random(1)
+    bits = ["-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----", "ghp_" + "a1B2" * 9, "ghx_" + "a1B2" * 9, "xoxb-1234567890-ab", "xoxb-short", "eyJabcdefghij0.eyJklmnopqrst.ABCDEFGHIJ_-", "eyJshort.a.b", "plain words", "é"]
+    rows = [(i, rng.choice(" .\n-").join(rng.choices(bits, k=rng.randint(0, 8)))) for i in range(300)]
+    for r in secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        want = sorted((m.start(), k, m.end()) for k, rule in enumerate(secret_scan.RULES) for m in re.finditer(rule.pattern, r["text"]) if len(m[rule.group]) >= rule.least)
+        assert [(s["start"], s["kind"], s["end"]) for s in r["spans"]] == [(a, secret_scan.RULES[k].kind, b) for a, k, b in want]
+
+
 def test_trigram_queries():
     q = {r.kind: secret_scan.trigram_query(r.pattern) for r in secret_scan.RULES}
     assert q["access"] == [frozenset({"aki", "kia"})] and q["hex"] is None
