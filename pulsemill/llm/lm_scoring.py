@@ -12,11 +12,12 @@ error rate holds at every size of the corpus. The other bigrams, found less ofte
 distributed, and the documents' bigrams that the filter does not know are sent to them. Their counts are quantised as well,
 so where a count is kept does not change a score.
 
-    P(w | v) = MIX * ((c(v, w) - D) / c(v) + (1 - M(v) / c(v)) * P(w)) + (1 - MIX) * P(w),    P(w) = (c(w) + 1) / (N + V + 1)
+    P(w | v) = MIX * ((c(v, w) - D) / n(v) + (1 - M(v) / n(v)) * P(w)) + (1 - MIX) * P(w),    P(w) = (c(w) + 1) / (N + V + 1)
 
-M(v) is the sum of c - D over v's bigrams found twice or more; one found once counts as not seen. A w at the start only has
-P(w). With K(v) = MIX * (1 - M(v) / c(v)) + 1 - MIX, a score is a sum over tokens and one over bigrams: log10 P(v) + log10 K(v)
-for each token, and for each known bigram the rest, its bonus.
+with quantised c(v, w). M(v) is the sum of c - D over v's bigrams found twice or more, and n(v) the larger one of c(v) and
+M(v), so P(. | v) sums to one. A bigram found once counts as not seen. The first word of a text follows the end token of a
+text before, which so stands for the start. With K(v) = MIX * (1 - M(v) / n(v)) + 1 - MIX, a score is a sum of
+log10 P(w) + log10 K(v) over tokens w after v, and for each known bigram the rest, its bonus.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mix, shuffle_parts, slices, token_hashes
+from .common import CHARS, cut, mix, shuffle_parts, slices, text_parts, token_hashes
 
 FREQUENT = 1_000_000
 MAX_BITS = 1 << 28
@@ -44,8 +45,8 @@ MIX = 0.9
 SEGMENTS = 64
 #: Distinct values that a task gathers before it sends them on.
 GATHER = 3_000_000
-#: Characters of text that are worked on at once.
-CHARS = 1_000_000
+#: Bytes of text for which there is a part of the counts at least, so no part grows with the table.
+PART_BYTES = 16 << 20
 
 _END = np.uint64(0x51ED270B2E0DF6A1)
 #: Stands for any second word: the value of (v, _ANY) is log10 K(v).
@@ -63,11 +64,11 @@ def count_of(q: np.ndarray) -> np.ndarray:
 
 
 def kappa_of(mass: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return MIX * (1 - np.minimum(mass / np.maximum(counts, 1), 1.0)) + 1 - MIX
+    return MIX * (1 - mass / np.maximum(np.maximum(counts, mass), 1)) + 1 - MIX
 
 
 def bonus_of(c: np.ndarray, n_v: np.ndarray, kappa: np.ndarray, log_w: np.ndarray) -> np.ndarray:
-    """log10 P(w | v) - log10 P(w) - log10 K(v) for the count c of a bigram."""
+    """log10 P(w | v) - log10 P(w) - log10 K(v) for the count c of a bigram and n_v = n(v)."""
     plain = 10.0**log_w
     return np.log10(np.minimum(kappa + MIX * np.maximum(c - D, 0) / np.maximum(n_v, 1) / plain, 1 / plain)) - np.log10(kappa)
 
@@ -119,10 +120,10 @@ def _send(keys: np.ndarray, counts: np.ndarray, parts: int) -> pd.DataFrame:
 
 
 def _tokens(texts) -> tuple[np.ndarray, np.ndarray]:
-    """All tokens of the texts in a row, each text's ended by the end token, and the number of each text's."""
+    """All tokens of the texts in a row, each text's ended by the end token and one before all, and the number of each text's."""
     each = token_hashes(texts, lower=True)
     sizes = np.array([len(h) for h in each], np.int64)
-    return np.insert(np.concatenate(each), np.cumsum(sizes), _END), sizes + 1
+    return np.insert(np.concatenate(each), np.concatenate([[0], np.cumsum(sizes)]), _END), sizes + 1
 
 
 def _counted(batches, keys_of, parts: int):
@@ -144,7 +145,7 @@ _BLOCK = "part long, keys binary, counts binary"
 
 
 def _unigrams(batches, parts: int):
-    yield from _counted(batches, lambda texts: _tokens(texts)[0], parts)
+    yield from _counted(batches, lambda texts: _tokens(texts)[0][1:], parts)
 
 
 def _gather(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -179,13 +180,10 @@ class Frequent:
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         return np.where(self.keys[at] == h, at, -1)
 
-    def pairs(self, tokens: np.ndarray, index: np.ndarray) -> np.ndarray:
-        """Mask over tokens from the second on: those whose bigram has two broadcast words. None starts with the end of a text."""
-        return (index[1:] >= 0) & (index[:-1] >= 0) & (tokens[:-1] != _END)
-
-    def others(self, tokens: np.ndarray, index: np.ndarray) -> np.ndarray:
-        """The same for bigrams with another word."""
-        return ((index[1:] < 0) | (index[:-1] < 0)) & (tokens[:-1] != _END)
+    @staticmethod
+    def pairs(index: np.ndarray) -> np.ndarray:
+        """Mask over tokens from the second on: those that end a bigram of two broadcast words."""
+        return (index[1:] >= 0) & (index[:-1] >= 0)
 
     @staticmethod
     def pair_keys(index: np.ndarray, mask: np.ndarray) -> np.ndarray:
@@ -198,7 +196,7 @@ def _bigrams(batches, frequent, parts: int):
     def keys_of(texts):
         tokens, _ = _tokens(texts)
         index = table.index(tokens)
-        return table.pair_keys(index, table.pairs(tokens, index))
+        return table.pair_keys(index, table.pairs(index))
 
     yield from _counted(batches, keys_of, parts)
 
@@ -220,7 +218,7 @@ def _rare_pairs(batches, frequent):
         for some in slices(pdf, CHARS):
             tokens, _ = _tokens(some["text"])
             index = table.index(tokens)
-            mask = table.others(tokens, index)
+            mask = ~table.pairs(index)
             yield pd.DataFrame({"v": tokens[:-1][mask].view(np.int64), "w": tokens[1:][mask].view(np.int64), "vi": index[:-1][mask], "wi": index[1:][mask]})
 
 
@@ -236,7 +234,7 @@ def _rare_bonus(batches, model):
     for pdf in batches:
         v, w, own = pdf["vi"].to_numpy(), pdf["wi"].to_numpy(), len(m.logs) > 0
         pick = lambda at, held, other: np.where(at >= 0, held[np.maximum(at, 0)], other) if own else np.asarray(other)
-        n_v = pick(v, m.frequent.counts, pdf["n_v"])
+        n_v = pick(v, m.norms, np.maximum(pdf["n_v"].to_numpy(float), pdf["m_v"].to_numpy(float)))
         kappa = pick(v, m.kappa, kappa_of(pdf["m_v"].to_numpy(float), pdf["n_v"].to_numpy()))
         log_w = pick(w, m.logs, np.log10(pdf["n_w"].to_numpy() + 1.0) - m.norm)
         yield pd.DataFrame({"v": pdf["v"], "w": pdf["w"], "value": bonus_of(count_of(quantised(pdf["c"].to_numpy())), n_v, kappa, log_w)})
@@ -261,7 +259,7 @@ def _bits(batches, least: int, n_bits: int, n_words: int):
             if not len(keys):
                 continue
             first, inverse = np.unique(keys >> np.uint64(32), return_inverse=True)
-            sums, width = np.bincount(inverse, weights=counts - D), -(-n_words // SEGMENTS)
+            sums, width = np.bincount(inverse, weights=count_of(quantised(counts)) - D), -(-n_words // SEGMENTS)
             edges = np.searchsorted(first, np.arange(SEGMENTS + 1) * width)
             rows = [(-1 - s, (first[a:b] - np.uint64(s * width)).astype(np.uint32).tobytes(), sums[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
             some = counts >= least
@@ -299,10 +297,11 @@ class Model:
         self.norm = float(np.log10(tokens + vocabulary + 1))
         self.logs = np.log10(frequent.counts + 1.0) - self.norm
         self.kappa = kappa_of(mass, frequent.counts)
+        self.norms = np.maximum(frequent.counts, mass)
 
     def bonus(self, keys: np.ndarray, q: np.ndarray) -> np.ndarray:
         v, w = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        return bonus_of(count_of(q), self.frequent.counts[v], self.kappa[v], self.logs[w])
+        return bonus_of(count_of(q), self.norms[v], self.kappa[v], self.logs[w])
 
 
 _LOCAL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare binary, rest binary, pairs binary"
@@ -319,25 +318,27 @@ def _score(batches, model):
             first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             by_text = lambda mask, values: [x.tobytes() for x in np.split(values, np.cumsum(np.add.reduceat(mask, first, dtype=np.int64))[:-1])]  # noqa: B023, E731
             index = table.index(tokens)
-            known = index >= 0
-            base, factor, rest, pairs = np.zeros(len(tokens)), np.zeros(len(tokens)), b"", b""
+            before, after = index[:-1], index[1:]
+            known = after >= 0
+            base, factor, rest, pairs = np.zeros(len(after)), np.zeros(len(after)), b"", b""
+            both = table.pairs(index)
             if some:
-                base[known], factor[known] = m.logs[index[known]], log_kappa[index[known]]
-                at = np.nonzero(table.pairs(tokens, index))[0]
-                keys = (index[at].astype(np.uint64) << np.uint64(32)) | index[at + 1].astype(np.uint64)
+                base[known] = m.logs[after[known]]
+                factor[before >= 0] = log_kappa[before[before >= 0]]
+                at = np.nonzero(both)[0]
+                keys = table.pair_keys(index, both)
                 q = probe(m.filter, keys)
                 hit = q > 0
                 factor[at[hit]] += m.bonus(keys[hit], q[hit])
                 if m.rest:
-                    asked = np.zeros(len(tokens), bool)
+                    asked = np.zeros(len(after), bool)
                     asked[at[~hit]] = True
                     rest = by_text(asked, keys[~hit])
             if m.others:
-                mask = np.append(table.others(tokens, index), False)
-                pairs = by_text(mask, np.stack([tokens[mask], tokens[1:][mask[:-1]]], axis=1))
+                pairs = by_text(~both, np.stack([tokens[:-1][~both], tokens[1:][~both]], axis=1))
             sums = np.add.reduceat(base, first)
             done = part[["row", "doc_id", "held_out"]].astype({"doc_id": "Int64"}).reset_index(drop=True)
-            yield done.assign(n_tokens=sizes, n_known=np.add.reduceat(known, first, dtype=np.int64), base=sums, score=sums + np.add.reduceat(factor, first), rare=by_text(~known, tokens[~known]), rest=rest, pairs=pairs)
+            yield done.assign(n_tokens=sizes, n_known=np.add.reduceat(known, first, dtype=np.int64), base=sums, score=sums + np.add.reduceat(factor, first), rare=by_text(~known, tokens[1:][~known]), rest=rest, pairs=pairs)
 
 
 def _ask(batches, parts: int, name: str):
@@ -406,7 +407,7 @@ def _rare_sums(local: DataFrame, counted: DataFrame, found: DataFrame, masses: D
     both = looked_up(found, "vi", firsts.select("v", F.col("n").alias("n_v"), F.col("m").alias("m_v")), "v", {"n_v": F.lit(0).cast("long"), "m_v": F.lit(0.0)})
     both = looked_up(both, "wi", words.select(F.col("h").alias("w"), F.col("n").alias("n_w")), "w", {"n_w": F.lit(0).cast("long")})
     values = both.mapInPandas(functools.partial(_rare_bonus, model=model), "v long, w long, value double")
-    log_kappa = F.log10(F.lit(MIX) * (1 - F.least(F.col("m") / F.col("n"), F.lit(1.0))) + (1 - MIX))
+    log_kappa = F.log10(F.lit(MIX) * (1 - F.col("m") / F.greatest(F.col("n").cast("double"), F.col("m"))) + (1 - MIX))
     values = values.unionByName(firsts.select("v", F.lit(int(_ANY.view(np.int64))).alias("w"), log_kappa.alias("value")))
     asked = local.select("row", "pairs").mapInPandas(functools.partial(_rare_asked, model=model), "row long, v long, w long")
     return asked.join(values, ["v", "w"]).groupBy("row").agg(F.sum("value").alias("value"))
@@ -422,11 +423,11 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     """
     spark = docs.sparkSession
     sc = spark.sparkContext
-    parts = 2 * shuffle_parts(spark)
     fold = F.crc32(F.col("doc_id").cast("string")) % folds
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(fold == held_fold, F.lit(False)).alias("held_out"))
     train = texts.filter(~F.col("held_out") & F.col("doc_id").isNotNull()).select("text")
 
+    parts = text_parts(texts, PART_BYTES, 2 * shuffle_parts(spark))
     counted = train.mapInPandas(functools.partial(_unigrams, parts=parts), _BLOCK)
     counted = cut(counted.groupBy("part").applyInPandas(_merge_unigrams, f"{_BLOCK}, tokens long, above array<long>"))
     sums = counted.agg(F.sum("tokens"), *(F.sum(F.col("above")[i]) for i in range(len(_POWERS)))).first()
@@ -457,7 +458,8 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     others = least > 1  # some words are not broadcast
     if others:
         found = cut(train.mapInPandas(functools.partial(_rare_pairs, frequent=frequent), "v long, w long, vi int, wi int").groupBy("v", "w", "vi", "wi").agg(F.count("*").alias("c")).filter("c >= 2"))
-        masses = cut(found.groupBy("v", "vi").agg(F.sum(F.col("c") - F.lit(D)).alias("m")))
+        level = F.least(F.floor(F.log(F.col("c") / 2) / F.log(F.lit(BASE)) + 1e-9) + 1, F.lit(LEVELS))
+        masses = cut(found.groupBy("v", "vi").agg(F.sum(2 * F.pow(F.lit(BASE), level - 0.5) - F.lit(D)).alias("m")))
         more = masses.filter("vi >= 0").select("vi", "m").toPandas()  # FREQUENT rows at most
         mass[more["vi"].to_numpy(np.int64)] += more["m"].to_numpy(np.float64)
     model = sc.broadcast(Model(table, data.reshape(-1), mass, tokens, vocabulary, cutoff > 2, others))

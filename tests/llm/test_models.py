@@ -95,19 +95,23 @@ def test_every_bigram_found_twice_counts(docs, corpus, monkeypatch, frequent, ma
     c, tokens = brute_unigrams(corpus)
     n, v = sum(c.values()), len(c)
     pairs = collections.Counter(p for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2 for p in itertools.pairwise(w))
+    # Each text's first word follows an end token, too.
+    pairs.update((None, w[0]) for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2)
+    level = lambda k: float(lm_scoring.count_of(lm_scoring.quantised(np.array([k])))[0])
     mass = collections.Counter()
     for (a, _), k in pairs.items():
-        mass[a] += (k - lm_scoring.D) * (k > 1)
+        mass[a] += (level(k) - lm_scoring.D) * (k > 1)
     mix, p = lm_scoring.MIX, lambda w: (c[w] + 1) / (n + v + 1)
 
     def after(a, b):
-        k = pairs[a, b]
-        seen = max(float(lm_scoring.count_of(lm_scoring.quantised(np.array([k])))[0]) - lm_scoring.D, 0) if k > 1 else 0
-        kappa = mix * (1 - min(mass[a] / max(c[a], 1), 1)) + 1 - mix
-        return min(mix * seen / max(c[a], 1) + kappa * p(b), 1)
+        k, norm = pairs[a, b], max(c[a], mass[a], 1)
+        seen = level(k) - lm_scoring.D if k > 1 else 0
+        return mix * seen / norm + (mix * (1 - mass[a] / norm) + 1 - mix) * p(b)
 
+    for a in list(c)[::50]:  # over the vocabulary and one word for all unknown ones
+        assert math.isclose(sum(after(a, b) for b in c) + after(a, "unknown"), 1, rel_tol=1e-9)
     out = {r["doc_id"]: r["score"] for r in lm_scoring.score_texts(docs).collect()}
-    want = {i: math.log10(p(w[0])) + sum(math.log10(after(a, b)) for a, b in itertools.pairwise(w)) for i, w in tokens.items()}
+    want = {i: sum(math.log10(after(a, b)) for a, b in itertools.pairwise([None, *w])) for i, w in tokens.items()}
     equal = np.array([math.isclose(out[i], want[i], rel_tol=1e-9) for i in want])
     assert equal.mean() > 0.8 if max_bits else equal.all()  # the filter may take some bigrams for others
     assert np.allclose([out[i] for i in want], list(want.values()), rtol=0.05)
