@@ -7,8 +7,11 @@ proportional to the factor by which its cell's weight changed; the largest facto
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import WORD_PATTERN, broadcast_if_small, cut
 
@@ -19,6 +22,8 @@ OTHER = "prose"
 #: Default targets: a share to this power, so that large sources give way to small ones.
 TEMPERATURE = 0.9
 SWEEPS = 8
+#: Sweeps that go into one plan.
+PLANNED = 8
 
 
 def topic_of(text: Column, topics=TOPICS) -> Column:
@@ -43,38 +48,28 @@ def default_targets(cells: DataFrame, dim: str, temperature: float) -> DataFrame
 def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
     """cells(source, lang, topic, base) with the columns weight, whose shares meet the targets of each dimension, and residual.
 
-    residual is the largest difference between a share and its target that the sweeps leave. Each sweep is one plan over the
-    cells and one small table, of a factor for each value of each dimension.
+    residual is the largest difference between a share and its target that the sweeps leave. Each cell carries a factor for
+    each dimension; a step sets one of them from the sum of the other factors' products over the cells of its value, which is
+    a window over the table of cells. So PLANNED sweeps are one plan, without joins or files between them.
     """
-    cells = cut(cells, narrow=True)
-    kept = {dim: broadcast_if_small(cut(t, narrow=True), 100) for dim, t in targets.items()}
-    factors = {dim: None for dim in DIMS}
-
-    def weighed(now: dict, without: str | None = None) -> DataFrame:
-        """cells with the product of the other dimensions' factors as weight."""
-        out = cells.withColumn("weight", F.col("base"))
-        for dim in DIMS:
-            if dim != without and now[dim] is not None:
-                out = out.join(now[dim], dim).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        return out
-
-    for _ in range(sweeps):
-        now = dict(factors)
-        for dim in DIMS:
-            mass = weighed(now, without=dim).groupBy(dim).agg(F.sum("weight").alias("mass"))
-            now[dim] = mass.join(kept[dim], dim).select(dim, (F.col("target") / F.col("mass")).alias("factor"))
-        rows = [now[dim].select(F.lit(dim).alias("dim"), F.col(dim).alias("value"), "factor") for dim in DIMS]
-        done = cut(rows[0].union(rows[1]).union(rows[2]), narrow=True)
-        n = done.count()
-        factors = {dim: broadcast_if_small(done.filter(F.col("dim") == dim).select(F.col("value").alias(dim), "factor"), 100, rows=n) for dim in DIMS}
-    out = weighed(factors)
-    total = out.agg(F.sum("weight").alias("total"))
-    misses = []
     for dim in DIMS:
-        share = out.groupBy(dim).agg(F.sum("weight").alias("mass")).join(kept[dim], dim).join(F.broadcast(total))
-        misses.append(share.select(F.abs(F.col("mass") / F.col("total") - F.col("target")).alias("miss")))
-    # One row, as the total is.
-    return out.join(F.broadcast(misses[0].union(misses[1]).union(misses[2]).agg(F.max("miss").alias("residual"))))
+        target = cut(targets[dim].select(dim, F.col("target").alias(f"target_{dim}")), narrow=True)
+        cells = cells.join(broadcast_if_small(target, 100), dim)
+    cells = cut(cells.withColumns({f"factor_{dim}": F.lit(1.0) for dim in DIMS}), narrow=True)
+    product = lambda dims: functools.reduce(lambda x, y: x * y, (F.col(f"factor_{d}") for d in dims), F.col("base"))
+    out = cells
+    for sweep in range(sweeps):
+        if sweep and sweep % PLANNED == 0:
+            out = cut(out, narrow=True)
+        for dim in DIMS:
+            mass = F.sum(product([d for d in DIMS if d != dim])).over(Window.partitionBy(dim))
+            out = out.withColumn(f"factor_{dim}", F.col(f"target_{dim}") / mass)
+    out = cut(out.withColumn("weight", product(DIMS)), narrow=True)
+    total = F.broadcast(out.agg(F.sum("weight").alias("total")))  # one row
+    misses = [out.groupBy(dim).agg(F.sum("weight").alias("mass"), F.first(f"target_{dim}").alias("target")) for dim in DIMS]
+    misses = [m.join(total).select(F.abs(F.col("mass") / F.col("total") - F.col("target")).alias("miss")) for m in misses]
+    worst = misses[0].union(misses[1]).union(misses[2]).agg(F.max("miss").alias("residual"))  # one row
+    return out.select(*DIMS, "base", "weight").join(F.broadcast(worst))
 
 
 def mix_sources(docs: DataFrame, targets: dict[str, DataFrame] | None = None, temperature: float = TEMPERATURE, sweeps: int = SWEEPS, topics=TOPICS) -> DataFrame:
