@@ -38,15 +38,23 @@ THRESHOLD = 0.3
 #: Votes of no neighbour: strength of the share of toxic examples among those without any term of the vocabulary.
 PRIOR = 0.5
 
+#: Words whose terms a task remembers.
+WORDS_KEPT = 200_000
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _terms(word: str) -> list[str]:
+    """A word and its first four and five letters, marked by a dash."""
+    return [word, *(f"{word[:n]}-" for n in (4, 5) if len(word) > n)]
+
+
 def terms_of(text: str | None, among=None) -> dict[str, int]:
-    """Counts of the words and of their first five and four letters (marked by a dash); only those in `among` if it is given."""
+    """Counts of the words and their beginnings; only those in `among` if it is given."""
     out: dict[str, int] = {}
     for word, n in Counter(_WORD.findall((text or "").lower())).items():
-        for term in (word, f"{word[:4]}-" if len(word) > 4 else None, f"{word[:5]}-" if len(word) > 5 else None):
-            if term is not None and (among is None or term in among):
+        for term in _terms(word):
+            if among is None or term in among:
                 out[term] = out.get(term, 0) + n
     return out
 
@@ -71,6 +79,7 @@ class Index:
 
     def __init__(self, terms: list[str], idf: np.ndarray, examples: list[tuple[int, int, list[str], list[int]]]):
         self.number = {t: i for i, t in enumerate(terms)}
+        self.by_word: dict[str, tuple[int, ...]] = {}
         self.idf = idf
         vectors = [self.vector(dict(zip(t, c))) for _, _, t, c in examples]
         # Examples with the same strongest term stand together, so their blocks' maxima are tight.
@@ -103,6 +112,23 @@ class Index:
         w = (1 + np.log([by_number[i] for i in at])) * self.idf[at]
         return at, w / np.sqrt((w * w).sum())
 
+    def vector_of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """vector() of a text's terms; which terms a word has is remembered."""
+        found: dict[int, int] = {}
+        if len(self.by_word) > WORDS_KEPT:
+            self.by_word.clear()
+        for word, n in Counter(_WORD.findall((text or "").lower())).items():
+            own = self.by_word.get(word)
+            if own is None:
+                own = self.by_word[word] = tuple(self.number[t] for t in _terms(word) if t in self.number)
+            for i in own:
+                found[i] = found.get(i, 0) + n
+        at = np.array(sorted(found), np.int64)
+        if not len(at):
+            return at, np.zeros(0)
+        w = (1 + np.log([found[i] for i in at.tolist()])) * self.idf[at]
+        return at, w / np.sqrt((w * w).sum())
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples; equal cosines by place. but: a place to leave out.
 
@@ -112,25 +138,17 @@ class Index:
         if not self.blocks or not len(terms):
             return np.zeros(0, np.int64), np.zeros(0)
         bounds = weights @ self.maxima[terms]
-        order = np.argsort(-bounds, kind="stable")
-        first = order[:HEAD]
-        cosines = np.zeros(self.blocks * BLOCK)
-        for b in first:
-            for t, w in zip(terms, weights):
-                i, j = self.edges[t * self.blocks + b], self.edges[t * self.blocks + b + 1]
-                cosines[self.place[i:j]] += w * self.weight[i:j]
+        first = np.argsort(-bounds, kind="stable")[:HEAD]
+        cosines = self._summed(terms, weights, first)
         if but >= 0:
             cosines[but] = 0
         best = np.sort(cosines[(first[:, None] * BLOCK + np.arange(BLOCK)).ravel()])[::-1]
         least = best[k - 1] if len(best) >= k else 0.0
-        open_blocks = (bounds > 0) & (bounds >= least - 1e-12)
-        open_blocks[first] = False
-        if open_blocks.any():
-            for t, w in zip(terms, weights):
-                i, j = self.edges[t * self.blocks], self.edges[(t + 1) * self.blocks]
-                place = self.place[i:j]
-                mine = open_blocks[self.block[i:j]]
-                cosines[place[mine]] += w * self.weight[i:j][mine]
+        rest = (bounds > 0) & (bounds >= least - 1e-12)
+        rest[first] = False
+        if rest.any():
+            few = 2 * np.count_nonzero(rest) < self.blocks  # beyond that, whole postings are read faster than pieces of them
+            cosines = cosines + self._summed(terms, weights, np.nonzero(rest)[0]) if few else self._whole(terms, weights)
             if but >= 0:
                 cosines[but] = 0
         at = np.nonzero(cosines)[0]
@@ -140,6 +158,20 @@ class Index:
         at = at[np.lexsort((at, -cosines[at]))][:k]
         return at, cosines[at]
 
+    def _summed(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Cosines of all examples from the postings of some blocks: the ranges of the terms in the blocks are laid end to end."""
+        cells = (terms[:, None] * self.blocks + blocks).ravel()
+        starts, sizes = self.edges[cells], self.edges[cells + 1] - self.edges[cells]
+        ends = np.cumsum(sizes)
+        posting = np.arange(ends[-1]) + np.repeat(starts + sizes - ends, sizes)
+        by_term = np.add.reduceat(sizes, np.arange(0, len(cells), len(blocks)))
+        return np.bincount(self.place[posting], weights=np.repeat(weights, by_term) * self.weight[posting], minlength=self.blocks * BLOCK)
+
+    def _whole(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines of all examples from the terms' whole postings."""
+        ranges = list(zip(weights.tolist(), self.edges[terms * self.blocks].tolist(), self.edges[(terms + 1) * self.blocks].tolist()))
+        return np.bincount(np.concatenate([self.place[i:j] for _, i, j in ranges]), weights=np.concatenate([w * self.weight[i:j] for w, i, j in ranges]), minlength=self.blocks * BLOCK)
+
     def votes(self, at: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic votes; a neighbour's vote falls with its distance, and a constant vote stands for the bare rate."""
         w = cosines / (1.05 - np.minimum(cosines, 1.0))
@@ -168,7 +200,7 @@ def _score(batches, index, k: int, threshold: float):
     for pdf in (part for batch in batches for part in slices(batch, CHARS)):
         rows = []
         for text in pdf["text"]:
-            terms, weights = ix.vector(terms_of(text, ix.number))
+            terms, weights = ix.vector_of(text)
             if not len(terms):
                 rows.append((bare, int(bare >= threshold), [], []))
                 continue
