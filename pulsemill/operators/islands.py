@@ -37,13 +37,13 @@ def gap_sessions(df: DataFrame, time: str, tie: str, gap: int, bucket: int = DAY
     # One row for each bucket of time: a table of days or hours, not of rows.
     edges = edges.withColumn("_before", F.lag("_last").over(Window.orderBy("_b"))).select("_b", "_before")
     w = Window.partitionBy("_b").orderBy(time, tie)
-    joined = df.join(F.broadcast(edges), "_b")
+    joined = df.join(edges, "_b")  # Spark broadcasts it if it is small
     joined = joined.withColumn("_prev", F.coalesce(F.lag(time).over(w), "_before"))
     joined = joined.withColumn("_new", F.coalesce((F.col(time) - F.col("_prev") >= gap).cast("long"), F.lit(1)))
     joined = joined.withColumn("_local", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     starts = joined.groupBy("_b").agg(F.sum("_new").alias("_n"))
     offsets = starts.withColumn("_offset", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_b", "_offset")
-    return joined.join(F.broadcast(offsets), "_b").withColumn(name, F.col("_local") + F.col("_offset")).drop("_b", "_before", "_prev", "_new", "_local", "_offset")
+    return joined.join(offsets, "_b").withColumn(name, F.col("_local") + F.col("_offset")).drop("_b", "_before", "_prev", "_new", "_local", "_offset")
 
 
 def point_in_range(points: DataFrame, time: str, ranges: DataFrame, start: str, stop: str, width: int, keys: Sequence[str] = (), closed: bool = False, how: str = "inner") -> DataFrame:
@@ -103,3 +103,40 @@ def zero_length_encoding(samples: DataFrame, keys: Sequence[str], index: str, va
     before = F.max("right").over(Window.partitionBy(*keys).orderBy("left", "right").rowsBetween(Window.unboundedPreceding, -1))
     merged = keyed_islands(grown.withColumn("_before", before), keys, ["left", "right"], F.col("left") > F.col("_before"), "run").groupBy(*keys, "run").agg(F.min("left").alias("left"), F.max("right").alias("right"))
     return merged.select(*keys, (F.col("left") + F.col("left") % 2).alias("left"), (F.col("right") - (1 - F.col("right") % 2)).alias("right"))
+
+
+def runs_in_array(w: Column, threshold: float) -> Column:
+    """array<struct<left, right>>: the maximal runs of samples above the threshold (strictly) of one array, without leaving its row."""
+    at = F.sequence(F.lit(0), F.size(w) - 1)
+    above = lambda i: F.coalesce(F.when(i >= 0, F.get(w, i)) > threshold, F.lit(False))
+    starts = F.filter(at, lambda i: above(i) & ~above(i - 1))
+    stops = F.filter(at, lambda i: above(i) & ~above(i + 1))
+    empty = F.array().cast("array<struct<left: int, right: int>>")
+    return F.when(F.size(w) == 0, empty).otherwise(F.zip_with(starts, stops, lambda a, b: F.struct(a.alias("left"), b.alias("right"))))
+
+
+def extended_in_array(runs: Column, left_by: int, right_by: int, last: Column) -> Column:
+    """extend_intervals() over one array of runs inside [0, last]."""
+    right = lambda r, i: F.least(r["right"] + right_by, F.coalesce(F.get(runs, i + 1)["left"] - 1, last), last)
+
+    def grown(r: Column, i: Column) -> Column:
+        before = F.when(i > 0, right(F.get(runs, i - 1), i - 1) + 1)
+        return F.struct(F.greatest(r["left"] - left_by, F.coalesce(before, F.lit(0)), F.lit(0)).alias("left"), right(r, i).alias("right"))
+
+    return F.transform(runs, grown)
+
+
+def zero_length_in_array(w: Column, threshold: float, margin: int) -> Column:
+    """zero_length_encoding() of one array: its runs grown by the margin, merged where they touch, with even starts and odd stops."""
+    last = F.size(w) - 1
+    none = F.array().cast("array<struct<left: int, right: int>>")
+
+    def merge(out: Column, r: Column) -> Column:
+        left, right = F.greatest(r["left"] - margin, F.lit(0)), F.least(r["right"] + margin, last)
+        before = F.try_element_at(out, F.lit(-1))
+        joined = F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.struct(before["left"].alias("left"), F.greatest(before["right"], right).alias("right"))))
+        apart = F.concat(out, F.array(F.struct(left.alias("left"), right.alias("right"))))
+        return F.when(F.size(out) == 0, apart).when(left <= before["right"], joined).otherwise(apart)
+
+    merged = F.aggregate(runs_in_array(w, threshold), none, merge)
+    return F.transform(merged, lambda r: F.struct((r["left"] + r["left"] % 2).alias("left"), (r["right"] - (1 - r["right"] % 2)).alias("right")))

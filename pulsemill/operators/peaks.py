@@ -80,9 +80,8 @@ def fraction_crossings(w: Column, fractions: Sequence[float]) -> Column:
 
     A fraction of 1 is reached at the end of the last sample that adds to the sum.
     """
-    total = F.aggregate(w, F.lit(0.0), lambda a, x: a + x)
 
-    def one(f: float) -> Column:
+    def one(f: float, total: Column) -> Column:
         zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("i"), F.lit(None).cast("double").alias("at"))
 
         def step(acc: Column, x: Column) -> Column:
@@ -93,7 +92,8 @@ def fraction_crossings(w: Column, fractions: Sequence[float]) -> Column:
 
         return F.aggregate(w, zero, step, lambda a: F.coalesce(a["at"], a["i"].cast("double")))
 
-    return F.array(*(one(f) for f in fractions))
+    # The total is bound once, not summed again at every step.
+    return F.transform(F.array(F.aggregate(w, F.lit(0.0), lambda a, x: a + x)), lambda t: F.array(*(one(f, t) for f in fractions)))[0]
 
 
 DECILES = [i / 10 for i in range(11)]
@@ -136,7 +136,7 @@ def reject_noise(hits: DataFrame, keys: Sequence[str], channels: DataFrame, nois
     penalty = F.col("n_noise") * noise_weight + F.col("n_lone") * lone_weight + F.col("base")
     bad = channels.select(*[c for c in channels.columns if c in keys], "channel", penalty.alias("penalty")).filter(F.col("penalty") >= threshold)
     on = [c for c in bad.columns if c != "penalty"]
-    marked = hits.join(F.broadcast(bad), on, "left")
+    marked = hits.join(bad, on, "left")  # a row for each event and channel: Spark broadcasts it if it is small
     witness = F.sum(F.when(F.col("penalty").isNull(), F.col("area")).otherwise(0.0)).over(Window.partitionBy(*keys))
     return marked.withColumn("is_rejected", F.coalesce(F.col("penalty") > witness, F.lit(False)))
 

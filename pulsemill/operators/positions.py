@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 import numpy as np
@@ -104,14 +105,27 @@ def goodness(seen: Column, expected: Column, kind: str) -> Column:
     return F.aggregate(F.zip_with(seen, expected, lambda s, e: goodness_terms(kind, s, e)), F.lit(0.0), lambda a, x: a + x)
 
 
+def _in_one_row(table: DataFrame, *columns: Column) -> DataFrame:
+    """A fixed piece of the detector's description (a map, a grid of patterns) as one row with the array column table."""
+    return F.broadcast(table.agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("_table")))
+
+
 def grid_fit(peaks: DataFrame, keys: Sequence[str], areas: str, grid: DataFrame, kind: str) -> DataFrame:
-    """Best grid point of each peak: keys, point, gof. grid(point, pattern) is the detector's pattern map, broadcast; equal fits take the smallest point."""
-    pairs = peaks.join(F.broadcast(grid))
-    seen = F.transform(areas, lambda x: x.cast("double"))
+    """Best grid point of each peak: keys, point, gof. grid(point, pattern) is the detector's pattern map; equal fits take the smallest point.
+
+    The map is one array beside each peak, so all its points are tried inside the peak's row.
+    """
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    scaled = F.transform("pattern", lambda p: p * total(seen) / total(F.col("pattern")))
-    fit = pairs.select(*keys, "point", goodness(seen, scaled, kind).alias("gof"))
-    return fit.groupBy(*keys).agg(F.min(F.struct("gof", "point")).alias("b")).select(*keys, "b.point", "b.gof")
+    shares = F.transform("pattern", lambda p: p.cast("double"))
+    table = _in_one_row(grid.withColumn("_total", total(shares)), F.col("point"), shares.alias("pattern"), F.col("_total").alias("total"))
+    seen = F.transform(areas, lambda x: x.cast("double"))
+    held = peaks.select(*keys, seen.alias("_seen")).withColumn("_all", total(F.col("_seen"))).join(table)
+
+    def fit(g: Column) -> Column:
+        expected = F.transform(g["pattern"], lambda p: p * F.col("_all") / g["total"])
+        return F.struct(goodness(F.col("_seen"), expected, kind).alias("gof"), g["point"].alias("point"))
+
+    return held.select(*keys, F.array_min(F.transform("_table", fit)).alias("b")).filter("b is not null").select(*keys, "b.point", "b.gof")
 
 
 def confidence_box(fits: DataFrame, keys: Sequence[str], level: float) -> DataFrame:
@@ -121,13 +135,19 @@ def confidence_box(fits: DataFrame, keys: Sequence[str], level: float) -> DataFr
 
 
 def interpolate(points: DataFrame, keys: Sequence[str], dims: Sequence[str], table: DataFrame, value: str, k: int | None = None) -> DataFrame:
-    """keys and the inverse-distance mean of the 2 * dim nearest map points; a null or NaN coordinate gives null. table(dims, value) is broadcast."""
+    """keys and the inverse-distance mean of the 2 * dim nearest map points; a null or NaN coordinate gives null.
+
+    table(dims, value) is one array beside each point, and the nearest are taken inside the row.
+    """
     k = k or 2 * len(dims)
-    t = F.broadcast(table.select(*(F.col(d).alias(f"m_{d}") for d in dims), F.col(value).alias("m_value")))
-    d2 = sum((F.pow(F.col(d) - F.col(f"m_{d}"), F.lit(2.0)) for d in dims[1:]), F.pow(F.col(dims[0]) - F.col(f"m_{dims[0]}"), F.lit(2.0)))
-    good = [F.col(d).isNotNull() & ~F.isnan(F.col(d).cast("double")) for d in dims]
-    near = points.filter(good[0] if len(good) == 1 else good[0] & good[1] if len(good) == 2 else good[0] & good[1] & good[2]).join(t).withColumn("_d", F.sqrt(d2))
-    ranked = near.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy("_d", *(f"m_{d}" for d in dims)))).filter(F.col("_k") <= k)
-    w = 1 / F.greatest("_d", F.lit(1e-6))
-    found = ranked.groupBy(*keys).agg((F.sum(F.col("m_value") * w) / F.sum(w)).alias(value))
-    return points.select(*keys).join(found, list(keys), "left")
+    held = points.join(_in_one_row(table, *(F.col(d).cast("double").alias(d) for d in dims), F.col(value).alias("value")))
+
+    def away(m: Column) -> Column:
+        d2 = functools.reduce(lambda x, y: x + y, (F.pow(F.col(d) - m[d], F.lit(2.0)) for d in dims))
+        return F.struct(F.sqrt(d2).alias("d"), *(m[d].alias(d) for d in dims), m["value"].alias("value"))
+
+    near = F.slice(F.array_sort(F.transform("_table", away)), 1, k)
+    sums = lambda f: F.aggregate("_near", F.lit(0.0), lambda s, m: s + f(m) / F.greatest(m["d"], F.lit(1e-6)))
+    good = functools.reduce(lambda x, y: x & y, (F.col(d).isNotNull() & ~F.isnan(F.col(d).cast("double")) for d in dims))
+    found = held.withColumn("_near", F.when(good, near))
+    return found.select(*keys, (sums(lambda m: m["value"]) / sums(lambda m: F.lit(1.0))).alias(value))

@@ -10,22 +10,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def best_break(t: np.ndarray, a: np.ndarray) -> tuple[int, float]:
-    """(index of the first hit on the right, goodness) of the split that leaves the least area-weighted absolute deviation; goodness is 1 - left/right deviation over the whole's."""
+#: Entries of the table of deviations that are worked on at once.
+_CELLS = 1 << 20
+
+
+def _deviations(t: np.ndarray, a: np.ndarray, own: np.ndarray, splits: np.ndarray) -> np.ndarray:
+    """For each split: the area-weighted absolute deviations from the mean of its side, each hit's own deviation being the least."""
+    area, moment = np.concatenate([[0], np.cumsum(a)]), np.concatenate([[0], np.cumsum(a * t)])
+    with np.errstate(invalid="ignore", divide="ignore"):
+        left, right = moment[splits] / area[splits], (moment[-1] - moment[splits]) / (area[-1] - area[splits])
+    out = np.empty(len(splits))
+    step = max(1, _CELLS // len(t))
+    for k in range(0, len(splits), step):
+        some = slice(k, k + step)
+        mean = np.where(np.arange(len(t)) < splits[some, None], left[some, None], right[some, None])
+        out[some] = np.maximum(own, np.abs(t - mean)) @ a
+    return out
+
 
-    def deviation(x, w):
-        mean = np.average(x, weights=w)
-        return float((np.abs(x - mean) * w).sum())
+def best_break(t: np.ndarray, a: np.ndarray, own: np.ndarray | None = None) -> tuple[int, float]:
+    """(index of the first hit on the right, goodness) of the split of ordered hits that leaves the least area-weighted absolute deviation.
 
-    whole = deviation(t, a)
-    if len(t) < 2 or whole == 0:
+    Goodness is 1 - the deviation of both sides over the whole's. own: the deviation that each hit has in itself.
+    """
+    own = np.zeros(len(t)) if own is None else own
+    if len(t) < 2:
         return 0, 0.0
-    good = [1 - (deviation(t[:i], a[:i]) + deviation(t[i:], a[i:])) / whole for i in range(1, len(t))]
+    whole = float(_deviations(t, a, own, np.array([len(t)]))[0])
+    if whole == 0:
+        return 0, 0.0
+    good = 1 - _deviations(t, a, own, np.arange(1, len(t))) / whole
     i = int(np.argmax(good))
-    return i + 1, good[i]
+    return i + 1, float(good[i])
 
 
-def natural_breaks(t: np.ndarray, a: np.ndarray, min_gap: float, knots: Sequence[tuple[float, float]]) -> np.ndarray:
+def natural_breaks(t: np.ndarray, a: np.ndarray, min_gap: float, knots: Sequence[tuple[float, float]], own: np.ndarray | None = None) -> np.ndarray:
     """Part number of each hit: split recursively while the best split's gap and goodness reach their limits.
 
     The limit on the goodness is linear between knots (log10 area, limit), and beyond them too.
@@ -44,7 +63,7 @@ def natural_breaks(t: np.ndarray, a: np.ndarray, min_gap: float, knots: Sequence
     starts = [0]
     while todo:
         lo, hi = todo.pop()
-        i, good = best_break(t[lo:hi], a[lo:hi])
+        i, good = best_break(t[lo:hi], a[lo:hi], None if own is None else own[lo:hi])
         if i and t[lo + i] - t[lo + i - 1] >= min_gap and good > limit(float(a[lo:hi].sum())):
             starts.append(lo + i)
             todo += [(lo, lo + i), (lo + i, hi)]
@@ -52,15 +71,19 @@ def natural_breaks(t: np.ndarray, a: np.ndarray, min_gap: float, knots: Sequence
     return np.cumsum(part)
 
 
-def split_natural(hits: DataFrame, peak: Sequence[str], hit: str, time: str, area: str, min_gap: float, knots: Sequence[tuple[float, float]]) -> DataFrame:
-    """peak, hit, part: the part of its peak that each hit falls in. A peak's hits are one short array; arrays go to Python in Arrow batches."""
+def split_natural(hits: DataFrame, peak: Sequence[str], hit: str, time: str, area: str, min_gap: float, knots: Sequence[tuple[float, float]], deviation: str | None = None) -> DataFrame:
+    """peak, hit, part: the part of its peak that each hit falls in. A peak's hits are one short array; arrays go to Python in Arrow batches.
+
+    deviation: a column with each hit's own mean absolute deviation, which counts as the least distance from a mean.
+    """
 
     @F.pandas_udf("array<long>")
-    def run(t: pd.Series, a: pd.Series) -> pd.Series:
-        return pd.Series([natural_breaks(np.asarray(x, float), np.asarray(y, float), min_gap, knots) for x, y in zip(t, a)])
+    def run(t: pd.Series, a: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series([natural_breaks(np.asarray(x, float), np.asarray(y, float), min_gap, knots, np.asarray(z, float)) for x, y, z in zip(t, a, d)])
 
-    lists = hits.groupBy(*peak).agg(F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(hit).alias("h"), F.col(area).cast("double").alias("a")))).alias("x"))
-    parts = lists.select(*peak, "x", run(F.transform("x", lambda v: v["t"].cast("double")), F.transform("x", lambda v: v["a"])).alias("part"))
+    own = F.col(deviation).cast("double") if deviation else F.lit(0.0)
+    lists = hits.groupBy(*peak).agg(F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(hit).alias("h"), F.col(area).cast("double").alias("a"), own.alias("d")))).alias("x"))
+    parts = lists.select(*peak, "x", run(F.transform("x", lambda v: v["t"].cast("double")), F.transform("x", lambda v: v["a"]), F.transform("x", lambda v: v["d"])).alias("part"))
     each = parts.select(*peak, F.explode(F.arrays_zip(F.transform("x", lambda v: v["h"]).alias("h"), F.col("part").alias("part"))).alias("v"))
     return each.select(*peak, F.col("v.h").alias(hit), F.col("v.part").alias("part"))
 

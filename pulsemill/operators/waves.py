@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .islands import adjacent_intervals, threshold_runs
+from .islands import adjacent_intervals, extended_in_array, runs_in_array
 
 
 def total(a: Column) -> Column:
@@ -66,16 +66,58 @@ def hit_properties(found: DataFrame, sampled: DataFrame, keys: Sequence[str], sa
     return out.join(spread, by)
 
 
-def find_hits(df: DataFrame, keys: Sequence[str], w: str, threshold: float, left_by: int, right_by: int, saturation: float) -> DataFrame:
-    """Threshold runs of each waveform, extended on both sides, with their properties; only hits of positive area."""
-    from .islands import extend_intervals
+def hits_in_array(w: Column, bounds: Column, saturation: float) -> Column:
+    """Structs with the properties of hit_properties() for each of the bounds of one array."""
 
-    s = samples(df, keys, w)
-    runs = threshold_runs(s, keys, "i", "value", threshold)
-    last = df.select(*keys, (F.size(w) - 1).alias("_last"))
-    grown = extend_intervals(runs.join(last, list(keys)), keys, left_by, right_by, F.lit(0), F.col("_last"))
-    bounds = grown.select(*keys, F.col("left_x").alias("left"), F.col("right_x").alias("right"))
-    return hit_properties(bounds, s, keys, saturation).filter("area > 0")
+    def measured(b: Column) -> Column:
+        def with_samples(x: Column) -> Column:
+            def with_sums(area: Column, center: Column) -> Column:
+                far = total(F.transform(x, lambda v, i: F.abs(i + b["left"] - center) * v))
+                return F.struct(
+                    b["left"].alias("left"),
+                    b["right"].alias("right"),
+                    area.alias("area"),
+                    F.array_max(x).alias("height"),
+                    (b["left"] + F.array_position(x, F.array_max(x)).cast("int") - 1).alias("index_of_maximum"),
+                    center.alias("center"),
+                    F.size(F.filter(x, lambda v: v > saturation)).cast("long").alias("n_saturated"),
+                    (far / area).alias("sum_absolute_deviation"),
+                )
+
+            moment = total(F.transform(x, lambda v, i: v * (i + b["left"])))
+            sums = F.struct(total(x).alias("area"), moment.alias("moment"))
+            return F.transform(F.array(sums), lambda s: F.when(s["area"] > 0, with_sums(s["area"], s["moment"] / s["area"])))[0]
+
+        return F.transform(F.array(F.slice(w, b["left"] + 1, b["right"] - b["left"] + 1)), with_samples)[0]
+
+    return F.filter(F.transform(bounds, measured), lambda h: h.isNotNull())
+
+
+def find_hits(df: DataFrame, keys: Sequence[str], w: str, threshold: float, left_by: int, right_by: int, saturation: float, longest: int = 350, most: int | None = None, gain: str | None = None) -> DataFrame:
+    """Threshold runs of each waveform, extended on both sides, with their properties; only hits of positive area.
+
+    Runs of more than `longest` samples are split. Of a waveform's hits the first `most` are kept. Waveforms of a channel
+    whose `gain` is 0 have none. All of it happens inside the waveform's row.
+    """
+    source = df if gain is None else df.filter(F.col(gain) > 0)
+    pieces = lambda r: F.transform(F.sequence(r["left"], r["right"], F.lit(longest)), lambda a: F.struct(a.alias("left"), F.least(a + longest - 1, r["right"]).alias("right")))
+    bounded = source.withColumn("_runs", F.flatten(F.transform(runs_in_array(F.col(w), threshold), pieces)))
+    bounded = bounded.withColumn("_bounds", extended_in_array(F.col("_runs"), left_by, right_by, F.size(w) - 1))
+    kept = hits_in_array(F.col(w), F.col("_bounds"), saturation)
+    return bounded.select(*keys, F.explode(kept if most is None else F.slice(kept, 1, most)).alias("h")).select(*keys, "h.*")
+
+
+def smoothed(w: Column, before: int, after: int) -> Column:
+    """moving_average() of one array."""
+    from_i = lambda i: F.greatest(i - before, F.lit(0))
+    return F.transform(w, lambda x, i: total(F.slice(w, from_i(i) + 1, F.least(i + after, F.size(w) - 1) - from_i(i) + 1)) / (before + after + 1))
+
+
+def extrema(w: Column) -> Column:
+    """array<struct<i, kind>>: local_extrema() of one array."""
+    kind = lambda b, a: F.when((b < 0) & (a > 0), "min").when((b > 0) & (a < 0), "max")
+    at = F.transform(w, lambda x, i: F.struct(i.alias("i"), kind(x - F.when(i > 0, F.get(w, i - 1)), F.get(w, i + 1) - x).alias("kind")))
+    return F.filter(at, lambda e: e["kind"].isNotNull())
 
 
 def sum_waveform(df: DataFrame, keys: Sequence[str], w: str, factor: Column | float = 1.0) -> DataFrame:

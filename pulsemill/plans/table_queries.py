@@ -31,13 +31,13 @@ def channel_lookup(spark, sf_dir):
     return relational.lookup(read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), ["s_nationkey"], dim, ["key"], "channel", 999).select("s_suppkey", "channel")
 
 
-@query("""with r as (select o_orderkey as run, o_custkey as ext, epoch_us(o_orderdate) as start, epoch_us(o_orderdate) + 86400000000 * 30 as stop, o_orderstatus as status from orders where o_custkey <= 200),
-p as (select c_custkey as ext, epoch_us(timestamp '1996-01-01') as t from customer where c_custkey <= 200)
+@query("""with r as (select o_orderkey as run, o_custkey as ext, epoch_us(o_orderdate) as start, epoch_us(o_orderdate) + 86400000000 * 30 as stop, o_orderstatus as status from orders),
+p as (select c_custkey as ext, epoch_us(timestamp '1996-01-01') as t from customer)
 select p.ext, max(run) as run from p left join r on p.ext = r.ext and start < t and stop > t group by p.ext""")
 def run_registry(spark, sf_dir):
     start = F.unix_micros(F.col("o_orderdate").cast("timestamp"))
-    runs = read(spark, sf_dir, "orders").filter("o_custkey <= 200").select(F.col("o_orderkey").alias("run"), F.col("o_custkey").alias("ext"), start.alias("start"), (start + 86400000000 * 30).alias("stop"))
-    at = read(spark, sf_dir, "customer").filter("c_custkey <= 200").select(F.col("c_custkey").alias("ext"), F.unix_micros(F.lit("1996-01-01").cast("timestamp")).alias("t"))
+    runs = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run"), F.col("o_custkey").alias("ext"), start.alias("start"), (start + 86400000000 * 30).alias("stop"))
+    at = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ext"), F.unix_micros(F.lit("1996-01-01").cast("timestamp")).alias("t"))
     return relational.run_at(at, runs, ["ext"]).select("ext", "run")
 
 

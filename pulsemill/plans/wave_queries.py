@@ -52,14 +52,13 @@ def pulse_props(spark, sf_dir):
 
 @query(f'with {RUNS} select vec_id, "left", "right" from r')
 def threshold_intervals(spark, sf_dir):
-    return islands.threshold_runs(samples(spark, sf_dir), ["vec_id"], "i", "value", THRESHOLD)
+    return table(spark, sf_dir).select("vec_id", F.inline(islands.runs_in_array(F.col("w"), THRESHOLD)))
 
 
 @query(f'with {GROWN} select vec_id, left_x as "left", right_x as "right" from x')
 def extended_intervals(spark, sf_dir):
-    runs = islands.threshold_runs(samples(spark, sf_dir), ["vec_id"], "i", "value", THRESHOLD)
-    x = islands.extend_intervals(runs, ["vec_id"], 1, 2, F.lit(0), F.lit(63))
-    return x.select("vec_id", F.col("left_x").alias("left"), F.col("right_x").alias("right"))
+    r = table(spark, sf_dir).withColumn("r", islands.runs_in_array(F.col("w"), THRESHOLD))
+    return r.select("vec_id", F.inline(islands.extended_in_array(F.col("r"), 1, 2, F.size("w") - 1)))
 
 
 @query(f"""with {E}, k as (select vec_id, greatest(i - 3, 0) as l, least(i + 3, 63) as r from s where value > 0.2),
@@ -67,7 +66,7 @@ m as (select *, case when l <= max(r) over (partition by vec_id order by l, r ro
 g as (select *, sum(new) over (partition by vec_id order by l, r) as run from m), o as (select vec_id, min(l) as l, max(r) as r from g group by vec_id, run)
 select vec_id, cast(l + l % 2 as int) as "left", cast(r - (1 - r % 2) as int) as "right" from o""")
 def zle(spark, sf_dir):
-    return islands.zero_length_encoding(samples(spark, sf_dir), ["vec_id"], "i", "value", 0.2, 3, F.lit(63))
+    return table(spark, sf_dir).select("vec_id", F.inline(islands.zero_length_in_array(F.col("w"), 0.2, 3)))
 
 
 @query(f"""with {GROWN}, h as (select s.vec_id, left_x as "left", right_x as "right", value, i from s join x on s.vec_id = x.vec_id and i between left_x and right_x),
@@ -99,12 +98,12 @@ def peak_widths(spark, sf_dir):
 
 @query(f"with {E} select vec_id, i, round(sum(value) over (partition by vec_id order by i rows between 4 preceding and 3 following) / 8, 6) as smooth from s")
 def moving_avg(spark, sf_dir):
-    return waves.moving_average(samples(spark, sf_dir), ["vec_id"], "value", 4, 3).select("vec_id", "i", F.round("smooth", 6).alias("smooth"))
+    return table(spark, sf_dir).select("vec_id", F.posexplode(waves.smoothed(F.col("w"), 4, 3)).alias("i", "smooth")).withColumn("smooth", F.round("smooth", 6))
 
 
 @query(f"with {E}, d as (select *, value - lag(value) over w as b, lead(value) over w - value as a from s window w as (partition by vec_id order by i)) select vec_id, i, case when b < 0 then 'min' else 'max' end as kind from d where (b < 0 and a > 0) or (b > 0 and a < 0)")
 def local_extrema(spark, sf_dir):
-    return waves.local_extrema(samples(spark, sf_dir), ["vec_id"], "value").select("vec_id", "i", "kind")
+    return table(spark, sf_dir).select("vec_id", F.inline(waves.extrema(F.col("w"))))
 
 
 @query(f"with {E} select label, i, round(sum(value), 5) as value from s group by label, i")
