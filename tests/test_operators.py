@@ -15,11 +15,23 @@ def pulses(spark, times, area=100.0):
     return spark.createDataFrame([(i, t, i % 3, area) for i, t in enumerate(times)], P)
 
 
-@pytest.mark.parametrize("times, gap, want", [([], 1, []), ([1], 1, []), ([1, 10], 1, []), ([1, 1], 1, [(1, 1, 2)]), ([1, 3], 2, []), ([1, 2], 2, [(1, 2, 2)]), ([1, 2, 100, 101, 102], 2, [(1, 2, 2), (100, 102, 3)])])
-@pytest.mark.parametrize("bucket", [1, 2, 1000])
-def test_signals(spark, times, gap, want, bucket):
-    got = sorted((r["left_time"], r["right_time"], r["n_pulses"]) for r in trigger.find_signals(pulses(spark, times), gap, bucket).collect())
-    assert got == want
+def brute_sessions(times, gap):
+    """Lists of indices of ordered times; a new one where the step to the next is gap or more."""
+    out = []
+    for i, t in enumerate(times):
+        if i and t - times[i - 1] < gap:
+            out[-1].append(i)
+        else:
+            out.append([i])
+    return out
+
+
+@pytest.mark.parametrize("seed, n, gap", [(0, 0, 5), (1, 1, 5), (2, 2, 9), (3, 60, 4), (4, 200, 7)])
+@pytest.mark.parametrize("bucket", [3, 50, 10**6])
+def test_signals(spark, seed, n, gap, bucket):
+    t = np.sort(np.random.default_rng(seed).integers(0, 6 * n + 1, n)).tolist()
+    got = sorted((r["left_time"], r["right_time"], r["n_pulses"]) for r in trigger.find_signals(pulses(spark, t), gap, bucket).collect())
+    assert got == [(t[g[0]], t[g[-1]], len(g)) for g in brute_sessions(t, gap) if len(g) > 1]
 
 
 def test_signal_moments(spark):
@@ -36,70 +48,166 @@ def test_sessions_do_not_depend_on_buckets(spark):
 
 
 def test_trigger_groups(spark):
-    s = spark.createDataFrame([(t, t) for t in (0, 0, 1, 4, 5, 10)], "left_time long, right_time long")
-    got = sorted((r["start"], r["stop"]) for r in trigger.event_ranges(s, 3, 0, 0).collect())
-    assert got == [(0, 1), (4, 5), (10, 10)]
+    rng = np.random.default_rng(11)
+    starts = np.sort(rng.choice(5000, 40, replace=False))
+    spans = [(int(a), int(a + rng.integers(0, 30))) for a in starts]
+    s = spark.createDataFrame(spans, "left_time long, right_time long")
+    got = sorted((r["start"], r["stop"], r["n_triggers"]) for r in trigger.event_ranges(s, 90, 20, 35).collect())
+    groups = brute_sessions([a for a, _ in spans], 90)
+    assert got == [(spans[g[0]][0] - 20, max(spans[i][1] for i in g) + 35, len(g)) for g in groups] and 1 < len(groups) < 40
     with pytest.raises(ValueError):
-        trigger.event_ranges(s, 3, 2, 2)
+        trigger.event_ranges(s, 50, 20, 35)
 
 
 def test_signals_in_ranges(spark):
-    s = spark.createDataFrame([(t,) for t in range(10)], "left_time long")
-    r = spark.createDataFrame([(2, 4), (8, 50)], "start long, stop long")
-    for width in (1, 3, 100):
-        assert sorted((x["left_time"], x["start"]) for x in trigger.signals_in_events(s, r, width).collect()) == [(2, 2), (3, 2), (4, 2), (8, 8), (9, 8)]
+    rng = np.random.default_rng(12)
+    times = sorted(rng.integers(0, 400, 50).tolist())
+    edges = sorted(rng.choice(400, 12, replace=False).tolist())
+    spans = list(zip(edges[::2], edges[1::2]))
+    s, r = spark.createDataFrame([(t,) for t in times], "left_time long"), spark.createDataFrame(spans, "start long, stop long")
+    for width in (7, 64, 1000):
+        got = sorted((x["left_time"], x["start"]) for x in trigger.signals_in_events(s, r, width).collect())
+        assert got == sorted((t, a) for t in times for a, b in spans if a <= t <= b)
 
 
 SEC = 10**9
 
 
-@pytest.mark.parametrize("on, off, want", [([0], [10], 10), ([0, 100], [10, 110], 20), ([0, SEC], [10, SEC + 10], 20), ([SEC - 100], [SEC + 100], 200), ([0], [int(13.5 * SEC)], int(13.5 * SEC))])
-def test_dead_time(spark, on, off, want):
-    marks = spark.createDataFrame([("a", t, True) for t in on] + [("a", t, False) for t in off], "system string, time long, on boolean")
-    assert trigger.dead_time(marks, SEC).agg(F.sum("dead_ns")).first()[0] == want
+@pytest.mark.parametrize("seed", range(4))
+def test_dead_time(spark, seed):
+    rng = np.random.default_rng(seed)
+    times = sorted(rng.choice(20 * SEC, 30, replace=False).tolist())
+    turns = [(t, bool(rng.integers(0, 2))) for t in times]
+    want, since = np.zeros(21), None
+    for t, on in turns:
+        if on and since is None:
+            since = t
+        elif not on and since is not None:
+            for k in range(21):
+                want[k] += max(0, min(t, (k + 1) * SEC) - max(since, k * SEC))
+            since = None
+    marks = spark.createDataFrame([("clock", t, on) for t, on in turns], "system string, time long, on boolean")
+    got = {r["interval"]: r["dead_ns"] for r in trigger.dead_time(marks, SEC).collect()}
+    assert all(got.get(k, 0) == want[k] for k in range(21))
 
 
 def wave(spark, *w):
     return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(w)], "k int, w array<double>")
 
 
-@pytest.mark.parametrize(
-    "w, want",
-    [([], []), ([1], [(0, 0)]), ([0, 1, 2, 0, 4, -1, 60, 700, -4], [(1, 2), (4, 4), (6, 7)]), ([1, 1, 2, 0, 4, -1, 60, 700, -4], [(0, 2), (4, 4), (6, 7)]), ([1, 0, 2, 3, 4, -1, 60, 700, 800], [(0, 0), (2, 4), (6, 8)]), ([0, 0, 2, 3, 4, -1, 60, 700, 800], [(2, 4), (6, 8)])],
-)
-def test_threshold_runs(spark, w, want):
-    s = waves.samples(wave(spark, w), ["k"], "w")
-    assert sorted((r["left"], r["right"]) for r in islands.threshold_runs(s, ["k"], "i", "value", 0).collect()) == want
-
-
-@pytest.mark.parametrize("w, want", [([1], [(0, 0)]), ([0, 1], [(0, 1)]), ([0, 0, 1], [(1, 2)]), ([0, 0, 1, 0], [(1, 3)]), ([0, 0, 1, 0, 0, 0], [(1, 4)]), ([1, 0, 0, 1], [(0, 2), (3, 3)]), ([1, 0, 0, 1, 0, 0, 0], [(0, 2), (3, 5)]), ([1, 0, 0, 0, 1, 0, 0, 0], [(0, 2), (3, 6)]), ([1, 0, 0, 0, 0, 1, 0, 0, 0], [(0, 2), (4, 7)])])
-def test_extension(spark, w, want):
-    runs = islands.threshold_runs(waves.samples(wave(spark, w), ["k"], "w"), ["k"], "i", "value", 0)
-    x = islands.extend_intervals(runs, ["k"], 1, 2, F.lit(0), F.lit(len(w) - 1))
-    assert sorted((r["left_x"], r["right_x"]) for r in x.collect()) == want
-
-
-@pytest.mark.parametrize("w, want", [([60, 60], [(0, 1)]), ([0, 60, 60, 0], [(0, 3)]), ([1] * 100 + [60] + [2] * 100, [(50, 149)]), ([1] * 100 + [30] + [2] * 100, []), ([1] * 100 + [60] + [2] * 200 + [60] + [3] * 100, [(50, 149), (252, 351)]), ([1] * 100 + [60] + [2] * 70 + [60] + [3] * 100, [(50, 221)])])
-def test_zero_length_encoding(spark, w, want):
-    z = islands.zero_length_encoding(waves.samples(wave(spark, w), ["k"], "w"), ["k"], "i", "value", 40, 50, F.lit(len(w) - 1))
-    assert sorted((r["left"], r["right"]) for r in z.collect()) == want
-
-
-@pytest.mark.parametrize("spans, want", [([(0, 1), (4, 5)], [(0, 1), (4, 5)]), ([(0, 1), (2, 5)], [(0, 5)]), ([(0, 0), (1, 2), (3, 3), (4, 5)], [(0, 5)]), ([(0, 0), (1, 1), (3, 5)], [(0, 1), (3, 5)])])
-def test_concatenation(spark, spans, want):
-    df = spark.createDataFrame([(1, a, b, list(range(a, b + 1))) for a, b in spans], "channel int, left int, right int, raw_data array<int>")
-    got = sorted((r["left"], r["right"], r["raw_data"]) for r in waves.concatenate_adjacent(df, ["channel"]).collect())
-    assert got == [(a, b, list(range(a, b + 1))) for a, b in want]
-
-
-@pytest.mark.parametrize("left, n, want", [(-5, 20, (0, 14)), (-1, 20, (0, 18)), (90, 20, (90, 99)), (-5, 200, (0, 99)), (-5, 2, None), (120, 2, None), (100, 1, None), (-1, 1, None)])
-def test_bounds(spark, left, n, want):
-    df = spark.createDataFrame([(left, list(range(left, left + n)))], "left int, raw_data array<int>")
-    got = [(r["left"], r["right"], r["raw_data"]) for r in waves.cut_to_bounds(df, F.lit(100)).collect()]
-    assert got == ([(*want, list(range(want[0], want[1] + 1)))] if want else [])
-    if not want:
-        with pytest.raises(Exception, match="outside"):
-            waves.cut_to_bounds(df, F.lit(100), "error").collect()
+def brute_runs(w, threshold):
+    out = []
+    for i, x in enumerate(w):
+        if x > threshold and out and out[-1][1] == i - 1:
+            out[-1][1] = i
+        elif x > threshold:
+            out.append([i, i])
+    return [tuple(r) for r in out]
+
+
+def brute_extended(runs, left_by, right_by, last):
+    rights = [min(b + right_by, last, *(runs[k + 1][0] - 1 for _ in [0] if k + 1 < len(runs))) for k, (_, b) in enumerate(runs)]
+    return [(max(a - left_by, rights[k - 1] + 1 if k else 0, 0), rights[k]) for k, (a, _) in enumerate(runs)]
+
+
+WAVES = [np.random.default_rng(i).normal(0, 1, n).round(3).tolist() for i, n in enumerate((0, 1, 2, 7, 40, 40, 150))] + [[2.0] * 9, [-2.0] * 9, [2.0, -2.0] * 6]
+
+
+def by_row(df):
+    return {r["k"]: [tuple(x) for x in r["x"]] for r in df.collect()}
+
+
+def by_key(df, *columns):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["k"], []).append(tuple(r[c] for c in columns))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+@pytest.mark.parametrize("left_by, right_by", [(0, 0), (1, 2), (3, 1), (50, 50)])
+def test_runs_and_extensions(spark, left_by, right_by):
+    df = wave(spark, *WAVES)
+    runs = {k: brute_runs(w, 0.4) for k, w in enumerate(WAVES)}
+    grown = {k: brute_extended(r, left_by, right_by, len(WAVES[k]) - 1) for k, r in runs.items()}
+    held = df.withColumn("r", islands.runs_in_array(F.col("w"), 0.4))
+    assert by_row(held.select("k", F.col("r").alias("x"))) == runs
+    assert by_row(held.select("k", islands.extended_in_array(F.col("r"), left_by, right_by, F.size("w") - 1).alias("x"))) == grown
+    table = islands.threshold_runs(waves.samples(df, ["k"], "w"), ["k"], "i", "value", 0.4)
+    some = lambda d: {k: v for k, v in d.items() if v}
+    assert by_key(table, "left", "right") == some(runs)
+    last = df.select("k", (F.size("w") - 1).alias("last"))
+    x = islands.extend_intervals(table.join(last, "k"), ["k"], left_by, right_by, F.lit(0), F.col("last"))
+    assert by_key(x, "left_x", "right_x") == some(grown)
+
+
+@pytest.mark.parametrize("margin", [0, 2, 9])
+def test_zero_length_encoding(spark, margin):
+    df = wave(spark, *WAVES)
+    want = {}
+    for k, w in enumerate(WAVES):
+        merged = []
+        for a, b in brute_runs(w, 0.9):
+            a, b = max(a - margin, 0), min(b + margin, len(w) - 1)
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        want[k] = [(a + a % 2, b - (b + 1) % 2) for a, b in merged]
+    assert by_row(df.select("k", islands.zero_length_in_array(F.col("w"), 0.9, margin).alias("x"))) == want
+
+
+def test_hits_of_a_waveform(spark):
+    rows = [(k, w, float(k % 3)) for k, w in enumerate(WAVES)]
+    df = spark.createDataFrame(rows, "k int, w array<double>, gain double")
+    got = by_key(waves.find_hits(df, ["k"], "w", 0.4, 1, 2, 1.5, longest=3, most=5, gain="gain"), "left", "right", "area", "height", "index_of_maximum", "center", "sum_absolute_deviation", "n_saturated")
+    for k, w in enumerate(WAVES):
+        want = []
+        pieces = [(s, min(s + 2, b)) for a, b in brute_runs(w, 0.4) for s in range(a, b + 1, 3)]
+        for a, b in brute_extended(pieces, 1, 2, len(w) - 1):
+            v, i = np.array(w[a : b + 1]), np.arange(a, b + 1)
+            if v.sum() > 0:
+                c = (v * i).sum() / v.sum()
+                want.append((a, b, v.sum(), v.max(), int(i[v.argmax()]), c, (np.abs(i - c) * v).sum() / v.sum(), int((v > 1.5).sum())))
+        want = want[:5] if k % 3 else []
+        assert len(got.get(k, [])) == len(want) and all(np.allclose(x, y) for x, y in zip(got.get(k, []), sorted(want)))
+
+
+def test_smoothing_and_extrema(spark):
+    df = wave(spark, *WAVES)
+    for r in df.select("k", waves.smoothed(F.col("w"), 2, 3).alias("s"), waves.extrema(F.col("w")).alias("e")).collect():
+        w = WAVES[r["k"]]
+        assert np.allclose(r["s"], [sum(w[max(i - 2, 0) : i + 4]) / 6 for i in range(len(w))])
+        d = np.sign(np.diff(w))
+        want = [(i, "min" if d[i] > 0 else "max") for i in range(1, len(w) - 1) if d[i - 1] * d[i] < 0]
+        assert [tuple(x) for x in r["e"]] == want
+
+
+def test_concatenation(spark):
+    rng = np.random.default_rng(4)
+    rows, want, at = [], [], 0
+    for _ in range(40):
+        n, gap = int(rng.integers(1, 6)), int(rng.integers(0, 2))
+        data = rng.integers(0, 99, n).tolist()
+        at += gap
+        rows.append((1, at, at + n - 1, data))
+        if want and not gap:
+            want[-1] = (want[-1][0], at + n - 1, want[-1][2] + data)
+        else:
+            want.append((at, at + n - 1, data))
+        at += n
+    df = spark.createDataFrame(rows, "channel int, left int, right int, raw_data array<int>")
+    assert sorted((r["left"], r["right"], r["raw_data"]) for r in waves.concatenate_adjacent(df.repartition(3), ["channel"]).collect()) == want and 1 < len(want) < 40
+
+
+def test_bounds(spark):
+    rows = [(left, list(range(left, left + n))) for left in (-40, -9, -1, 0, 7, 49, 50, 51, 90) for n in (1, 3, 12, 80)]
+    df = spark.createDataFrame(rows, "left int, raw_data array<int>")
+    got = sorted((r["left"], r["right"], r["raw_data"]) for r in waves.cut_to_bounds(df, F.lit(51)).collect())
+    inside = [[x for x in data if 0 <= x < 51] for _, data in rows]
+    assert got == sorted((x[0], x[-1], x) for x in inside if x)
+    with pytest.raises(Exception, match="outside"):
+        waves.cut_to_bounds(df, F.lit(51), "error").collect()
+    assert waves.cut_to_bounds(df.filter("left between 0 and 50"), F.lit(51), "error").count() == 16
 
 
 def test_pulse_properties(spark):
@@ -113,20 +221,47 @@ def test_pulse_properties(spark):
 
 
 def test_interactions_in_order(spark):
-    s1 = spark.createDataFrame([(1, i, 1000 * i, 100.0 * (i + 1), 0) for i in range(10)], "event int, peak_id int, t int, area double, tight_coincidence int")
-    s2 = spark.createDataFrame([(1, 10 + i, 1010 * i, 101.0 * (i + 1), 0) for i in range(10)], "event int, peak_id int, t int, area double, tight_coincidence int")
-    got = interactions.pair_interactions(s1, s2, ["event"], 100, 100, 809.0).orderBy("interaction_id").collect()
-    assert [(r["s2"], r["s1"]) for r in got][:19] == [(19, i) for i in range(9, -1, -1)] + [(18, i) for i in range(8, -1, -1)]
+    rng = np.random.default_rng(6)
+    peak = lambda k, i: (1, k + i, int(rng.integers(0, 4000)), float(rng.integers(150, 5000)), 0)
+    schema = "event int, peak_id int, t int, area double, tight_coincidence int"
+    early, late = [peak(0, i) for i in range(8)], [peak(100, i) for i in range(8)]
+    got = interactions.pair_interactions(spark.createDataFrame(early, schema), spark.createDataFrame(late, schema), ["event"], 100, 100, 700.0).orderBy("interaction_id").collect()
+    pairs = [(r["s2"], r["s1"]) for r in got]
+    time, area = {p[1]: p[2] for p in early + late}, {p[1]: p[3] for p in early + late}
+    assert len(pairs) > 5 and len(set(pairs)) == len(pairs)
+    assert all(0 < time[b] - time[a] <= 4000 for b, a in pairs)
+    order = [(-area[b], -area[a]) for b, a in pairs]
+    assert order == sorted(order)
 
 
 def test_area_fractions(spark):
-    r = wave(spark, [1] * 100, [1]).select("k", peaks.fraction_crossings(F.col("w"), peaks.DECILES).alias("t")).orderBy("k").collect()
-    assert np.allclose(r[0]["t"], np.arange(0, 101, 10)) and np.allclose(r[1]["t"], np.arange(11) / 10)
+    rng = np.random.default_rng(7)
+    w = [rng.random(n).round(3).tolist() for n in (1, 2, 17, 90)]
+    fractions = [0.0, 0.13, 0.5, 0.87, 1.0]
+    for r in wave(spark, *w).select("k", peaks.fraction_crossings(F.col("w"), fractions).alias("t")).collect():
+        v = np.array(w[r["k"]])
+        assert np.allclose(r["t"], np.interp(np.array(fractions) * v.sum(), np.concatenate([[0], np.cumsum(v)]), np.arange(len(v) + 1)))
+
+
+def test_centring(spark):
+    for n, center, field in ((1, 0, 3), (4, 1, 7), (9, 8, 5), (6, 0, 4), (30, 12, 9)):
+        w = list(range(1, n + 1))
+        got = wave(spark, w).select(peaks.centred(F.col("w"), field, F.lit(center)).alias("c")).first()["c"]
+        source = {i - center + field // 2: x for i, x in enumerate(w)}
+        assert got == [source.get(i, 0) for i in range(field)]
+
+
+def test_breaks_equal_the_plain_rule():
+    rng = np.random.default_rng(8)
+    for n in (2, 3, 10, 60):
+        t, a, own = np.sort(rng.normal(0, 50, n)), rng.random(n) + 0.1, rng.random(n) * 20
 
+        def spread(x, w, o):
+            return (np.maximum(o, np.abs(x - np.average(x, weights=w))) * w).sum()
 
-@pytest.mark.parametrize("w, center, want", [([1], 0, [0, 0, 1, 0, 0]), ([1, 2], 0, [0, 0, 1, 2, 0]), ([1, 2, 3], 1, [0, 1, 2, 3, 0]), ([1, 2, 3, 4, 5, 6, 7], 3, [2, 3, 4, 5, 6]), ([1, 2, 3, 4], 3, [2, 3, 4, 0, 0])])
-def test_centring(spark, w, center, want):
-    assert wave(spark, w).select(peaks.centred(F.col("w"), 5, F.lit(center)).alias("c")).first()["c"] == want
+        good = [1 - (spread(t[:i], a[:i], own[:i]) + spread(t[i:], a[i:], own[i:])) / spread(t, a, own) for i in range(1, n)]
+        i, best = splitting.best_break(t, a, own)
+        assert i == int(np.argmax(good)) + 1 and np.isclose(best, max(good))
 
 
 def test_two_equal_channels(spark):
