@@ -62,13 +62,13 @@ def largest_per_section(spark, sf_dir):
     return channels.largest_per_section(t, ["user_id"], "t", "value", "event_id", 5)
 
 
-INTERVALS = "i as (select l_orderkey, 10 * l_linenumber as \"left\", cast(floor(10 * l_linenumber + l_quantity % 10) as int) as \"right\" from lineitem)"
+INTERVALS = "i as (select l_orderkey, 10 * l_linenumber as \"left\", cast(floor(10 * l_linenumber + max(l_quantity) % 10) as int) as \"right\" from lineitem group by l_orderkey, l_linenumber)"
 
 
 @query(f"""with {INTERVALS}, a as (select l_orderkey, "right" + 1 as "left", coalesce(lead("left") over (partition by l_orderkey order by "left") - 1, 99) as "right" from i
 union all select l_orderkey, 0 as "left", min("left") - 1 as "right" from i group by l_orderkey) select l_orderkey, cast("left" as bigint) as "left", cast("right" as bigint) as "right" from a where "left" <= "right" """)
 def free_regions(spark, sf_dir):
-    line = read(spark, sf_dir, "lineitem")
+    line = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity"))
     i = line.select("l_orderkey", (10 * F.col("l_linenumber")).alias("left"), F.floor(10 * F.col("l_linenumber") + F.col("l_quantity") % 10).cast("int").alias("right"))
     out = channels.free_regions(i, ["l_orderkey"], 0, F.lit(99))
     return out.select("l_orderkey", F.col("left").cast("long").alias("left"), F.col("right").cast("long").alias("right"))
