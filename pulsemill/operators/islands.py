@@ -25,6 +25,19 @@ def lagged(column: str, keys: Sequence[str], order: Sequence[str], n: int = 1) -
     return F.lag(column, n).over(Window.partitionBy(*keys).orderBy(*order))
 
 
+#: Rows that a bucket of time holds on average, and buckets at most (the table of bucket edges is numbered in one task).
+BUCKET_ROWS, MOST_BUCKETS = 20_000, 100_000
+
+
+def bucket_width(df: DataFrame, time: str) -> int:
+    """Width of time buckets by the counted rows and the time they span, so that the number of tasks grows with the rows."""
+    r = df.agg(F.min(time).alias("lo"), F.max(time).alias("hi"), F.count(time).alias("n")).first()
+    if not r["n"]:
+        return DAY
+    buckets = max(1, min(r["n"] // BUCKET_ROWS, MOST_BUCKETS))
+    return (r["hi"] - r["lo"]) // buckets + 1
+
+
 def gap_sessions(df: DataFrame, time: str, tie: str, gap: int, bucket: int = DAY, name: str = "session") -> DataFrame:
     """df with a global session number: a row joins the session of the row before it if it is less than `gap` later.
 

@@ -6,18 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .islands import DAY, gap_sessions, point_in_range
+from .islands import DAY, bucket_width, gap_sessions, point_in_range
 
 SIGNAL_GAP, EVENT_GAP = 300, 250_000
 
 
-def find_signals(pulses: DataFrame, separation: int = SIGNAL_GAP, bucket: int = DAY, tie: str = "pulse_id") -> DataFrame:
+def find_signals(pulses: DataFrame, separation: int = SIGNAL_GAP, bucket: int | None = None, tie: str = "pulse_id") -> DataFrame:
     """Signals: runs of two or more pulses, each less than `separation` after the one before.
 
     Mean and population rms are taken from the signal's own start, so they keep the nanoseconds; time_mean and time_rms are
-    in ns relative to left_time.
+    in ns relative to left_time. Without a bucket, its width follows from the counted pulses.
     """
-    s = gap_sessions(pulses, "time", tie, separation, bucket, "signal_id")
+    s = gap_sessions(pulses, "time", tie, separation, bucket or bucket_width(pulses, "time"), "signal_id")
     rel = (F.col("time") - F.min("time").over(Window.partitionBy("signal_id"))).cast("double")
     out = s.withColumn("rel", rel).groupBy("signal_id").agg(
         F.min("time").alias("left_time"),
@@ -33,7 +33,7 @@ def find_signals(pulses: DataFrame, separation: int = SIGNAL_GAP, bucket: int =
 
 def lone_pulses(pulses: DataFrame, separation: int, tie: str = "pulse_id") -> DataFrame:
     """The pulses that are in no signal."""
-    s = gap_sessions(pulses, "time", tie, separation, name="signal_id")
+    s = gap_sessions(pulses, "time", tie, separation, bucket_width(pulses, "time"), "signal_id")
     alone = s.groupBy("signal_id").agg(F.count("*").alias("n")).filter("n = 1").select("signal_id")
     return s.join(alone, "signal_id", "left_semi").drop("signal_id")
 
@@ -92,13 +92,13 @@ def pulse_rates(pulses: DataFrame, interval: int, pmts: bool = True) -> DataFram
     if not pmts:
         return every.join(seen, "interval", "left").select("interval", F.coalesce("n", F.lit(0)).alias("n"))
     channels = pulses.groupBy("pmt").agg(F.count("*").alias("_")).select("pmt")
-    full = every.join(F.broadcast(channels))  # a channel list and a list of intervals: the size of the report itself
+    full = every.crossJoin(channels)  # the size of the report itself: a row for each interval and channel
     return full.join(seen, ["interval", "pmt"], "left").select("interval", "pmt", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def pair_coincidences(pulses: DataFrame, separation: int, tie: str = "pulse_id") -> DataFrame:
     """Upper triangle of the counts of signals seen by exactly two channels."""
-    s = gap_sessions(pulses, "time", tie, separation, name="signal_id")
+    s = gap_sessions(pulses, "time", tie, separation, bucket_width(pulses, "time"), "signal_id")
     two = s.groupBy("signal_id").agg(F.min("pmt").alias("a"), F.max("pmt").alias("b"), F.count_distinct("pmt").alias("n"))
     return two.filter("n = 2").groupBy("a", "b").agg(F.count("*").alias("n_coincidences"))
 
@@ -139,6 +139,6 @@ def any_pulse_triggers(signals: DataFrame, pulses: DataFrame, code: int) -> Data
 def last_break(pulses: DataFrame, gap: int, until: int | None = None) -> DataFrame:
     """Time of the last pulse after which nothing comes for more than `gap` (until `until`, which counts as a pulse)."""
     source = pulses.select("time") if until is None else pulses.select("time").union(pulses.sparkSession.range(1).select(F.lit(until).alias("time")))
-    numbered = gap_sessions(source.withColumn("_tie", F.col("time")), "time", "_tie", gap + 1, name="s")
+    numbered = gap_sessions(source.withColumn("_tie", F.col("time")), "time", "_tie", gap + 1, bucket_width(source, "time"), "s")
     ends = numbered.groupBy("s").agg(F.max("time").alias("last_time"))
     return ends.orderBy(F.desc("s")).limit(2).agg(F.min("last_time").alias("break_after"), F.max("last_time").alias("last_time"))
