@@ -14,18 +14,27 @@ from pyspark.sql import functions as F
 _CELLS = 1 << 20
 
 
-def _deviations(t: np.ndarray, a: np.ndarray, own: np.ndarray, splits: np.ndarray) -> np.ndarray:
-    """For each split: the area-weighted absolute deviations from the mean of its side, each hit's own deviation being the least."""
-    area, moment = np.concatenate([[0], np.cumsum(a)]), np.concatenate([[0], np.cumsum(a * t)])
+def _best_breaks(t: np.ndarray, a: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """best_break() of many rows of hits of one length (m, n), at once."""
+    m, n = t.shape
+    area, moment = np.cumsum(a, axis=1), np.cumsum(a * t, axis=1)
     with np.errstate(invalid="ignore", divide="ignore"):
-        left, right = moment[splits] / area[splits], (moment[-1] - moment[splits]) / (area[-1] - area[splits])
-    out = np.empty(len(splits))
-    step = max(1, _CELLS // len(t))
-    for k in range(0, len(splits), step):
-        some = slice(k, k + step)
-        mean = np.where(np.arange(len(t)) < splits[some, None], left[some, None], right[some, None])
-        out[some] = np.maximum(own, np.abs(t - mean)) @ a
-    return out
+        left = moment[:, :-1] / area[:, :-1]
+        right = (moment[:, -1:] - moment[:, :-1]) / (area[:, -1:] - area[:, :-1])
+        middle = moment[:, -1:] / area[:, -1:]
+    whole = (np.maximum(own, np.abs(t - middle)) * a).sum(axis=1)
+    apart = np.empty((m, n - 1))
+    is_left = np.arange(n) < np.arange(1, n)[:, None]
+    rows, columns = max(1, _CELLS // (n * n)), max(1, _CELLS // n)
+    for r in range(0, m, rows):
+        for c in range(0, n - 1, columns):
+            at = (slice(r, r + rows), slice(c, c + columns))
+            mean = np.where(is_left[at[1]], left[at][..., None], right[at][..., None])
+            apart[at] = (np.maximum(own[at[0], None], np.abs(t[at[0], None] - mean)) * a[at[0], None]).sum(axis=-1)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        good = np.where(whole[:, None] == 0, 0.0, 1 - apart / whole[:, None])
+    i = good.argmax(axis=1)
+    return np.where(whole == 0, 0, i + 1), np.take_along_axis(good, i[:, None], axis=1)[:, 0]
 
 
 def best_break(t: np.ndarray, a: np.ndarray, own: np.ndarray | None = None) -> tuple[int, float]:
@@ -33,42 +42,51 @@ def best_break(t: np.ndarray, a: np.ndarray, own: np.ndarray | None = None) -> t
 
     Goodness is 1 - the deviation of both sides over the whole's. own: the deviation that each hit has in itself.
     """
-    own = np.zeros(len(t)) if own is None else own
     if len(t) < 2:
         return 0, 0.0
-    whole = float(_deviations(t, a, own, np.array([len(t)]))[0])
-    if whole == 0:
-        return 0, 0.0
-    good = 1 - _deviations(t, a, own, np.arange(1, len(t))) / whole
-    i = int(np.argmax(good))
-    return i + 1, float(good[i])
+    i, good = _best_breaks(t[None], a[None], np.zeros((1, len(t))) if own is None else own[None])
+    return int(i[0]), float(good[0])
 
 
-def natural_breaks(t: np.ndarray, a: np.ndarray, min_gap: float, knots: Sequence[tuple[float, float]], own: np.ndarray | None = None) -> np.ndarray:
-    """Part number of each hit: split recursively while the best split's gap and goodness reach their limits.
+def _limit(area: np.ndarray, knots: Sequence[tuple[float, float]]) -> np.ndarray:
+    """Linear between knots (log10 area, limit), and beyond them too."""
+    x, y = (np.array(v) for v in zip(*knots))
+    v = np.log10(np.maximum(area, 1e-9))
+    low = y[0] + (v - x[0]) * (y[1] - y[0]) / (x[1] - x[0])
+    high = y[-1] + (v - x[-1]) * (y[-1] - y[-2]) / (x[-1] - x[-2])
+    return np.where(v < x[0], low, np.where(v > x[-1], high, np.interp(v, x, y)))
 
-    The limit on the goodness is linear between knots (log10 area, limit), and beyond them too.
+
+def break_parts(t: np.ndarray, a: np.ndarray, own: np.ndarray, sizes: Sequence[int], min_gap: float, knots: Sequence[tuple[float, float]]) -> np.ndarray:
+    """Part number of each hit of peaks that lie end to end: split while the best split's gap and goodness reach their limits.
+
+    All pieces of one length are tried together, so a batch of small peaks is a few array operations.
     """
-    part = np.zeros(len(t), int)
-    x, y = (np.array(v) for v in zip(*knots))
+    ends = np.cumsum(sizes, dtype=np.int64)
+    begins = ends - np.asarray(sizes, np.int64)
+    new = np.zeros(len(t), np.int64)
+    lo, hi = begins, ends
+    while len(lo):
+        more = []
+        for n in np.unique(hi - lo):
+            if n < 2:
+                continue
+            start = lo[hi - lo == n]
+            rows = start[:, None] + np.arange(n)
+            i, good = _best_breaks(t[rows], a[rows], own[rows])
+            cut = start + i
+            split = (i > 0) & (good > _limit(a[rows].sum(axis=1), knots))
+            split[split] = t[cut[split]] - t[cut[split] - 1] >= min_gap
+            new[cut[split]] = 1
+            more += [np.stack([start[split], cut[split]]), np.stack([cut[split], start[split] + n])]
+        lo, hi = np.concatenate(more, axis=1) if more else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    part = np.cumsum(new)
+    return part - np.repeat(part[begins[begins < len(t)]], np.asarray(sizes)[begins < len(t)]) if len(t) else part
 
-    def limit(area: float) -> float:
-        v = np.log10(max(area, 1e-9))
-        if v < x[0] or v > x[-1]:
-            i, j = (0, 1) if v < x[0] else (-2, -1)
-            return float(y[j] + (v - x[j]) * (y[j] - y[i]) / (x[j] - x[i]))
-        return float(np.interp(v, x, y))
-
-    todo = [(0, len(t))]
-    starts = [0]
-    while todo:
-        lo, hi = todo.pop()
-        i, good = best_break(t[lo:hi], a[lo:hi], None if own is None else own[lo:hi])
-        if i and t[lo + i] - t[lo + i - 1] >= min_gap and good > limit(float(a[lo:hi].sum())):
-            starts.append(lo + i)
-            todo += [(lo, lo + i), (lo + i, hi)]
-    part[sorted(set(starts))[1:]] = 1
-    return np.cumsum(part)
+
+def natural_breaks(t: np.ndarray, a: np.ndarray, min_gap: float, knots: Sequence[tuple[float, float]], own: np.ndarray | None = None) -> np.ndarray:
+    """break_parts() of one peak."""
+    return break_parts(np.asarray(t, float), np.asarray(a, float), np.zeros(len(t)) if own is None else own, [len(t)], min_gap, knots)
 
 
 def split_natural(hits: DataFrame, peak: Sequence[str], hit: str, time: str, area: str, min_gap: float, knots: Sequence[tuple[float, float]], deviation: str | None = None) -> DataFrame:
@@ -79,7 +97,9 @@ def split_natural(hits: DataFrame, peak: Sequence[str], hit: str, time: str, are
 
     @F.pandas_udf("array<long>")
     def run(t: pd.Series, a: pd.Series, d: pd.Series) -> pd.Series:
-        return pd.Series([natural_breaks(np.asarray(x, float), np.asarray(y, float), min_gap, knots, np.asarray(z, float)) for x, y, z in zip(t, a, d)])
+        sizes = [len(x) for x in t]
+        flat = lambda v: np.concatenate([*v, np.zeros(0)]).astype(float)
+        return pd.Series(np.split(break_parts(flat(t), flat(a), flat(d), sizes, min_gap, knots), np.cumsum(sizes)[:-1]))
 
     own = F.col(deviation).cast("double") if deviation else F.lit(0.0)
     lists = hits.groupBy(*peak).agg(F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(hit).alias("h"), F.col(area).cast("double").alias("a"), own.alias("d")))).alias("x"))

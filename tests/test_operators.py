@@ -251,6 +251,26 @@ def test_centring(spark):
         assert got == [source.get(i, 0) for i in range(field)]
 
 
+def test_pieces_of_many_peaks_are_split_alike():
+    rng = np.random.default_rng(9)
+    sizes = [0, 1, 2, 5, 5, 40, 0, 3, 5]
+    t = [np.sort(np.concatenate([rng.normal(rng.choice([0, 300, 900]), 9, 1) for _ in range(n)])) if n else np.zeros(0) for n in sizes]
+    a, own = [rng.random(n) * 9 + 0.1 for n in sizes], [rng.random(n) for n in sizes]
+    knots = [(0.0, 0.6), (2.0, 0.4)]
+
+    def plain(x, w, o):
+        i, good = splitting.best_break(x, w, o)
+        v = np.log10(w.sum()) if len(w) else 0
+        if not i or x[i] - x[i - 1] < 20 or good <= 0.6 - 0.1 * v:
+            return [0] * len(x)
+        left = plain(x[:i], w[:i], o[:i])
+        return left + [left[-1] + 1 + p for p in plain(x[i:], w[i:], o[i:])]
+
+    want = [p for x, w, o in zip(t, a, own) for p in plain(x, w, o)]
+    got = splitting.break_parts(np.concatenate(t), np.concatenate(a), np.concatenate(own), sizes, 20, knots)
+    assert got.tolist() == want and max(want) > 1
+
+
 def test_breaks_equal_the_plain_rule():
     rng = np.random.default_rng(8)
     for n in (2, 3, 10, 60):
