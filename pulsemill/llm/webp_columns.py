@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 import struct
 import zlib
 from bisect import bisect_left
@@ -67,6 +68,9 @@ class BitWriter:
         self.value |= value << self.n
         self.n += bits
 
+    def add(self, other: BitWriter) -> None:
+        self.put(other.value, other.n)
+
     def data(self) -> np.ndarray:
         raw = self.value.to_bytes(-(-self.n // 8), "little")
         return np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little")[: self.n]
@@ -89,23 +93,29 @@ class BitReader:
 # --- prefix codes ----------------------------------------------------------------------------------------------------
 
 
-def _mirror() -> list[int]:
-    whole = np.arange(1 << 15, dtype=np.uint32)
-    return sum(((whole >> np.uint32(i)) & np.uint32(1)) << np.uint32(14 - i) for i in range(15)).tolist()
+def _mirror() -> np.ndarray:
+    whole = np.arange(1 << 15)
+    return sum(((whole >> i) & 1) << (14 - i) for i in range(15))
 
 
 #: The 15 bits of each number in reverse.
 _MIRROR = _mirror()
 
 
+def _codes(lengths) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The symbols in use, their codes with the first bit lowest, and the codes' lengths."""
+    sizes = np.array(lengths, np.int64)
+    symbols = np.nonzero(sizes)[0]
+    symbols = symbols[np.argsort(sizes[symbols], kind="stable")]
+    sizes = sizes[symbols]
+    share = 1 << (15 - sizes)
+    return symbols, _MIRROR[np.cumsum(share) - share], sizes
+
+
 def canonical(lengths) -> dict[int, tuple[int, int]]:
     """symbol -> (code with its first bit lowest, length)."""
-    out, code, last = {}, 0, 0
-    for size, symbol in sorted([(n, s) for s, n in enumerate(lengths) if n]):
-        code <<= size - last
-        out[symbol] = (_MIRROR[code] >> (15 - size), size)
-        code, last = code + 1, size
-    return out
+    symbols, codes, sizes = (a.tolist() for a in _codes(lengths))
+    return dict(zip(symbols, zip(codes, sizes)))
 
 
 def code_lengths(counts, most: int) -> list[int]:
@@ -120,19 +130,18 @@ def code_lengths(counts, most: int) -> list[int]:
     n = len(used)
     while True:
         order = np.argsort(weights, kind="stable")
-        weight = weights[order].tolist()
+        leaves, inner = [*weights[order].tolist(), math.inf], [math.inf] * n
         parent = [0] * (2 * n - 1)
-        leaf, inner = 0, n
-        for new in range(n, 2 * n - 1):  # inner nodes come out in rising order, so two queues do
-            total = 0
-            for _ in range(2):
-                if inner >= new or (leaf < n and weight[leaf] <= weight[inner]):
-                    pick, leaf = leaf, leaf + 1
-                else:
-                    pick, inner = inner, inner + 1
-                parent[pick] = new
-                total += weight[pick]
-            weight.append(total)
+        leaf = node = 0
+        for new in range(n - 1):  # inner nodes come out in rising order, so two queues do
+            if leaves[leaf] <= inner[node]:
+                total, parent[leaf], leaf = leaves[leaf], n + new, leaf + 1
+            else:
+                total, parent[n + node], node = inner[node], n + new, node + 1
+            if leaves[leaf] <= inner[node]:
+                inner[new], parent[leaf], leaf = total + leaves[leaf], n + new, leaf + 1
+            else:
+                inner[new], parent[n + node], node = total + inner[node], n + new, node + 1
         depth = [0] * (2 * n - 1)
         for node in range(2 * n - 3, -1, -1):
             depth[node] = depth[parent[node]] + 1
@@ -144,23 +153,39 @@ def code_lengths(counts, most: int) -> list[int]:
     return lengths
 
 
+@functools.cache
+def _mirrored(width: int) -> np.ndarray:
+    """The numbers of `width` bits with their bits in reverse."""
+    return _MIRROR[: 1 << width] >> (15 - width)
+
+
 class PrefixCode:
     """Decoding table of a prefix code: symbol << 4 | length for the next `width` bits. A code of one symbol takes no bits."""
 
     def __init__(self, lengths: list[int]):
-        codes = canonical(lengths)
-        if len(codes) == 1:
-            self.width, self.table = 0, [next(iter(codes)) << 4]
+        sizes = np.array(lengths, np.int64)
+        symbols = np.nonzero(sizes)[0]
+        if len(symbols) == 1:
+            self.width, self.table = 0, (symbols << 4).astype(np.uint16)
             return
-        self.width = max(n for _, n in codes.values()) if codes else 0
-        if sum(1 << (self.width - n) for _, n in codes.values()) != 1 << self.width:
+        symbols = symbols[np.argsort(sizes[symbols], kind="stable")]
+        sizes = sizes[symbols]
+        self.width = int(sizes[-1]) if len(sizes) else 0
+        share = 1 << (self.width - sizes)
+        if share.sum() != 1 << self.width:
             raise ValueError("prefix code is not complete")
-        self.table = [0] * (1 << self.width)
-        for symbol, (code, size) in codes.items():
-            self.table[code :: 1 << size] = [symbol << 4 | size] * (1 << (self.width - size))
+        self.table = np.repeat((symbols << 4 | sizes).astype(np.uint16), share)[_mirrored(self.width)]
+
+    @functools.cached_property
+    def listed(self) -> list[int]:
+        return self.table.tolist()
+
+    @functools.cached_property
+    def sizes(self) -> np.ndarray:
+        return (self.table & 15).astype(np.intp)
 
     def read(self, bits: BitReader) -> int:
-        entry = self.table[bits.peek(self.width)]
+        entry = int(self.table[bits.peek(self.width)])
         bits.at += entry & 15
         return entry >> 4
 
@@ -185,7 +210,7 @@ def read_code(bits: BitReader, alphabet: int, last: tuple[PrefixCode, int, int]
         own[symbol] = bits.get(3)
     code = PrefixCode(own)
     left = 2 + bits.get(2 + 2 * bits.get(3)) if bits.get(1) else alphabet
-    table, mask = code.table, (1 << code.width) - 1
+    table, mask = code.listed, (1 << code.width) - 1
     data, start, held, window = bits.data, bits.at, 0, 0
     at, last_length = 0, 8
     while at < alphabet and left:
@@ -295,6 +320,96 @@ def _distance(code: int, width: int) -> int:
     return max(1, x + y * width)
 
 
+#: Pixels from which on an image with one group of codes is read by array operations.
+FEW = 64
+#: Bytes of an image's bits that are looked up at once.
+BLOCK = 2048
+
+
+def _one_group(bits: BitReader, width: int, total: int, group: list[PrefixCode], cache_bits: int, seen: Counter) -> np.ndarray:
+    """Pixels of an image with one group of codes.
+
+    All codes are looked up at each bit of a block, as if a pixel started there, so what is left to do one by one is to go
+    from pixel to pixel; the values of those that do start are put together at once.
+    """
+    green, red, blue, alpha, far = group
+    # bits to the next pixel and 1, where green says so: 0 for a reference, -1 for a literal
+    known = np.where(green.table < 4096, -1, np.where(green.table >> 4 < 256 + LENGTH_SYMBOLS, 0, green.sizes + 1))
+    raw = np.frombuffer(bits.data + bytes(BLOCK + 32), np.uint8).astype(np.uint32)
+    shifts, here = np.arange(8, dtype=np.uint32), np.arange(8 * BLOCK)
+    values, slots, copies = [], [], []
+    at, left, tokens = bits.at, total, 0
+    while left:
+        start = at >> 3
+        if start > len(bits.data):
+            raise ValueError("image ends early")
+        own = min(BLOCK, len(bits.data) + 1 - start)
+        b = raw[start : start + own + 10]
+        window = ((b[:-2] | b[1:-1] << np.uint32(8) | b[2:] << np.uint32(16))[:, None] >> shifts).reshape(-1).astype(np.intp)
+        look = {c: window & ((1 << c.width) - 1) for c in {green, red, blue, alpha}}
+        sizes = {c: c.sizes[look[c]] for c in {red, blue, alpha}}
+        first = look[green][: 8 * own]
+        r_at = here[: 8 * own] + green.sizes[first]
+        b_at = r_at + sizes[red][r_at]
+        a_at = b_at + sizes[blue][b_at]
+        whole = a_at + sizes[alpha][a_at] - here[: 8 * own] + 1
+        step = known[first]
+        step = np.where(step < 0, whole, step).astype(np.uint8).tobytes()
+        base, end, places = 8 * start, 8 * own, []
+        place = at - base
+        while place < end and left:
+            size = step[place]
+            if size:
+                places.append(place)
+                place += size - 1
+                left -= 1
+                continue
+            entry = int(green.table[first[place]])
+            bits.at = base + place + (entry & 15)
+            length = min(_extra((entry >> 4) - 256, bits), left)
+            copies.append((tokens + len(places), length, _distance(_extra(far.read(bits), bits), width)))
+            left -= length
+            place = bits.at - base
+        at, tokens = base + place, tokens + len(places)
+        p = np.array(places, np.int64)
+        symbol = green.table[first[p]] >> 4
+        r, bl, a = (code.table[look[code][x[p]]] >> 4 for code, x in ((red, r_at), (blue, b_at), (alpha, a_at)))
+        pixel = (a.astype(np.uint32) << np.uint32(24)) | (r.astype(np.uint32) << np.uint32(16)) | (symbol.astype(np.uint32) << np.uint32(8)) | bl
+        slot = symbol.astype(np.int64) - 256 - LENGTH_SYMBOLS
+        values.append(pixel)
+        slots.append(slot)
+    bits.at = at
+    value, slot = np.concatenate(values), np.concatenate(slots)
+    from_cache = np.nonzero(slot >= 0)[0].tolist()
+    seen.update(cache_hits=len(from_cache), references=len(copies))
+    if not copies and not from_cache:
+        return value
+    if from_cache:
+        slot = np.where(slot < 0, (value * np.uint32(CACHE_MULTIPLIER)) >> np.uint32(32 - cache_bits), slot)
+    value, slot, cache = value.tolist(), slot.tolist(), {}
+    pixels, kept_at = [], []  # the pixels and their places in the cache
+    taken, cached, hit = 0, 0, 0
+    for token, length, back in [*copies, (tokens, 0, 1)]:
+        while hit < len(from_cache) and from_cache[hit] < token:
+            n = from_cache[hit]
+            pixels += value[taken:n]
+            kept_at += slot[taken : n + 1]
+            cache.update(zip(kept_at[cached:-1], pixels[cached:]))
+            cached = len(kept_at)  # what comes from the cache is there already
+            pixels.append(cache.get(slot[n], 0))
+            taken, hit = n + 1, hit + 1
+        pixels += value[taken:token]
+        kept_at += slot[taken:token]
+        taken, n = token, len(pixels)
+        if length and back > n:
+            raise ValueError("reference before the image")
+        if length:  # it may run on over what it has just copied
+            times, first, last = -(-length // min(length, back)), n - back, n - back + min(length, back)
+            pixels += (pixels[first:last] * times)[:length]
+            kept_at += (kept_at[first:last] * times)[:length]
+    return np.array(pixels, np.uint32)
+
+
 def _entropy_image(bits: BitReader, width: int, height: int, top: bool, seen: Counter) -> np.ndarray:
     """ARGB pixels of an image without transforms: codes, references and colour cache."""
     cache_bits = bits.get(4) if bits.get(1) else 0
@@ -306,19 +421,22 @@ def _entropy_image(bits: BitReader, width: int, height: int, top: bool, seen: Co
     sizes = (GREEN_SYMBOLS + LENGTH_SYMBOLS + (1 << cache_bits if cache_bits else 0), 256, 256, 256, DISTANCE_SYMBOLS)
     groups = [read_codes(bits, sizes) for _ in range(1 + (max(meta) if meta is not None else 0))]
     total, across = width * height, -(-width >> shift)
+    seen.update(literals=total, long_codes=sum(c.width > 0 for g in groups for c in g), meta_images=int(meta is not None))
+    if meta is None and total >= FEW:
+        return _one_group(bits, width, total, groups[0], cache_bits, seen)
     cache, drop = [0] * (1 << cache_bits), 32 - cache_bits
     pixels: list[int] = []
     cached = 0  # pixels that the cache has taken in; it is brought up to date only when it is read
     data, at, n, hits, copies = bits.data, bits.at, 0, 0, 0
     window, left = 0, 0  # bits that are read ahead
     green, red, blue, alpha, far = groups[0]
-    g_table, g_mask = green.table, (1 << green.width) - 1
-    r_table, r_mask, b_table, b_mask, a_table, a_mask = red.table, (1 << red.width) - 1, blue.table, (1 << blue.width) - 1, alpha.table, (1 << alpha.width) - 1
+    g_table, g_mask = green.listed, (1 << green.width) - 1
+    r_table, r_mask, b_table, b_mask, a_table, a_mask = red.listed, (1 << red.width) - 1, blue.listed, (1 << blue.width) - 1, alpha.listed, (1 << alpha.width) - 1
     while n < total:
         if meta is not None:
             green, red, blue, alpha, far = groups[meta[(n // width >> shift) * across + (n % width >> shift)]]
-            g_table, g_mask = green.table, (1 << green.width) - 1
-            r_table, r_mask, b_table, b_mask, a_table, a_mask = red.table, (1 << red.width) - 1, blue.table, (1 << blue.width) - 1, alpha.table, (1 << alpha.width) - 1
+            g_table, g_mask = green.listed, (1 << green.width) - 1
+            r_table, r_mask, b_table, b_mask, a_table, a_mask = red.listed, (1 << red.width) - 1, blue.listed, (1 << blue.width) - 1, alpha.listed, (1 << alpha.width) - 1
         if left < 60:  # the four codes take no more
             window = int.from_bytes(data[at >> 3 : (at >> 3) + 32], "little") >> (at & 7)
             left = 256 - (at & 7)
@@ -360,7 +478,7 @@ def _entropy_image(bits: BitReader, width: int, height: int, top: bool, seen: Co
         n += length
         copies += 1
     bits.at = at
-    seen.update(literals=total, cache_hits=hits, references=copies, long_codes=sum(c.width > 0 for g in groups for c in g), meta_images=int(meta is not None))
+    seen.update(cache_hits=hits, references=copies)
     return np.array(pixels, np.uint32)
 
 
@@ -516,7 +634,7 @@ def decode_image(data: bytes, start: int = 0, seen: Counter | None = None) -> tu
     seen.update(TRANSFORMS[kind] for kind in used)
     for function, args in reversed(undo):
         argb = function(argb, *args)
-    return _channels(argb).astype(np.uint8).reshape(height, width, 4), size, length
+    return argb.astype(">u4").view(np.uint8).reshape(height, width, 4), size, length
 
 
 # --- encoder -----------------------------------------------------------------------------------------------------------
@@ -590,17 +708,19 @@ def _references(pixels: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def _prefixes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _prefixes(values: list[int]) -> np.ndarray:
     """Symbols, extra bits and their numbers for lengths or distances."""
-    v = values - 1
-    n = np.maximum(np.floor(np.log2(np.maximum(v, 1))).astype(np.int64) - 1, 0)
-    big = v >= 4
-    return np.where(big, 2 * n + 2 + ((v >> n) & 1), v), np.where(big, v & ((1 << n) - 1), 0), np.where(big, n, 0)
+    out = []
+    for v in values:
+        v -= 1
+        n = max(v.bit_length() - 2, 0)
+        out.append((v, 0, 0) if v < 4 else (2 * n + 2 + ((v >> n) & 1), v & ((1 << n) - 1), n))
+    return np.array(out, np.int64).reshape(-1, 3).T
 
 
 def _cache_hits(argb: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Cache slot of each pixel, and whether the slot holds the pixel when it comes."""
-    slot = (argb * np.uint32(CACHE_MULTIPLIER)) >> np.uint32(32 - bits)
+    slot = ((argb * np.uint32(CACHE_MULTIPLIER)) >> np.uint32(32 - bits)).astype(np.uint16)
     order = np.argsort(slot, kind="stable")
     hit = np.zeros(len(argb), bool)
     hit[order[1:]] = (slot[order[1:]] == slot[order[:-1]]) & (argb[order[1:]] == argb[order[:-1]])
@@ -612,14 +732,14 @@ def _code_table(counts: np.ndarray) -> tuple[np.ndarray, BitWriter]:
     lengths = code_lengths(counts, LONGEST_CODE)
     written = BitWriter()
     write_code(written, lengths)
-    codes = canonical(lengths)
+    symbols, codes, sizes = _codes(lengths)
     table = np.zeros((2, len(counts)), np.uint64)
-    if len(codes) > 1:
-        table[:, list(codes)] = np.array(list(codes.values()), np.uint64).T
+    if len(symbols) > 1:
+        table[0, symbols], table[1, symbols] = codes, sizes
     return table, written
 
 
-def _entropy_bits(argb: np.ndarray, width: int, top: bool) -> np.ndarray:
+def _entropy_bits(argb: np.ndarray, width: int, top: bool) -> BitWriter:
     """The bits of an image without transforms. Red, blue and alpha share one code: payloads of text fill them alike."""
     n = len(argb)
     literal = np.ones(n, bool)
@@ -635,8 +755,8 @@ def _entropy_bits(argb: np.ndarray, width: int, top: bool) -> np.ndarray:
     at, hit_at = np.nonzero(literal)[0], np.nonzero(hit)[0]
     samples = argb[at].view(np.uint8).reshape(-1, 4)  # blue, green, red, alpha
     near = _distance_codes(width)
-    length, length_extra, length_bits = _prefixes(copies[:, 1])
-    far, far_extra, far_bits = _prefixes(np.array([near.get(d, d + 120) for d in copies[:, 2].tolist()], np.int64))
+    length, length_extra, length_bits = _prefixes(copies[:, 1].tolist())
+    far, far_extra, far_bits = _prefixes([near.get(d, d + 120) for d in copies[:, 2].tolist()])
     alphabet = GREEN_SYMBOLS + LENGTH_SYMBOLS + (1 << cache_bits if cache_bits else 0)
     first = np.concatenate([samples[:, 1], GREEN_SYMBOLS + length, GREEN_SYMBOLS + LENGTH_SYMBOLS + slot[hit_at]]).astype(np.int64)
     green, green_written = _code_table(np.bincount(first, minlength=alphabet))
@@ -650,7 +770,7 @@ def _entropy_bits(argb: np.ndarray, width: int, top: bool) -> np.ndarray:
     if top:
         head.put(0, 1)  # no meta image
     for written in (green_written, other_written, other_written, other_written, distance_written):
-        head.put(written.value, written.n)
+        head.add(written)
 
     place = np.concatenate([at, copies[:, 0], hit_at])
     words, size = green[0][first], green[1][first]
@@ -662,8 +782,23 @@ def _entropy_bits(argb: np.ndarray, width: int, top: bool) -> np.ndarray:
         words[m : m + k] |= value.astype(np.uint64) << size[m : m + k]
         size[m : m + k] += bits.astype(np.uint64)
     order = np.argsort(place)
-    each = np.unpackbits(words[order].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return np.concatenate([head.data(), each[np.arange(64, dtype=np.uint8) < size[order].astype(np.uint8)[:, None]]])
+    head.add(_joined(words[order], size[order]))
+    return head
+
+
+def _joined(words: np.ndarray, size: np.ndarray) -> BitWriter:
+    """Words of `size` bits, fewer than 64, one after another."""
+    out = BitWriter()
+    end = np.cumsum(size)
+    start = end - size
+    cell, inside = start >> np.uint64(6), start & np.uint64(63)
+    first = np.concatenate([[0], np.nonzero(np.diff(cell))[0] + 1])  # a word starts in every cell
+    last = np.concatenate([first[1:], [len(words)]]) - 1
+    cells = np.zeros(len(first) + 1, np.uint64)
+    cells[:-1] = np.bitwise_or.reduceat(words << inside, first)
+    cells[1:] |= (words[last] >> np.uint64(1)) >> (np.uint64(63) - inside[last])  # what runs over into the next cell
+    out.put(int.from_bytes(cells.tobytes(), "little"), int(end[-1]))
+    return out
 
 
 def _neighbours(pixels: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -720,14 +855,14 @@ def _related(argb: np.ndarray) -> bool:
 def encode_image(argb: np.ndarray, width: int = WIDTH) -> bytes:
     """A file of pixels in rows of `width`."""
     height = len(argb) // width
-    head, done = BitWriter(), BitWriter()
-    done.put(0, 1)  # no (further) transform
+    head = BitWriter()
 
     def transform(kind: int) -> None:
         head.put(1, 1)
         head.put(kind, 2)
 
-    colours = np.unique(argb)
+    colours = np.sort(argb)
+    colours = colours[np.concatenate([[True], colours[1:] != colours[:-1]])]
     if len(colours) <= 256 and 4 * len(colours) <= len(argb):
         k = _bundle(len(colours))
         index = np.zeros((height, -(-width >> k) << k), np.uint32)
@@ -736,8 +871,11 @@ def encode_image(argb: np.ndarray, width: int = WIDTH) -> bytes:
         transform(PALETTE)
         head.put(len(colours) - 1, 8)
         steps = _argb(np.diff(_channels(colours), axis=0, prepend=np.zeros((1, 4), np.int64)))
-        return _file(width, height, np.concatenate([head.data(), _entropy_bits(steps, len(steps), False), done.data(), _entropy_bits(bundled << np.uint32(8) | np.uint32(0xFF000000), -(-width >> k), True)]))
-    parts, pixels = [], argb
+        head.add(_entropy_bits(steps, len(steps), False))
+        head.put(0, 1)  # no further transform
+        head.add(_entropy_bits(bundled << np.uint32(8) | np.uint32(0xFF000000), -(-width >> k), True))
+        return _file(width, height, head.data())
+    pixels = argb
     if _related(argb):
         rest, modes = do_predictor(argb, width)
         shifted, codes = do_cross_colour(argb, width)
@@ -747,8 +885,10 @@ def encode_image(argb: np.ndarray, width: int = WIDTH) -> bytes:
             transform(kind)
             if image is not None:
                 head.put(BLOCK_BITS - 2, 3)
-                parts = [_entropy_bits(image, -(-width >> BLOCK_BITS), False)]
-    return _file(width, height, np.concatenate([head.data(), *parts, done.data(), _entropy_bits(pixels, width, True)]))
+                head.add(_entropy_bits(image, -(-width >> BLOCK_BITS), False))
+    head.put(0, 1)
+    head.add(_entropy_bits(pixels, width, True))
+    return _file(width, height, head.data())
 
 
 def store(raw: bytes) -> bytes:
