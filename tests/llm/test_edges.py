@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pulsemill.llm import lm_scoring, mixing, near_dedup, packing, personal_data, quality_rules, queries, secret_scan, substring_dedup, toxicity, webp_columns
+from pulsemill.llm import filter_audit, lm_scoring, mixing, near_dedup, packing, periodic_runs, personal_data, quality_rules, queries, secret_scan, simhash, substring_dedup, toxicity, webp_columns
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 OPERATORS = {
@@ -21,8 +21,11 @@ OPERATORS = {
     "substring": lambda d, l: substring_dedup.remove_repeats(d),
     "packing": lambda d, l: packing.pack(d),
     "lm": lambda d, l: lm_scoring.score_texts(d),
+    "simhash": lambda d, l: simhash.simhash_groups(d),
+    "periodic": lambda d, l: periodic_runs.run_digests(periodic_runs.planted(d)),
+    "audit_flags": lambda d, l: filter_audit.failure_flags(d),
 }
-CLASHING = ["label", "spans", "score", "kept", "rank", "row", "a", "b", "p", "text_a", "rep", "bucket", "places", "host", "n_tokens", "base", "media", "topic", "shard", "piece", "length", "toxic"]
+CLASHING = ["label", "spans", "score", "kept", "rank", "row", "a", "b", "p", "text_a", "rep", "bucket", "places", "host", "n_tokens", "base", "media", "topic", "shard", "piece", "length", "toxic", "mask", "good", "part", "word", "same", "print", "rows", "runs", "collapsed", "quality"]
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +62,15 @@ def test_clashing_columns(odd, few_labels, name):
     assert sorted(map(str, more.collect())) == sorted(map(str, plain.collect()))
 
 
+def test_audit_of_odd_and_empty_tables(odd, few_labels):
+    labels = few_labels.withColumn("quality", F.lit(1))
+    plain = filter_audit.audit_filters(odd, labels)
+    more = filter_audit.audit_filters(odd.withColumns({c: F.lit("x") for c in CLASHING}), labels.withColumns({"text": F.lit("y"), "mask": F.lit(1), "part": F.lit("z"), "good": F.lit(9)}))
+    assert sorted(map(str, more.collect())) == sorted(map(str, plain.collect())) and plain.count() == 3 * 600 and more.columns == plain.columns
+    assert filter_audit.audit_filters(odd.limit(0), labels).count() == 0
+    assert {(r["good_lost"], r["toxic_lost"]) for r in filter_audit.audit_filters(odd, labels.limit(0)).collect()} == {(0, 0)}
+
+
 @pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
 def test_stages_take_odd_and_empty_tables(spark, odd, few_labels, tmp_path, stage):
     few_labels.write.parquet(str(tmp_path / "labels.parquet"))
@@ -88,7 +100,8 @@ def test_pipeline_keeps_one_of_each_group_and_no_secret(spark, docs, labels, cor
 def test_queries_equal_their_sql(spark, name):
     path = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    con.sql(f"create view documents as select * from '{path}/documents.parquet'")
+    for table in ("documents", "labels"):
+        con.sql(f"create view {table} as select * from '{path}/{table}.parquet'")
     want = con.sql(queries.ORACLE[name]).df()
     got = queries.QUERIES[name](spark, path).toPandas()[list(want.columns)]
     show = lambda df: sorted(map(str, df.itertuples(index=False)))
