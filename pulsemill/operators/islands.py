@@ -15,6 +15,12 @@ SECOND = 1_000_000_000
 DAY = 86_400 * SECOND
 
 
+def bucket_of(time: Column | str, width: int) -> Column:
+    """Number of the bucket of `width` that holds a long time, by whole numbers: doubles would round the nanoseconds of our century."""
+    t = F.col(time) if isinstance(time, str) else time
+    return F.call_function("div", t - F.pmod(t, F.lit(width)), F.lit(width))
+
+
 def keyed_islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], starts: Column, name: str = "island") -> DataFrame:
     """df with a running number per key that grows by one at each row where `starts` (which may use lag over the order) is true or null."""
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -45,7 +51,7 @@ def gap_sessions(df: DataFrame, time: str, tie: str, gap: int, bucket: int = DAY
     last time of the bucket before it (an aggregate of a row per bucket), and sessions of earlier buckets are added as an
     offset. The result doesn't depend on the bucket size. Ties are ordered by `tie`.
     """
-    df = df.withColumn("_b", F.floor(F.col(time) / bucket))
+    df = df.withColumn("_b", bucket_of(time, bucket))
     edges = df.groupBy("_b").agg(F.max(time).alias("_last"))
     # One row for each bucket of time: a table of days or hours, not of rows.
     edges = edges.withColumn("_before", F.lag("_last").over(Window.orderBy("_b"))).select("_b", "_before")
@@ -65,8 +71,8 @@ def point_in_range(points: DataFrame, time: str, ranges: DataFrame, start: str,
     Ranges are spread over the buckets of `width` that they touch and joined on the bucket, so Spark hashes instead of
     comparing everything with everything. A point has one bucket, so no pair comes twice.
     """
-    p = points.withColumn("_b", F.floor(F.col(time) / width))
-    r = ranges.withColumn("_b", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(stop) / width))))
+    p = points.withColumn("_b", bucket_of(time, width))
+    r = ranges.withColumn("_b", F.explode(F.sequence(bucket_of(start, width), bucket_of(stop, width))))
     p, r = p.alias("p"), r.alias("r")
     inside = (F.col(f"p.{time}") >= F.col(f"r.{start}")) & ((F.col(f"p.{time}") <= F.col(f"r.{stop}")) if closed else (F.col(f"p.{time}") < F.col(f"r.{stop}")))
     on = (F.col("p._b") == F.col("r._b")) & inside
@@ -81,8 +87,8 @@ def overlap_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], width: int, s
 
     Both sides are spread over buckets; a pair is made in the first bucket that both touch, so it comes once.
     """
-    first = lambda x: F.floor(F.col(f"left_{x}") / width)
-    spread = lambda d, x: d.withColumn("_b", F.explode(F.sequence(first(x), F.floor(F.col(f"right_{x}") / width))))
+    first = lambda x: bucket_of(f"left_{x}", width)
+    spread = lambda d, x: d.withColumn("_b", F.explode(F.sequence(first(x), bucket_of(f"right_{x}", width))))
     joined = spread(a, "a").join(spread(b, "b"), [*keys, "_b"])
     meets = (F.col("left_a") < F.col("right_b")) & (F.col("right_a") > F.col("left_b")) if strict else (F.col("left_a") <= F.col("right_b")) & (F.col("right_a") >= F.col("left_b"))
     return joined.filter(meets & (F.col("_b") == F.greatest(first("a"), first("b")))).drop("_b")

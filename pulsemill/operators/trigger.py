@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .islands import DAY, bucket_width, gap_sessions, point_in_range
+from .islands import DAY, bucket_of, bucket_width, gap_sessions, point_in_range
 
 SIGNAL_GAP, EVENT_GAP = 300, 250_000
 
@@ -85,7 +85,7 @@ def fill_events(pulses: DataFrame, ranges: DataFrame, width: int = DAY) -> DataF
 
 def pulse_rates(pulses: DataFrame, interval: int, pmts: bool = True) -> DataFrame:
     """Counts by interval of time (and pmt), with rows of 0 for intervals without pulses."""
-    n = F.floor(F.col("time") / interval)
+    n = bucket_of("time", interval)
     seen = pulses.groupBy(n.alias("interval"), *(["pmt"] if pmts else [])).agg(F.count("*").alias("n"))
     ends = pulses.agg(F.min(n).alias("lo"), F.max(n).alias("hi")).filter("lo is not null")
     every = ends.select(F.explode(F.sequence("lo", "hi")).alias("interval"))
@@ -108,7 +108,7 @@ def dead_time(marks: DataFrame, interval: int, keys: tuple[str, ...] = ("system"
     w = Window.partitionBy(*keys).orderBy("time", "on")
     turns = marks.withColumn("_was", F.lag("on").over(w)).filter("(_was is null and on) or _was <> on")
     spans = turns.withColumn("stop", F.lead("time").over(w)).filter("on and stop is not null").withColumnRenamed("time", "start")
-    cells = spans.withColumn("interval", F.explode(F.sequence(F.floor(F.col("start") / interval), F.floor(F.col("stop") / interval))))
+    cells = spans.withColumn("interval", F.explode(F.sequence(bucket_of("start", interval), bucket_of("stop", interval))))
     part = F.least(F.col("stop"), (F.col("interval") + 1) * interval) - F.greatest(F.col("start"), F.col("interval") * interval)
     return cells.groupBy(*keys, "interval").agg(F.sum(part).alias("dead_ns"))
 
