@@ -33,9 +33,9 @@ def topic_of(text: Column, topics=TOPICS) -> Column:
     return chosen
 
 
-def uniform(doc_id: Column) -> Column:
-    """A number in [0, 1) that depends on the id alone."""
-    return F.conv(F.substring(F.md5(doc_id.cast("string")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+def uniform(name: Column) -> Column:
+    """A number in [0, 1) that depends on the name alone."""
+    return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
 def default_targets(cells: DataFrame, dim: str, temperature: float) -> DataFrame:
@@ -72,16 +72,18 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
     return out.select(*DIMS, "base", "weight").join(F.broadcast(worst))
 
 
-def mix_sources(docs: DataFrame, targets: dict[str, DataFrame] | None = None, temperature: float = TEMPERATURE, sweeps: int = SWEEPS, topics=TOPICS) -> DataFrame:
+def mix_sources(docs: DataFrame, targets: dict[str, DataFrame] | None = None, temperature: float = TEMPERATURE, sweeps: int = SWEEPS, topics=TOPICS, carried: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, probability (9 digits), sampled and residual (6 digits: how far the shares of all cells are from their targets at most) for every row of docs(doc_id, text, lang, source).
 
     A null source or language is the value '(none)'. A null or empty text has no tokens: it belongs to no cell, so its
-    probability is 0 and it is not sampled. Rows that share a doc_id share their random number. Targets are tables
-    (dim, target); values of a dimension that a given target lacks get no weight. Other columns are ignored.
+    probability is 0 and it is not sampled. Rows that share a doc_id share their random number; a null doc_id has one by its
+    text. Targets are tables (dim, target); values of a dimension that a given target lacks get no weight. Columns named in
+    `carried` go along; other columns are ignored.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     named = [F.coalesce(F.col(c).cast("string"), F.lit("(none)")).alias(c) for c in ("source", "lang")]
-    counted = docs.select("doc_id", *named, topic_of(text, topics).alias("topic"), F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long").alias("n_tokens"))
+    drawn = uniform(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), text)))
+    counted = docs.select("doc_id", *carried, drawn.alias("drawn"), *named, topic_of(text, topics).alias("topic"), F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long").alias("n_tokens"))
     counted = cut(counted)
     cells = cut(narrow=True, df=counted.filter("n_tokens > 0").groupBy(*DIMS).agg(F.sum("n_tokens").cast("double").alias("base")))
     targets = targets or {dim: default_targets(cells, dim, temperature) for dim in DIMS}
@@ -92,7 +94,7 @@ def mix_sources(docs: DataFrame, targets: dict[str, DataFrame] | None = None, te
     found = counted.join(broadcast_if_small(cut(odds, narrow=True), 200), same[0] & same[1] & same[2], "left")
     p = F.when(F.col("n_tokens") > 0, F.coalesce("p", F.lit(0.0))).otherwise(F.lit(0.0))
     found = found.join(F.broadcast(top.select(F.round("residual", 6).alias("residual"))))  # one row
-    return found.select("doc_id", *DIMS, "n_tokens", p.alias("probability"), F.coalesce(uniform(F.col("doc_id")) < p, F.lit(False)).alias("sampled"), "residual")
+    return found.select("doc_id", *carried, *DIMS, "n_tokens", p.alias("probability"), (F.col("drawn") < p).alias("sampled"), "residual")
 
 
 def mixing_sql(temperature: float = TEMPERATURE, sweeps: int = SWEEPS) -> str:

@@ -177,6 +177,18 @@ def disclosing_terms(rows: DataFrame, support: int, disclosure: float) -> DataFr
     return places.join(broadcast_if_small(telling, 60), "term", "left_semi").select("row", "term")
 
 
+def _row_spans(rows: DataFrame, support: int, disclosure: float) -> DataFrame:
+    """row, the other columns but text, base, spans of rows(row, text, base, ...), a written table with one row for each `row`."""
+    terms = cut(disclosing_terms(rows, support, disclosure))
+    marked = broadcast_if_small(terms.groupBy("row").agg(F.collect_list("term").alias("terms")), 60, rows=terms.count())
+    spans = rows.join(marked, "row").select("row", "base", _places(F.col("text"), F.col("terms")).alias("spans"))
+    apart = F.filter("spans", lambda t: ~F.exists("base", lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"])))
+    spans = cut(spans.select("row", apart.alias("spans")))
+    none = F.array().cast(f"array<{SPAN}>")
+    joined = rows.drop("text").join(spans, "row", "left")
+    return joined.select(*(c for c in rows.columns if c != "text"), F.array_sort(F.concat("base", F.coalesce("spans", none))).alias("spans"))
+
+
 def personal_data(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """doc_id, base (array of spans) and spans (the same with the disclosing terms) for every row of docs(doc_id, text, ...).
 
@@ -186,14 +198,7 @@ def personal_data(docs: DataFrame, support: int = SUPPORT, disclosure: float = D
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = cut(texts.withColumn("row", F.monotonically_increasing_id()).withColumn("base", base_spans(F.col("text"))))
-    terms = cut(disclosing_terms(rows, support, disclosure))
-    marked = broadcast_if_small(terms.groupBy("row").agg(F.collect_list("term").alias("terms")), 60, rows=terms.count())
-    spans = rows.join(marked, "row").select("row", "base", _places(F.col("text"), F.col("terms")).alias("spans"))
-    apart = F.filter("spans", lambda t: ~F.exists("base", lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"])))
-    spans = cut(spans.select("row", apart.alias("spans")))
-    none = F.array().cast(f"array<{SPAN}>")
-    joined = rows.select("row", "doc_id", "base").join(spans, "row", "left")
-    return joined.select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce("spans", none))).alias("spans"))
+    return _row_spans(rows, support, disclosure).select("doc_id", "base", "spans")
 
 
 def _joined(spans: Column) -> Column:
@@ -208,10 +213,17 @@ def personal_digests(docs: DataFrame) -> DataFrame:
     return personal_data(docs).select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
-def sanitise(docs: DataFrame, general: str = "[WORD]") -> DataFrame:
-    """docs with every identifier in the column text replaced by its kind in brackets, and every disclosing term by a general mark."""
+def sanitise(docs: DataFrame, general: str = "[WORD]", support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+    """docs with every identifier in the column text replaced by its kind in brackets, and every disclosing term by a general mark.
+
+    Spans go with their own row, not with a doc_id: rows with a null doc_id are sanitised, and rows that share one each by
+    their own text. Null and empty texts stay as they are; repeated rows stay repeated; an empty table gives no rows; other
+    columns, of whatever name, are kept.
+    """
     marks = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS), F.lit(general))
-    spans = personal_data(docs).select(F.col("doc_id").alias("span_doc"), "spans").dropDuplicates(["span_doc"])
+    held = cut(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")))
+    rows = cut(held.select("row", F.coalesce(F.col("doc.text").cast("string"), F.lit("")).alias("text")).withColumn("base", base_spans(F.col("text"))))
+    found = _row_spans(rows, support, disclosure).filter(F.size("spans") > 0).select("row", "spans")
 
     def replace(x: Column) -> Column:
         zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -222,6 +234,6 @@ def sanitise(docs: DataFrame, general: str = "[WORD]") -> DataFrame:
 
         return F.aggregate(x, zero, step, lambda a: F.concat(a["out"], F.substr(F.col("text"), a["at"] + 1, F.char_length("text"))))
 
-    joined = docs.join(spans, F.col("doc_id") == F.col("span_doc"), "left")
+    joined = held.join(found, "row", "left").withColumn("text", F.col("doc.text").cast("string"))
     text = F.when(F.size("spans") > 0, replace(F.col("spans"))).otherwise(F.col("text"))
-    return joined.withColumn("text", text).select(docs.columns)
+    return joined.select(*(text.alias("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns))

@@ -82,6 +82,39 @@ def test_stages_take_odd_and_empty_tables(spark, odd, few_labels, tmp_path, stag
             assert out.columns == docs.columns
 
 
+@pytest.fixture(scope="module")
+def clashing_ids(spark):
+    """Rows with null and repeated ids, each with a text of its own."""
+    prose = lambda tag, n=60: " ".join(f"{tag}{i * i % 89}" for i in range(n))
+    rows = [(1, prose("a"), "x", "s", 1), (7, prose("a"), "x", "s", 2), (7, prose("b"), "x", "s", 3), (None, prose("a"), "x", "s", 4), (None, prose("c"), "x", "s", 5), (None, prose("c") + " more", "x", "s", 6), (3, prose("c"), "x", "s", 7)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def test_duplicates_go_by_rows_not_by_ids(spark, clashing_ids):
+    kept = corpus_pipeline.STAGES[1][1](spark, clashing_ids, "")
+    assert sorted(r["n_chars"] for r in kept.collect()) == [1, 3, 7] and kept.columns == clashing_ids.columns
+    nameless = corpus_pipeline.STAGES[1][1](spark, clashing_ids.filter("doc_id is null"), "")
+    assert {r["n_chars"] for r in nameless.collect()} in ({4, 5}, {4, 6})
+
+
+def test_mixture_samples_rows_with_null_and_repeated_ids(spark):
+    rows = [(None if i % 2 else i // 4, f"some plain words {i}", "x", "s", i) for i in range(100)]
+    docs = spark.createDataFrame(rows, SCHEMA)  # one cell, so every probability is 1
+    kept = corpus_pipeline.STAGES[3][1](spark, docs, "")
+    assert sorted(map(tuple, kept.collect()), key=lambda r: r[4]) == rows
+
+
+def test_sanitised_rows_keep_no_identifier_of_their_own(spark):
+    rows = [(None, "write to a.b@host.example today", "x", "s", 1), (1, "call me at +1 202-555-0100 now", "x", "s", 2), (1, "some quiet words here", "x", "s", 3), (1, None, "x", "s", 4), (1, "", "x", "s", 5), (None, "or to c@d.example", "x", "s", 6)]
+    rows += rows[:2]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({"spans": F.lit("u"), "row": F.lit("v"), "doc": F.lit("w"), "base": F.lit("z")})
+    out = personal_data.sanitise(docs)
+    assert out.columns == docs.columns
+    want = {1: "write to [EMAIL] today", 2: "call me at [PHONE] now", 3: "some quiet words here", 4: None, 5: "", 6: "or to [EMAIL]"}
+    got = out.collect()
+    assert sorted(r["n_chars"] for r in got) == [1, 1, 2, 2, 3, 4, 5, 6] and all(r["text"] == want[r["n_chars"]] and (r["spans"], r["row"], r["doc"], r["base"]) == tuple("uvwz") for r in got)
+
+
 def test_pipeline_keeps_one_of_each_group_and_no_secret(spark, docs, labels, corpus, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     labels.write.parquet(str(tmp_path / "labels.parquet"))
