@@ -93,7 +93,7 @@ def goodness_terms(kind: str, seen: Column, expected: Column, error: Column | No
         return (seen - expected) * (seen - expected) / (expected + e * e)
     if kind == "chi2gamma":
         d = seen + F.least(seen, F.lit(1.0)) - expected
-        return d * d / (seen + 1 + e * e)
+        return d * d / (expected + 1 + e * e)
     if kind == "likelihood_poisson":
         floor = F.greatest(expected, F.lit(1e-10))
         return 2 * (floor - seen + F.when(seen > 0, seen * F.log(seen / floor)).otherwise(0.0))
