@@ -71,3 +71,13 @@ def binomial_p_value(k: Column, n: Column, p: Column) -> Column:
         return pd.Series([binomial_test(*v) for v in zip(k, n, p)], dtype=np.float64)
 
     return run(k.cast("double"), n.cast("double"), p.cast("double"))
+
+
+def area_fraction_top_p_value(expected: Column, area: Column, fraction_top: Column, hits: Column, hits_fraction_top: Column, low: float = 10.0) -> Column:
+    """p-value of the top array's share of an s1: two-sided binomial test of the area; under `low` photoelectrons area and hits are blended by the area's share of it. Null where an input is."""
+    share = F.least(area / low, F.lit(1.0))
+    top = hits * hits_fraction_top * (1 - share) + area * fraction_top * share
+    whole = hits * (1 - share) + area * share
+    known = expected.isNotNull() & top.isNotNull() & whole.isNotNull()
+    p = binomial_p_value(F.coalesce(top, F.lit(float("nan"))), F.coalesce(whole, F.lit(float("nan"))), F.coalesce(expected, F.lit(0.5)))
+    return F.when(known, p)

@@ -55,3 +55,41 @@ def main_peaks(peaks: DataFrame, interactions: DataFrame, event: Sequence[str],
     first = interactions.filter("interaction_id = 1").select(*event, F.col(kind).alias("_main"))
     largest = peaks.filter(F.lower("type") == kind).groupBy(*event).agg(F.max_by("peak_id", F.struct("area", -F.col("peak_id"))).alias("_largest"))
     return largest.join(first, list(event), "left").select(*event, F.coalesce("_main", "_largest").alias(f"main_{kind}"))
+
+
+def corrected_interactions(interactions: DataFrame, s1: DataFrame, s2: DataFrame, event: Sequence[str], velocity: float, gate_time: float, lifetime: float, light: DataFrame | None = None, charge: DataFrame | None = None, patterns=None, statistic: str = "likelihood_poisson", saturation: bool = False) -> DataFrame:
+    """interactions(event, s1, s2, drift_time, x, y) with z, the corrections of both areas and their products, and the s1's pattern fits.
+
+    s1(event, peak_id, area, areas, hits, confused) and s2(event, peak_id, area, saturation_correction): arrays over the map's
+    channels; confused marks saturated and dead ones. light(x, y, z, light_yield) and charge(x, y, light_yield) are maps of
+    relative yields, interpolated; patterns is a PatternMap over x, y, z. A correction that has no map is 1; with a null place
+    the spatial ones are null. Outside the pattern map the saturation correction is 1 and the fits are null.
+    """
+    from .channels import saturation_correction
+    from .pattern_fit import expected_patterns, goodness_at
+    from .positions import interpolate
+
+    first = s1.select(*event, F.col("peak_id").alias("s1"), F.col("area").alias("s1_area"), "areas", "hits", "confused")
+    second = s2.select(*event, F.col("peak_id").alias("s2"), F.col("area").alias("s2_area"), F.coalesce("saturation_correction", F.lit(1.0)).alias("s2_saturation_correction"))
+    keys = [*event, "s1", "s2"]
+    out = interactions.join(first, [*event, "s1"]).join(second, [*event, "s2"])
+    out = out.withColumns({"z": drift_depth(F.col("drift_time"), velocity, gate_time), "s2_lifetime_correction": lifetime_correction(F.col("drift_time"), lifetime)})
+    for name, table, dims in (("s1_spatial_correction", light, ["x", "y", "z"]), ("s2_spatial_correction", charge, ["x", "y"])):
+        if table is None:
+            out = out.withColumn(name, F.lit(1.0))
+        else:
+            found = interpolate(out.select(*keys, *dims), keys, dims, table, "light_yield").select(*keys, (1 / F.col("light_yield")).alias(name))
+            out = out.join(found, keys, "left")
+    if patterns is None:
+        out = out.withColumns({"s1_saturation_correction": F.lit(1.0), "s1_pattern_fit": F.lit(None).cast("double"), "s1_pattern_fit_hits": F.lit(None).cast("double")})
+    else:
+        out = expected_patterns(out, patterns, ["x", "y", "z"], "_expected")
+        whole = F.aggregate("areas", F.lit(0.0), lambda s, v: s + v)
+        out = out.withColumn("s1_saturation_correction", F.when(F.col("_expected").isNull() | (whole <= 0), 1.0).otherwise(saturation_correction(F.col("areas"), F.col("_expected"), F.col("confused")) / whole))
+        out = out.withColumn("_use", F.transform("confused", lambda c: ~c))
+        out = goodness_at(out, "areas", patterns, ["x", "y", "z"], statistic, "s1_pattern_fit", use="_use")
+        out = goodness_at(out, "hits", patterns, ["x", "y", "z"], statistic, "s1_pattern_fit_hits", use="_use").drop("_expected", "_use")
+    light_part = F.col("s1_spatial_correction") * (F.col("s1_saturation_correction") if saturation else F.lit(1.0))
+    charge_part = F.col("s2_lifetime_correction") * F.col("s2_spatial_correction") * (F.col("s2_saturation_correction") if saturation else F.lit(1.0))
+    out = out.withColumns({"s1_area_correction": light_part, "s2_area_correction": charge_part})
+    return out.withColumns({"cs1": F.col("s1_area") * F.col("s1_area_correction"), "cs2": F.col("s2_area") * F.col("s2_area_correction")}).drop("areas", "hits", "confused")

@@ -247,3 +247,21 @@ def fit_positions(
     usable = F.col(use).cast("array<boolean>") if use else F.lit(None).cast("array<boolean>")
     found = peaks.withColumn("fit", run(F.struct(F.col(areas).cast("array<double>").alias("areas"), seeded.alias("seeds"), usable.alias("used"))))
     return found.withColumn("fit", F.when(F.col("fit.gof").isNotNull(), F.col("fit")))
+
+
+def goodness_at(peaks: DataFrame, areas: str, patterns: PatternMap, dims: Sequence[str], statistic: str, name: str = "gof", use: str | None = None, errors: float = 0.0) -> DataFrame:
+    """peaks with the goodness of fit of their areas at their own place (columns dims); null outside the map, for null places or areas and without channels or areas in use."""
+    shared = peaks.sparkSession.sparkContext.broadcast(patterns)
+
+    @F.pandas_udf("double")
+    def run(at: pd.DataFrame, seen: pd.Series, used: pd.Series) -> pd.Series:
+        m, out = shared.value, []
+        for i, s, u in zip(m.index(at.to_numpy(float)), seen, used):
+            s = np.zeros(0) if s is None else np.asarray(s, float)
+            u = np.ones(len(s), bool) if u is None else np.asarray(u, bool)
+            ok = (i >= 0).all() and u.any() and s[u].sum() > 0
+            out.append(float(m.fits(tuple(slice(k, k + 1) for k in i), s, u, statistic, errors).ravel()[0]) if ok else None)
+        return pd.Series([None if v is None or np.isnan(v) else v for v in out], dtype=object)
+
+    usable = F.col(use).cast("array<boolean>") if use else F.lit(None).cast("array<boolean>")
+    return peaks.withColumn(name, run(F.struct(*(F.col(d).cast("double") for d in dims)), F.col(areas).cast("array<double>"), usable))

@@ -141,6 +141,43 @@ def reject_noise(hits: DataFrame, keys: Sequence[str], channels: DataFrame, nois
     return marked.withColumn("is_rejected", F.coalesce(F.col("penalty") > witness, F.lit(False)))
 
 
+def channel_penalties(lone: DataFrame, noise: DataFrame, base: dict[int, float], event: Sequence[str], noise_weight: float, lone_weight: float, before: int) -> DataFrame:
+    """event, channel, penalty of channels with any: noise pulses, lone hits that start before a sample, and the detector's own base.
+
+    lone(event, channel, left): the hits that are peaks of their own; noise(event, channel): pulses without a hit; base: penalties of the detector's bad channels, which
+    count in every event that has a lone hit or a noise pulse.
+    """
+    n = lambda df, weight: df.groupBy(*event, "channel").agg((F.count("*") * F.lit(float(weight))).alias("penalty"))
+    seen = n(lone.filter(F.col("left") < before), lone_weight).unionByName(n(noise, noise_weight))
+    if base:
+        events = lone.select(*event).union(noise.select(*event)).distinct()
+        own = F.explode(F.array(*(F.struct(F.lit(c).alias("channel"), F.lit(float(v)).alias("penalty")) for c, v in sorted(base.items())))).alias("_b")
+        seen = seen.unionByName(events.select(*event, own).select(*event, F.col("_b.channel").cast(lone.schema["channel"].dataType).alias("channel"), "_b.penalty"))
+    return seen.groupBy(*event, "channel").agg(F.sum("penalty").alias("penalty"))
+
+
+def reject_and_rebuild(hits: DataFrame, penalties: DataFrame, event: Sequence[str], peak: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(hits with is_rejected, peaks made of the others, counts) of hits(event, peak, channel, area, left, right, index_of_maximum).
+
+    A channel is suspicious if its penalty reaches the threshold. A peak's hits in a suspicious channel are rejected if the
+    penalty exceeds the peak's area in channels that are not. What is left is put together again by peak_basics(), with
+    suspicious_channels, those the peak had; a peak that lost all its hits is gone. counts(event, channel, n_rejected, n_lone):
+    rejected hits, and hits that are now peaks of one channel.
+    """
+    keys = [*event, peak]
+    bad = penalties.filter(F.col("penalty") >= threshold)
+    marked = hits.join(bad, [*event, "channel"], "left")
+    sums = marked.groupBy(*keys).agg(F.sum(F.when(F.col("penalty").isNull(), F.col("area")).otherwise(0.0)).alias("_witness"), F.array_sort(F.collect_set(F.when(F.col("penalty").isNotNull(), F.col("channel")))).alias("suspicious_channels"))
+    judged = marked.join(sums, keys).withColumn("is_rejected", F.coalesce(F.col("penalty") > F.col("_witness"), F.lit(False)))
+    kept = judged.filter("not is_rejected")
+    peaks = peak_basics(kept, keys).join(sums.drop("_witness"), keys)
+    lone = kept.join(peaks.filter("lone").select(*keys), keys, "left_semi").dropDuplicates(keys)
+    count = lambda df, name: df.groupBy(*event, "channel").agg(F.count("*").alias(name))
+    counts = count(judged.filter("is_rejected"), "n_rejected").join(count(lone, "n_lone"), [*event, "channel"], "full")
+    counts = counts.select(*event, "channel", F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"), F.coalesce("n_lone", F.lit(0)).alias("n_lone"))
+    return judged.select(*hits.columns, "is_rejected"), peaks, counts
+
+
 def top_peaks(peaks: DataFrame, event: Sequence[str], by: Column, k: int, tie: str) -> DataFrame:
     """The k largest peaks of each event, with their rank; ties by `tie`."""
     return peaks.withColumn("rank", F.row_number().over(Window.partitionBy(*event).orderBy(by.desc(), F.col(tie)))).filter(F.col("rank") <= k)

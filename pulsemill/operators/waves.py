@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -175,3 +177,133 @@ def fir(w: Column, response: Sequence[float]) -> Column:
     half = len(response) // 2
     terms = lambda i: [F.coalesce(F.when(i + half - k >= 0, F.get(w, i + half - k)), F.lit(0.0)) * r for k, r in enumerate(response)]
     return F.transform(w, lambda x, i: sum(terms(i)[1:], terms(i)[0]))
+
+
+def band_pass_coefficients(low: float, high: float) -> tuple[float, float, float]:
+    """(b, a1, a2) of the first-order Butterworth band-pass between two frequencies (as parts of half the sampling rate): y = b (x - x_2) - a1 y_1 - a2 y_2."""
+    if not 0 < low < high < 1:
+        raise ValueError("bounds of the band must be between 0 and half the sampling rate, the lower one first")
+    lo, hi = np.tan(np.pi * low / 2), np.tan(np.pi * high / 2)
+    width, centre = hi - lo, lo * hi
+    whole = 1 + width + centre
+    return width / whole, 2 * (centre - 1) / whole, (1 - width + centre) / whole
+
+
+def band_passed(w: np.ndarray, low: float, high: float, pad: int = 9) -> np.ndarray:
+    """Rows of w (m, n) filtered forwards and backwards, so without shift in phase. Ends are continued by `pad` samples mirrored in the end point, and the filter starts in the steady state of the first."""
+    b, a1, a2 = band_pass_coefficients(low, high)
+    n = w.shape[1]
+    if n < 2:
+        return np.zeros_like(w, dtype=float)
+    pad = min(pad, n - 1)
+    x = np.concatenate([2 * w[:, :1] - w[:, pad:0:-1], w, 2 * w[:, -1:] - w[:, -2 : -2 - pad : -1]], axis=1).astype(float)
+    for _ in range(2):
+        z1, z2 = -b * x[:, 0], -b * x[:, 0]  # what a constant input leaves
+        y = np.empty_like(x)
+        for i in range(x.shape[1]):
+            v = b * x[:, i] + z1
+            z1, z2 = z2 - a1 * v, -b * x[:, i] - a2 * v
+            y[:, i] = v
+        x = y[:, ::-1]
+    return x[:, pad : pad + n]
+
+
+def band_pass(df: DataFrame, keys: Sequence[str], w: str, low: float, high: float, name: str = "filtered") -> DataFrame:
+    """keys and the filtered array of each waveform; waveforms of one length in an Arrow batch go through the recursion together."""
+
+    @F.pandas_udf("array<double>")
+    def run(arrays: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(arrays), index=arrays.index, dtype=object)
+        known = arrays[arrays.notna()]
+        for _, same in known.groupby(known.map(len)):
+            if len(same.iloc[0]):
+                out[same.index] = pd.Series(list(band_passed(np.stack(same.to_numpy()).astype(float), low, high)), index=same.index)
+            else:
+                out[same.index] = pd.Series([np.zeros(0)] * len(same), index=same.index)
+        return out
+
+    return df.select(*keys, run(F.col(w)).alias(name))
+
+
+#: A run of more samples over the threshold than this is split at the minima of its moving average over BOX samples.
+LONG_RUN, BOX = 350, 100
+
+
+def split_long_runs(w: Column, runs: Column, longest: int = LONG_RUN, box: int = BOX) -> Column:
+    """Runs (left, right) with those of more than longest + 1 samples cut after each minimum of their moving average; the run's last sample takes no part in the average."""
+
+    def cut(r: Column) -> Column:
+        def at_minima(u: Column) -> Column:
+            lows = F.filter(F.sequence(F.lit(0), F.size(u) - 1), lambda i: (i > 0) & (i < F.size(u) - 1) & (F.get(u, i) <= F.get(u, i - 1)) & (F.get(u, i + 1) > F.get(u, i)))
+            ends = F.transform(lows, lambda i: r["left"] + i)
+            starts = F.concat(F.array(r["left"]), F.transform(ends, lambda e: e + 1))
+            return F.zip_with(starts, F.concat(ends, F.array(r["right"])), lambda a, b: F.struct(a.cast("int").alias("left"), b.cast("int").alias("right")))
+
+        inside = F.slice(w, r["left"] + 1, r["right"] - r["left"])
+        pieces = F.transform(F.array(smoothed(inside, box // 2, box - box // 2 - 1)), at_minima)[0]
+        return F.when(r["right"] - r["left"] > longest, pieces).otherwise(F.array(F.struct(r["left"].cast("int").alias("left"), r["right"].cast("int").alias("right"))))
+
+    return F.flatten(F.transform(runs, cut))
+
+
+def find_pulse_hits(
+    pulses: DataFrame,
+    keys: Sequence[str],
+    raw: str,
+    reference: float,
+    n_baseline: int,
+    noise_factor: float,
+    absolute: float,
+    minimum_factor: float,
+    left_by: int,
+    right_by: int,
+    factor: Column | float = 1.0,
+    alive: Column | None = None,
+    most: int = 1000,
+    single: tuple[int, int] | None = None,
+) -> DataFrame:
+    """One row a pulse: keys, baseline, noise_sigma, threshold, n_hits_found and hits, from raw ADC counts to photoelectrons in one row.
+
+    The pulse is turned over (reference - raw) and its baseline (mean of its first samples) taken off; the threshold is the
+    largest of noise, absolute counts and minimum; runs over it are split if long, the first `most` are kept, grown on both
+    sides and measured (left, right, area, height, index_of_maximum, center, n_saturated, sum_absolute_deviation); hits of no
+    positive area go. n_hits_found counts before that, so 0 marks a noise pulse. Areas and heights are times `factor`. A pulse
+    for which `alive` is false has no threshold and no hits. single: these bounds are measured instead, whatever their area.
+    """
+    turned = pulses.select(*keys, (F.lit(True) if alive is None else F.coalesce(alive, F.lit(False))).alias("_alive"), (F.lit(factor) if isinstance(factor, float) else factor).alias("_f"), F.transform(raw, lambda x: F.lit(reference) - x).alias("_v"))
+    turned = turned.withColumn("_p", pulse_properties(F.col("_v"), n_baseline))
+    level = turned.withColumn("_w", F.transform("_v", lambda x: x - F.col("_p.baseline")))
+    level = level.withColumn("threshold", F.when(F.col("_alive"), hit_threshold(F.col("_p.noise_sigma"), F.col("_p.minimum"), noise_factor, absolute, minimum_factor)))
+    none = F.array().cast("array<struct<left: int, right: int>>")
+    if single is not None:
+        found = F.array(F.struct(F.lit(single[0]).alias("left"), F.lit(single[1]).alias("right")))
+        bounds = F.col("_found")
+    else:
+        found = F.slice(split_long_runs(F.col("_w"), runs_in_array(F.col("_w"), F.col("threshold"))), 1, most)
+        bounds = extended_in_array(F.col("_found"), left_by, right_by, F.size("_w") - 1)
+    level = level.withColumn("_found", F.when(F.col("_alive") & (F.size("_w") > 0), found).otherwise(none))
+    # A sample clipped at 0 counts reads reference - baseline; half a count less, so rounding doesn't hide it.
+    ceiling = F.lit(reference) - F.col("_p.baseline") - 0.5
+    hits = hits_in_array(F.col("_w"), bounds, ceiling)
+    if single is not None:
+        hits = F.when(F.size("_found") > 0, F.array(_measured_anyway(F.col("_w"), single, ceiling))).otherwise(hits)
+    scaled = F.transform(hits, lambda h: h.withField("area", h["area"] * F.col("_f")).withField("height", h["height"] * F.col("_f")))
+    return level.select(*keys, F.col("_p.baseline").alias("baseline"), F.col("_p.noise_sigma").alias("noise_sigma"), "threshold", F.size("_found").alias("n_hits_found"), scaled.alias("hits"))
+
+
+def _measured_anyway(w: Column, bounds: tuple[int, int], saturation: Column) -> Column:
+    """The properties of one stretch, also if its area is not positive; its centre and deviation are then null."""
+    x = F.slice(w, bounds[0] + 1, bounds[1] - bounds[0] + 1)
+    area = total(x)
+    moment = total(F.transform(x, lambda v, i: v * (i + bounds[0])))
+    center = F.when(area > 0, moment / area)
+    return F.struct(
+        F.lit(bounds[0]).alias("left"),
+        F.lit(bounds[1]).alias("right"),
+        area.alias("area"),
+        F.array_max(x).alias("height"),
+        (bounds[0] + F.array_position(x, F.array_max(x)).cast("int") - 1).alias("index_of_maximum"),
+        center.alias("center"),
+        F.size(F.filter(x, lambda v: v > saturation)).cast("long").alias("n_saturated"),
+        (total(F.transform(x, lambda v, i: F.abs(i + bounds[0] - center) * v)) / area).alias("sum_absolute_deviation"),
+    )

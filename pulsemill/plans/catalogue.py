@@ -18,4 +18,4 @@ def query(sql: str | None = None):
     return add
 
 
-from . import trigger_queries, wave_queries, peak_queries, table_queries, channel_queries, stream_queries, source_queries, split_queries  # noqa: E402, F401
+from . import trigger_queries, wave_queries, peak_queries, table_queries, channel_queries, stream_queries, source_queries, split_queries, tree_queries  # noqa: E402, F401
