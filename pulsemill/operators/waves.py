@@ -18,16 +18,16 @@ def total(a: Column) -> Column:
 
 
 def pulse_properties(w: Column, n_baseline: int) -> Column:
-    """Struct of baseline (mean of the first samples), increase (mean of the last ones over it), noise (rms below it of samples under it), minimum and maximum over it."""
+    """Struct of baseline (mean of the first samples), increase (mean of the last ones over it), noise (rms below it of samples under it), minimum and maximum over it; nulls and no noise for an empty array."""
     n = F.least(F.size(w), F.lit(n_baseline))
 
     def with_baseline(b: Column) -> Column:
         under = F.filter(w, lambda x: x < b)
         noise = F.when(F.size(under) == 0, F.lit(0.0)).otherwise(F.sqrt(total(F.transform(under, lambda x: (x - b) * (x - b))) / F.size(under)))
-        last = total(F.slice(w, F.size(w) - n + 1, n)) / n
+        last = F.try_divide(total(F.slice(w, F.size(w) - n + 1, n)), n)
         return F.struct(b.alias("baseline"), (last - b).alias("baseline_increase"), noise.alias("noise_sigma"), (F.array_min(w) - b).alias("minimum"), (F.array_max(w) - b).alias("maximum"))
 
-    return F.transform(F.array(total(F.slice(w, F.lit(1), n)) / n), with_baseline)[0]
+    return F.transform(F.array(F.try_divide(total(F.slice(w, F.lit(1), n)), n)), with_baseline)[0]
 
 
 def to_pe(w: Column, reference: float, baseline: Column, factor: Column) -> Column:
@@ -270,25 +270,43 @@ def find_pulse_hits(
     positive area go. n_hits_found counts before that, so 0 marks a noise pulse. Areas and heights are times `factor`. A pulse
     for which `alive` is false has no threshold and no hits. single: these bounds are measured instead, whatever their area.
     """
-    turned = pulses.select(*keys, (F.lit(True) if alive is None else F.coalesce(alive, F.lit(False))).alias("_alive"), (F.lit(factor) if isinstance(factor, float) else factor).alias("_f"), F.transform(raw, lambda x: F.lit(reference) - x).alias("_v"))
-    turned = turned.withColumn("_p", pulse_properties(F.col("_v"), n_baseline))
-    level = turned.withColumn("_w", F.transform("_v", lambda x: x - F.col("_p.baseline")))
-    level = level.withColumn("threshold", F.when(F.col("_alive"), hit_threshold(F.col("_p.noise_sigma"), F.col("_p.minimum"), noise_factor, absolute, minimum_factor)))
+    scale = F.lit(factor) if isinstance(factor, float) else factor
+    use = F.lit(True) if alive is None else F.coalesce(alive, F.lit(False))
     none = F.array().cast("array<struct<left: int, right: int>>")
-    if single is not None:
-        found = F.array(F.struct(F.lit(single[0]).alias("left"), F.lit(single[1]).alias("right")))
-        bounds = F.col("_found")
-    else:
-        found = F.slice(split_long_runs(F.col("_w"), runs_in_array(F.col("_w"), F.col("threshold"))), 1, most)
-        bounds = extended_in_array(F.col("_found"), left_by, right_by, F.size("_w") - 1)
-    level = level.withColumn("_found", F.when(F.col("_alive") & (F.size("_w") > 0), found).otherwise(none))
-    # A sample clipped at 0 counts reads reference - baseline; half a count less, so rounding doesn't hide it.
-    ceiling = F.lit(reference) - F.col("_p.baseline") - 0.5
-    hits = hits_in_array(F.col("_w"), bounds, ceiling)
-    if single is not None:
-        hits = F.when(F.size("_found") > 0, F.array(_measured_anyway(F.col("_w"), single, ceiling))).otherwise(hits)
-    scaled = F.transform(hits, lambda h: h.withField("area", h["area"] * F.col("_f")).withField("height", h["height"] * F.col("_f")))
-    return level.select(*keys, F.col("_p.baseline").alias("baseline"), F.col("_p.noise_sigma").alias("noise_sigma"), "threshold", F.size("_found").alias("n_hits_found"), scaled.alias("hits"))
+
+    # Each step is bound by a lambda, so the plan holds it once however often the next one uses it.
+    def with_level(w: Column, p: Column) -> Column:
+        level = F.when(use, hit_threshold(p["noise_sigma"], p["minimum"], noise_factor, absolute, minimum_factor))
+        return _bind(level, lambda t: with_threshold(w, p, t))
+
+    def with_threshold(w: Column, p: Column, t: Column) -> Column:
+        if single is not None:
+            found = F.array(F.struct(F.lit(single[0]).alias("left"), F.lit(single[1]).alias("right")))
+        else:
+            found = _bind(runs_in_array(w, t), lambda r: F.slice(split_long_runs(w, r), 1, most))
+        return _bind(F.when(use & (F.size(w) > 0), found).otherwise(none), lambda f: with_found(w, p, t, f))
+
+    def with_found(w: Column, p: Column, t: Column, found: Column) -> Column:
+        # A sample clipped at 0 counts reads reference - baseline; half a count less, so rounding doesn't hide it.
+        ceiling = F.lit(reference) - p["baseline"] - 0.5
+        if single is not None:
+            hits = F.transform(found, lambda b: _measured_anyway(w, single, ceiling))
+        else:
+            hits = _bind(extended_in_array(found, left_by, right_by, F.size(w) - 1), lambda bounds: hits_in_array(w, bounds, ceiling))
+        scaled = F.transform(hits, lambda h: F.struct(*(((h[c] * scale) if c in ("area", "height") else h[c]).alias(c) for c in HIT_FIELDS)))
+        return F.struct(p["baseline"].alias("baseline"), p["noise_sigma"].alias("noise_sigma"), t.alias("threshold"), F.size(found).alias("n_hits_found"), scaled.alias("hits"))
+
+    turned = F.transform(raw, lambda x: F.lit(reference) - x)
+    found = _bind(turned, lambda v: _bind(pulse_properties(v, n_baseline), lambda p: _bind(F.transform(v, lambda x: x - p["baseline"]), lambda w: with_level(w, p))))
+    return pulses.select(*keys, found.alias("_h")).select(*keys, "_h.*")
+
+
+HIT_FIELDS = ("left", "right", "area", "height", "index_of_maximum", "center", "n_saturated", "sum_absolute_deviation")
+
+
+def _bind(value: Column, body) -> Column:
+    """body of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _measured_anyway(w: Column, bounds: tuple[int, int], saturation: Column) -> Column:

@@ -27,7 +27,7 @@ def tree_orders(spark, sf_dir):
     return flatten_tree(_customers(spark, sf_dir), ["c_custkey"])["orders"]
 
 
-@query("""select c_custkey, o_orderkey, l_linenumber, l_partkey, l_quantity::double as l_quantity, (row_number() over (partition by c_custkey, o_orderkey order by l_linenumber) - 1)::int as lines_index
+@query("""select c_custkey, o_orderkey, l_linenumber, l_partkey, l_quantity::double as l_quantity, (row_number() over (partition by c_custkey, o_orderkey order by l_linenumber, l_partkey, l_quantity) - 1)::int as lines_index
 from customer join orders on o_custkey = c_custkey join lineitem on l_orderkey = o_orderkey""")
 def tree_round_trip(spark, sf_dir):
     """Flattened to three tables, nested again, and taken apart by hand."""
@@ -79,11 +79,11 @@ REFERENCE, SCALE = 16000, 1000
 
 @query(f"""with e as (select vec_id, label, list_transform(embedding, lambda x: {REFERENCE} - cast(floor({SCALE} * cast(x as double)) as int)) as raw from embeddings),
 s as (select vec_id, label, {REFERENCE} - unnest(raw) as v, cast(unnest(range(len(raw))) as int) as i from e),
-b as (select *, avg(case when i < 16 then v end) over (partition by vec_id) as base from s), w as (select vec_id, label, i, base, v, v - base as v0 from b),
+b as (select *, avg(case when i < 16 then v end) over (partition by vec_id) as base from s), w as materialized (select vec_id, label, i, base, v, v - base as v0 from b),
 p as (select vec_id, any_value(label) as label, any_value(base) as base, coalesce(sqrt(sum(case when v < base then (v - base) * (v - base) end) / count(*) filter (v < base)), 0) as noise, min(v) - any_value(base) as low from w group by vec_id),
-t as (select vec_id, base, floor(greatest(noise * 1.5, 20.0, -low * 0.2)) as threshold from p where label % 5 <> 4),
+t as materialized (select vec_id, base, floor(greatest(noise * 1.5, 20.0, -low * 0.2)) as threshold from p where label % 5 <> 4),
 a as (select w.vec_id, i, i - row_number() over (partition by w.vec_id order by i) as g from w join t using (vec_id) where v0 > threshold),
-r0 as (select vec_id, min(i) as l, max(i) as r, row_number() over (partition by vec_id order by min(i)) as k from a group by vec_id, g), r as (select * from r0 where k <= 6),
+r0 as materialized (select vec_id, min(i) as l, max(i) as r, row_number() over (partition by vec_id order by min(i)) as k from a group by vec_id, g), r as (select * from r0 where k <= 6),
 x1 as (select *, least(r + 3, coalesce(lead(l) over q - 1, 63), 63) as rx from r window q as (partition by vec_id order by l)),
 x as (select vec_id, greatest(l - 1, coalesce(lag(rx) over q + 1, 0), 0) as l, rx as r from x1 window q as (partition by vec_id order by l)),
 h as (select x.vec_id, x.l, x.r, sum(v0) as area, max(v0) as height, arg_max(i, v0) as top, sum(v0 * i) / sum(v0) as center from x join w on w.vec_id = x.vec_id and i between l and r group by all having sum(v0) > 0)

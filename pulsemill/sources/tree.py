@@ -92,8 +92,9 @@ def nest_tree(tables: dict[str, DataFrame], keys: Sequence[str], schema: StructT
             children = built((*way, x), inner, [*indices, at])
             fields = F.struct(*(F.col(f.name) for f in inner.fields))
             lists_of = children.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(at).alias("at"), fields.alias("row")))).alias("_l"))
-            nested = F.transform(F.coalesce("_l", F.array()), lambda e: e["row"]).cast(ArrayType(inner))
-            rows = rows.join(lists_of, by, "left").withColumn(x, nested).drop("_l")
+            rows = rows.join(lists_of, by, "left")
+            empty = F.array().cast(rows.schema["_l"].dataType)
+            rows = rows.withColumn(x, F.transform(F.coalesce("_l", empty), lambda e: e["row"])).drop("_l")
         return rows.select(*dict.fromkeys([*by, *(f.name for f in part.fields)]))
 
     return built((), schema, []).select(*(f.name for f in schema.fields))
