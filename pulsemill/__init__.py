@@ -1 +1 @@
-"""Spark-native engine for time-stamped channel pulses: triggering, reduction, reconstruction, simulation."""
+"""Spark-native engine for time-stamped channel pulses: triggering, reduction, reconstruction."""

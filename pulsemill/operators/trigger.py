@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .islands import DAY, bucket_of, bucket_width, gap_sessions, point_in_range
+from .islands import bucket_of, bucket_width, gap_sessions, point_in_range
 
 SIGNAL_GAP, EVENT_GAP = 300, 250_000
+#: Buckets of triggers hold so many event separations; joins with ranges use buckets of the extended event's usual length.
+SEPARATIONS, RANGE = 4096, 4_000_000
 
 
 def find_signals(pulses: DataFrame, separation: int = SIGNAL_GAP, bucket: int | None = None, tie: str = "pulse_id") -> DataFrame:
@@ -62,24 +64,27 @@ def decide_triggers(signals: DataFrame, steps: dict[int, dict[int, float]]) -> D
     return signals.withColumn("trigger", (p >= 1) | ((p > 0) & (u < p)))
 
 
-def event_ranges(triggers: DataFrame, separation: int, left_extension: int, right_extension: int, max_length: int | None = None) -> DataFrame:
-    """start, stop, n_triggers: triggers are one event unless `separation` or more apart; ranges are extended, and cut to max_length."""
+def event_ranges(triggers: DataFrame, separation: int, left_extension: int, right_extension: int, max_length: int | None = None, bucket: int | None = None) -> DataFrame:
+    """start, stop, n_triggers: triggers are one event unless `separation` or more apart; ranges are extended, and cut to max_length.
+
+    Triggers are numbered in buckets of `bucket`, by default some thousand separations, so that a long run is many tasks.
+    """
     if separation < left_extension + right_extension:
         raise ValueError("event separation must be at least the sum of the extensions")
-    s = gap_sessions(triggers.select(F.col("left_time").alias("time"), F.col("right_time"), F.col("left_time").alias("_tie")), "time", "_tie", separation, name="event")
+    s = gap_sessions(triggers.select(F.col("left_time").alias("time"), F.col("right_time"), F.col("left_time").alias("_tie")), "time", "_tie", separation, bucket or SEPARATIONS * separation, name="event")
     out = s.groupBy("event").agg((F.min("time") - left_extension).alias("start"), (F.max("right_time") + right_extension).alias("stop"), F.count("*").alias("n_triggers"))
     if max_length is not None:
         out = out.withColumn("stop", F.least("stop", F.col("start") + max_length))
     return out.drop("event")
 
 
-def signals_in_events(signals: DataFrame, ranges: DataFrame, width: int = DAY) -> DataFrame:
-    """Signals whose left_time is in [start, stop], with their event's range."""
+def signals_in_events(signals: DataFrame, ranges: DataFrame, width: int = RANGE) -> DataFrame:
+    """Signals whose left_time is in [start, stop], with their event's range. width: some ranges' length, so that a bucket meets few of them."""
     return point_in_range(signals, "left_time", ranges, "start", "stop", width, closed=True)
 
 
-def fill_events(pulses: DataFrame, ranges: DataFrame, width: int = DAY) -> DataFrame:
-    """Pulses of each event: those that start in [start, stop)."""
+def fill_events(pulses: DataFrame, ranges: DataFrame, width: int = RANGE) -> DataFrame:
+    """Pulses of each event: those that start in [start, stop). width: as for signals_in_events()."""
     return point_in_range(pulses, "time", ranges, "start", "stop", width)
 
 

@@ -11,6 +11,8 @@ from .catalogue import query
 S = islands.SECOND
 SIGNAL_GAP, EVENT_GAP, LEFT, RIGHT = 60 * S, 600 * S, 60 * S, 120 * S
 S1_RMS, S2_PULSES = 20 * S, 3
+#: Width of the buckets in which pulses and signals meet event ranges: a few ranges long.
+RANGE_WIDTH = 4 * EVENT_GAP
 STEPS = {1: {2: 0.0, 3: 1.0}, 2: {2: 0.0, 4: 1.0}}
 
 
@@ -64,12 +66,12 @@ def event_ranges(spark, sf_dir):
 
 @query(f"with {SESS} select left_time, n_pulses, type, start, stop from cls join rng on left_time >= start and left_time <= stop")
 def signals_in_events(spark, sf_dir):
-    return trigger.signals_in_events(signals(spark, sf_dir).select("left_time", "n_pulses", "type"), ranges(spark, sf_dir).drop("n_triggers"))
+    return trigger.signals_in_events(signals(spark, sf_dir).select("left_time", "n_pulses", "type"), ranges(spark, sf_dir).drop("n_triggers"), RANGE_WIDTH)
 
 
 @query(f"with {SESS} select pulse_id, time, pmt, start, stop from p join rng on time >= start and time < stop")
 def event_fill(spark, sf_dir):
-    return trigger.fill_events(pulses(spark, sf_dir).select("pulse_id", "time", "pmt"), ranges(spark, sf_dir).drop("n_triggers"))
+    return trigger.fill_events(pulses(spark, sf_dir).select("pulse_id", "time", "pmt"), ranges(spark, sf_dir).drop("n_triggers"), RANGE_WIDTH)
 
 
 @query(f"with {SESS}, one as (select sid from s group by sid having count(*) = 1) select pmt, count(*) as n_lone from s where sid in (select sid from one) group by pmt")

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsemill.functions import statistics, units
-from pulsemill.operators import interactions, islands, peaks, positions, relational, simulation, splitting, trigger, waves
+from pulsemill.operators import interactions, islands, peaks, positions, relational, splitting, trigger, waves
 from pulsemill.plans import pipelines
 from pulsemill.sources import flat
 from pulsemill.streaming import event_builder
@@ -349,16 +349,6 @@ def test_model_casts_and_missing_values(spark):
         relational.cast_model(df, {"a": "int"})
 
 
-def test_simulation_repeats_and_adds_up(spark):
-    i = spark.createDataFrame([(0, 10.0, 1000, 50, 0.0), (1, 60.0, 0, 200, 100.0)], "instruction int, depth double, s1_photons int, s2_electrons int, t double")
-    a = simulation.simulate(i, repetitions=3)
-    b = simulation.simulate(i.repartition(5), repetitions=3)
-    key = lambda df: sorted(map(tuple, df.collect()))
-    assert key(a) == key(b)
-    t = {(r["event_number"], r["kind"]): r["n"] for r in simulation.truth(a).collect()}
-    assert 70 < t[(0, "s1")] < 180 and (3, "s1") not in t and t[(3, "s2")] > 1000
-
-
 def test_pipeline_presets(spark):
     names, config = pipelines.PRESETS["trigger"]
     out = pipelines.Pipeline(names, pipelines.merge(config, {"classify": {"s2_min_pulses": 3}})).run(pulses(spark, [0, 250, 499, 10**6, 10**6 + 10]))
