@@ -57,12 +57,20 @@ def largest_per_section(peaks: DataFrame, event: Sequence[str], time: str, heigh
     return part.groupBy(*event, "section").agg(F.max_by(tie, F.struct(F.col(height), -F.col(tie))).alias(tie), F.max(height).alias(height))
 
 
-def free_regions(intervals: DataFrame, keys: Sequence[str], first: int, last: Column) -> DataFrame:
-    """keys, left, right of the stretches of [first, last] that no interval(left, right) covers. Intervals of one key don't overlap."""
-    w = Window.partitionBy(*keys).orderBy("left")
-    after = intervals.select(*keys, (F.col("right") + 1).alias("left"), (F.coalesce(F.lead("left").over(w) - 1, last)).alias("right"))
+def free_regions(intervals: DataFrame, keys: Sequence[str], first: int, last: Column, among: DataFrame | None = None) -> DataFrame:
+    """keys, left, right of the stretches of [first, last] that no interval(left, right) covers. Intervals may overlap, hold each other and lie beyond the bounds.
+
+    among(keys): keys that are free as a whole if they have no interval; without it only keys with an interval are seen.
+    """
+    w = Window.partitionBy(*keys).orderBy("left", "right")
+    reached = F.max("right").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    after = intervals.select(*keys, (reached + 1).alias("left"), F.coalesce(F.lead("left").over(w) - 1, last).alias("right"))
     before = intervals.groupBy(*keys).agg(F.min("left").alias("_l")).select(*keys, F.lit(first).alias("left"), (F.col("_l") - 1).alias("right"))
-    return after.unionByName(before).filter("left <= right")
+    out = after.unionByName(before)
+    if among is not None:
+        whole = among.select(*keys).distinct().join(intervals.select(*keys).distinct(), list(keys), "left_anti")
+        out = out.unionByName(whole.select(*keys, F.lit(first).alias("left"), last.alias("right")))
+    return out.select(*keys, F.greatest("left", F.lit(first)).alias("left"), F.least(F.col("right"), last).alias("right")).filter("left <= right")
 
 
 def interaction_peaks(found: DataFrame, peaks: DataFrame, event: Sequence[str], peak: str, columns: Sequence[str]) -> DataFrame:
@@ -96,6 +104,11 @@ def next_crossing(w: Column, start: int, threshold: float, min_length: int, stop
     return F.when(stop - start - 1 < min_length, stop).otherwise(F.coalesce(F.get(found, F.lit(0)), stop))
 
 
+def previous_crossing(w: Column, start: int, threshold: float, min_length: int, stop: Column) -> Column:
+    """next_crossing() to the left: the first sample before `start` on the other side that stays there for min_length samples after `stop`; else stop."""
+    return start - next_crossing(F.reverse(F.slice(w, 1, start + 1)), 0, threshold, min_length, start - stop)
+
+
 def shrunk(w: Column, n: int) -> Column:
     """An array without n samples on each side; empty if it is no longer than that."""
     return F.slice(w, F.lit(n + 1), F.greatest(F.size(w) - 2 * n, F.lit(0)))
