@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .islands import carried
+
 
 def detector_by_channel(detectors: DataFrame, detector: str = "detector", channels: str = "channels") -> DataFrame:
     """channel, detector: the inverted lists of detectors(detector, channels array)."""
@@ -89,8 +91,10 @@ def best_seed(positions: DataFrame, keys: Sequence[str], gof: str, order: str, c
     return best.select(*keys, "b.*")
 
 
-def last_known(pulses: DataFrame, channel: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
-    """pulses with the channel's last value that is not null, up to and with the row's own."""
+def last_known(pulses: DataFrame, channel: Sequence[str], order: Sequence[str], value: str, name: str, width: int | None = None) -> DataFrame:
+    """pulses with the channel's last value that is not null, up to and with the row's own. width: of buckets of the first order column, a whole number, for long runs."""
+    if width is not None:
+        return carried(pulses, channel, order, value, order[0], width, name)
     w = Window.partitionBy(*channel).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return pulses.withColumn(name, F.last(value, ignorenulls=True).over(w))
 

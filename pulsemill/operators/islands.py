@@ -44,25 +44,59 @@ def bucket_width(df: DataFrame, time: str) -> int:
     return (r["hi"] - r["lo"]) // buckets + 1
 
 
-def gap_sessions(df: DataFrame, time: str, tie: str, gap: int, bucket: int = DAY, name: str = "session") -> DataFrame:
-    """df with a global session number: a row joins the session of the row before it if it is less than `gap` later.
-
-    No window spans the whole table. Rows are numbered inside buckets of time; the first row of a bucket looks back to the
-    last time of the bucket before it (an aggregate of a row per bucket), and sessions of earlier buckets are added as an
-    offset. The result doesn't depend on the bucket size. Ties are ordered by `tie`.
+def _with_bucket(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """df with the columns of other, which has a row for each of df's keys (null is a key like any) and bucket _b."""
+    if not keys:
+        return df.join(other, "_b")  # Spark broadcasts it if it is small
+    renamed = other.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_b").alias("_kb"), *(c for c in other.columns if c not in (*keys, "_b")))
+    on = F.col("_b") == F.col("_kb")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(renamed, on).drop("_kb", *(f"_k{i}" for i in range(len(keys))))
+
+
+def gap_sessions(df: DataFrame, time: str, tie: str, gap: int, bucket: int = DAY, name: str = "session", keys: Sequence[str] = ()) -> DataFrame:
+    """df with a session number, global or for each value of the keys: a row joins the session of the row before it if it is less than `gap` later.
+
+    No window spans the whole table or all of a key. Rows are numbered inside buckets of time; the first row of a bucket
+    looks back to the last time of the bucket before it (an aggregate of a row per key and bucket), and sessions of earlier
+    buckets are added as an offset. The result doesn't depend on the bucket size. Ties are ordered by `tie`.
     """
     df = df.withColumn("_b", bucket_of(time, bucket))
-    edges = df.groupBy("_b").agg(F.max(time).alias("_last"))
+    across = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
+    edges = df.groupBy(*keys, "_b").agg(F.max(time).alias("_last"))
     # One row for each bucket of time: a table of days or hours, not of rows.
-    edges = edges.withColumn("_before", F.lag("_last").over(Window.orderBy("_b"))).select("_b", "_before")
-    w = Window.partitionBy("_b").orderBy(time, tie)
-    joined = df.join(edges, "_b")  # Spark broadcasts it if it is small
+    edges = edges.withColumn("_before", F.lag("_last").over(across)).select(*keys, "_b", "_before")
+    w = Window.partitionBy(*keys, "_b").orderBy(time, tie)
+    joined = _with_bucket(df, edges, keys)
     joined = joined.withColumn("_prev", F.coalesce(F.lag(time).over(w), "_before"))
     joined = joined.withColumn("_new", F.coalesce((F.col(time) - F.col("_prev") >= gap).cast("long"), F.lit(1)))
     joined = joined.withColumn("_local", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    starts = joined.groupBy("_b").agg(F.sum("_new").alias("_n"))
-    offsets = starts.withColumn("_offset", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_b", "_offset")
-    return joined.join(offsets, "_b").withColumn(name, F.col("_local") + F.col("_offset")).drop("_b", "_before", "_prev", "_new", "_local", "_offset")
+    starts = joined.groupBy(*keys, "_b").agg(F.sum("_new").alias("_n"))
+    offsets = starts.withColumn("_offset", F.coalesce(F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(*keys, "_b", "_offset")
+    return _with_bucket(joined, offsets, keys).withColumn(name, F.col("_local") + F.col("_offset")).drop("_b", "_before", "_prev", "_new", "_local", "_offset")
+
+
+def beside(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, time: str, width: int, name: str, after: bool = False) -> DataFrame:
+    """df with the value of the row before (or after) each in its key, null for the first (last). order begins with `time`; windows hold a key's bucket of time, no more."""
+    b = df.withColumn("_b", bucket_of(time, width))
+    step, end = (F.lead, F.min_by) if after else (F.lag, F.max_by)
+    held = F.struct(F.col(value).alias("v"))  # tells a null value from no row
+    ends = b.groupBy(*keys, "_b").agg(end(held, F.struct(*order)).alias("_end"))
+    ends = ends.withColumn("_edge", step("_end").over(Window.partitionBy(*keys).orderBy("_b"))).drop("_end")
+    local = step(held).over(Window.partitionBy(*keys, "_b").orderBy(*order))
+    return _with_bucket(b.withColumn("_near", local), ends, keys).withColumn(name, F.coalesce("_near", "_edge")["v"]).drop("_b", "_near", "_edge")
+
+
+def carried(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, time: str, width: int, name: str) -> DataFrame:
+    """df with each key's last value that is not null, up to and with the row's own, by buckets as beside()."""
+    b = df.withColumn("_b", bucket_of(time, width))
+    known = F.when(F.col(value).isNotNull(), F.struct(*order))
+    ends = b.groupBy(*keys, "_b").agg(F.max_by(value, known).alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_edge", F.last("_end", ignorenulls=True).over(before)).drop("_end")
+    local = F.last(value, ignorenulls=True).over(Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return _with_bucket(b.withColumn("_near", local), ends, keys).withColumn(name, F.coalesce("_near", "_edge")).drop("_b", "_near", "_edge")
 
 
 def point_in_range(points: DataFrame, time: str, ranges: DataFrame, start: str, stop: str, width: int, keys: Sequence[str] = (), closed: bool = False, how: str = "inner") -> DataFrame:

@@ -8,26 +8,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .islands import keyed_islands
+from .islands import gap_sessions, keyed_islands
 
 
-def cluster_hits(hits: DataFrame, keys: Sequence[str], threshold: int, tie: str = "hit_id", name: str = "cluster") -> DataFrame:
+def cluster_hits(hits: DataFrame, keys: Sequence[str], threshold: int, tie: str = "hit_id", name: str = "cluster", width: int | None = None) -> DataFrame:
     """hits with a cluster number; a cluster ends where more than `threshold` free samples follow the largest maximum so far.
 
     Free samples between maxima at i and j are j - i - 1. As rows are ordered, the largest maximum so far is the row before.
+    A key's hits, an event's, are one window; where a key holds a whole run, give the width of buckets to number them in.
     """
+    if width is not None:
+        return gap_sessions(hits, "index_of_maximum", tie, threshold + 2, width, name, keys)
     w = Window.partitionBy(*keys).orderBy("index_of_maximum", tie)
     gap = F.col("index_of_maximum") - F.lag("index_of_maximum").over(w) - 1
     return keyed_islands(hits, keys, ["index_of_maximum", tie], gap > threshold, name)
 
 
-def two_pass_clusters(hits: DataFrame, keys: Sequence[str], small_gap: int, large_gap: int, keep: Column, tie: str = "hit_id") -> DataFrame:
+def two_pass_clusters(hits: DataFrame, keys: Sequence[str], small_gap: int, large_gap: int, keep: Column, tie: str = "hit_id", width: int | None = None) -> DataFrame:
     """Clusters by the small gap that satisfy `keep` (over n_channels, n_hits, span) are final (pass 1); the hits left are clustered again by the large gap (pass 2)."""
-    first = cluster_hits(hits, keys, small_gap, tie)
+    first = cluster_hits(hits, keys, small_gap, tie, width=width)
     stats = first.groupBy(*keys, "cluster").agg(F.count_distinct("channel").alias("n_channels"), F.count("*").alias("n_hits"), (F.max("index_of_maximum") - F.min("index_of_maximum")).alias("span"))
     marked = first.join(stats.select(*keys, "cluster", keep.alias("_kept")), [*keys, "cluster"])
     done = marked.filter("_kept").drop("_kept").withColumn("pass", F.lit(1))
-    rest = cluster_hits(marked.filter("not _kept").drop("_kept", "cluster"), keys, large_gap, tie).withColumn("pass", F.lit(2))
+    rest = cluster_hits(marked.filter("not _kept").drop("_kept", "cluster"), keys, large_gap, tie, width=width).withColumn("pass", F.lit(2))
     return done.unionByName(rest)
 
 

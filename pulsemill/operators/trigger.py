@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .islands import bucket_of, bucket_width, gap_sessions, point_in_range
+from .islands import beside, bucket_of, bucket_width, gap_sessions, point_in_range
 
 SIGNAL_GAP, EVENT_GAP = 300, 250_000
 #: Buckets of triggers hold so many event separations; joins with ranges use buckets of the extended event's usual length.
@@ -108,11 +108,14 @@ def pair_coincidences(pulses: DataFrame, separation: int, tie: str = "pulse_id")
     return two.filter("n = 2").groupBy("a", "b").agg(F.count("*").alias("n_coincidences"))
 
 
-def dead_time(marks: DataFrame, interval: int, keys: tuple[str, ...] = ("system",)) -> DataFrame:
-    """Dead time per interval of time from marks(keys, time, on). Repeated marks change nothing; an open one at the end is not counted."""
-    w = Window.partitionBy(*keys).orderBy("time", "on")
-    turns = marks.withColumn("_was", F.lag("on").over(w)).filter("(_was is null and on) or _was <> on")
-    spans = turns.withColumn("stop", F.lead("time").over(w)).filter("on and stop is not null").withColumnRenamed("time", "start")
+def dead_time(marks: DataFrame, interval: int, keys: tuple[str, ...] = ("system",), width: int | None = None) -> DataFrame:
+    """Dead time per interval of time from marks(keys, time, on). Repeated marks change nothing; an open one at the end is not counted.
+
+    Marks meet the ones before and after them in buckets of `width`, by default a thousand intervals.
+    """
+    width = width or 1000 * interval
+    turns = beside(marks, keys, ["time", "on"], "on", "time", width, "_was").filter("(_was is null and on) or _was <> on")
+    spans = beside(turns, keys, ["time", "on"], "time", "time", width, "stop", after=True).filter("on and stop is not null").withColumnRenamed("time", "start")
     cells = spans.withColumn("interval", F.explode(F.sequence(bucket_of("start", interval), bucket_of("stop", interval))))
     part = F.least(F.col("stop"), (F.col("interval") + 1) * interval) - F.greatest(F.col("start"), F.col("interval") * interval)
     return cells.groupBy(*keys, "interval").agg(F.sum(part).alias("dead_ns"))

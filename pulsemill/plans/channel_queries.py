@@ -90,8 +90,8 @@ def best_seed(spark, sf_dir):
 
 @query("""select event_id, last_value(case when event_type = 'click' then value end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as baseline from events""")
 def last_baseline(spark, sf_dir):
-    e = read(spark, sf_dir, "events").withColumn("v", F.when(F.col("event_type") == "click", F.col("value")))
-    return channels.last_known(e, ["user_id"], ["ts", "event_id"], "v", "baseline").select("event_id", "baseline")
+    e = read(spark, sf_dir, "events").withColumns({"v": F.when(F.col("event_type") == "click", F.col("value")), "t": F.unix_micros(F.col("ts").cast("timestamp"))})
+    return channels.last_known(e, ["user_id"], ["t", "event_id"], "v", "baseline", width=7 * 86_400_000_000).select("event_id", "baseline")
 
 
 @query("""with e as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) as w from embeddings),

@@ -178,7 +178,7 @@ def two_pass_clusters(spark, sf_dir):
 
     hits = pulses(spark, sf_dir).select("detector", F.col("time").alias("index_of_maximum"), "pulse_id", F.col("pmt").alias("channel"))
     keep = F.col("n_channels") >= 3
-    c = clusters(hits, ["detector"], 60 * S, 3600 * S, keep, tie="pulse_id")
+    c = clusters(hits, ["detector"], 60 * S, 3600 * S, keep, tie="pulse_id", width=86400 * S)
     return c.groupBy("detector", "pass", "cluster").agg(F.count("*").alias("n_hits"), F.min("index_of_maximum").alias("left"), F.max("index_of_maximum").alias("right"))
 
 

@@ -92,3 +92,25 @@ def test_small_helpers(spark):
     assert rows(channels.run_totals(runs, ["run"], 20)) == [(1, 2, 30, 1), (2, 1, 1, 0)]
     maps = spark.createDataFrame([("tpc", [1, 2]), ("veto", []), ("none", None)], "detector string, channels array<int>")
     assert rows(channels.detector_by_channel(maps)) == [(1, "tpc"), (2, "tpc")]
+
+
+@pytest.mark.parametrize("width", [7, 100, 10_000])
+def test_buckets_change_nothing(spark, width):
+    """Neighbours, carried values and clusters by buckets of time equal one window a key; null keys and values, ties and negative times too."""
+    from pyspark.sql.window import Window
+
+    from pulsemill.operators import islands, peaks
+
+    rng = np.random.default_rng(width)
+    data = [(int(rng.integers(0, 3)) or None, int(rng.integers(-300, 300)), i, float(i) if rng.random() < 0.4 else None) for i in range(400)]
+    df = spark.createDataFrame(data, "key int, t long, id long, v double").repartition(4)
+    w = Window.partitionBy("key").orderBy("t", "id")
+    both = islands.beside(islands.beside(df, ["key"], ["t", "id"], "v", "t", width, "before"), ["key"], ["t", "id"], "v", "t", width, "after", after=True)
+    assert rows(both) == rows(df.withColumns({"before": F.lag("v").over(w), "after": F.lead("v").over(w)}))
+    assert rows(islands.carried(df, ["key"], ["t", "id"], "v", "t", width, "known")) == rows(channels.last_known(df, ["key"], ["t", "id"], "v", "known"))
+    hits = df.withColumnRenamed("t", "index_of_maximum").withColumn("channel", F.col("id") % 3)
+    for one, many in ((peaks.cluster_hits(hits, ["key"], 2, "id"), peaks.cluster_hits(hits, ["key"], 2, "id", width=width)),):
+        assert rows(one) == rows(many.select(one.columns))
+    keep = F.col("n_channels") >= 2
+    one, many = (peaks.two_pass_clusters(hits, ["key"], 1, 5, keep, "id", width=x) for x in (None, width))
+    assert rows(one) == rows(many.select(one.columns))
