@@ -39,7 +39,7 @@ def tree_round_trip(spark, sf_dir):
 
 
 BASE, THRESHOLD = {3: 60.0, 5: 2.0}, 4.0
-HITS = """h as (select l_suppkey as event, l_partkey % 40 as peak, l_orderkey * 8 + l_linenumber as hit, l_orderkey % 12 as channel, l_quantity::double as area, l_orderkey as "left", l_orderkey + l_linenumber as "right", l_orderkey as index_of_maximum from lineitem),
+HITS = """h as (select l_suppkey as event, l_partkey % 250 as peak, l_orderkey * 8 + l_linenumber as hit, l_orderkey % 12 as channel, l_quantity::double as area, l_orderkey as "left", l_orderkey + l_linenumber as "right", l_orderkey as index_of_maximum from lineitem),
 b as (select event, peak from h group by all having count(distinct channel) = 1),
 lone as (select h.event, channel, "left" from h join b using (event, peak)),
 n as (select event, channel, count(*) as n from (select event, channel from lone where "left" < 30000 union all select event, channel from lone where "left" < 30000) group by all),
@@ -53,7 +53,7 @@ k as (select *, coalesce(p > witness, false) as gone from m)"""
 def _rejected(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     order = F.col("l_orderkey")
-    hits = li.select(F.col("l_suppkey").alias("event"), (F.col("l_partkey") % 40).alias("peak"), (order * 8 + F.col("l_linenumber")).alias("hit"), (order % 12).alias("channel"), F.col("l_quantity").cast("double").alias("area"), order.alias("left"), (order + F.col("l_linenumber")).alias("right"), order.alias("index_of_maximum"))
+    hits = li.select(F.col("l_suppkey").alias("event"), (F.col("l_partkey") % 250).alias("peak"), (order * 8 + F.col("l_linenumber")).alias("hit"), (order % 12).alias("channel"), F.col("l_quantity").cast("double").alias("area"), order.alias("left"), (order + F.col("l_linenumber")).alias("right"), order.alias("index_of_maximum"))
     alone = hits.groupBy("event", "peak").agg(F.count_distinct("channel").alias("n")).filter("n = 1").select("event", "peak")
     lone = hits.join(alone, ["event", "peak"], "left_semi").select("event", "channel", "left")
     penalties = peaks.channel_penalties(lone, hits.filter("area <= 2").select("event", "channel"), BASE, ["event"], 0.5, 1.0, 30000)
