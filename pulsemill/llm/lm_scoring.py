@@ -4,18 +4,18 @@ Unigram counts are exact. Words counted at least a threshold often (the smallest
 them at most) are broadcast; the others' counts stay distributed, and the documents' rare words are sent to them. So the
 broadcast has a fixed bound, and no frequent word is ever shuffled.
 
-All bigrams are counted over the whole corpus, and each one found twice or more has its part in the scores. Those of two
-broadcast words found `cutoff` times or more go into the filter: a bigram of quantised count q is inserted q times, as
+All bigrams are counted over the whole corpus, and each one, those found once included, has its part in the scores. Those of
+two broadcast words found `cutoff` times or more go into the filter: a bigram of quantised count q is inserted q times, as
 (bigram, 1) to (bigram, q), and its count is read back by probing with 1, 2, ... until a probe fails. `cutoff` is the
-smallest count, from 2 on, for which the filter keeps BITS_EACH bits for each insertion within MAX_BITS, so the filter's
-error rate holds at every size of the corpus. The other bigrams, found less often or with a word that is not broadcast, stay
-distributed, and the documents' bigrams that the filter does not know are sent to them. Their counts are quantised as well,
-so where a count is kept does not change a score.
+smallest power of two, from 1 on, for which the filter keeps BITS_EACH bits for each insertion within MAX_BITS, so the
+filter's error rate holds at every size of the corpus. The other bigrams, found less often or with a word that is not
+broadcast, stay distributed, and the documents' bigrams that the filter does not know are sent to them. Their counts are
+quantised as well, so where a count is kept does not change a score. Counts of 1, 2 and 3 are levels of their own.
 
     P(w | v) = MIX * ((c(v, w) - D) / n(v) + (1 - M(v) / n(v)) * P(w)) + (1 - MIX) * P(w),    P(w) = (c(w) + 1) / (N + V + 1)
 
-with quantised c(v, w). M(v) is the sum of c - D over v's bigrams found twice or more, and n(v) the larger one of c(v) and
-M(v), so P(. | v) sums to one. A bigram found once counts as not seen. The first word of a text follows the end token of a
+with quantised c(v, w). M(v) is the sum of c - D over v's bigrams, and n(v) the larger one of c(v) and M(v), so P(. | v)
+sums to one. The first word of a text follows the end token of a
 text before, which so stands for the start. With K(v) = MIX * (1 - M(v) / n(v)) + 1 - MIX, a score is a sum of
 log10 P(w) + log10 K(v) over tokens w after v, and for each known bigram the rest, its bonus.
 """
@@ -23,6 +23,7 @@ log10 P(w) + log10 K(v) over tokens w after v, and for each known bigram the res
 from __future__ import annotations
 
 import functools
+import math
 
 import numpy as np
 import pandas as pd
@@ -33,12 +34,15 @@ from .common import CHARS, cut, mix, shuffle_parts, slices, text_parts, token_ha
 
 FREQUENT = 1_000_000
 MAX_BITS = 1 << 28
-BITS_EACH = 10
-HASHES = 3
-#: Counts are quantised by powers of this, from 2 on.
+#: With these a probe for what was not inserted succeeds once in 1,100 times.
+BITS_EACH = 16
+HASHES = 6
+#: Counts are quantised by powers of this.
 BASE = 1.5
-#: Levels that a 64-bit count can have.
-LEVELS = 108
+#: The smallest count of each level that a 64-bit count can have, and the count in the middle of each; level 0 is a count of 0.
+LOWS = np.array([math.ceil(BASE**k) for k in range(108)], np.int64)
+MIDDLES = np.concatenate([[0], (LOWS[:-1] + LOWS[1:] - 1.0) / 2, LOWS[-1:]])
+LEVELS = len(LOWS)
 D = 0.75
 MIX = 0.9
 #: Pieces of the filter that are built apart.
@@ -55,12 +59,11 @@ _POWERS = 1 << np.arange(40, dtype=np.int64)
 
 
 def quantised(c: np.ndarray) -> np.ndarray:
-    return np.minimum(1 + np.floor(np.log(c / 2) / np.log(BASE) + 1e-9), LEVELS).astype(np.int64)
+    return np.searchsorted(LOWS, c, side="right")
 
 
 def count_of(q: np.ndarray) -> np.ndarray:
-    """A count in the middle of level q; level 0 is a count of 0."""
-    return np.where(q > 0, 2 * BASE ** (q - 0.5), 0.0)
+    return MIDDLES[q]
 
 
 def kappa_of(mass: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -73,10 +76,15 @@ def bonus_of(c: np.ndarray, n_v: np.ndarray, kappa: np.ndarray, log_w: np.ndarra
     return np.log10(np.minimum(kappa + MIX * np.maximum(c - D, 0) / np.maximum(n_v, 1) / plain, 1 / plain)) - np.log10(kappa)
 
 
+def hashed(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first hash of each (key, level) and the step to the next ones."""
+    h = mix(keys * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level))
+    return h, mix(h) | np.uint64(1)
+
+
 def bits_of(keys: np.ndarray, level: int, n_bits: int):
     """The HASHES bit positions of (key, level)."""
-    h = mix(keys * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level))
-    step = mix(h) | np.uint64(1)
+    h, step = hashed(keys, level)
     for _ in range(HASHES):
         yield h & np.uint64(n_bits - 1)
         h = h + step
@@ -88,10 +96,11 @@ def probe(filter_bytes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     level = np.zeros(len(keys), np.int64)
     left = np.arange(len(keys))
     for q in range(1, LEVELS + 1):
-        ok = np.ones(len(left), bool)
-        for position in bits_of(keys[left], q, n_bits):
-            ok &= (filter_bytes[position >> np.uint64(3)] >> (position & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        left = left[ok]
+        h, step = hashed(keys[left], q)
+        for _ in range(HASHES):
+            position = h & np.uint64(n_bits - 1)
+            ok = (filter_bytes[position >> np.uint64(3)] >> (position & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            left, h, step = left[ok], (h + step)[ok], step[ok]
         if not len(left):
             break
         level[left] = q
@@ -202,12 +211,10 @@ def _bigrams(batches, frequent, parts: int):
 
 
 def _merge_bigrams(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The part's bigrams found twice or more; inserts[i] are the insertions that counts from 2**(i + 1) up need."""
+    """The part's bigrams; inserts[i] are the insertions that counts from 2**i up need."""
     keys, counts = _gather(pdf)
-    some = counts >= 2
-    keys, counts = keys[some], counts[some]
-    q = quantised(counts) if len(counts) else counts
-    inserts = [int(q[counts >= p].sum()) for p in _POWERS[1:]]
+    q = quantised(counts)
+    inserts = [int(q[counts >= p].sum()) for p in _POWERS]
     return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "keys": [keys.tobytes()], "counts": [counts.tobytes()], "inserts": [inserts]})
 
 
@@ -440,8 +447,8 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
 
     pairs = train.mapInPandas(functools.partial(_bigrams, frequent=frequent, parts=parts), _BLOCK)
     pairs = cut(pairs.groupBy("part").applyInPandas(_merge_bigrams, f"{_BLOCK}, inserts array<long>"))
-    needs = [x or 0 for x in pairs.agg(*(F.sum(F.col("inserts")[i]) for i in range(len(_POWERS) - 1))).first()]
-    cutoff, need = next((int(p), n) for p, n in zip(_POWERS[1:], needs) if n * BITS_EACH <= MAX_BITS)
+    needs = [x or 0 for x in pairs.agg(*(F.sum(F.col("inserts")[i]) for i in range(len(_POWERS)))).first()]
+    cutoff, need = next((int(p), n) for p, n in zip(_POWERS, needs) if n * BITS_EACH <= MAX_BITS)
     n_bits = max(1 << 16, 1 << int(max(1, need * BITS_EACH) - 1).bit_length())
     size, n_words = n_bits // SEGMENTS, len(table.keys)
     placed = pairs.mapInPandas(functools.partial(_bits, least=cutoff, n_bits=n_bits, n_words=n_words), "segment int, at binary, mass binary")
@@ -457,16 +464,16 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     vocabulary = above[0]
     others = least > 1  # some words are not broadcast
     if others:
-        found = cut(train.mapInPandas(functools.partial(_rare_pairs, frequent=frequent), "v long, w long, vi int, wi int").groupBy("v", "w", "vi", "wi").agg(F.count("*").alias("c")).filter("c >= 2"))
-        level = F.least(F.floor(F.log(F.col("c") / 2) / F.log(F.lit(BASE)) + 1e-9) + 1, F.lit(LEVELS))
-        masses = cut(found.groupBy("v", "vi").agg(F.sum(2 * F.pow(F.lit(BASE), level - 0.5) - F.lit(D)).alias("m")))
+        found = cut(train.mapInPandas(functools.partial(_rare_pairs, frequent=frequent), "v long, w long, vi int, wi int").groupBy("v", "w", "vi", "wi").agg(F.count("*").alias("c")))
+        middle = F.pandas_udf(lambda c: pd.Series(count_of(quantised(c.to_numpy()))), "double")
+        masses = cut(found.withColumn("m", middle("c") - D).groupBy("v", "vi").agg(F.sum("m").alias("m")))
         more = masses.filter("vi >= 0").select("vi", "m").toPandas()  # FREQUENT rows at most
         mass[more["vi"].to_numpy(np.int64)] += more["m"].to_numpy(np.float64)
-    model = sc.broadcast(Model(table, data.reshape(-1), mass, tokens, vocabulary, cutoff > 2, others))
+    model = sc.broadcast(Model(table, data.reshape(-1), mass, tokens, vocabulary, cutoff > 1, others))
 
     local = cut(texts.withColumn("row", F.monotonically_increasing_id()).mapInPandas(functools.partial(_score, model=model), _LOCAL))
     added = []
-    if cutoff > 2:
+    if cutoff > 1:
         asked = local.select("row", "rest").mapInPandas(functools.partial(_ask, parts=parts, name="rest"), _BLOCK)
         answers = asked.groupBy("part").cogroup(pairs.select("part", "keys", "counts").groupBy("part")).applyInPandas(lambda a, b: _answer_rest(a, b, parts, model), _BLOCK)
         added.append(answers.groupBy("part").applyInPandas(_total, "row long, rare_sum double, rare_known long").select("row", F.col("rare_sum").alias("value")))

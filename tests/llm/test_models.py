@@ -89,7 +89,7 @@ def test_model_is_better_than_its_base_on_structured_text(spark):
 
 
 @pytest.mark.parametrize("frequent, max_bits", [(1_000_000, 1 << 28), (1_000_000, 0), (1_000_000, 2000), (30, 1 << 28), (30, 0), (0, 0)])
-def test_every_bigram_found_twice_counts(docs, corpus, monkeypatch, frequent, max_bits):
+def test_every_bigram_counts(docs, corpus, monkeypatch, frequent, max_bits):
     monkeypatch.setattr(lm_scoring, "FREQUENT", frequent)
     monkeypatch.setattr(lm_scoring, "MAX_BITS", max_bits)
     c, tokens = brute_unigrams(corpus)
@@ -100,12 +100,12 @@ def test_every_bigram_found_twice_counts(docs, corpus, monkeypatch, frequent, ma
     level = lambda k: float(lm_scoring.count_of(lm_scoring.quantised(np.array([k])))[0])
     mass = collections.Counter()
     for (a, _), k in pairs.items():
-        mass[a] += (level(k) - lm_scoring.D) * (k > 1)
+        mass[a] += level(k) - lm_scoring.D
     mix, p = lm_scoring.MIX, lambda w: (c[w] + 1) / (n + v + 1)
 
     def after(a, b):
         k, norm = pairs[a, b], max(c[a], mass[a], 1)
-        seen = level(k) - lm_scoring.D if k > 1 else 0
+        seen = level(k) - lm_scoring.D if k else 0
         return mix * seen / norm + (mix * (1 - mass[a] / norm) + 1 - mix) * p(b)
 
     for a in list(c)[::50]:  # over the vocabulary and one word for all unknown ones
@@ -119,7 +119,7 @@ def test_every_bigram_found_twice_counts(docs, corpus, monkeypatch, frequent, ma
 
 def test_filter_reads_counts_back():
     keys = np.arange(1, 2001, dtype=np.uint64) * np.uint64(977)
-    counts = np.random.default_rng(0).integers(2, 5000, 2000)
+    counts = np.random.default_rng(0).integers(1, 5000, 2000)
     q = lm_scoring.quantised(counts)
     n_bits = 1 << 19
     bits = np.zeros(n_bits, np.uint8)
@@ -131,6 +131,8 @@ def test_filter_reads_counts_back():
     assert (got >= q).all() and (got == q).mean() > 0.98
     assert (lm_scoring.probe(data, keys + np.uint64(1)) == 0).mean() > 0.98
     assert np.allclose(np.log(lm_scoring.count_of(q) / counts), 0, atol=np.log(lm_scoring.BASE))
+    assert lm_scoring.count_of(lm_scoring.quantised(np.arange(4))).tolist() == [0, 1, 2, 3]
+    assert 1 <= lm_scoring.quantised(np.array([2**62]))[0] <= lm_scoring.LEVELS
 
 
 def test_neighbours_are_exact():
