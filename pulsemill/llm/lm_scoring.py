@@ -83,22 +83,25 @@ def hashed(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bits_of(keys: np.ndarray, level: int, n_bits: int):
-    """The HASHES bit positions of (key, level)."""
+    """The HASHES bit positions of (key, level), all in the key's segment, so a segment is built from its keys alone."""
+    size = np.uint64(n_bits // SEGMENTS)
+    start = _part_of(keys, SEGMENTS).astype(np.uint64) * size
     h, step = hashed(keys, level)
     for _ in range(HASHES):
-        yield h & np.uint64(n_bits - 1)
+        yield start + (h & (size - np.uint64(1)))
         h = h + step
 
 
 def probe(filter_bytes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Level of each key: probes with 1, 2, ... until one fails."""
-    n_bits = 8 * len(filter_bytes)
+    size = np.uint64(8 * len(filter_bytes) // SEGMENTS)
+    start = _part_of(keys, SEGMENTS).astype(np.uint64) * size
     level = np.zeros(len(keys), np.int64)
     left = np.arange(len(keys))
     for q in range(1, LEVELS + 1):
         h, step = hashed(keys[left], q)
         for _ in range(HASHES):
-            position = h & np.uint64(n_bits - 1)
+            position = start[left] + (h & (size - np.uint64(1)))
             ok = (filter_bytes[position >> np.uint64(3)] >> (position & np.uint64(7)).astype(np.uint8)) & 1 == 1
             left, h, step = left[ok], (h + step)[ok], step[ok]
         if not len(left):
@@ -258,8 +261,8 @@ def _rare_asked(batches, model):
         yield pd.DataFrame({"row": np.concatenate([row, row[alone]]), "v": v.view(np.int64), "w": w.view(np.int64)})
 
 
-def _bits(batches, least: int, n_bits: int, n_words: int):
-    """Positions to set by segment, and the sums of c - D by first word under segments below 0, of all bigrams."""
+def _placed(batches, least: int, n_words: int):
+    """The filter's bigrams with their levels by segment, and the sums of c - D of all bigrams by first word under segments below 0."""
     for pdf in batches:
         for k, c in zip(pdf["keys"], pdf["counts"]):
             keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
@@ -269,30 +272,24 @@ def _bits(batches, least: int, n_bits: int, n_words: int):
             sums, width = np.bincount(inverse, weights=count_of(quantised(counts)) - D), -(-n_words // SEGMENTS)
             edges = np.searchsorted(first, np.arange(SEGMENTS + 1) * width)
             rows = [(-1 - s, (first[a:b] - np.uint64(s * width)).astype(np.uint32).tobytes(), sums[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
-            some = counts >= least
-            keys, counts = keys[some], counts[some]
-            if not len(keys):
-                yield pd.DataFrame(rows, columns=["segment", "at", "mass"])
-                continue
-            q = quantised(counts)
-            positions = [p for level in range(1, int(q.max()) + 1) for p in bits_of(keys[q >= level], level, n_bits)]
-            positions = np.unique(np.concatenate(positions)).astype(np.uint32)
-            size = n_bits // SEGMENTS
-            edges = np.searchsorted(positions, np.arange(SEGMENTS + 1, dtype=np.int64) * size)
-            rows += [(s, (positions[a:b] - np.uint32(s * size)).tobytes(), b"") for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
-            yield pd.DataFrame(rows, columns=["segment", "at", "mass"])
+            keys, q = keys[counts >= least], quantised(counts[counts >= least]).astype(np.uint8)
+            segment = _part_of(keys, SEGMENTS)
+            rows += [(int(s), keys[segment == s].tobytes(), q[segment == s].tobytes()) for s in np.unique(segment)]
+            yield pd.DataFrame(rows, columns=["segment", "keys", "held"])
 
 
-def _set_bits(key, pdf: pd.DataFrame, size: int, n_words: int) -> pd.DataFrame:
-    at = [np.frombuffer(b, np.uint32) for b in pdf["at"]]
+def _built(key, pdf: pd.DataFrame, size: int, n_words: int) -> pd.DataFrame:
     if key[0] < 0:
         mass = np.zeros(-(-n_words // SEGMENTS))
-        for i, m in zip(at, pdf["mass"]):
-            mass[i] += np.frombuffer(m, np.float64)
+        for at, m in zip(pdf["keys"], pdf["held"]):
+            mass[np.frombuffer(at, np.uint32)] += np.frombuffer(m, np.float64)
         return pd.DataFrame({"segment": [int(key[0])], "data": [mass.tobytes()]})
     bits = np.zeros(size, np.uint8)
-    for i in at:
-        bits[i] = 1
+    for k, held in zip(pdf["keys"], pdf["held"]):
+        keys, q = np.frombuffer(k, np.uint64), np.frombuffer(held, np.uint8)
+        for level in range(1, int(q.max()) + 1):
+            for position in bits_of(keys[q >= level], level, size * SEGMENTS):
+                bits[position & np.uint64(size - 1)] = 1
     return pd.DataFrame({"segment": [int(key[0])], "data": [np.packbits(bits, bitorder="little").tobytes()]})
 
 
@@ -451,8 +448,8 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     cutoff, need = next((int(p), n) for p, n in zip(_POWERS, needs) if n * BITS_EACH <= MAX_BITS)
     n_bits = max(1 << 16, 1 << int(max(1, need * BITS_EACH) - 1).bit_length())
     size, n_words = n_bits // SEGMENTS, len(table.keys)
-    placed = pairs.mapInPandas(functools.partial(_bits, least=cutoff, n_bits=n_bits, n_words=n_words), "segment int, at binary, mass binary")
-    built = placed.groupBy("segment").applyInPandas(lambda key, pdf: _set_bits(key, pdf, size, n_words), "segment int, data binary").collect()  # MAX_BITS and a number for each of FREQUENT words at most
+    placed = pairs.mapInPandas(functools.partial(_placed, least=cutoff, n_words=n_words), "segment int, keys binary, held binary")
+    built = placed.groupBy("segment").applyInPandas(lambda key, pdf: _built(key, pdf, size, n_words), "segment int, data binary").collect()  # MAX_BITS and a number for each of FREQUENT words at most
     data = np.zeros((SEGMENTS, size // 8), np.uint8)
     mass = np.zeros((SEGMENTS, -(-n_words // SEGMENTS)))
     for r in built:
