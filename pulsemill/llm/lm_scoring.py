@@ -239,6 +239,12 @@ def _rare_words(batches, least: int):
             yield pd.DataFrame({"h": keys[counts < least], "n": counts[counts < least]})
 
 
+def _blocks(batches):
+    """Columns vi and m of a batch as one row of bytes, so the driver gets no row for each word."""
+    for pdf in batches:
+        yield pd.DataFrame({"vi": [pdf["vi"].to_numpy(np.int32).tobytes()], "m": [pdf["m"].to_numpy(np.float64).tobytes()]})
+
+
 def _rare_bonus(batches, model):
     m = model.value
     for pdf in batches:
@@ -440,6 +446,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     got = counted.mapInPandas(functools.partial(_at_least, least=least), "keys binary, counts binary").collect()  # FREQUENT words at most
     join = lambda name, kind: np.frombuffer(b"".join(bytes(r[name]) for r in got), kind)
     table = Frequent(join("keys", np.uint64), join("counts", np.int64))
+    del got
     frequent = sc.broadcast(table)
 
     pairs = train.mapInPandas(functools.partial(_bigrams, frequent=frequent, parts=parts), _BLOCK)
@@ -454,9 +461,10 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     mass = np.zeros((SEGMENTS, -(-n_words // SEGMENTS)))
     for r in built:
         if r["segment"] < 0:
-            mass[-1 - r["segment"]] = np.frombuffer(bytes(r["data"]), np.float64)
+            mass[-1 - r["segment"]] = np.frombuffer(r["data"], np.float64)
         else:
-            data[r["segment"]] = np.frombuffer(bytes(r["data"]), np.uint8)
+            data[r["segment"]] = np.frombuffer(r["data"], np.uint8)
+    del built
     mass = mass.reshape(-1)[:n_words]
     vocabulary = above[0]
     others = least > 1  # some words are not broadcast
@@ -464,8 +472,8 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
         found = cut(train.mapInPandas(functools.partial(_rare_pairs, frequent=frequent), "v long, w long, vi int, wi int").groupBy("v", "w", "vi", "wi").agg(F.count("*").alias("c")))
         middle = F.pandas_udf(lambda c: pd.Series(count_of(quantised(c.to_numpy()))), "double")
         masses = cut(found.withColumn("m", middle("c") - D).groupBy("v", "vi").agg(F.sum("m").alias("m")))
-        more = masses.filter("vi >= 0").select("vi", "m").toPandas()  # FREQUENT rows at most
-        mass[more["vi"].to_numpy(np.int64)] += more["m"].to_numpy(np.float64)
+        for r in masses.filter("vi >= 0").select("vi", "m").mapInPandas(_blocks, "vi binary, m binary").collect():  # FREQUENT numbers at most
+            mass[np.frombuffer(r["vi"], np.int32)] += np.frombuffer(r["m"], np.float64)
     model = sc.broadcast(Model(table, data.reshape(-1), mass, tokens, vocabulary, cutoff > 1, others))
 
     local = cut(texts.withColumn("row", F.monotonically_increasing_id()).mapInPandas(functools.partial(_score, model=model), _LOCAL))
