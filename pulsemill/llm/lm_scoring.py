@@ -27,7 +27,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import CHARS, cut, mix, shuffle_parts, slices, text_parts, token_hashes
@@ -192,6 +192,10 @@ class Frequent:
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         return np.where(self.keys[at] == h, at, -1)
 
+    def named(self, h: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """Each word by its index if it is broadcast, else by its hash; one word in 10**13 has a hash that looks like an index."""
+        return np.where(index >= 0, index, h.view(np.int64))
+
     @staticmethod
     def pairs(index: np.ndarray) -> np.ndarray:
         """Mask over tokens from the second on: those that end a bigram of two broadcast words."""
@@ -222,14 +226,15 @@ def _merge_bigrams(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _rare_pairs(batches, frequent):
-    """All bigrams with a word that is not broadcast: hashes, and indices of the broadcast words (-1 for others)."""
+    """All bigrams with a word that is not broadcast, by the words' names."""
     table = frequent.value
     for pdf in batches:
         for some in slices(pdf, CHARS):
             tokens, _ = _tokens(some["text"])
             index = table.index(tokens)
             mask = ~table.pairs(index)
-            yield pd.DataFrame({"v": tokens[:-1][mask].view(np.int64), "w": tokens[1:][mask].view(np.int64), "vi": index[:-1][mask], "wi": index[1:][mask]})
+            names = table.named(tokens, index)
+            yield pd.DataFrame({"v": names[:-1][mask], "w": names[1:][mask]})
 
 
 def _rare_words(batches, least: int):
@@ -240,16 +245,16 @@ def _rare_words(batches, least: int):
 
 
 def _blocks(batches):
-    """Columns vi and m of a batch as one row of bytes, so the driver gets no row for each word."""
+    """Columns v and m of a batch as one row of bytes, so the driver gets no row for each word."""
     for pdf in batches:
-        yield pd.DataFrame({"vi": [pdf["vi"].to_numpy(np.int32).tobytes()], "m": [pdf["m"].to_numpy(np.float64).tobytes()]})
+        yield pd.DataFrame({"v": [pdf["v"].to_numpy(np.int32).tobytes()], "m": [pdf["m"].to_numpy(np.float64).tobytes()]})
 
 
 def _rare_bonus(batches, model):
     m = model.value
     for pdf in batches:
-        v, w, own = pdf["vi"].to_numpy(), pdf["wi"].to_numpy(), len(m.logs) > 0
-        pick = lambda at, held, other: np.where(at >= 0, held[np.maximum(at, 0)], other) if own else np.asarray(other)
+        v, w, n = pdf["v"].to_numpy(), pdf["w"].to_numpy(), len(m.logs)
+        pick = lambda at, held, other: np.where((at >= 0) & (at < n), held[np.clip(at, 0, n - 1)], other) if n else np.asarray(other)
         n_v = pick(v, m.norms, np.maximum(pdf["n_v"].to_numpy(float), pdf["m_v"].to_numpy(float)))
         kappa = pick(v, m.kappa, kappa_of(pdf["m_v"].to_numpy(float), pdf["n_v"].to_numpy()))
         log_w = pick(w, m.logs, np.log10(pdf["n_w"].to_numpy() + 1.0) - m.norm)
@@ -258,13 +263,13 @@ def _rare_bonus(batches, model):
 
 def _rare_asked(batches, model):
     """The bigrams with a rare word of many documents; a rare first word also asks for its K(v)."""
-    table = model.value.frequent
+    n = len(model.value.frequent.keys)
     for pdf in batches:
         row = np.repeat(pdf["row"].to_numpy(np.int64), [len(b) // 16 for b in pdf["pairs"]])
-        both = np.frombuffer(b"".join(pdf["pairs"]), np.uint64).reshape(-1, 2)
-        alone = table.index(both[:, 0]) < 0
-        v, w = np.concatenate([both[:, 0], both[alone, 0]]), np.concatenate([both[:, 1], np.full(alone.sum(), _ANY)])
-        yield pd.DataFrame({"row": np.concatenate([row, row[alone]]), "v": v.view(np.int64), "w": w.view(np.int64)})
+        both = np.frombuffer(b"".join(pdf["pairs"]), np.int64).reshape(-1, 2)
+        alone = (both[:, 0] < 0) | (both[:, 0] >= n)
+        v, w = np.concatenate([both[:, 0], both[alone, 0]]), np.concatenate([both[:, 1], np.full(alone.sum(), _ANY.view(np.int64))])
+        yield pd.DataFrame({"row": np.concatenate([row, row[alone]]), "v": v, "w": w})
 
 
 def _placed(batches, least: int, n_words: int):
@@ -345,7 +350,8 @@ def _score(batches, model):
                     asked[at[~hit]] = True
                     rest = by_text(asked, keys[~hit])
             if m.others:
-                pairs = by_text(~both, np.stack([tokens[:-1][~both], tokens[1:][~both]], axis=1))
+                names = table.named(tokens, index)
+                pairs = by_text(~both, np.stack([names[:-1][~both], names[1:][~both]], axis=1))
             sums = np.add.reduceat(base, first)
             done = part[["row", "doc_id", "held_out"]].astype({"doc_id": "Int64"}).reset_index(drop=True)
             yield done.assign(n_tokens=sizes, n_known=np.add.reduceat(known, first, dtype=np.int64), base=sums, score=sums + np.add.reduceat(factor, first), rare=by_text(~known, tokens[1:][~known]), rest=rest, pairs=pairs)
@@ -405,17 +411,21 @@ def _total(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"row": rows, "rare_sum": np.bincount(inverse, weights=both[0]), "rare_known": np.bincount(inverse, weights=both[1]).astype(np.int64)})
 
 
-def _rare_sums(local: DataFrame, counted: DataFrame, found: DataFrame, masses: DataFrame, model, least: int) -> DataFrame:
+def _broadcast(word: str, n_words: int) -> Column:
+    return F.col(word).between(0, n_words - 1)
+
+
+def _rare_sums(local: DataFrame, counted: DataFrame, found: DataFrame, masses: DataFrame, model, least: int, n_words: int) -> DataFrame:
     """row, value: the bonuses of a document's bigrams with a rare word, and log10 K(v) of its rare words."""
     words = counted.mapInPandas(functools.partial(_rare_words, least=least), "h long, n long")
-    firsts = cut(words.withColumnRenamed("h", "v").join(masses.filter("vi < 0").select("v", "m"), "v"))
+    firsts = cut(words.withColumnRenamed("h", "v").join(masses.filter(~_broadcast("v", n_words)), "v"))
 
     # A broadcast word is not looked up, so none is a hot key.
-    def looked_up(df: DataFrame, index: str, held: DataFrame, word: str, new: dict) -> DataFrame:
-        return df.filter(F.col(index) < 0).join(held, word).unionByName(df.filter(F.col(index) >= 0).withColumns(new))
+    def looked_up(df: DataFrame, word: str, held: DataFrame, new: dict) -> DataFrame:
+        return df.filter(~_broadcast(word, n_words)).join(held, word).unionByName(df.filter(_broadcast(word, n_words)).withColumns(new))
 
-    both = looked_up(found, "vi", firsts.select("v", F.col("n").alias("n_v"), F.col("m").alias("m_v")), "v", {"n_v": F.lit(0).cast("long"), "m_v": F.lit(0.0)})
-    both = looked_up(both, "wi", words.select(F.col("h").alias("w"), F.col("n").alias("n_w")), "w", {"n_w": F.lit(0).cast("long")})
+    both = looked_up(found, "v", firsts.select("v", F.col("n").alias("n_v"), F.col("m").alias("m_v")), {"n_v": F.lit(0).cast("long"), "m_v": F.lit(0.0)})
+    both = looked_up(both, "w", words.select(F.col("h").alias("w"), F.col("n").alias("n_w")), {"n_w": F.lit(0).cast("long")})
     values = both.mapInPandas(functools.partial(_rare_bonus, model=model), "v long, w long, value double")
     log_kappa = F.log10(F.lit(MIX) * (1 - F.col("m") / F.greatest(F.col("n").cast("double"), F.col("m"))) + (1 - MIX))
     values = values.unionByName(firsts.select("v", F.lit(int(_ANY.view(np.int64))).alias("w"), log_kappa.alias("value")))
@@ -469,11 +479,11 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     vocabulary = above[0]
     others = least > 1  # some words are not broadcast
     if others:
-        found = cut(train.mapInPandas(functools.partial(_rare_pairs, frequent=frequent), "v long, w long, vi int, wi int").groupBy("v", "w", "vi", "wi").agg(F.count("*").alias("c")))
+        found = cut(train.mapInPandas(functools.partial(_rare_pairs, frequent=frequent), "v long, w long").groupBy("v", "w").agg(F.count("*").alias("c")))
         middle = F.pandas_udf(lambda c: pd.Series(count_of(quantised(c.to_numpy()))), "double")
-        masses = cut(found.withColumn("m", middle("c") - D).groupBy("v", "vi").agg(F.sum("m").alias("m")))
-        for r in masses.filter("vi >= 0").select("vi", "m").mapInPandas(_blocks, "vi binary, m binary").collect():  # FREQUENT numbers at most
-            mass[np.frombuffer(r["vi"], np.int32)] += np.frombuffer(r["m"], np.float64)
+        masses = cut(found.withColumn("m", middle("c") - D).groupBy("v").agg(F.sum("m").alias("m")))
+        for r in masses.filter(_broadcast("v", n_words)).mapInPandas(_blocks, "v binary, m binary").collect():  # FREQUENT numbers at most
+            mass[np.frombuffer(r["v"], np.int32)] += np.frombuffer(r["m"], np.float64)
     model = sc.broadcast(Model(table, data.reshape(-1), mass, tokens, vocabulary, cutoff > 1, others))
 
     local = cut(texts.withColumn("row", F.monotonically_increasing_id()).mapInPandas(functools.partial(_score, model=model), _LOCAL))
@@ -483,7 +493,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
         answers = asked.groupBy("part").cogroup(pairs.select("part", "keys", "counts").groupBy("part")).applyInPandas(lambda a, b: _answer_rest(a, b, parts, model), _BLOCK)
         added.append(answers.groupBy("part").applyInPandas(_total, "row long, rare_sum double, rare_known long").select("row", F.col("rare_sum").alias("value")))
     if others:
-        added.append(_rare_sums(local, counted, found, masses, model, least))
+        added.append(_rare_sums(local, counted, found, masses, model, least, n_words))
     asked = local.select("row", "rare").mapInPandas(functools.partial(_ask, parts=parts, name="rare"), _BLOCK)
     norm = float(np.log10(tokens + vocabulary + 1))
     answers = asked.groupBy("part").cogroup(counted.select("part", "keys", "counts").groupBy("part")).applyInPandas(lambda a, b: _answer(a, b, parts, norm), _BLOCK)
