@@ -49,6 +49,8 @@ MIX = 0.9
 SEGMENTS = 64
 #: Distinct values that a task gathers before it sends them on.
 GATHER = 3_000_000
+#: Bytes of words or bigrams that a task asks for at a time.
+ASKED = 4 << 20
 #: Bytes of text for which there is a part of the counts at least, so no part grows with the table.
 PART_BYTES = 16 << 20
 
@@ -261,12 +263,20 @@ def _rare_bonus(batches, model):
         yield pd.DataFrame({"v": pdf["v"], "w": pdf["w"], "value": bonus_of(count_of(quantised(pdf["c"].to_numpy())), n_v, kappa, log_w)})
 
 
+def _opened(batches, name: str, width: int):
+    """The packed values of a column, `width` bytes each, with their rows: some ASKED bytes at a time, and never less than a row's."""
+    for pdf in batches:
+        sizes = pdf[name].map(len).to_numpy()
+        for _, some in pdf[sizes > 0].groupby(np.cumsum(sizes)[sizes > 0] // ASKED):
+            row = np.repeat(some["row"].to_numpy(np.int64), sizes[some.index] // width)
+            yield row, np.frombuffer(b"".join(some[name]), np.uint64)
+
+
 def _rare_asked(batches, model):
     """The bigrams with a rare word of many documents; a rare first word also asks for its K(v)."""
     n = len(model.value.frequent.keys)
-    for pdf in batches:
-        row = np.repeat(pdf["row"].to_numpy(np.int64), [len(b) // 16 for b in pdf["pairs"]])
-        both = np.frombuffer(b"".join(pdf["pairs"]), np.int64).reshape(-1, 2)
+    for row, asked in _opened(batches, "pairs", 16):
+        both = asked.view(np.int64).reshape(-1, 2)
         alone = (both[:, 0] < 0) | (both[:, 0] >= n)
         v, w = np.concatenate([both[:, 0], both[alone, 0]]), np.concatenate([both[:, 1], np.full(alone.sum(), _ANY.view(np.int64))])
         yield pd.DataFrame({"row": np.concatenate([row, row[alone]]), "v": v, "w": w})
@@ -359,10 +369,8 @@ def _score(batches, model):
 
 def _ask(batches, parts: int, name: str):
     """The rare words or bigrams of many documents, by the part that has their counts."""
-    for pdf in batches:
-        keys = [np.frombuffer(b, np.uint64) for b in pdf[name]]
-        row = np.repeat(pdf["row"].to_numpy(np.int64), [len(k) for k in keys])
-        yield _send(np.concatenate(keys), row, parts) if len(row) else pd.DataFrame({"part": [], "keys": [], "counts": []})
+    for row, keys in _opened(batches, name, 8):
+        yield _send(keys, row, parts)
 
 
 def _looked_up(asked: pd.DataFrame, held: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
