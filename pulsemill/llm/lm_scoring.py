@@ -1,16 +1,18 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Unigram counts are exact. Words counted at least a threshold often (the smallest power of two that leaves FREQUENT of
-them at most) are broadcast; the others' counts stay distributed, and the documents' rare words are sent to them. So the
-broadcast has a fixed bound, and no frequent word is ever shuffled.
+them at most) are broadcast. So the broadcast has a fixed bound, and no frequent word is ever shuffled.
 
 All bigrams are counted over the whole corpus, and each one, those found once included, has its part in the scores. Those of
 two broadcast words found `cutoff` times or more go into the filter: a bigram of quantised count q is inserted q times, as
 (bigram, 1) to (bigram, q), and its count is read back by probing with 1, 2, ... until a probe fails. `cutoff` is the
 smallest power of two, from 1 on, for which the filter keeps BITS_EACH bits for each insertion within MAX_BITS, so the
 filter's error rate holds at every size of the corpus. The other bigrams, found less often or with a word that is not
-broadcast, stay distributed, and the documents' bigrams that the filter does not know are sent to them. Their counts are
-quantised as well, so where a count is kept does not change a score. Counts of 1, 2 and 3 are levels of their own.
+broadcast, stay distributed, and the documents' bigrams that the filter does not know are sent to them: those with a rare
+(not broadcast) second word to the part of that word, which has all its bigrams and so its count, and those with a rare first
+word to the part of the first, which has its count and M(v) below likewise. What lies in a part is packed, so a bigram is
+no row of its own in a shuffle. Counts are quantised there as well, so where a count is kept does not change a score. Counts of
+1, 2 and 3 are levels of their own.
 
     P(w | v) = MIX * ((c(v, w) - D) / n(v) + (1 - M(v) / n(v)) * P(w)) + (1 - MIX) * P(w),    P(w) = (c(w) + 1) / (N + V + 1)
 
@@ -27,7 +29,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import CHARS, cut, mix, shuffle_parts, slices, text_parts, token_hashes
@@ -55,8 +57,6 @@ ASKED = 4 << 20
 PART_BYTES = 16 << 20
 
 _END = np.uint64(0x51ED270B2E0DF6A1)
-#: Stands for any second word: the value of (v, _ANY) is log10 K(v).
-_ANY = np.uint64(0xC2B2AE3D27D4EB4F)
 _POWERS = 1 << np.arange(40, dtype=np.int64)
 
 
@@ -112,6 +112,21 @@ def probe(filter_bytes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return level
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """The bytes of 64-bit numbers (or rows of them), those of equal weight together: most are alike, and so compress in shuffles and tables."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
+
+
+def _opened(data: bytes, kind: type = np.int64, width: int = 1) -> np.ndarray:
+    """The numbers that _packed got; with a width over 1, in rows of so many."""
+    out = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8 * width, -1).T).view(kind)
+    return out if width > 1 else out.reshape(-1)
+
+
+def _all(blocks, kind: type = np.int64, width: int = 1) -> np.ndarray:
+    return np.concatenate([_opened(b, kind, width) for b in blocks])
+
+
 def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys with their summed counts."""
     order = np.argsort(keys, kind="stable")
@@ -120,16 +135,32 @@ def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def _merge_pairs(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct rows of two words with their summed counts."""
+    order, number = _numbered(pairs)
+    first = np.concatenate([[True], number[1:] != number[:-1]]).nonzero()[0] if len(pairs) else np.zeros(0, int)
+    return pairs[order[first]], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def _numbered(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts rows of two words, and the number of each sorted row among the distinct ones."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    rows = pairs[order]
+    return order, np.cumsum(np.concatenate([[0], (rows[1:] != rows[:-1]).any(axis=1)])[: len(rows)])
+
+
 def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((mix(keys) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _send(keys: np.ndarray, counts: np.ndarray, parts: int) -> pd.DataFrame:
-    part = _part_of(keys, parts)
-    order = np.argsort(part, kind="stable")
+def _send(keys: np.ndarray, counts: np.ndarray, parts: int, side: int = 0) -> pd.DataFrame:
+    """Keys, or rows of two words by the first, with their counts by part; each side has parts of its own."""
+    part = _part_of(keys if keys.ndim == 1 else keys[:, 0].view(np.uint64), parts) + side * parts
+    order = np.argsort(part.astype(np.min_scalar_type((side + 1) * parts)), kind="stable")
     part, keys, counts = part[order], keys[order], counts[order].astype(np.int64)
+    del order
     edges = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1, [len(part)]]) if len(part) else np.zeros(1, int)
-    rows = [(int(part[a]), keys[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
+    rows = [(int(part[a]), _packed(keys[a:b]), _packed(counts[a:b])) for a, b in zip(edges[:-1], edges[1:])]
     return pd.DataFrame(rows, columns=["part", "keys", "counts"])
 
 
@@ -141,41 +172,54 @@ def _tokens(texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(batches, keys_of, parts: int):
-    """Count the keys of all texts of a task, a few million distinct at a time, and send them by part."""
+    """Count the keys of all texts of a task, a few million distinct at a time, and send them by part; rows of two words are sent as they are."""
     waiting, n = [], 0
     for pdf in batches:
         for some in slices(pdf, CHARS):
-            keys, counts = np.unique(keys_of(some["text"]), return_counts=True)
-            waiting.append((keys, counts))
-            n += len(keys)
+            keys, *sides = keys_of(some["text"])
+            waiting.append((*np.unique(keys, return_counts=True), *sides))
+            n += len(waiting[-1][0]) + sum(map(len, sides))
             if n > GATHER:
-                yield _send(*_merge(*map(np.concatenate, zip(*waiting))), parts)
+                yield from _sent(waiting, parts)
                 waiting, n = [], 0
     if waiting:
-        yield _send(*_merge(*map(np.concatenate, zip(*waiting))), parts)
+        yield from _sent(waiting, parts)
+
+
+def _sent(waiting: list[tuple], parts: int):
+    keys, counts, *sides = map(np.concatenate, zip(*waiting))
+    waiting.clear()
+    keys, counts = _merge(keys, counts)
+    out = _send(keys, counts, parts)
+    del keys, counts
+    yield out
+    del out
+    for side, pairs in enumerate(sides, 1):
+        if len(pairs):
+            yield _send(pairs, np.ones(len(pairs), np.int64), parts, side)
 
 
 _BLOCK = "part long, keys binary, counts binary"
 
 
 def _unigrams(batches, parts: int):
-    yield from _counted(batches, lambda texts: _tokens(texts)[0][1:], parts)
+    yield from _counted(batches, lambda texts: (_tokens(texts)[0][1:],), parts)
 
 
 def _gather(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    return _merge(np.concatenate([np.frombuffer(b, np.uint64) for b in pdf["keys"]]), np.concatenate([np.frombuffer(b, np.int64) for b in pdf["counts"]]))
+    return _merge(_all(pdf["keys"], np.uint64), _all(pdf["counts"]))
 
 
 def _merge_unigrams(pdf: pd.DataFrame) -> pd.DataFrame:
     keys, counts = _gather(pdf)
     above = [int((counts >= p).sum()) for p in _POWERS]
-    return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "keys": [keys.tobytes()], "counts": [counts.tobytes()], "tokens": [int(counts.sum())], "above": [above]})
+    return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "keys": [_packed(keys)], "counts": [_packed(counts)], "tokens": [int(counts.sum())], "above": [above]})
 
 
 def _at_least(batches, least: int):
     for pdf in batches:
         for k, c in zip(pdf["keys"], pdf["counts"]):
-            keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
+            keys, counts = _opened(k, np.uint64), _opened(c)
             some = counts >= least
             yield pd.DataFrame({"keys": [keys[some].tobytes()], "counts": [counts[some].tobytes()]})
 
@@ -208,94 +252,62 @@ class Frequent:
         return (index[:-1][mask].astype(np.uint64) << np.uint64(32)) | index[1:][mask].astype(np.uint64)
 
 
+def _is_broadcast(names: np.ndarray, n_words: int) -> np.ndarray:
+    return (names >= 0) & (names < n_words)
+
+
 def _bigrams(batches, frequent, parts: int):
+    """Bigrams of two broadcast words, counted; (w, v) of those with a rare second word on side 1; (v, w) of the others on side 2."""
     table = frequent.value
 
     def keys_of(texts):
         tokens, _ = _tokens(texts)
         index = table.index(tokens)
-        return table.pair_keys(index, table.pairs(index))
+        rare = np.nonzero(index < 0)[0]
+        around = np.unique(np.concatenate([rare[rare > 0], rare[rare < len(tokens) - 1] + 1]))
+        names, second = table.named(tokens, index), index[around] < 0
+        both = np.stack([names[around], names[around - 1]], axis=1)
+        return table.pair_keys(index, table.pairs(index)), both[second], both[~second, ::-1]
 
     yield from _counted(batches, keys_of, parts)
 
 
-def _merge_bigrams(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The part's bigrams; inserts[i] are the insertions that counts from 2**i up need."""
+_PAIRS = f"{_BLOCK}, inserts array<long>, pairs binary, found binary"
+
+
+def _merge_bigrams(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """The part's bigrams; inserts[i] are the insertions that counts from 2**i up need. Those of sides 1 and 2 are in pairs and found."""
+    part = int(pdf["part"].iloc[0])
+    if part >= parts:
+        pairs, counts = _merge_pairs(_all(pdf["keys"], width=2), _all(pdf["counts"]))
+        return pd.DataFrame({"part": [part], "keys": [None], "counts": [None], "inserts": [None], "pairs": [_packed(pairs)], "found": [_packed(counts)]})
     keys, counts = _gather(pdf)
     q = quantised(counts)
     inserts = [int(q[counts >= p].sum()) for p in _POWERS]
-    return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "keys": [keys.tobytes()], "counts": [counts.tobytes()], "inserts": [inserts]})
-
-
-def _rare_pairs(batches, frequent):
-    """All bigrams with a word that is not broadcast, by the words' names."""
-    table = frequent.value
-    for pdf in batches:
-        for some in slices(pdf, CHARS):
-            tokens, _ = _tokens(some["text"])
-            index = table.index(tokens)
-            mask = ~table.pairs(index)
-            names = table.named(tokens, index)
-            yield pd.DataFrame({"v": names[:-1][mask], "w": names[1:][mask]})
-
-
-def _rare_words(batches, least: int):
-    for pdf in batches:
-        for k, c in zip(pdf["keys"], pdf["counts"]):
-            keys, counts = np.frombuffer(k, np.int64), np.frombuffer(c, np.int64)
-            yield pd.DataFrame({"h": keys[counts < least], "n": counts[counts < least]})
+    return pd.DataFrame({"part": [part], "keys": [_packed(keys)], "counts": [_packed(counts)], "inserts": [inserts], "pairs": [None], "found": [None]})
 
 
-def _blocks(batches):
-    """Columns v and m of a batch as one row of bytes, so the driver gets no row for each word."""
+def _placed(batches, parts: int, least: int, n_words: int):
+    """The filter's bigrams with their levels by segment, and the sums of c - D of all bigrams by first word, if broadcast, under segments below 0."""
     for pdf in batches:
-        yield pd.DataFrame({"v": [pdf["v"].to_numpy(np.int32).tobytes()], "m": [pdf["m"].to_numpy(np.float64).tobytes()]})
-
-
-def _rare_bonus(batches, model):
-    m = model.value
-    for pdf in batches:
-        v, w, n = pdf["v"].to_numpy(), pdf["w"].to_numpy(), len(m.logs)
-        pick = lambda at, held, other: np.where((at >= 0) & (at < n), held[np.clip(at, 0, n - 1)], other) if n else np.asarray(other)
-        n_v = pick(v, m.norms, np.maximum(pdf["n_v"].to_numpy(float), pdf["m_v"].to_numpy(float)))
-        kappa = pick(v, m.kappa, kappa_of(pdf["m_v"].to_numpy(float), pdf["n_v"].to_numpy()))
-        log_w = pick(w, m.logs, np.log10(pdf["n_w"].to_numpy() + 1.0) - m.norm)
-        yield pd.DataFrame({"v": pdf["v"], "w": pdf["w"], "value": bonus_of(count_of(quantised(pdf["c"].to_numpy())), n_v, kappa, log_w)})
-
-
-def _opened(batches, name: str, width: int):
-    """The packed values of a column, `width` bytes each, with their rows: some ASKED bytes at a time, and never less than a row's."""
-    for pdf in batches:
-        sizes = pdf[name].map(len).to_numpy()
-        for _, some in pdf[sizes > 0].groupby(np.cumsum(sizes)[sizes > 0] // ASKED):
-            row = np.repeat(some["row"].to_numpy(np.int64), sizes[some.index] // width)
-            yield row, np.frombuffer(b"".join(some[name]), np.uint64)
-
-
-def _rare_asked(batches, model):
-    """The bigrams with a rare word of many documents; a rare first word also asks for its K(v)."""
-    n = len(model.value.frequent.keys)
-    for row, asked in _opened(batches, "pairs", 16):
-        both = asked.view(np.int64).reshape(-1, 2)
-        alone = (both[:, 0] < 0) | (both[:, 0] >= n)
-        v, w = np.concatenate([both[:, 0], both[alone, 0]]), np.concatenate([both[:, 1], np.full(alone.sum(), _ANY.view(np.int64))])
-        yield pd.DataFrame({"row": np.concatenate([row, row[alone]]), "v": v, "w": w})
-
-
-def _placed(batches, least: int, n_words: int):
-    """The filter's bigrams with their levels by segment, and the sums of c - D of all bigrams by first word under segments below 0."""
-    for pdf in batches:
-        for k, c in zip(pdf["keys"], pdf["counts"]):
-            keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
-            if not len(keys):
+        for part, k, c, p, f in zip(pdf["part"], pdf["keys"], pdf["counts"], pdf["pairs"], pdf["found"]):
+            if part >= parts:
+                first, counts = _opened(p, width=2)[:, 1], _opened(f)
+                some = _is_broadcast(first, n_words) & (part < 2 * parts)
+                first, counts, keys = first[some], counts[some], np.zeros(0, np.uint64)
+            else:
+                keys, counts = _opened(k, np.uint64), _opened(c)
+                first = keys >> np.uint64(32)
+            if not len(first):
                 continue
-            first, inverse = np.unique(keys >> np.uint64(32), return_inverse=True)
+            first, inverse = np.unique(first, return_inverse=True)
             sums, width = np.bincount(inverse, weights=count_of(quantised(counts)) - D), -(-n_words // SEGMENTS)
             edges = np.searchsorted(first, np.arange(SEGMENTS + 1) * width)
-            rows = [(-1 - s, (first[a:b] - np.uint64(s * width)).astype(np.uint32).tobytes(), sums[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
-            keys, q = keys[counts >= least], quantised(counts[counts >= least]).astype(np.uint8)
-            segment = _part_of(keys, SEGMENTS)
-            rows += [(int(s), keys[segment == s].tobytes(), q[segment == s].tobytes()) for s in np.unique(segment)]
+            rows = [(-1 - s, (first[a:b].astype(np.int64) - s * width).astype(np.uint32).tobytes(), sums[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
+            if len(keys):
+                keys, q = keys[counts >= least], quantised(counts[counts >= least]).astype(np.uint8)
+                segment = _part_of(keys, SEGMENTS)
+                rows += [(int(s), _packed(keys[segment == s]), q[segment == s].tobytes()) for s in np.unique(segment)]
             yield pd.DataFrame(rows, columns=["segment", "keys", "held"])
 
 
@@ -307,7 +319,7 @@ def _built(key, pdf: pd.DataFrame, size: int, n_words: int) -> pd.DataFrame:
         return pd.DataFrame({"segment": [int(key[0])], "data": [mass.tobytes()]})
     bits = np.zeros(size, np.uint8)
     for k, held in zip(pdf["keys"], pdf["held"]):
-        keys, q = np.frombuffer(k, np.uint64), np.frombuffer(held, np.uint8)
+        keys, q = _opened(k, np.uint64), np.frombuffer(held, np.uint8)
         for level in range(1, int(q.max()) + 1):
             for position in bits_of(keys[q >= level], level, size * SEGMENTS):
                 bits[position & np.uint64(size - 1)] = 1
@@ -329,7 +341,7 @@ class Model:
         return bonus_of(count_of(q), self.norms[v], self.kappa[v], self.logs[w])
 
 
-_LOCAL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare binary, rest binary, pairs binary"
+_LOCAL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rest binary, pairs binary"
 
 
 def _score(batches, model):
@@ -341,11 +353,11 @@ def _score(batches, model):
         for part in slices(pdf, CHARS):
             tokens, sizes = _tokens(part["text"])
             first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            by_text = lambda mask, values: [x.tobytes() for x in np.split(values, np.cumsum(np.add.reduceat(mask, first, dtype=np.int64))[:-1])]  # noqa: B023, E731
+            by_text = lambda mask, values: [_packed(x) for x in np.split(values, np.cumsum(np.add.reduceat(mask, first, dtype=np.int64))[:-1])]  # noqa: B023, E731
             index = table.index(tokens)
             before, after = index[:-1], index[1:]
             known = after >= 0
-            base, factor, rest, pairs = np.zeros(len(after)), np.zeros(len(after)), b"", b""
+            base, factor, rest, pairs = np.full(len(after), -m.norm), np.zeros(len(after)), b"", b""
             both = table.pairs(index)
             if some:
                 base[known] = m.logs[after[known]]
@@ -364,81 +376,105 @@ def _score(batches, model):
                 pairs = by_text(~both, np.stack([names[:-1][~both], names[1:][~both]], axis=1))
             sums = np.add.reduceat(base, first)
             done = part[["row", "doc_id", "held_out"]].astype({"doc_id": "Int64"}).reset_index(drop=True)
-            yield done.assign(n_tokens=sizes, n_known=np.add.reduceat(known, first, dtype=np.int64), base=sums, score=sums + np.add.reduceat(factor, first), rare=by_text(~known, tokens[1:][~known]), rest=rest, pairs=pairs)
+            yield done.assign(n_tokens=sizes, n_known=np.add.reduceat(known, first, dtype=np.int64), base=sums, score=sums + np.add.reduceat(factor, first), rest=rest, pairs=pairs)
 
 
-def _ask(batches, parts: int, name: str):
-    """The rare words or bigrams of many documents, by the part that has their counts."""
-    for row, keys in _opened(batches, name, 8):
-        yield _send(keys, row, parts)
+def _asked(pdf: pd.DataFrame, name: str, kind: type, width: int):
+    """The packed values of a column with their rows: some ASKED bytes at a time, and never less than a row's."""
+    sizes = pdf[name].map(len).to_numpy()
+    for _, some in pdf[sizes > 0].groupby(np.cumsum(sizes)[sizes > 0] // ASKED):
+        yield np.repeat(some["row"].to_numpy(np.int64), sizes[some.index] // (8 * width)), _all(some[name], kind, width)
 
 
-def _looked_up(asked: pd.DataFrame, held: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Asked keys with the documents' rows and the counts held, 0 for others."""
-    key = np.concatenate([np.frombuffer(b, np.uint64) for b in asked["keys"]])
-    row = np.concatenate([np.frombuffer(b, np.int64) for b in asked["counts"]])
-    c = np.zeros(len(key), np.int64)
-    for k, n in zip(held["keys"], held["counts"]):
-        keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(n, np.int64)
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            c = np.where(keys[at] == key, counts[at], c)
-    return key, row, c
+def _ask(batches, parts: int, n_words: int):
+    """The bigrams that documents ask for, by the part that has their counts, with the documents' rows. One with two rare words asks on both sides."""
+    for pdf in batches:
+        for row, keys in _asked(pdf, "rest", np.uint64, 1):
+            yield _send(keys, row, parts)
+        for row, both in _asked(pdf, "pairs", np.int64, 2):
+            for side, pairs in ((1, both[:, ::-1]), (2, both)):
+                rare = ~_is_broadcast(pairs[:, 0], n_words)
+                yield _send(pairs[rare], row[rare], parts, side)
 
 
-def _answer(asked: pd.DataFrame, held: pd.DataFrame, parts: int, norm: float) -> pd.DataFrame:
-    """Sums of the asked words' log10 P(w) and numbers of known ones by document, sent on by the documents' part."""
-    if not len(asked):
-        return pd.DataFrame({"part": [], "keys": [], "counts": []})
-    _, row, c = _looked_up(asked, held)
-    return _by_row(row, np.log10(c + 1.0) - norm, c > 0, parts)
+_HELD = f"{_BLOCK}, others binary"
 
 
-def _answer_rest(asked: pd.DataFrame, held: pd.DataFrame, parts: int, model) -> pd.DataFrame:
-    """The same with the bonuses of the asked bigrams."""
-    if not len(asked):
+def _held(batches, parts: int, cutoff: int, n_words: int):
+    """What is looked up: bigrams that the filter leaves out, and those with a rare word; with two, also by the first, with the second's count."""
+    for pdf in batches:
+        for part, k, c, p, f in zip(pdf["part"], pdf["keys"], pdf["counts"], pdf["pairs"], pdf["found"]):
+            if part < parts:
+                if cutoff > 1:
+                    keys, counts = _opened(k, np.uint64), _opened(c)
+                    yield pd.DataFrame({"part": [part], "keys": [_packed(keys[counts < cutoff])], "counts": [_packed(counts[counts < cutoff])], "others": [b""]})
+                continue
+            pairs, counts = _opened(p, width=2), _opened(f)
+            yield pd.DataFrame({"part": [part], "keys": [p], "counts": [f], "others": [bytes(8 * len(counts))]})
+            rare = ~_is_broadcast(pairs[:, 1], n_words)
+            if part < 2 * parts and rare.any():
+                _, at = np.unique(pairs[:, 0], return_inverse=True)
+                n_w = np.bincount(at, weights=counts).astype(np.int64)[at]
+                to = _part_of(pairs[rare, 1].view(np.uint64), parts) + 2 * parts
+                rows = [(int(t), _packed(pairs[rare][to == t][:, ::-1]), _packed(counts[rare][to == t]), _packed(n_w[rare][to == t])) for t in np.unique(to)]
+                yield pd.DataFrame(rows, columns=["part", "keys", "counts", "others"])
+
+
+def _answer(asked: pd.DataFrame, held: pd.DataFrame, parts: int, model) -> pd.DataFrame:
+    """What the asked words and bigrams add to log10 P of words, number of known words and score, summed by document and sent on by its part."""
+    if not len(asked) or not len(held):
         return pd.DataFrame({"part": [], "keys": [], "counts": []})
-    key, row, c = _looked_up(asked, held)
-    seen = c > 0
-    return _by_row(row[seen], model.value.bonus(key[seen], quantised(c[seen])), seen[seen], parts)
-
-
-def _by_row(row: np.ndarray, values: np.ndarray, known: np.ndarray, parts: int) -> pd.DataFrame:
+    m, part = model.value, asked["part"].iloc[0]
+    row, counts = _all(asked["counts"]), _all(held["counts"])
+    if part < parts:
+        key, keys = _all(asked["keys"], np.uint64), _all(held["keys"], np.uint64)
+        if not len(keys):
+            return pd.DataFrame({"part": [], "keys": [], "counts": []})
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)  # a part's keys are one block, sorted
+        seen = keys[at] == key
+        return _by_row(row[seen], np.zeros((2, seen.sum())), m.bonus(key[seen], quantised(counts[at[seen]])), parts)
+    # The held bigrams come first, then the asked ones; equal words, and equal bigrams, have the same number.
+    both, n = np.concatenate([_all(held["keys"], width=2), _all(asked["keys"], width=2)]), len(counts)
+    _, word = np.unique(both[:, 0], return_inverse=True)
+    order, sorted_number = _numbered(both)
+    number = np.empty(len(both), np.int64)
+    number[order] = sorted_number
+    level = count_of(quantised(counts))
+    n_first = np.bincount(word[:n], weights=counts, minlength=word.max() + 1)
+    c = np.zeros(number.max() + 1)
+    c[number[:n]] = level
+    c, n_first_asked, other = c[number[n:]], n_first[word[n:]], both[n:, 1]
+    if part < 2 * parts:
+        base, bonus = np.log10(n_first_asked + 1), np.zeros(len(row))
+        at = np.nonzero((c > 0) & _is_broadcast(other, len(m.logs)))[0]
+        bonus[at] = bonus_of(c[at], m.norms[other[at]], m.kappa[other[at]], base[at] - m.norm)
+        return _by_row(row, np.stack([base, n_first_asked > 0]), bonus, parts)
+    mass = np.bincount(word[:n], weights=level - D, minlength=len(n_first))
+    kappa = kappa_of(mass, n_first)[word[n:]]
+    log_held = np.log10(_all(held["others"]) + 1.0) - m.norm
+    at = _is_broadcast(both[:n, 1], len(m.logs))
+    log_held[at] = m.logs[both[:n, 1][at]]
+    log_w = np.zeros(number.max() + 1)
+    log_w[number[:n]] = log_held
+    value, at = np.log10(kappa), np.nonzero(c > 0)[0]
+    value[at] += bonus_of(c[at], np.maximum(n_first, mass)[word[n:][at]], kappa[at], log_w[number[n:][at]])
+    return _by_row(row, np.zeros((2, len(row))), value, parts)
+
+
+def _by_row(row: np.ndarray, words: np.ndarray, bonus: np.ndarray, parts: int) -> pd.DataFrame:
     rows, inverse = np.unique(row, return_inverse=True)
-    sums = np.bincount(inverse, weights=values)
-    known = np.bincount(inverse, weights=known).astype(np.int64)
+    sums = np.stack([np.bincount(inverse, weights=x, minlength=len(rows)) for x in (*words, bonus)])
     part = rows % parts
-    out = [(int(p), rows[part == p].tobytes(), np.stack([sums[part == p], known[part == p]]).tobytes()) for p in np.unique(part)]
+    out = [(int(p), rows[part == p].tobytes(), sums[:, part == p].tobytes()) for p in np.unique(part)]
     return pd.DataFrame(out, columns=["part", "keys", "counts"])
 
 
 def _total(pdf: pd.DataFrame) -> pd.DataFrame:
     row = np.concatenate([np.frombuffer(b, np.int64) for b in pdf["keys"]])
-    both = np.concatenate([np.frombuffer(b, np.float64).reshape(2, -1) for b in pdf["counts"]], axis=1)
+    values = np.concatenate([np.frombuffer(b, np.float64).reshape(3, -1) for b in pdf["counts"]], axis=1)
     rows, inverse = np.unique(row, return_inverse=True)
-    return pd.DataFrame({"row": rows, "rare_sum": np.bincount(inverse, weights=both[0]), "rare_known": np.bincount(inverse, weights=both[1]).astype(np.int64)})
-
-
-def _broadcast(word: str, n_words: int) -> Column:
-    return F.col(word).between(0, n_words - 1)
-
-
-def _rare_sums(local: DataFrame, counted: DataFrame, found: DataFrame, masses: DataFrame, model, least: int, n_words: int) -> DataFrame:
-    """row, value: the bonuses of a document's bigrams with a rare word, and log10 K(v) of its rare words."""
-    words = counted.mapInPandas(functools.partial(_rare_words, least=least), "h long, n long")
-    firsts = cut(words.withColumnRenamed("h", "v").join(masses.filter(~_broadcast("v", n_words)), "v"))
-
-    # A broadcast word is not looked up, so none is a hot key.
-    def looked_up(df: DataFrame, word: str, held: DataFrame, new: dict) -> DataFrame:
-        return df.filter(~_broadcast(word, n_words)).join(held, word).unionByName(df.filter(_broadcast(word, n_words)).withColumns(new))
-
-    both = looked_up(found, "v", firsts.select("v", F.col("n").alias("n_v"), F.col("m").alias("m_v")), {"n_v": F.lit(0).cast("long"), "m_v": F.lit(0.0)})
-    both = looked_up(both, "w", words.select(F.col("h").alias("w"), F.col("n").alias("n_w")), {"n_w": F.lit(0).cast("long")})
-    values = both.mapInPandas(functools.partial(_rare_bonus, model=model), "v long, w long, value double")
-    log_kappa = F.log10(F.lit(MIX) * (1 - F.col("m") / F.greatest(F.col("n").cast("double"), F.col("m"))) + (1 - MIX))
-    values = values.unionByName(firsts.select("v", F.lit(int(_ANY.view(np.int64))).alias("w"), log_kappa.alias("value")))
-    asked = local.select("row", "pairs").mapInPandas(functools.partial(_rare_asked, model=model), "row long, v long, w long")
-    return asked.join(values, ["v", "w"]).groupBy("row").agg(F.sum("value").alias("value"))
+    base, known, bonus = (np.bincount(inverse, weights=x, minlength=len(rows)) for x in values)
+    return pd.DataFrame({"row": rows, "rare_sum": base, "rare_known": known.astype(np.int64), "bonus": bonus})
 
 
 def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
@@ -468,12 +504,12 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     frequent = sc.broadcast(table)
 
     pairs = train.mapInPandas(functools.partial(_bigrams, frequent=frequent, parts=parts), _BLOCK)
-    pairs = cut(pairs.groupBy("part").applyInPandas(_merge_bigrams, f"{_BLOCK}, inserts array<long>"))
+    pairs = cut(pairs.groupBy("part").applyInPandas(lambda pdf: _merge_bigrams(pdf, parts), _PAIRS))
     needs = [x or 0 for x in pairs.agg(*(F.sum(F.col("inserts")[i]) for i in range(len(_POWERS)))).first()]
     cutoff, need = next((int(p), n) for p, n in zip(_POWERS, needs) if n * BITS_EACH <= MAX_BITS)
     n_bits = max(1 << 16, 1 << int(max(1, need * BITS_EACH) - 1).bit_length())
     size, n_words = n_bits // SEGMENTS, len(table.keys)
-    placed = pairs.mapInPandas(functools.partial(_placed, least=cutoff, n_words=n_words), "segment int, keys binary, held binary")
+    placed = pairs.drop("inserts").mapInPandas(functools.partial(_placed, parts=parts, least=cutoff, n_words=n_words), "segment int, keys binary, held binary")
     built = placed.groupBy("segment").applyInPandas(lambda key, pdf: _built(key, pdf, size, n_words), "segment int, data binary").collect()  # MAX_BITS and a number for each of FREQUENT words at most
     data = np.zeros((SEGMENTS, size // 8), np.uint8)
     mass = np.zeros((SEGMENTS, -(-n_words // SEGMENTS)))
@@ -486,30 +522,15 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     mass = mass.reshape(-1)[:n_words]
     vocabulary = above[0]
     others = least > 1  # some words are not broadcast
-    if others:
-        found = cut(train.mapInPandas(functools.partial(_rare_pairs, frequent=frequent), "v long, w long").groupBy("v", "w").agg(F.count("*").alias("c")))
-        middle = F.pandas_udf(lambda c: pd.Series(count_of(quantised(c.to_numpy()))), "double")
-        masses = cut(found.withColumn("m", middle("c") - D).groupBy("v").agg(F.sum("m").alias("m")))
-        for r in masses.filter(_broadcast("v", n_words)).mapInPandas(_blocks, "v binary, m binary").collect():  # FREQUENT numbers at most
-            mass[np.frombuffer(r["v"], np.int32)] += np.frombuffer(r["m"], np.float64)
     model = sc.broadcast(Model(table, data.reshape(-1), mass, tokens, vocabulary, cutoff > 1, others))
 
     local = cut(texts.withColumn("row", F.monotonically_increasing_id()).mapInPandas(functools.partial(_score, model=model), _LOCAL))
-    added = []
-    if cutoff > 1:
-        asked = local.select("row", "rest").mapInPandas(functools.partial(_ask, parts=parts, name="rest"), _BLOCK)
-        answers = asked.groupBy("part").cogroup(pairs.select("part", "keys", "counts").groupBy("part")).applyInPandas(lambda a, b: _answer_rest(a, b, parts, model), _BLOCK)
-        added.append(answers.groupBy("part").applyInPandas(_total, "row long, rare_sum double, rare_known long").select("row", F.col("rare_sum").alias("value")))
-    if others:
-        added.append(_rare_sums(local, counted, found, masses, model, least, n_words))
-    asked = local.select("row", "rare").mapInPandas(functools.partial(_ask, parts=parts, name="rare"), _BLOCK)
-    norm = float(np.log10(tokens + vocabulary + 1))
-    answers = asked.groupBy("part").cogroup(counted.select("part", "keys", "counts").groupBy("part")).applyInPandas(lambda a, b: _answer(a, b, parts, norm), _BLOCK)
-    rare = answers.groupBy("part").applyInPandas(_total, "row long, rare_sum double, rare_known long")
-    out = local.drop("rare", "rest", "pairs").join(rare, "row", "left")
-    score = F.col("score")
-    for k, values in enumerate(added):
-        out = out.join(values.withColumnRenamed("value", f"value_{k}"), "row", "left")
-        score = score + F.coalesce(f"value_{k}", F.lit(0.0))
-    rare_sum = F.coalesce("rare_sum", F.lit(0.0))
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + rare_sum).alias("base_score"), (score + rare_sum).alias("score"))
+    out = local.drop("rest", "pairs").withColumns({"rare_sum": F.lit(0.0), "rare_known": F.lit(0), "bonus": F.lit(0.0)})
+    if cutoff > 1 or others:
+        asked = local.select("row", "rest", "pairs").mapInPandas(functools.partial(_ask, parts=parts, n_words=n_words), _BLOCK)
+        held = pairs.drop("inserts").mapInPandas(functools.partial(_held, parts=parts, cutoff=cutoff, n_words=n_words), _HELD)
+        answers = asked.groupBy("part").cogroup(held.groupBy("part")).applyInPandas(lambda a, b: _answer(a, b, parts, model), _BLOCK)
+        totals = answers.groupBy("part").applyInPandas(_total, "row long, rare_sum double, rare_known long, bonus double")
+        out = local.drop("rest", "pairs").join(totals, "row", "left").fillna(0, ["rare_sum", "rare_known", "bonus"])
+    n_known, base, score = F.col("n_known") + F.col("rare_known"), F.col("base") + F.col("rare_sum"), F.col("score") + F.col("rare_sum") + F.col("bonus")
+    return out.select("doc_id", "held_out", "n_tokens", n_known.cast("long").alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"))
