@@ -51,8 +51,10 @@ MIX = 0.9
 SEGMENTS = 64
 #: Distinct values that a task gathers before it sends them on.
 GATHER = 3_000_000
-#: Bytes of words or bigrams that a task asks for at a time.
-ASKED = 4 << 20
+#: Ranges of parts in which they are sorted and sent.
+PIECES = 16
+#: Words and bigrams that a task asks for at a time.
+ASKED = 500_000
 #: Bytes of text for which there is a part of the counts at least, so no part grows with the table.
 PART_BYTES = 16 << 20
 
@@ -113,14 +115,21 @@ def probe(filter_bytes: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """The bytes of 64-bit numbers (or rows of them), those of equal weight together: most are alike, and so compress in shuffles and tables."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
+    """The bytes of 64-bit numbers (or rows of them), those of equal weight together, so that they compress, and without high ones that are all 0; their number comes first."""
+    if not len(values):
+        return b""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    kept = next((i for i in range(len(planes), 1, -1) if planes[i - 1].any()), 1)
+    return bytes([kept]) + planes[:kept].tobytes()
 
 
 def _opened(data: bytes, kind: type = np.int64, width: int = 1) -> np.ndarray:
     """The numbers that _packed got; with a width over 1, in rows of so many."""
-    out = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8 * width, -1).T).view(kind)
-    return out if width > 1 else out.reshape(-1)
+    kept = data[0] if data else 1
+    planes = np.frombuffer(data, np.uint8)[1:].reshape(kept, -1)
+    out = np.zeros((planes.shape[1], 8 * width), np.uint8)
+    out[:, :kept] = planes.T
+    return out.view(kind) if width > 1 else out.view(kind).reshape(-1)
 
 
 def _all(blocks, kind: type = np.int64, width: int = 1) -> np.ndarray:
@@ -177,7 +186,7 @@ def _counted(batches, keys_of, parts: int):
     for pdf in batches:
         for some in slices(pdf, CHARS):
             keys, *sides = keys_of(some["text"])
-            waiting.append((*np.unique(keys, return_counts=True), *sides))
+            waiting.append((*_in_pieces(*np.unique(keys, return_counts=True)), *sides))
             n += len(waiting[-1][0]) + sum(map(len, sides))
             if n > GATHER:
                 yield from _sent(waiting, parts)
@@ -186,15 +195,20 @@ def _counted(batches, keys_of, parts: int):
         yield from _sent(waiting, parts)
 
 
+def _in_pieces(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and counts (of one slice, so 32 bits do) by ranges of parts, and the edges of these."""
+    piece = _part_of(keys, PIECES).astype(np.uint8)
+    order = np.argsort(piece, kind="stable")
+    return keys[order], counts[order].astype(np.int32), np.searchsorted(piece[order], np.arange(PIECES + 1))
+
+
 def _sent(waiting: list[tuple], parts: int):
-    keys, counts, *sides = map(np.concatenate, zip(*waiting))
-    waiting.clear()
-    keys, counts = _merge(keys, counts)
-    out = _send(keys, counts, parts)
-    del keys, counts
-    yield out
-    del out
-    for side, pairs in enumerate(sides, 1):
+    """A range of parts after the other, so that few of the keys are copied at once."""
+    for g in range(PIECES):
+        keys, counts = (np.concatenate([w[i][w[2][g] : w[2][g + 1]] for w in waiting]) for i in (0, 1))
+        yield _send(*_merge(keys, counts.astype(np.int64)), parts)
+    for side, pairs in enumerate(zip(*(w[3:] for w in waiting)), 1):
+        pairs = np.concatenate(pairs)
         if len(pairs):
             yield _send(pairs, np.ones(len(pairs), np.int64), parts, side)
 
@@ -332,69 +346,81 @@ class Model:
     def __init__(self, frequent: Frequent, filter_bytes: np.ndarray, mass: np.ndarray, tokens: int, vocabulary: int, rest: bool, others: bool):
         self.frequent, self.filter, self.rest, self.others = frequent, filter_bytes, rest, others
         self.norm = float(np.log10(tokens + vocabulary + 1))
-        self.logs = np.log10(frequent.counts + 1.0) - self.norm
-        self.kappa = kappa_of(mass, frequent.counts)
-        self.norms = np.maximum(frequent.counts, mass)
+        self.mass = mass
+
+    @functools.cached_property
+    def logs(self) -> np.ndarray:
+        return np.log10(self.frequent.counts + 1.0) - self.norm
+
+    @functools.cached_property
+    def kappa(self) -> np.ndarray:
+        return kappa_of(self.mass, self.frequent.counts)
+
+    @functools.cached_property
+    def norms(self) -> np.ndarray:
+        return np.maximum(self.frequent.counts, self.mass)
 
     def bonus(self, keys: np.ndarray, q: np.ndarray) -> np.ndarray:
         v, w = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
         return bonus_of(count_of(q), self.norms[v], self.kappa[v], self.logs[w])
 
 
-_LOCAL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rest binary, pairs binary"
+def _score(batches, model, parts: int):
+    """What the filter and the broadcast words tell of a text, and what is asked of the parts for it, with its row: bigrams that the
+    filter does not know, and on sides 1 and 2 those with a rare second and first word (with two, on both). Side 3 has the texts.
+    """
+    waiting, n = [], 0
+    for pdf in batches:
+        for some in slices(pdf, CHARS):
+            waiting.append(_scored(some, model.value))
+            n += sum(len(row) for row, _ in waiting[-1])
+            if n > ASKED:
+                yield from _asked(waiting, parts)
+                waiting, n = [], 0
+    yield from _asked(waiting, parts)
+
 
+def _asked(waiting: list[list], parts: int):
+    for side, blocks in enumerate(zip(*waiting)):
+        row, keys = map(np.concatenate, zip(*blocks))
+        if side < 3:
+            yield _send(keys, row, parts, side)
+            continue
+        part = row % parts
+        yield pd.DataFrame([(int(p) + 3 * parts, _packed(keys[part == p]), b"") for p in np.unique(part)], columns=["part", "keys", "counts"])
 
-def _score(batches, model):
-    m = model.value
+
+def _scored(texts: pd.DataFrame, m: Model) -> list[tuple[np.ndarray, np.ndarray]]:
     table = m.frequent
-    some = len(table.keys) > 0
-    log_kappa = np.log10(m.kappa)
-    for pdf in batches:
-        for part in slices(pdf, CHARS):
-            tokens, sizes = _tokens(part["text"])
-            first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            by_text = lambda mask, values: [_packed(x) for x in np.split(values, np.cumsum(np.add.reduceat(mask, first, dtype=np.int64))[:-1])]  # noqa: B023, E731
-            index = table.index(tokens)
-            before, after = index[:-1], index[1:]
-            known = after >= 0
-            base, factor, rest, pairs = np.full(len(after), -m.norm), np.zeros(len(after)), b"", b""
-            both = table.pairs(index)
-            if some:
-                base[known] = m.logs[after[known]]
-                factor[before >= 0] = log_kappa[before[before >= 0]]
-                at = np.nonzero(both)[0]
-                keys = table.pair_keys(index, both)
-                q = probe(m.filter, keys)
-                hit = q > 0
-                factor[at[hit]] += m.bonus(keys[hit], q[hit])
-                if m.rest:
-                    asked = np.zeros(len(after), bool)
-                    asked[at[~hit]] = True
-                    rest = by_text(asked, keys[~hit])
-            if m.others:
-                names = table.named(tokens, index)
-                pairs = by_text(~both, np.stack([names[:-1][~both], names[1:][~both]], axis=1))
-            sums = np.add.reduceat(base, first)
-            done = part[["row", "doc_id", "held_out"]].astype({"doc_id": "Int64"}).reset_index(drop=True)
-            yield done.assign(n_tokens=sizes, n_known=np.add.reduceat(known, first, dtype=np.int64), base=sums, score=sums + np.add.reduceat(factor, first), rest=rest, pairs=pairs)
-
-
-def _asked(pdf: pd.DataFrame, name: str, kind: type, width: int):
-    """The packed values of a column with their rows: some ASKED bytes at a time, and never less than a row's."""
-    sizes = pdf[name].map(len).to_numpy()
-    for _, some in pdf[sizes > 0].groupby(np.cumsum(sizes)[sizes > 0] // ASKED):
-        yield np.repeat(some["row"].to_numpy(np.int64), sizes[some.index] // (8 * width)), _all(some[name], kind, width)
-
-
-def _ask(batches, parts: int, n_words: int):
-    """The bigrams that documents ask for, by the part that has their counts, with the documents' rows. One with two rare words asks on both sides."""
-    for pdf in batches:
-        for row, keys in _asked(pdf, "rest", np.uint64, 1):
-            yield _send(keys, row, parts)
-        for row, both in _asked(pdf, "pairs", np.int64, 2):
-            for side, pairs in ((1, both[:, ::-1]), (2, both)):
-                rare = ~_is_broadcast(pairs[:, 0], n_words)
-                yield _send(pairs[rare], row[rare], parts, side)
+    tokens, sizes = _tokens(texts["text"])
+    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    row = texts["row"].to_numpy(np.int64)
+    index = table.index(tokens)
+    before, after = index[:-1], index[1:]
+    known = after >= 0
+    base, factor = np.full(len(after), -m.norm), np.zeros(len(after))
+    rest, asked = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    row_of = np.repeat(row, sizes)
+    if len(table.keys):
+        base[known] = m.logs[after[known]]
+        factor[before >= 0] = np.log10(m.kappa[before[before >= 0]])
+        at = np.nonzero(table.pairs(index))[0]
+        keys = table.pair_keys(index, table.pairs(index))
+        q = probe(m.filter, keys)
+        hit = q > 0
+        factor[at[hit]] += m.bonus(keys[hit], q[hit])
+        if m.rest:
+            rest, asked = keys[~hit], row_of[at[~hit]]
+    out = [(asked, rest)]
+    for rare, other in ((1, 0), (0, 1)):
+        at = np.nonzero(index[rare : len(index) - 1 + rare] < 0)[0] if m.others else np.zeros(0, np.int64)
+        words = [table.named(tokens[at + i], index[at + i]) for i in (rare, other)]
+        out.append((row_of[at], np.stack(words, axis=1)))
+    sums = np.add.reduceat(base, first)
+    ids, held = texts["doc_id"], texts["held_out"].to_numpy(np.int64)
+    values = (ids.isna().to_numpy(np.int64), held, sizes, np.add.reduceat(known, first, dtype=np.int64), sums.view(np.int64), (sums + np.add.reduceat(factor, first)).view(np.int64))
+    out.append((row, np.stack([row, ids.fillna("0").to_numpy(object).astype(np.int64), *values], axis=1)))
+    return out
 
 
 _HELD = f"{_BLOCK}, others binary"
@@ -410,7 +436,7 @@ def _held(batches, parts: int, cutoff: int, n_words: int):
                     yield pd.DataFrame({"part": [part], "keys": [_packed(keys[counts < cutoff])], "counts": [_packed(counts[counts < cutoff])], "others": [b""]})
                 continue
             pairs, counts = _opened(p, width=2), _opened(f)
-            yield pd.DataFrame({"part": [part], "keys": [p], "counts": [f], "others": [bytes(8 * len(counts))]})
+            yield pd.DataFrame({"part": [part], "keys": [p], "counts": [f], "others": [_packed(np.zeros(len(counts), np.int64))]})
             rare = ~_is_broadcast(pairs[:, 1], n_words)
             if part < 2 * parts and rare.any():
                 _, at = np.unique(pairs[:, 0], return_inverse=True)
@@ -422,6 +448,8 @@ def _held(batches, parts: int, cutoff: int, n_words: int):
 
 def _answer(asked: pd.DataFrame, held: pd.DataFrame, parts: int, model) -> pd.DataFrame:
     """What the asked words and bigrams add to log10 P of words, number of known words and score, summed by document and sent on by its part."""
+    if len(asked) and asked["part"].iloc[0] >= 3 * parts:
+        return asked.assign(part=asked["part"] - 3 * parts)
     if not len(asked) or not len(held):
         return pd.DataFrame({"part": [], "keys": [], "counts": []})
     m, part = model.value, asked["part"].iloc[0]
@@ -465,16 +493,28 @@ def _by_row(row: np.ndarray, words: np.ndarray, bonus: np.ndarray, parts: int) -
     rows, inverse = np.unique(row, return_inverse=True)
     sums = np.stack([np.bincount(inverse, weights=x, minlength=len(rows)) for x in (*words, bonus)])
     part = rows % parts
-    out = [(int(p), rows[part == p].tobytes(), sums[:, part == p].tobytes()) for p in np.unique(part)]
+    out = [(int(p), _packed(rows[part == p]), sums[:, part == p].tobytes()) for p in np.unique(part)]
     return pd.DataFrame(out, columns=["part", "keys", "counts"])
 
 
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
 def _total(pdf: pd.DataFrame) -> pd.DataFrame:
-    row = np.concatenate([np.frombuffer(b, np.int64) for b in pdf["keys"]])
-    values = np.concatenate([np.frombuffer(b, np.float64).reshape(3, -1) for b in pdf["counts"]], axis=1)
-    rows, inverse = np.unique(row, return_inverse=True)
-    base, known, bonus = (np.bincount(inverse, weights=x, minlength=len(rows)) for x in values)
-    return pd.DataFrame({"row": rows, "rare_sum": base, "rare_known": known.astype(np.int64), "bonus": bonus})
+    """The texts, sent without counts, with all that the answers add to them."""
+    texts = pdf["counts"].map(len) == 0
+    own = _all(pdf["keys"][texts], width=8)
+    own = own[np.argsort(own[:, 0])]
+    base, score = own[:, 6].copy().view(np.float64), own[:, 7].copy().view(np.float64)
+    n_known = own[:, 5].copy()
+    if not texts.all():
+        at = np.searchsorted(own[:, 0], _all(pdf["keys"][~texts]))
+        values = np.concatenate([np.frombuffer(b, np.float64).reshape(3, -1) for b in pdf["counts"][~texts]], axis=1)
+        more, known, bonus = (np.bincount(at, weights=x, minlength=len(own)) for x in values)
+        base, score, n_known = base + more, score + more + bonus, n_known + known.astype(np.int64)
+    ids = pd.array(own[:, 1], "Int64")
+    ids[own[:, 2] == 1] = pd.NA
+    return pd.DataFrame({"doc_id": ids, "held_out": own[:, 3] == 1, "n_tokens": own[:, 4], "n_known": n_known, "base_score": base, "score": score})
 
 
 def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
@@ -524,13 +564,9 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     others = least > 1  # some words are not broadcast
     model = sc.broadcast(Model(table, data.reshape(-1), mass, tokens, vocabulary, cutoff > 1, others))
 
-    local = cut(texts.withColumn("row", F.monotonically_increasing_id()).mapInPandas(functools.partial(_score, model=model), _LOCAL))
-    out = local.drop("rest", "pairs").withColumns({"rare_sum": F.lit(0.0), "rare_known": F.lit(0), "bonus": F.lit(0.0)})
-    if cutoff > 1 or others:
-        asked = local.select("row", "rest", "pairs").mapInPandas(functools.partial(_ask, parts=parts, n_words=n_words), _BLOCK)
-        held = pairs.drop("inserts").mapInPandas(functools.partial(_held, parts=parts, cutoff=cutoff, n_words=n_words), _HELD)
-        answers = asked.groupBy("part").cogroup(held.groupBy("part")).applyInPandas(lambda a, b: _answer(a, b, parts, model), _BLOCK)
-        totals = answers.groupBy("part").applyInPandas(_total, "row long, rare_sum double, rare_known long, bonus double")
-        out = local.drop("rest", "pairs").join(totals, "row", "left").fillna(0, ["rare_sum", "rare_known", "bonus"])
-    n_known, base, score = F.col("n_known") + F.col("rare_known"), F.col("base") + F.col("rare_sum"), F.col("score") + F.col("rare_sum") + F.col("bonus")
-    return out.select("doc_id", "held_out", "n_tokens", n_known.cast("long").alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"))
+    # A doc_id goes to Python as text: a null would make its column one of doubles, which do not hold all 64 bits.
+    rows = texts.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "text", "held_out")
+    asked = rows.mapInPandas(functools.partial(_score, model=model, parts=parts), _BLOCK)
+    held = pairs.drop("inserts").mapInPandas(functools.partial(_held, parts=parts, cutoff=cutoff, n_words=n_words), _HELD)
+    answers = asked.groupBy("part").cogroup(held.groupBy("part")).applyInPandas(lambda a, b: _answer(a, b, parts, model), _BLOCK)
+    return answers.groupBy("part").applyInPandas(_total, _SCORES).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

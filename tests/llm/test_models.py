@@ -117,6 +117,18 @@ def test_every_bigram_counts(docs, corpus, monkeypatch, frequent, max_bits):
     assert np.allclose([out[i] for i in want], list(want.values()), rtol=0.05)
 
 
+def test_no_bigram_is_a_row_of_its_own(spark, monkeypatch):
+    """Rare bigrams used to be joined as rows: executors ran out of memory over half a gigabyte of text."""
+    monkeypatch.setattr(lm_scoring, "FREQUENT", 30)
+    docs = spark.createDataFrame([(i if i else None, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(60)] + [(2**60 + 1, "w2x1 new")], "doc_id long, text string")
+    out = lm_scoring.score_texts(docs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert len(rows) == 61 and rows[2**60 + 1]["n_known"] == 2 and rows[None]["n_known"] == 1
+    assert rows[2]["n_known"] == rows[2]["n_tokens"] == 41
+
+
 def test_filter_reads_counts_back():
     keys = np.arange(1, 2001, dtype=np.uint64) * np.uint64(977)
     counts = np.random.default_rng(0).integers(1, 5000, 2000)
