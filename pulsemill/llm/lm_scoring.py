@@ -4,14 +4,17 @@ Unigram counts are exact. Words counted at least a threshold often (the smallest
 them at most) are broadcast. So the broadcast has a fixed bound, and no frequent word is ever shuffled.
 
 All bigrams are counted over the whole corpus, and each one, those found once included, has its part in the scores. Those of
-two broadcast words found `cutoff` times or more go into the filter: a bigram of quantised count q is inserted q times, as
-(bigram, 1) to (bigram, q), and its count is read back by probing with 1, 2, ... until a probe fails. `cutoff` is the
-smallest power of two, from 1 on, for which the filter keeps BITS_EACH bits for each insertion within MAX_BITS, so the
-filter's error rate holds at every size of the corpus. The other bigrams, found less often or with a word that is not
+two broadcast words found `cutoff` times or more go into the filter: a bigram whose quantised count is the q-th from that of
+`cutoff` on is inserted q times, as (bigram, 1) to (bigram, q), and its count is read back by probing with 1, 2, ... until a
+probe fails. `cutoff` is the smallest count of the first level for which the filter keeps BITS_EACH bits for each insertion
+within MAX_BITS, so the filter's error rate holds at every size of the corpus. The other bigrams, found less often or with a word that is not
 broadcast, stay distributed, and the documents' bigrams that the filter does not know are sent to them: those with a rare
 (not broadcast) second word to the part of that word, which has all its bigrams and so its count, and those with a rare first
-word to the part of the first, which has its count and M(v) below likewise. What lies in a part is packed, so a bigram is
-no row of its own in a shuffle. Counts are quantised there as well, so where a count is kept does not change a score. Counts of
+word to the part of the first, which has its count and M(v) below likewise. Texts that were learnt from hold
+what the filter does not know once at least; a second, small filter has the bigrams of two broadcast words found more than
+once but less than `cutoff` times, and what it does not know either was found exactly once and is not asked for. It only
+saves questions: what it takes for one of its own is asked for, and answered exactly. Where it would have less than SPARE_EACH
+bits for each bigram, it is left out. What lies in a part is packed, so a bigram is no row of its own in a shuffle. Counts are quantised there as well, so where a count is kept does not change a score. Counts of
 1, 2 and 3 are levels of their own.
 
     P(w | v) = MIX * ((c(v, w) - D) / n(v) + (1 - M(v) / n(v)) * P(w)) + (1 - MIX) * P(w),    P(w) = (c(w) + 1) / (N + V + 1)
@@ -39,6 +42,9 @@ MAX_BITS = 1 << 28
 #: With these a probe for what was not inserted succeeds once in about 1,070 times, at the filter's fullest.
 BITS_EACH = 16
 HASHES = 6
+#: The filter that saves questions has at most this part of MAX_BITS, and is left out where a bigram has fewer bits.
+SPARE_PART = 4
+SPARE_EACH = 4
 #: Counts are quantised by powers of this.
 BASE = 1.5
 #: The smallest count of each level that a 64-bit count can have, and the count in the middle of each; level 0 is a count of 0.
@@ -60,6 +66,8 @@ PART_BYTES = 16 << 20
 
 _END = np.uint64(0x51ED270B2E0DF6A1)
 _POWERS = 1 << np.arange(40, dtype=np.int64)
+#: Answers are whole numbers of such steps (of 2e-10), so they take few bytes and their sums do not depend on their order.
+_STEP = 2.0**-32
 
 
 def quantised(c: np.ndarray) -> np.ndarray:
@@ -115,21 +123,30 @@ def probe(filter_bytes: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """The bytes of 64-bit numbers (or rows of them), those of equal weight together, so that they compress, and without high ones that are all 0; their number comes first."""
+    """The bytes of 64-bit numbers (or rows of them), those of equal weight together, so that they compress, and without high ones that are all 0; their number comes first.
+
+    Of numbers that never fall, the first one and the steps between them are kept instead (and 128 is added).
+    """
     if not len(values):
         return b""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
-    kept = next((i for i in range(len(planes), 1, -1) if planes[i - 1].any()), 1)
-    return bytes([kept]) + planes[:kept].tobytes()
+    head, width = b"", values[0].nbytes
+    if rising := values.ndim == 1 and bool((values[1:] >= values[:-1]).all()):
+        head, values = values[:1].tobytes(), np.diff(values)
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), width).T
+    kept = next((i for i in range(width, 1, -1) if planes[i - 1].any()), 1)
+    return bytes([kept + 128 * rising]) + head + planes[:kept].tobytes()
 
 
 def _opened(data: bytes, kind: type = np.int64, width: int = 1) -> np.ndarray:
     """The numbers that _packed got; with a width over 1, in rows of so many."""
-    kept = data[0] if data else 1
-    planes = np.frombuffer(data, np.uint8)[1:].reshape(kept, -1)
-    out = np.zeros((planes.shape[1], 8 * width), np.uint8)
-    out[:, :kept] = planes.T
-    return out.view(kind) if width > 1 else out.view(kind).reshape(-1)
+    rising, kept = divmod(data[0], 128) if data else (0, 1)
+    planes = np.frombuffer(data, np.uint8)[1 + 8 * rising :].reshape(kept, -1)
+    out = np.zeros((planes.shape[1] + rising, 8 * width), np.uint8)
+    out[rising:, :kept] = planes.T
+    if rising:
+        out[0] = np.frombuffer(data, np.uint8, 8, 1)
+    out = out.view(kind) if width > 1 else out.view(kind).reshape(-1)
+    return np.cumsum(out, dtype=kind) if rising else out
 
 
 def _all(blocks, kind: type = np.int64, width: int = 1) -> np.ndarray:
@@ -261,9 +278,9 @@ class Frequent:
         """Mask over tokens from the second on: those that end a bigram of two broadcast words."""
         return (index[1:] >= 0) & (index[:-1] >= 0)
 
-    @staticmethod
-    def pair_keys(index: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        return (index[:-1][mask].astype(np.uint64) << np.uint64(32)) | index[1:][mask].astype(np.uint64)
+    def pair_keys(self, index: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """Bigrams as numbers without gaps, so that they take few bytes: the first word's index times the number of words, and the second's."""
+        return index[:-1][mask].astype(np.uint64) * np.uint64(len(self.keys)) + index[1:][mask].astype(np.uint64)
 
 
 def _is_broadcast(names: np.ndarray, n_words: int) -> np.ndarray:
@@ -290,19 +307,19 @@ _PAIRS = f"{_BLOCK}, inserts array<long>, pairs binary, found binary"
 
 
 def _merge_bigrams(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
-    """The part's bigrams; inserts[i] are the insertions that counts from 2**i up need. Those of sides 1 and 2 are in pairs and found."""
+    """The part's bigrams; inserts[i] are the insertions that counts from LOWS[i] up need. Those of sides 1 and 2 are in pairs and found."""
     part = int(pdf["part"].iloc[0])
     if part >= parts:
         pairs, counts = _merge_pairs(_all(pdf["keys"], width=2), _all(pdf["counts"]))
         return pd.DataFrame({"part": [part], "keys": [None], "counts": [None], "inserts": [None], "pairs": [_packed(pairs)], "found": [_packed(counts)]})
     keys, counts = _gather(pdf)
     q = quantised(counts)
-    inserts = [int(q[counts >= p].sum()) for p in _POWERS]
+    inserts = np.cumsum(np.cumsum(np.bincount(q - 1, minlength=LEVELS)[::-1]))[::-1].tolist()
     return pd.DataFrame({"part": [part], "keys": [_packed(keys)], "counts": [_packed(counts)], "inserts": [inserts], "pairs": [None], "found": [None]})
 
 
-def _placed(batches, parts: int, least: int, n_words: int):
-    """The filter's bigrams with their levels by segment, and the sums of c - D of all bigrams by first word, if broadcast, under segments below 0."""
+def _placed(batches, parts: int, least: int, n_words: int, spare: bool):
+    """The filter's bigrams with their levels by segment, those of the second one under segments from SEGMENTS on, and the sums of c - D of all bigrams by first word, if broadcast, under segments below 0."""
     for pdf in batches:
         for part, k, c, p, f in zip(pdf["part"], pdf["keys"], pdf["counts"], pdf["pairs"], pdf["found"]):
             if part >= parts:
@@ -311,7 +328,7 @@ def _placed(batches, parts: int, least: int, n_words: int):
                 first, counts, keys = first[some], counts[some], np.zeros(0, np.uint64)
             else:
                 keys, counts = _opened(k, np.uint64), _opened(c)
-                first = keys >> np.uint64(32)
+                first = keys // np.uint64(max(n_words, 1))
             if not len(first):
                 continue
             first, inverse = np.unique(first, return_inverse=True)
@@ -319,18 +336,21 @@ def _placed(batches, parts: int, least: int, n_words: int):
             edges = np.searchsorted(first, np.arange(SEGMENTS + 1) * width)
             rows = [(-1 - s, (first[a:b].astype(np.int64) - s * width).astype(np.uint32).tobytes(), sums[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
             if len(keys):
-                keys, q = keys[counts >= least], quantised(counts[counts >= least]).astype(np.uint8)
-                segment = _part_of(keys, SEGMENTS)
+                some = counts >= (2 if spare else least)
+                keys, counts = keys[some], counts[some]
+                q = np.maximum(quantised(counts) - quantised(least) + 1, 1).astype(np.uint8)
+                segment = _part_of(keys, SEGMENTS) + SEGMENTS * (counts < least)
                 rows += [(int(s), _packed(keys[segment == s]), q[segment == s].tobytes()) for s in np.unique(segment)]
             yield pd.DataFrame(rows, columns=["segment", "keys", "held"])
 
 
-def _built(key, pdf: pd.DataFrame, size: int, n_words: int) -> pd.DataFrame:
+def _built(key, pdf: pd.DataFrame, sizes: tuple[int, int], n_words: int) -> pd.DataFrame:
     if key[0] < 0:
         mass = np.zeros(-(-n_words // SEGMENTS))
         for at, m in zip(pdf["keys"], pdf["held"]):
             mass[np.frombuffer(at, np.uint32)] += np.frombuffer(m, np.float64)
         return pd.DataFrame({"segment": [int(key[0])], "data": [mass.tobytes()]})
+    size = sizes[key[0] // SEGMENTS]
     bits = np.zeros(size, np.uint8)
     for k, held in zip(pdf["keys"], pdf["held"]):
         keys, q = _opened(k, np.uint64), np.frombuffer(held, np.uint8)
@@ -341,10 +361,10 @@ def _built(key, pdf: pd.DataFrame, size: int, n_words: int) -> pd.DataFrame:
 
 
 class Model:
-    """What the scoring tasks get: the frequent words, the filter and M(v), all of bounded size."""
+    """What the scoring tasks get: the frequent words, the filter, the one that saves questions (or None) and M(v), all of bounded size."""
 
-    def __init__(self, frequent: Frequent, filter_bytes: np.ndarray, mass: np.ndarray, tokens: int, vocabulary: int, rest: bool, others: bool):
-        self.frequent, self.filter, self.rest, self.others = frequent, filter_bytes, rest, others
+    def __init__(self, frequent: Frequent, filter_bytes: np.ndarray, spare: np.ndarray | None, mass: np.ndarray, tokens: int, vocabulary: int, cutoff: int, others: bool):
+        self.frequent, self.filter, self.spare, self.cutoff, self.others = frequent, filter_bytes, spare, cutoff, others
         self.norm = float(np.log10(tokens + vocabulary + 1))
         self.mass = mass
 
@@ -361,7 +381,7 @@ class Model:
         return np.maximum(self.frequent.counts, self.mass)
 
     def bonus(self, keys: np.ndarray, q: np.ndarray) -> np.ndarray:
-        v, w = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        v, w = (x.astype(np.int64) for x in np.divmod(keys, np.uint64(max(len(self.frequent.keys), 1))))
         return bonus_of(count_of(q), self.norms[v], self.kappa[v], self.logs[w])
 
 
@@ -394,7 +414,7 @@ def _scored(texts: pd.DataFrame, m: Model) -> list[tuple[np.ndarray, np.ndarray]
     table = m.frequent
     tokens, sizes = _tokens(texts["text"])
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    row = texts["row"].to_numpy(np.int64)
+    row, ids, held = texts["row"].to_numpy(np.int64), texts["doc_id"], texts["held_out"].to_numpy(bool)
     index = table.index(tokens)
     before, after = index[:-1], index[1:]
     known = after >= 0
@@ -407,9 +427,13 @@ def _scored(texts: pd.DataFrame, m: Model) -> list[tuple[np.ndarray, np.ndarray]
         at = np.nonzero(table.pairs(index))[0]
         keys = table.pair_keys(index, table.pairs(index))
         q = probe(m.filter, keys)
+        q[q > 0] += quantised(m.cutoff) - 1
+        if m.cutoff > 1 and m.spare is not None:
+            learnt = np.nonzero((q == 0) & np.repeat(~held & ~ids.isna().to_numpy(), sizes)[at])[0]
+            q[learnt[probe(m.spare, keys[learnt]) == 0]] = 1
         hit = q > 0
         factor[at[hit]] += m.bonus(keys[hit], q[hit])
-        if m.rest:
+        if m.cutoff > 1:
             rest, asked = keys[~hit], row_of[at[~hit]]
     out = [(asked, rest)]
     for rare, other in ((1, 0), (0, 1)):
@@ -417,8 +441,7 @@ def _scored(texts: pd.DataFrame, m: Model) -> list[tuple[np.ndarray, np.ndarray]
         words = [table.named(tokens[at + i], index[at + i]) for i in (rare, other)]
         out.append((row_of[at], np.stack(words, axis=1)))
     sums = np.add.reduceat(base, first)
-    ids, held = texts["doc_id"], texts["held_out"].to_numpy(np.int64)
-    values = (ids.isna().to_numpy(np.int64), held, sizes, np.add.reduceat(known, first, dtype=np.int64), sums.view(np.int64), (sums + np.add.reduceat(factor, first)).view(np.int64))
+    values = (ids.isna().to_numpy(np.int64), held.astype(np.int64), sizes, np.add.reduceat(known, first, dtype=np.int64), sums.view(np.int64), (sums + np.add.reduceat(factor, first)).view(np.int64))
     out.append((row, np.stack([row, ids.fillna("0").to_numpy(object).astype(np.int64), *values], axis=1)))
     return out
 
@@ -491,9 +514,9 @@ def _answer(asked: pd.DataFrame, held: pd.DataFrame, parts: int, model) -> pd.Da
 
 def _by_row(row: np.ndarray, words: np.ndarray, bonus: np.ndarray, parts: int) -> pd.DataFrame:
     rows, inverse = np.unique(row, return_inverse=True)
-    sums = np.stack([np.bincount(inverse, weights=x, minlength=len(rows)) for x in (*words, bonus)])
-    part = rows % parts
-    out = [(int(p), _packed(rows[part == p]), sums[:, part == p].tobytes()) for p in np.unique(part)]
+    sums = np.stack([np.bincount(inverse, weights=x, minlength=len(rows)) for x in (*words, bonus)], axis=1)
+    sums, part = np.rint(sums / _STEP).astype(np.int64), rows % parts
+    out = [(int(p), _packed(rows[part == p]), _packed(sums[part == p])) for p in np.unique(part)]
     return pd.DataFrame(out, columns=["part", "keys", "counts"])
 
 
@@ -509,7 +532,7 @@ def _total(pdf: pd.DataFrame) -> pd.DataFrame:
     n_known = own[:, 5].copy()
     if not texts.all():
         at = np.searchsorted(own[:, 0], _all(pdf["keys"][~texts]))
-        values = np.concatenate([np.frombuffer(b, np.float64).reshape(3, -1) for b in pdf["counts"][~texts]], axis=1)
+        values = _all(pdf["counts"][~texts], width=3).T * _STEP
         more, known, bonus = (np.bincount(at, weights=x, minlength=len(own)) for x in values)
         base, score, n_known = base + more, score + more + bonus, n_known + known.astype(np.int64)
     ids = pd.array(own[:, 1], "Int64")
@@ -545,24 +568,28 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
 
     pairs = train.mapInPandas(functools.partial(_bigrams, frequent=frequent, parts=parts), _BLOCK)
     pairs = cut(pairs.groupBy("part").applyInPandas(lambda pdf: _merge_bigrams(pdf, parts), _PAIRS))
-    needs = [x or 0 for x in pairs.agg(*(F.sum(F.col("inserts")[i]) for i in range(len(_POWERS)))).first()]
-    cutoff, need = next((int(p), n) for p, n in zip(_POWERS, needs) if n * BITS_EACH <= MAX_BITS)
+    needs = [x or 0 for x in pairs.agg(*(F.sum(F.col("inserts")[i]) for i in range(LEVELS))).first()]
+    cutoff, need = next(((int(c), n) for c, n in zip(LOWS, needs) if n * BITS_EACH <= MAX_BITS), (int(LOWS[-1]) + 1, 0))
     n_bits = max(1 << 16, 1 << int(max(1, need * BITS_EACH) - 1).bit_length())
-    size, n_words = n_bits // SEGMENTS, len(table.keys)
-    placed = pairs.drop("inserts").mapInPandas(functools.partial(_placed, parts=parts, least=cutoff, n_words=n_words), "segment int, keys binary, held binary")
-    built = placed.groupBy("segment").applyInPandas(lambda key, pdf: _built(key, pdf, size, n_words), "segment int, data binary").collect()  # MAX_BITS and a number for each of FREQUENT words at most
-    data = np.zeros((SEGMENTS, size // 8), np.uint8)
+    distinct = [a - b for a, b in zip(needs, [*needs[1:], 0])]  # bigrams from each level on
+    between = max(0, distinct[1] - (distinct[int(quantised(cutoff)) - 1] if cutoff <= LOWS[-1] else 0))  # found more than once, but not in the filter
+    spare_bits = max(1 << 16, min(1 << int(max(1, between * BITS_EACH) - 1).bit_length(), MAX_BITS // SPARE_PART))
+    spare = cutoff > 1 and between * SPARE_EACH <= spare_bits
+    sizes, n_words = (n_bits // SEGMENTS, spare_bits // SEGMENTS), len(table.keys)
+    placed = pairs.drop("inserts").mapInPandas(functools.partial(_placed, parts=parts, least=cutoff, n_words=n_words, spare=spare), "segment int, keys binary, held binary")
+    built = placed.groupBy("segment").applyInPandas(lambda key, pdf: _built(key, pdf, sizes, n_words), "segment int, data binary").collect()  # MAX_BITS, a SPARE_PART of it and a number for each of FREQUENT words at most
+    filters = [np.zeros((SEGMENTS, size // 8), np.uint8) for size in sizes]
     mass = np.zeros((SEGMENTS, -(-n_words // SEGMENTS)))
     for r in built:
         if r["segment"] < 0:
             mass[-1 - r["segment"]] = np.frombuffer(r["data"], np.float64)
         else:
-            data[r["segment"]] = np.frombuffer(r["data"], np.uint8)
+            filters[r["segment"] // SEGMENTS][r["segment"] % SEGMENTS] = np.frombuffer(r["data"], np.uint8)
     del built
     mass = mass.reshape(-1)[:n_words]
     vocabulary = above[0]
     others = least > 1  # some words are not broadcast
-    model = sc.broadcast(Model(table, data.reshape(-1), mass, tokens, vocabulary, cutoff > 1, others))
+    model = sc.broadcast(Model(table, filters[0].reshape(-1), filters[1].reshape(-1) if spare else None, mass, tokens, vocabulary, cutoff, others))
 
     # A doc_id goes to Python as text: a null would make its column one of doubles, which do not hold all 64 bits.
     rows = texts.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "text", "held_out")

@@ -4,6 +4,7 @@ import math
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from pulsemill.llm import lm_scoring, mixing, packing, quality_rules, toxicity
@@ -129,6 +130,56 @@ def test_no_bigram_is_a_row_of_its_own(spark, monkeypatch):
     assert rows[2]["n_known"] == rows[2]["n_tokens"] == 41
 
 
+def test_texts_learnt_from_do_not_ask_for_bigrams_found_once():
+    """Every bigram that the filter left out used to be asked for, so the shuffle grew faster than the table once the filter was full."""
+    texts = pd.DataFrame({"row": [0, 1, 2], "doc_id": ["5", "6", None], "text": ["a b", "b a", "a a"], "held_out": [False, True, False]})
+    table = lm_scoring.Frequent(np.unique(lm_scoring._tokens(texts["text"])[0]), np.array([9, 7, 5]))
+    empty = np.zeros(1 << 13, np.uint8)
+    model = lambda spare: lm_scoring.Model(table, empty, spare, np.full(3, 1.0), 21, 3, 4, False)
+    (asked, keys), *_, (_, own) = lm_scoring._scored(texts, model(empty))
+    assert asked.tolist() == [1] * 3 + [2] * 3 and len(keys) == 6
+    (everyone, all_keys), *_, (_, plain) = lm_scoring._scored(texts, model(None))
+    assert everyone.tolist() == [0] * 3 + [1] * 3 + [2] * 3
+    score, bare = own[:, 7].copy().view(float), plain[:, 7].copy().view(float)
+    once = model(None).bonus(all_keys[:3], np.ones(3, int)).sum()
+    assert math.isclose(score[0], bare[0] + once) and (score[1:] == bare[1:]).all()
+
+
+@pytest.mark.parametrize("cutoff, spare_each", [(2, 4), (3, 4), (4, 0), (4, 10_000_000)])
+def test_what_is_not_asked_for_scores_as_lookups_do(spark, docs, corpus, monkeypatch, cutoff, spare_each):
+    monkeypatch.setattr(lm_scoring, "SPARE_EACH", spare_each)
+    pairs = collections.Counter()
+    for i, w in brute_unigrams(corpus)[1].items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            pairs.update(itertools.pairwise([None, *w]))
+    q = np.maximum(lm_scoring.quantised(np.array(list(pairs.values()))) - cutoff + 1, 0)  # counts to 4 are levels of their own
+    assert (q == 0).any() and (q > 0).any()
+    scores = {}
+    for max_bits in (0, int(q.sum()) * lm_scoring.BITS_EACH):
+        monkeypatch.setattr(lm_scoring, "MAX_BITS", max_bits)
+        scores[max_bits] = {r["doc_id"]: r["score"] for r in lm_scoring.score_texts(docs).collect()}
+    looked_up, filtered = ([s[i] for i in sorted(s)] for s in scores.values())
+    assert np.isclose(looked_up, filtered, rtol=1e-9).mean() > 0.8 and np.allclose(looked_up, filtered, rtol=0.05)
+
+
+@pytest.mark.parametrize("values", [[], [7], [2**64 - 1], [0, 2**64 - 1], [5, 3, 9], [3, 3, 2**40]])
+def test_packed_numbers_are_opened(values):
+    keys = np.array(values, np.uint64)
+    assert lm_scoring._opened(lm_scoring._packed(keys), np.uint64).tolist() == values
+    signed = keys.view(np.int64)
+    assert (lm_scoring._opened(lm_scoring._packed(signed)) == signed).all()
+    rows = np.stack([signed, signed[::-1]], axis=1)
+    assert (lm_scoring._opened(lm_scoring._packed(rows), width=2) == rows).all()
+
+
+def test_sorted_bigrams_take_few_bytes():
+    table = lm_scoring.Frequent(np.arange(1_000_000, dtype=np.uint64), np.ones(1_000_000))
+    index = np.random.default_rng(0).integers(0, 1_000_000, 30_001)
+    keys = np.sort(table.pair_keys(index, table.pairs(index)))
+    assert len(lm_scoring._packed(keys)) < 4.1 * len(keys)  # was 7 bytes each
+    assert (lm_scoring._opened(lm_scoring._packed(keys), np.uint64) == keys).all()
+
+
 def test_filter_reads_counts_back():
     keys = np.arange(1, 2001, dtype=np.uint64) * np.uint64(977)
     counts = np.random.default_rng(0).integers(1, 5000, 2000)
