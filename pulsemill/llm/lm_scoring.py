@@ -361,7 +361,7 @@ def _built(key, pdf: pd.DataFrame, sizes: tuple[int, int], n_words: int) -> pd.D
 
 
 class Model:
-    """What the scoring tasks get: the frequent words, the filter, the one that saves questions (or None) and M(v), all of bounded size."""
+    """What the scoring tasks use: the frequent words, the filter, the one that saves questions (or None) and M(v), all of bounded size."""
 
     def __init__(self, frequent: Frequent, filter_bytes: np.ndarray, spare: np.ndarray | None, mass: np.ndarray, tokens: int, vocabulary: int, cutoff: int, others: bool):
         self.frequent, self.filter, self.spare, self.cutoff, self.others = frequent, filter_bytes, spare, cutoff, others
@@ -385,14 +385,38 @@ class Model:
         return bonus_of(count_of(q), self.norms[v], self.kappa[v], self.logs[w])
 
 
-def _score(batches, model, parts: int):
+class Pieces:
+    """A model as the driver sends it: segments as they were built, not put together there, and without the words, which workers have from a broadcast of their own."""
+
+    def __init__(self, built: dict[int, bytes], sizes: tuple[int, int], spare: bool, *numbers):
+        self.built, self.sizes, self.spare, self.numbers = built, sizes, spare, numbers
+        self.whole: Model | None = None
+
+    def model(self, frequent: Frequent) -> Model:
+        """Put together once in a worker. A piece goes as soon as it is copied, so nothing is held twice."""
+        if self.whole is None:
+            n_words = len(frequent.keys)
+            filters = [np.zeros((SEGMENTS, size // 8), np.uint8) for size in self.sizes]
+            mass = np.zeros((SEGMENTS, -(-n_words // SEGMENTS)))
+            while self.built:
+                segment, data = self.built.popitem()
+                if segment < 0:
+                    mass[-1 - segment] = np.frombuffer(data, np.float64)
+                else:
+                    filters[segment // SEGMENTS][segment % SEGMENTS] = np.frombuffer(data, np.uint8)
+            bits, spare = (f.reshape(-1) for f in filters)
+            self.whole = Model(frequent, bits, spare if self.spare else None, mass.reshape(-1)[:n_words], *self.numbers)
+        return self.whole
+
+
+def _score(batches, frequent, pieces, parts: int):
     """What the filter and the broadcast words tell of a text, and what is asked of the parts for it, with its row: bigrams that the
     filter does not know, and on sides 1 and 2 those with a rare second and first word (with two, on both). Side 3 has the texts.
     """
-    waiting, n = [], 0
+    waiting, n, model = [], 0, pieces.value.model(frequent.value)
     for pdf in batches:
         for some in slices(pdf, CHARS):
-            waiting.append(_scored(some, model.value))
+            waiting.append(_scored(some, model))
             n += sum(len(row) for row, _ in waiting[-1])
             if n > ASKED:
                 yield from _asked(waiting, parts)
@@ -469,13 +493,13 @@ def _held(batches, parts: int, cutoff: int, n_words: int):
                 yield pd.DataFrame(rows, columns=["part", "keys", "counts", "others"])
 
 
-def _answer(asked: pd.DataFrame, held: pd.DataFrame, parts: int, model) -> pd.DataFrame:
+def _answer(asked: pd.DataFrame, held: pd.DataFrame, parts: int, frequent, pieces) -> pd.DataFrame:
     """What the asked words and bigrams add to log10 P of words, number of known words and score, summed by document and sent on by its part."""
     if len(asked) and asked["part"].iloc[0] >= 3 * parts:
         return asked.assign(part=asked["part"] - 3 * parts)
     if not len(asked) or not len(held):
         return pd.DataFrame({"part": [], "keys": [], "counts": []})
-    m, part = model.value, asked["part"].iloc[0]
+    m, part = pieces.value.model(frequent.value), asked["part"].iloc[0]
     row, counts = _all(asked["counts"]), _all(held["counts"])
     if part < parts:
         key, keys = _all(asked["keys"], np.uint64), _all(held["keys"], np.uint64)
@@ -560,11 +584,12 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     sums = counted.agg(F.sum("tokens"), *(F.sum(F.col("above")[i]) for i in range(len(_POWERS)))).first()
     tokens, above = sums[0] or 0, [x or 0 for x in sums[1:]]
     least = int(next(p for p, n in zip(_POWERS, above) if n <= FREQUENT))
-    got = counted.mapInPandas(functools.partial(_at_least, least=least), "keys binary, counts binary").collect()  # FREQUENT words at most
+    # What goes to the driver is of bounded size, and comes a partition of a small table at a time: a collect() would hold it all in the JVM several times over.
+    got = list(cut(counted.mapInPandas(functools.partial(_at_least, least=least), "keys binary, counts binary")).toLocalIterator())  # FREQUENT words at most
     join = lambda name, kind: np.frombuffer(b"".join(bytes(r[name]) for r in got), kind)
     table = Frequent(join("keys", np.uint64), join("counts", np.int64))
-    del got
-    frequent = sc.broadcast(table)
+    frequent, n_words = sc.broadcast(table), len(table.keys)
+    del got, table
 
     pairs = train.mapInPandas(functools.partial(_bigrams, frequent=frequent, parts=parts), _BLOCK)
     pairs = cut(pairs.groupBy("part").applyInPandas(lambda pdf: _merge_bigrams(pdf, parts), _PAIRS))
@@ -575,25 +600,18 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFram
     between = max(0, distinct[1] - (distinct[int(quantised(cutoff)) - 1] if cutoff <= LOWS[-1] else 0))  # found more than once, but not in the filter
     spare_bits = max(1 << 16, min(1 << int(max(1, between * BITS_EACH) - 1).bit_length(), MAX_BITS // SPARE_PART))
     spare = cutoff > 1 and between * SPARE_EACH <= spare_bits
-    sizes, n_words = (n_bits // SEGMENTS, spare_bits // SEGMENTS), len(table.keys)
+    sizes = (n_bits // SEGMENTS, spare_bits // SEGMENTS)
     placed = pairs.drop("inserts").mapInPandas(functools.partial(_placed, parts=parts, least=cutoff, n_words=n_words, spare=spare), "segment int, keys binary, held binary")
-    built = placed.groupBy("segment").applyInPandas(lambda key, pdf: _built(key, pdf, sizes, n_words), "segment int, data binary").collect()  # MAX_BITS, a SPARE_PART of it and a number for each of FREQUENT words at most
-    filters = [np.zeros((SEGMENTS, size // 8), np.uint8) for size in sizes]
-    mass = np.zeros((SEGMENTS, -(-n_words // SEGMENTS)))
-    for r in built:
-        if r["segment"] < 0:
-            mass[-1 - r["segment"]] = np.frombuffer(r["data"], np.float64)
-        else:
-            filters[r["segment"] // SEGMENTS][r["segment"] % SEGMENTS] = np.frombuffer(r["data"], np.uint8)
-    del built
-    mass = mass.reshape(-1)[:n_words]
+    built = cut(placed.groupBy("segment").applyInPandas(lambda key, pdf: _built(key, pdf, sizes, n_words), "segment int, data binary"), narrow=True)
+    built = {r["segment"]: bytes(r["data"]) for r in built.toLocalIterator()}  # MAX_BITS, a SPARE_PART of it and a number for each of FREQUENT words at most
     vocabulary = above[0]
     others = least > 1  # some words are not broadcast
-    model = sc.broadcast(Model(table, filters[0].reshape(-1), filters[1].reshape(-1) if spare else None, mass, tokens, vocabulary, cutoff, others))
+    pieces = sc.broadcast(Pieces(built, sizes, spare, tokens, vocabulary, cutoff, others))
+    del built
 
     # A doc_id goes to Python as text: a null would make its column one of doubles, which do not hold all 64 bits.
     rows = texts.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "text", "held_out")
-    asked = rows.mapInPandas(functools.partial(_score, model=model, parts=parts), _BLOCK)
+    asked = rows.mapInPandas(functools.partial(_score, frequent=frequent, pieces=pieces, parts=parts), _BLOCK)
     held = pairs.drop("inserts").mapInPandas(functools.partial(_held, parts=parts, cutoff=cutoff, n_words=n_words), _HELD)
-    answers = asked.groupBy("part").cogroup(held.groupBy("part")).applyInPandas(lambda a, b: _answer(a, b, parts, model), _BLOCK)
+    answers = asked.groupBy("part").cogroup(held.groupBy("part")).applyInPandas(lambda a, b: _answer(a, b, parts, frequent, pieces), _BLOCK)
     return answers.groupBy("part").applyInPandas(_total, _SCORES).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -130,6 +130,29 @@ def test_no_bigram_is_a_row_of_its_own(spark, monkeypatch):
     assert rows[2]["n_known"] == rows[2]["n_tokens"] == 41
 
 
+def test_the_driver_collects_numbers_only(docs, monkeypatch):
+    """The words and the filter come a partition at a time, so the JVM never holds them as one result."""
+    kind, collected = type(docs), []
+    monkeypatch.setattr(kind, "collect", lambda self, f=kind.collect: collected.append(rows := f(self)) or rows)
+    lm_scoring.score_texts(docs)
+    assert collected and not any(isinstance(x, (bytes, bytearray)) for rows in collected for r in rows for x in r)
+
+
+@pytest.mark.parametrize("spare", [True, False])
+def test_pieces_are_put_together_once_and_go(spare):
+    words = lm_scoring.Frequent(np.arange(100, dtype=np.uint64), np.arange(1, 101))
+    sizes, rng = (128, 64), np.random.default_rng(3)
+    parts = {s: rng.bytes(sizes[s // 64] // 8) for s in (0, 7, 63, 64, 100, 127)}
+    mass = rng.random(128)
+    parts |= {-1 - s: mass[2 * s : 2 * s + 2].tobytes() for s in range(50)}
+    pieces = lm_scoring.Pieces(dict(parts), sizes, spare, 21, 3, 4, False)
+    model = pieces.model(words)
+    assert not pieces.built and pieces.model(words) is model
+    assert (model.mass == mass[:100]).all() and model.cutoff == 4 and model.others is False
+    assert model.filter.tobytes() == b"".join(parts.get(s, bytes(16)) for s in range(64))
+    assert model.spare.tobytes() == b"".join(parts.get(s, bytes(8)) for s in range(64, 128)) if spare else model.spare is None
+
+
 def test_texts_learnt_from_do_not_ask_for_bigrams_found_once():
     """Every bigram that the filter left out used to be asked for, so the shuffle grew faster than the table once the filter was full."""
     texts = pd.DataFrame({"row": [0, 1, 2], "doc_id": ["5", "6", None], "text": ["a b", "b a", "a a"], "held_out": [False, True, False]})
