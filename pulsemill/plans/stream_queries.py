@@ -26,8 +26,8 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared or tempfile.mkdtemp(prefix='streams-')}/streams/{uuid.uuid4().hex}"
 
 
-def stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The output of the event builder over all events, read as a stream; a row of another run moves the watermark past the end."""
+def stream_all(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The output of one kind of the event builder over all events, read as a stream; a row of another run moves the watermark past the end."""
     folder = _folder(spark)
     time = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
     batch = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -41,7 +41,7 @@ def stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     try:
-        out = stream_events(stream, RULES)
+        out = stream_events(stream, RULES, kinds=(kind,))
         run = out.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint").outputMode("append").trigger(availableNow=True).start(f"{folder}/out")
         run.awaitTermination()
     finally:
@@ -55,7 +55,7 @@ def stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {SESS} select start, stop, n_triggers, count(*) as n_signals, sum(n_pulses)::bigint as n_pulses, round(sum(area), 3) as area,
 max(round(time_rms / 1e9, 6)) as widest_s, count(*) filter (type = 2) as n_wide from rng join cls on left_time >= start and left_time <= stop group by all""")
 def stream_event_ranges(spark, sf_dir):
-    events = stream_all(spark, sf_dir).filter("kind = 'event'").select("start", "stop", "n_triggers", F.explode("signals").alias("s"))
+    events = stream_all(spark, sf_dir, "event").select("start", "stop", "n_triggers", F.explode("signals").alias("s"))
     return events.groupBy("start", "stop", "n_triggers").agg(
         F.count("*").alias("n_signals"),
         F.sum("s.n_pulses").alias("n_pulses"),
@@ -74,7 +74,7 @@ c as (select time // {DAY * S} as interval, 'pulses' as name, count(*) as n from
  union all select (start + {LEFT}) // {DAY * S}, 'events', count(*) from rng group by 1)
 select d.interval, x.name, coalesce(n, 0) as n from d cross join (values ('pulses'), ('lone'), ('pair'), ('signals'), ('events')) x(name) left join c on c.interval = d.interval and c.name = x.name""")
 def stream_intervals(spark, sf_dir):
-    return stream_all(spark, sf_dir).filter("kind = 'interval'").select("interval", "name", "n")
+    return stream_all(spark, sf_dir, "interval").select("interval", "name", "n")
 
 
 @query(f"""with {SESS}, one as (select min(time) as time, min(pmt) as pmt, max(pmt) as other, count(*) as n, count(distinct pmt) as channels from s group by sid)
@@ -82,4 +82,4 @@ select time // {DAY * S} as interval, 'pulses' as name, pmt as a, cast(null as b
 union all select time // {DAY * S}, 'lone', pmt, null, count(*) from one where n = 1 group by all
 union all select time // {DAY * S}, 'pair', pmt, other, count(*) from one where channels = 2 group by all""")
 def stream_tallies(spark, sf_dir):
-    return stream_all(spark, sf_dir).filter("kind = 'tally'").select("interval", "name", "a", "b", "n")
+    return stream_all(spark, sf_dir, "tally").select("interval", "name", "a", "b", "n")

@@ -240,3 +240,34 @@ def test_processors_equal_batch_whatever_the_batches(spark, seed):
     cuts = sorted(rng.integers(0, 400, rng.integers(0, 40)))
     out = simulate([rows[a:b] for a, b in zip([0, *cuts], [*cuts, 400])])
     assert got(out, 1) == expected(spark, rows)
+
+
+class Counted(Cell):
+    """A state variable that counts the calls and the rows sent, each of which costs Spark a message or a row of the store."""
+
+    traffic = 0
+
+    def __getattribute__(self, name):
+        x = super().__getattribute__(name)
+        if name in ("put", "appendList"):
+            return lambda items: (setattr(Counted, "traffic", Counted.traffic + 1 + len(items)), x(items))[1]
+        Counted.traffic += callable(x)
+        return x
+
+
+@pytest.fixture
+def counted(monkeypatch):
+    monkeypatch.setattr(Handle, "_state", lambda self, name, *_: self.cells.setdefault(name, Counted()))
+    for kind in ("getListState", "getValueState", "getMapState"):
+        monkeypatch.setattr(Handle, kind, Handle._state)
+    Counted.traffic = 0
+
+
+def test_state_is_not_asked_for_each_channel(counted):
+    rows = [(1, b * RULES.width + c * 4_000, c - 1000, 1.0) for b in range(5) for c in range(4000)]
+    rows += [(1, 3 * RULES.interval + 7, 2, 1.0), (1, 4 * RULES.interval, -1, 1.0)]
+    out = simulate([rows])
+    tally = got(out, 1)[1]
+    assert {k[2:]: n for k, n in tally.items() if k[:2] == (0, "pulses")} == {(c - 1000, None): 5 for c in range(4000)}
+    assert tally[3, "lone", 2, None] == tally[4, "lone", -1, None] == 1
+    assert Counted.traffic < 200
