@@ -15,6 +15,8 @@ from .trigger_queries import EVENT_GAP, LEFT, RIGHT, S1_RMS, S2_PULSES, SESS, SI
 
 DAY = 86_400
 RULES = Rules(SIGNAL_GAP, EVENT_GAP, LEFT, RIGHT, S1_RMS, S2_PULSES, STEPS, None, width=DAY * S // 4, interval=DAY * S)
+#: Pulses that a partition of state gets at least: a partition is a store and two Python workers' tasks a batch, however empty.
+STATE_ROWS = 250_000
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -38,17 +40,18 @@ def stream_all(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     # The source reads whole folders or patterns; the driver's table may be either a file or a folder.
     stream = read(spark.readStream.schema(batch.schema).parquet(f"{sf_dir}/events*.parquet"), 0)
     stream = stream.unionByName(spark.readStream.schema(closing.schema).parquet(f"{folder}/closing"))
-    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    parts = max(spark.sparkContext.defaultParallelism, batch.count() // STATE_ROWS)
+    settings = {"spark.sql.streaming.stateStore.providerClass": STORE, "spark.sql.shuffle.partitions": str(min(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))))}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         out = stream_events(stream, RULES, kinds=(kind,))
         run = out.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint").outputMode("append").trigger(availableNow=True).start(f"{folder}/out")
         run.awaitTermination()
     finally:
-        if provider is None:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-        else:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(out.schema).parquet(f"{folder}/out").filter("run = 0")
 
 

@@ -271,3 +271,29 @@ def test_state_is_not_asked_for_each_channel(counted):
     assert {k[2:]: n for k, n in tally.items() if k[:2] == (0, "pulses")} == {(c - 1000, None): 5 for c in range(4000)}
     assert tally[3, "lone", 2, None] == tally[4, "lone", -1, None] == 1
     assert Counted.traffic < 200
+
+
+def test_state_does_not_grow_with_the_signals_of_an_open_event(counted):
+    starts = [k * 9_000_000 for k in range(3000)]  # triggers closer than the event separation: one event, open to the end
+    rows = [(1, t + d, d // 20_000, 1.0) for t in starts for d in (0, 20_000, 40_000)]
+    cuts = range(0, len(rows), 450)
+    out = simulate([rows[i : i + 450] for i in cuts])
+    [(event, signals)] = got(out, 1)[0].items()
+    assert event == (-1_000_000, starts[-1] + 40_000 + 2_000_000, 3000)
+    assert signals == [(t, 3, 1, True) for t in starts]
+    assert sum(r["n"] for r in out if r["kind"] == "interval" and r["name"] == "signals") == 3000
+    assert Counted.traffic < 12_000  # four calls a bucket, some ten a batch
+
+
+def test_only_the_wanted_kind_is_built(spark, tmp_path):
+    rows = pulses_of(np.random.default_rng(5), 1, 300)
+    frame(spark, [*rows, (9, 10**15, 0, 1.0)]).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(frame(spark, rows).schema).parquet(str(tmp_path / "in"))
+    q = stream_events(stream, RULES, kinds=("interval",)).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    q.awaitTermination()
+    out = [r for r in spark.read.parquet(str(tmp_path / "out")).collect() if r["run"] == 1]
+    events, tally = expected(spark, rows)
+    assert {r["kind"] for r in out} == {"interval"}
+    assert sum(r["n"] for r in out if r["name"] == "events") == len(events)
+    for name in ("pulses", "lone", "pair"):
+        assert {r["interval"]: r["n"] for r in out if r["name"] == name and r["n"]} == dict(sum((collections.Counter({k[0]: n}) for k, n in tally.items() if k[1] == name), collections.Counter()))
